@@ -19,16 +19,22 @@ def to_money(c: Column) -> Column:
     return c.cast(MONEY)
 
 
-def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(24,4)",
-              den_type: str = "decimal(20,8)") -> Column:
-    """``round(num / den, digits)``; NULL when ``den`` is 0 or NULL (``NULLIF`` semantics)."""
+def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(20,2)",
+              den_type: str = "decimal(14,2)") -> Column:
+    """``round(num / den, digits)``; NULL when ``den`` is 0 or NULL (``NULLIF`` semantics).
+
+    Spark gives ``decimal(p1,s1) / decimal(p2,s2)`` the scale ``max(6, s1 + p2 + 1)`` and cuts
+    it when the precision passes 38, so the operand types are chosen per call to keep 15+
+    fractional digits: e.g. ``decimal(15,2) / decimal(14,8)`` is ``decimal(38,17)``. Values
+    beyond the chosen precision raise (ANSI) rather than round silently.
+    """
     d = den.cast(den_type)
     return F.round(num.cast(num_type) / F.when(d != 0, d), digits)
 
 
 def avg_round(c: Column, digits: int) -> Column:
     """Exactly rounded mean of a decimal column (NULLs skipped, NULL on no rows)."""
-    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(28,2)", den_type="decimal(20,0)")
+    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(20,2)", den_type="decimal(12,0)")
 
 
 def in_millions(c: Column, digits: int) -> Column:

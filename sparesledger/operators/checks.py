@@ -81,7 +81,7 @@ def check_bucket_spread(by_bucket: DataFrame, uniform_spread: float = 0.05) -> D
     The window runs over the bucket summary -- one row per bucket -- not over the data.
     """
     w = Window.partitionBy()
-    share = div_round(F.col("stock_lines"), F.sum("stock_lines").over(w), 4).cast("decimal(10,4)")
+    share = div_round(F.col("stock_lines"), F.sum("stock_lines").over(w), 4, "decimal(18,0)", "decimal(18,0)").cast("decimal(10,4)")
     return (
         by_bucket.select("aging_bucket", "stock_lines", share.alias("line_share"))
         .withColumn(
