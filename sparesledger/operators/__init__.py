@@ -1,0 +1 @@
+"""DataFrame operators: silver, gold ageing, reports, reconciliation, security, checks, dictionary."""

@@ -1,0 +1 @@
+"""Source schemas, extract readers, bronze landing and the test-table fixtures."""

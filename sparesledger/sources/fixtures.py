@@ -148,21 +148,27 @@ class Fixtures:
 
     # -- line items with their plant --------------------------------------------------------
 
-    @cached_property
-    def _supplier_org(self) -> DataFrame:
-        nation = F.broadcast(self._read("nation").select("n_nationkey", "n_regionkey"))
-        s = self._read("supplier").select("s_suppkey", "s_nationkey")
-        return s.join(nation, s.s_nationkey == nation.n_nationkey).select(
-            "s_suppkey", F.col("n_regionkey").cast("long").alias("org_id")
-        )
-
     @cached_property
     def _lines(self) -> DataFrame:
+        """Line items with the plant of their supplier (region of the supplier's nation).
+
+        Line items join the plain supplier scan first, so the optimizer sizes that join from
+        real file statistics (broadcast of the supplier side under the threshold, else
+        sort-merge with AQE); the 25-row nation table is then broadcast explicitly. Joining
+        supplier x nation first would make Spark estimate that side as the product of both
+        sizes and pick line items as the build side.
+        """
         li = self._read("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_returnflag", "l_shipdate",
         )
-        return li.join(self._supplier_org, li.l_suppkey == F.col("s_suppkey")).drop("s_suppkey")
+        s = self._read("supplier").select("s_suppkey", "s_nationkey")
+        nation = F.broadcast(self._read("nation").select("n_nationkey", "n_regionkey"))
+        return (
+            li.join(s, li.l_suppkey == s.s_suppkey)
+            .join(nation, F.col("s_nationkey") == nation.n_nationkey)
+            .select(*li.columns, F.col("n_regionkey").cast("long").alias("org_id"))
+        )
 
     @cached_property
     def mtl_material_transactions(self) -> DataFrame:
@@ -302,50 +308,52 @@ class Fixtures:
 
     @cached_property
     def _journal_lines(self) -> DataFrame:
-        """All journal lines with their header attributes (one row per line)."""
-        ap = self._ap_by_period_org
-        eff = F.last_day(F.col("acct_date"))
-        month = F.month(F.col("acct_date"))
+        """All journal lines with their header attributes (one row per line).
+
+        One aggregation of AP per (period, plant) plus the one GL-only journal; each row
+        then explodes into its 2-6 lines (a bounded array), so the AP totals are computed
+        once per plan.
+        """
+        ap = self._ap_by_period_org.withColumn("from_ap", F.lit(True))
+        gl_only = ap.filter(F.col("org_id") == 0).select("org_id").distinct().select(
+            F.lit(GL_ONLY_PERIOD).alias("period"), "org_id", _dec(GL_ONLY_AMOUNT).alias("total"),
+            F.to_date(F.lit(GL_ONLY_PERIOD), "MMM-yy").alias("acct_date"), F.lit(False).alias("from_ap"),
+        )
+        rows = ap.unionByName(gl_only)
+        month = F.month("acct_date")
+        org0_ap = F.col("from_ap") & (F.col("org_id") == 0)
         payables_id = self._je_id(F.col("acct_date"), F.col("org_id"))
-        org0 = F.col("org_id") == 0
-
-        def lines(df: DataFrame, je_id, line_num, ccid, dr, cr, source, category) -> DataFrame:
-            return df.select(
-                je_id.alias("JE_HEADER_ID"), F.lit(line_num).cast("long").alias("JE_LINE_NUM"),
-                ccid.cast("long").alias("CODE_COMBINATION_ID"), F.lit(1).cast("long").alias("LEDGER_ID"),
-                F.col("period").alias("PERIOD_NAME"), dr.cast(MONEY).alias("ACCOUNTED_DR"),
-                cr.cast(MONEY).alias("ACCOUNTED_CR"), eff.alias("EFFECTIVE_DATE"),
-                F.lit(source).alias("JE_SOURCE"), F.lit(category).alias("JE_CATEGORY"),
-                F.concat_ws(" ", F.lit(source), F.col("period"), F.col("org_id").cast("string")).alias("NAME"),
+        inventory_id = self._je_id(F.col("acct_date"), F.lit(INVENTORY_JOURNAL_SUFFIX))
+        none = F.lit(None).cast(MONEY)
+
+        def line(je_id, num, suffix, dr, cr, source, category):
+            return F.struct(
+                je_id.alias("je"), F.lit(num).cast("long").alias("ln"),
+                (F.col("org_id") * 10 + suffix).cast("long").alias("ccid"),
+                dr.cast(MONEY).alias("dr"), cr.cast(MONEY).alias("cr"),
+                F.lit(source).alias("src"), F.lit(category).alias("cat"),
             )
 
-        none = F.lit(None).cast(MONEY)
-        acct = lambda k: F.col("org_id") * 10 + k
         pay, cat = "Payables", "Purchase Invoices"
-        parts = [
-            lines(ap, payables_id, 1, acct(1), F.col("total"), none, pay, cat),
-            lines(ap, payables_id, 2, acct(2), none, F.col("total"), pay, cat),
-            lines(ap.filter(org0 & (month == 6)), payables_id, 3, acct(1), _dec(JUNE_EXTRA_DR), none, pay, cat),
-            lines(ap.filter(org0 & (month == 9)), payables_id, 3, acct(1), _dec(SEPTEMBER_EXTRA_DR), none, pay, cat),
-            lines(ap.filter(org0 & (month == 12)), payables_id, 4, acct(9), _dec(DECEMBER_DISABLED_DR), none, pay, cat),
-            lines(ap.filter(org0), self._je_id(F.col("acct_date"), F.lit(INVENTORY_JOURNAL_SUFFIX)), 1, acct(1),
-                  _dec(INVENTORY_DR), none, "Inventory", "Inventory"),
-        ]
-        # One Payables journal in a period that AP does not have: derived from the last AP
-        # period of plant 0 so it stays a plan over the data (one row).
-        gl_only = ap.filter(org0).select("org_id").distinct().select(
-            "org_id", F.lit(GL_ONLY_PERIOD).alias("period"),
-            F.to_date(F.lit(GL_ONLY_PERIOD), "MMM-yy").alias("acct_date"),
+        lines = F.array(
+            line(payables_id, 1, 1, F.col("total"), none, pay, cat),
+            line(payables_id, 2, 2, none, F.col("total"), pay, cat),
+            F.when(org0_ap & (month == 6), line(payables_id, 3, 1, _dec(JUNE_EXTRA_DR), none, pay, cat)),
+            F.when(org0_ap & (month == 9), line(payables_id, 3, 1, _dec(SEPTEMBER_EXTRA_DR), none, pay, cat)),
+            F.when(org0_ap & (month == 12), line(payables_id, 4, 9, _dec(DECEMBER_DISABLED_DR), none, pay, cat)),
+            F.when(org0_ap, line(inventory_id, 1, 1, _dec(INVENTORY_DR), none, "Inventory", "Inventory")),
+        )
+        exploded = rows.select(
+            "period", "org_id", "acct_date", F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("l")
+        )
+        return exploded.select(
+            F.col("l.je").alias("JE_HEADER_ID"), F.col("l.ln").alias("JE_LINE_NUM"),
+            F.col("l.ccid").alias("CODE_COMBINATION_ID"), F.lit(1).cast("long").alias("LEDGER_ID"),
+            F.col("period").alias("PERIOD_NAME"), F.col("l.dr").alias("ACCOUNTED_DR"),
+            F.col("l.cr").alias("ACCOUNTED_CR"), F.last_day("acct_date").alias("EFFECTIVE_DATE"),
+            F.col("l.src").alias("JE_SOURCE"), F.col("l.cat").alias("JE_CATEGORY"),
+            F.concat_ws(" ", F.col("l.src"), F.col("period"), F.col("org_id").cast("string")).alias("NAME"),
         )
-        gl_only_id = self._je_id(F.col("acct_date"), F.col("org_id"))
-        parts += [
-            lines(gl_only, gl_only_id, 1, acct(1), _dec(GL_ONLY_AMOUNT), none, pay, cat),
-            lines(gl_only, gl_only_id, 2, acct(2), none, _dec(GL_ONLY_AMOUNT), pay, cat),
-        ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
 
     @cached_property
     def gl_je_lines(self) -> DataFrame:
