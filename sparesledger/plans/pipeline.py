@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparesledger.operators.dictionary import with_comments
+from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
 from sparesledger.session import ensure_checkpoint_dir
@@ -34,19 +34,22 @@ def default_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/sparesledger-warehouse"
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str | None = None) -> None:
     w = df
     if partition_by:
         # REBALANCE, not repartition(col): AQE splits a hot month into advisory-size tasks and
         # merges small ones, so no month lands in one task and no month becomes many tiny files.
         w = df.hint("rebalance", partition_by)
-    writer = w.write.mode("overwrite")
+    writer = w.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if table:
+        writer.saveAsTable(table)  # managed table; its database is located under the same root
+    else:
+        writer.save(path)
 
 
-def _write_all(jobs: list[tuple[DataFrame, str, str | None]], parallelism: int) -> None:
+def _write_all(jobs: list[tuple], parallelism: int) -> None:
     """Submit the independent writes of one layer concurrently (one Spark job each).
 
     Small dimension writes would otherwise leave the cluster idle between jobs; the big
@@ -54,36 +57,51 @@ def _write_all(jobs: list[tuple[DataFrame, str, str | None]], parallelism: int)
     every write is an overwrite the layer can simply be rerun.
     """
     if parallelism <= 1:
-        for df, path, part in jobs:
-            _write(df, path, part)
+        for job in jobs:
+            _write(*job)
         return
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for f in [pool.submit(_write, df, path, part) for df, path, part in jobs]:
+        for f in [pool.submit(_write, *job) for job in jobs]:
             f.result()
 
 
 def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, layers=LAYERS,
-                 parallelism: int = 4) -> str:
+                 parallelism: int = 4, catalog_prefix: str | None = None) -> str:
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.
 
     Layers run in order (silver reads the stored bronze, gold the stored silver); the
-    tables within a layer are independent and are written concurrently.
+    tables within a layer are independent and are written concurrently. With
+    ``catalog_prefix`` (``''`` for plain ``bronze``/``silver``/``gold``) each layer is also a
+    database located at ``{root}/{layer}`` and every table a managed table in it, replaced on
+    each run; the files sit at the same paths either way.
     """
     root = (root or default_root(spark)).rstrip("/")
+    use_catalog = catalog_prefix is not None
+    if use_catalog:
+        for layer in layers:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {catalog_prefix}{layer} LOCATION '{root}/{layer}'")
+
+    def job(df, layer, t, part=None):
+        return (df, f"{root}/{layer}/{t}", part, f"{catalog_prefix}{layer}.{t}" if use_catalog else None)
+
     if "bronze" in layers:
-        _write_all([(add_audit_columns(df), f"{root}/bronze/{t}", None)
-                    for t, df in model.sources(SOURCE_TABLES).items()], parallelism)
-        # later layers read the stored bronze, not the sources again
-        model = Model.from_warehouse(spark, root, as_of=model.as_of, edges=model.edges, **model.aging_options) \
-            if "silver" in layers else model
-    if "silver" in layers:
-        _write_all([(getattr(model, t), f"{root}/silver/{t}", PARTITIONED.get(t)) for t in SILVER_TABLES],
+        _write_all([job(add_audit_columns(df), "bronze", t) for t, df in model.sources(SOURCE_TABLES).items()],
                    parallelism)
+        # later layers read the stored bronze (never an earlier run's silver or gold, which
+        # this run is about to overwrite)
+        if "silver" in layers:
+            bronze, _, _ = read_layers(spark, root)
+            model = Model(bronze, as_of=model.as_of, edges=model.edges, **model.aging_options)
+    if "silver" in layers:
+        _write_all([job(getattr(model, t), "silver", t, PARTITIONED.get(t)) for t in SILVER_TABLES], parallelism)
         model = Model(model._sources, as_of=model.as_of, edges=model.edges,
                       silver_tables=_read_dir(spark, f"{root}/silver", SILVER_TABLES), **model.aging_options)
     if "gold" in layers:
-        _write_all([(with_comments(model.stores_aging), f"{root}/gold/agg_stores_aging", None),
-                    (model.recon_ap_to_gl, f"{root}/gold/recon_ap_to_gl", None)], parallelism)
+        _write_all([job(with_comments(model.stores_aging), "gold", "agg_stores_aging"),
+                    job(model.recon_ap_to_gl, "gold", "recon_ap_to_gl")], parallelism)
+        if use_catalog:
+            text = TABLE_COMMENT.replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {catalog_prefix}gold.agg_stores_aging IS '{text}'")
     return root
 
 

@@ -52,3 +52,21 @@ def test_fixture_findings(spark):
     assert g.filter("redistribution_candidate").count() == 123
     assert g.filter("redistribution_candidate AND issue_txn_count IS NOT NULL").count() == 113
     assert QUERIES["dead_here_active_there"](spark, SF_SMALL).count() == 22
+
+
+def test_reconciliation_classes_sf001(spark):
+    """FIXTURES.md: 84 periods -- 68 exact, 7 within 0.50, 7 off by 250, 1 AP only, 1 GL only."""
+    from pyspark.sql import functions as F
+
+    from sparesledger.plans.registry import model
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("sf0.01 not present")
+    r = model(spark, sf).recon_ap_to_gl
+    kind = (F.when(F.col("variance") == 0, "exact").when(F.abs("variance") <= 0.5, "small")
+            .when(F.col("variance") == -250, "june").when(F.col("gl_posted_total").isNull(), "ap_only")
+            .when(F.col("ap_subledger_total").isNull(), "gl_only").otherwise("other"))
+    got = {(k, s): n for k, s, n in r.groupBy(kind.alias("k"), "status").count().collect()}
+    assert got == {("exact", "RECONCILED"): 68, ("small", "RECONCILED"): 7, ("june", "INVESTIGATE"): 7,
+                   ("ap_only", "INVESTIGATE"): 1, ("gl_only", "INVESTIGATE"): 1}
