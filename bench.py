@@ -5,10 +5,12 @@ Three groups are timed:
 * ``e2e_*``    -- a registered query planned from the raw parquet tables (fixture mapping +
                   silver + gold + report), fully evaluated through a ``noop`` sink;
 * ``pipeline`` -- the batch job writing bronze, silver and gold parquet (full refresh);
+* ``gold_refresh`` -- the ageing table and the tie-out recomputed from the stored silver layer;
 * ``rpt_*``    -- reports over the stored gold/silver tables, as the reference's reports
                   read its stored gold table.
 
 Each timing is the best of ``$BENCH_REPEAT`` runs (default 2) after one warm-up at sf0.001.
+``BENCH_EVENT_LOG=1`` also writes Spark's event log into the run's scratch folder.
 """
 
 from __future__ import annotations
@@ -48,8 +50,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16))
     scratch = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("TMPDIR", "/tmp"))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for offline reading, kept in this run's scratch
+        os.makedirs(os.path.join(scratch, "events"))
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")}
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+                          extra=extra)
     ensure_checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
 
     warm = "/root/testdata/sf0.001"
@@ -64,6 +71,14 @@ def main() -> None:
     times["pipeline"] = _best(
         lambda: run_pipeline(spark, Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF), root), 1)
 
+    def gold_refresh():
+        silver_only = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
+        silver_only._gold.clear()  # rebuild gold from the stored silver, do not read stored gold
+        _force(silver_only.stores_aging)
+        _force(silver_only.recon_ap_to_gl)
+
+    times["gold_refresh"] = _best(gold_refresh, repeat)
+
     stored = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
     gold = stored.stores_aging
     rpts = {

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale. On a cluster, size shuffle partitions so one reduce
@@ -56,11 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the session's checkpoint folder; set one only when the session has none.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is always used as is.
-    Tests and local runs that leave it unset get ``fallback`` (or a fresh scratch folder).
+    Only callers that know they run locally (tests, the bench) pass ``fallback``; library
+    code passes nothing and fails loudly rather than writing to a machine-local folder.
     """
     d = checkpoint_dir(spark)
     if d:
         return d
-    d = fallback or tempfile.mkdtemp(prefix="sparesledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if fallback is None:
+        raise ValueError(
+            "spark.checkpoint.dir is not set: set it to shared storage (or pass an explicit root/checkpoint path)"
+        )
+    spark.sparkContext.setCheckpointDir(fallback)
+    return spark.sparkContext.getCheckpointDir() or fallback

@@ -15,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from sparesledger.session import ensure_checkpoint_dir, local_session
 
-    s = local_session(cores="*", shuffle_partitions=8)
+    s = local_session(cores="*", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sparesledger-test-wh-")})
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="sparesledger-test-ckpt-"))
     yield s
     s.stop()
