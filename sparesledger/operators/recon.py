@@ -79,6 +79,7 @@ def recon_ap_to_gl(
     account: str = STORES_ACCOUNT,
     source: str = PAYABLES,
     tolerance: float = 1.0,
+    detail: bool = False,
 ) -> DataFrame:
     """One row per period: AP total, bridged total, GL debit, variance and status.
 
@@ -86,12 +87,16 @@ def recon_ap_to_gl(
       is RECONCILED, while ``variance`` stays NULL there;
     * the account filter applies to GL only; AP takes every account;
     * NULL periods never match across sides but collapse into one NULL group.
+
+    ``detail=True`` adds the counts and credits the reference computes but does not show
+    (distributions, links, GL credit), the bridge gap (AP - SLA) and the period's first day.
     """
-    ap = ap_side(fact_ap_distribution, dim_org).select(F.col("period_name").alias("ap_period"), "ap_amount")
+    ap = ap_side(fact_ap_distribution, dim_org).select(
+        F.col("period_name").alias("ap_period"), "ap_amount", "ap_distribution_count")
     g = gl_side(fact_gl_line, dim_account, source, account).select(
-        F.col("period_name").alias("gl_period"), "gl_debit"
-    )
-    s = sla_side(bridge, fact_ap_distribution).select(F.col("period_name").alias("sla_period"), "sla_amount")
+        F.col("period_name").alias("gl_period"), "gl_debit", "gl_credit")
+    s = sla_side(bridge, fact_ap_distribution).select(
+        F.col("period_name").alias("sla_period"), "sla_amount", "sla_link_count")
     period = F.coalesce(F.col("ap_period"), F.col("gl_period"))
     joined = (
         ap.join(g, F.col("ap_period") == F.col("gl_period"), "full")
@@ -101,18 +106,30 @@ def recon_ap_to_gl(
             F.sum("ap_amount").alias("ap_total"),
             F.max("sla_amount").alias("sla_total"),
             F.max("gl_debit").alias("gl_total"),
+            F.sum("ap_distribution_count").alias("ap_count"),
+            F.max("sla_link_count").alias("sla_count"),
+            F.max("gl_credit").alias("gl_credit_total"),
         )
     )
     ap_t, gl_t = F.col("ap_total"), F.col("gl_total")
     gap = F.abs(F.coalesce(ap_t, F.lit(0)) - F.coalesce(gl_t, F.lit(0)))
-    return joined.select(
+    cols = [
         "period_name",
         ap_t.cast(MONEY).alias("ap_subledger_total"),
         F.col("sla_total").cast(MONEY).alias("sla_bridged_total"),
         gl_t.cast(MONEY).alias("gl_posted_total"),
         F.round(ap_t - gl_t, 2).cast(MONEY).alias("variance"),
         F.when(gap < tolerance, RECONCILED).otherwise(INVESTIGATE).alias("status"),
-    )
+    ]
+    if detail:
+        cols += [
+            period_start(F.col("period_name")).alias("period_start"),
+            F.col("ap_count").alias("ap_distribution_count"),
+            F.col("sla_count").alias("sla_link_count"),
+            F.col("gl_credit_total").cast(MONEY).alias("gl_credit_total"),
+            F.round(ap_t - F.col("sla_total"), 2).cast(MONEY).alias("bridge_gap"),
+        ]
+    return joined.select(cols)
 
 
 def recon_report(recon: DataFrame) -> DataFrame:

@@ -121,6 +121,9 @@ QUERY_BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     # reconciliation
     "recon_ap_to_gl": lambda m: m.recon_ap_to_gl,
     "recon_report": lambda m: recon.recon_report(m.recon_ap_to_gl),
+    "recon_detail": lambda m: recon.recon_ap_to_gl(
+        m.fact_ap_distribution, m.dim_organization, m.bridge_sla_gl, m.fact_gl_line, m.dim_account, detail=True),
+    "ap_by_period_plant": lambda m: recon.ap_side(m.fact_ap_distribution, m.dim_organization, by_plant=True),
     "gl_drill_through": lambda m: recon.gl_drill_through(
         m.fact_ap_distribution, m.bridge_sla_gl, m.dim_account, DRILL_PERIOD),
     "variance_trend": lambda m: recon.variance_trend(m.recon_ap_to_gl),
