@@ -65,3 +65,29 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         )
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir() or fallback
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle partition count is set so the largest shuffle (the transaction
+    profile, at most the size of its input after partial aggregation) gives about
+    ``target_partition_bytes`` per reduce task -- small enough to sort and aggregate without
+    heavy spill -- and never fewer than two waves of tasks over the cluster's cores. AQE then
+    coalesces partitions that turn out small and splits skewed ones, so over-estimating is
+    cheap and under-estimating is what this guards against.
+
+    >>> cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"]
+    '100000'
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    n = min(max(2 * total_cores, by_size), max_partitions)
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 256 << 20)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -127,3 +127,16 @@ def test_pipeline_as_catalog_tables(spark, scratch):
     assert any(r.col_name == "Comment" and "One row per item per plant" in r.data_type for r in ext)
     # the files are where the path-based reader expects them
     assert _rows(Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF).recon_ap_to_gl) == _rows(lazy.recon_ap_to_gl)
+
+
+def test_parquet_extracts_and_cluster_sizing(spark, scratch):
+    """A3: the source format is a parameter; and cluster sizing stays within bounds."""
+    from sparesledger.session import cluster_conf
+
+    fx = Fixtures(spark, SF_SMALL)
+    write_extracts({"cst_item_costs": fx.cst_item_costs}, scratch, fmt="parquet")
+    back = read_extract(spark, "cst_item_costs", f"{scratch}/cst_item_costs.parquet", fmt="parquet")
+    assert _rows(back) == _rows(fx.cst_item_costs)
+    assert cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(10 * 2**30, 64)["spark.sql.shuffle.partitions"] == "128"
+    assert int(cluster_conf(2**40, 1000)["spark.sql.shuffle.partitions"]) == 4096
