@@ -56,7 +56,11 @@ def txn_profile(
     if cutoff:
         if as_of is None:
             raise ValueError("cutoff needs as_of")
-        t = t.filter(F.col("txn_date") <= _as_date(as_of))
+        ref = _as_date(as_of)
+        t = t.filter(F.col("txn_date") <= ref)
+        if "txn_year_month" in t.columns:
+            # the implied month bound prunes whole partitions of the stored fact
+            t = t.filter(F.col("txn_year_month") <= F.date_format(ref, "yyyy-MM"))
     is_rcpt = F.col("txn_type_id") == receipt_type
     is_issue = F.col("txn_type_id") == issue_type
     return t.groupBy(*KEY).agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -140,3 +141,19 @@ def test_parquet_extracts_and_cluster_sizing(spark, scratch):
     assert cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
     assert cluster_conf(10 * 2**30, 64)["spark.sql.shuffle.partitions"] == "128"
     assert int(cluster_conf(2**40, 1000)["spark.sql.shuffle.partitions"]) == 4096
+
+
+def test_cutoff_prunes_month_partitions(spark, scratch):
+    import datetime as dt
+
+    from sparesledger.operators import aging
+
+    root = run_pipeline(spark, Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF), f"{scratch}/wh",
+                        layers=("bronze", "silver"))
+    fact = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF).fact_material_txn
+    prof = aging.txn_profile(fact, as_of=dt.date(2021, 6, 30), cutoff=True)
+    plan = prof._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*txn_year_month.*<= 2021-06", plan), plan
+    lazy = aging.txn_profile(Model.from_fixtures(spark, SF_SMALL).fact_material_txn,
+                             as_of=dt.date(2021, 6, 30), cutoff=True)
+    assert _rows(prof) == _rows(lazy)
