@@ -44,12 +44,12 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
-_MODELS: dict[tuple[int, str], Model] = {}
+_MODELS: dict[tuple[int, str, str], Model] = {}
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:
     """One lazy model per (session, folder): queries share DataFrame objects, not results."""
-    key = (id(spark), sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF)
     return _MODELS[key]

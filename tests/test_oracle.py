@@ -70,3 +70,7 @@ def test_reconciliation_classes_sf001(spark):
     got = {(k, s): n for k, s, n in r.groupBy(kind.alias("k"), "status").count().collect()}
     assert got == {("exact", "RECONCILED"): 68, ("small", "RECONCILED"): 7, ("june", "INVESTIGATE"): 7,
                    ("ap_only", "INVESTIGATE"): 1, ("gl_only", "INVESTIGATE"): 1}
+    # property: variance = AP - GL wherever both sides exist, NULL otherwise
+    bad = r.filter(~F.coalesce(F.col("variance") == F.col("ap_subledger_total") - F.col("gl_posted_total"),
+                               F.col("variance").isNull()))
+    assert bad.count() == 0
