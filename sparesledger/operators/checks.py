@@ -38,6 +38,30 @@ def check_landing(sources: Mapping[str, DataFrame], expected: Sequence[str]) ->
     return _counts(sources, expected, "table_name")
 
 
+def check_landing_files(spark, landing_dir: str, expected: Sequence[str], ext: str = "csv") -> DataFrame:
+    """Files per expected extract in the landing folder (a listing, no file is read).
+
+    Accepts ``{table}.{ext}`` files and ``{table}.{ext}/`` folders of part files. The listing
+    is a ``binaryFile`` scan with only path and length selected, so contents are pruned; the
+    expected list (one row per extract) is outer-joined so missing extracts show up.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*.{ext}").load(landing_dir).select("path", "length")
+    )
+    in_folder = F.regexp_extract("path", rf"/([^/]+)\.{ext}/[^/]+$", 1)
+    as_file = F.regexp_extract("path", rf"/([^/]+)\.{ext}$", 1)
+    table = F.when(in_folder != "", in_folder).otherwise(as_file)
+    found = listing.groupBy(table.alias("table_name")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    want = spark.createDataFrame([(t,) for t in expected], "table_name string")
+    return (
+        want.join(found, "table_name", "left")
+        .select("table_name", F.coalesce("files", F.lit(0)).alias("files"),
+                F.coalesce("bytes", F.lit(0)).alias("bytes"), (F.coalesce("files", F.lit(0)) > 0).alias("present"))
+    )
+
+
 def check_layer_tables(silver: Mapping[str, DataFrame], expected: Sequence[str]) -> DataFrame:
     """The silver layer holds its tables (seven in the reference), with row counts."""
     return _counts(silver, expected, "table_name")

@@ -157,3 +157,17 @@ def test_cutoff_prunes_month_partitions(spark, scratch):
     lazy = aging.txn_profile(Model.from_fixtures(spark, SF_SMALL).fact_material_txn,
                              as_of=dt.date(2021, 6, 30), cutoff=True)
     assert _rows(prof) == _rows(lazy)
+
+
+def test_check_landing_files(spark, scratch):
+    from sparesledger.operators.checks import check_landing_files
+
+    fx = Fixtures(spark, SF_SMALL)
+    write_extracts({"ap_suppliers": fx.ap_suppliers, "hr_operating_units": fx.hr_operating_units}, scratch)
+    with open(f"{scratch}/gl_ledgers.csv", "w") as fh:  # a plain single-file extract
+        fh.write("LEDGER_ID,NAME\n1,Primary\n")
+    rows = {r.table_name: r for r in check_landing_files(
+        spark, scratch, ["ap_suppliers", "hr_operating_units", "gl_ledgers", "gl_periods"]).collect()}
+    assert rows["ap_suppliers"].present and rows["hr_operating_units"].files >= 1
+    assert rows["gl_ledgers"].files == 1 and rows["gl_ledgers"].bytes > 0
+    assert not rows["gl_periods"].present and rows["gl_periods"].files == 0
