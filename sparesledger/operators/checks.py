@@ -23,10 +23,12 @@ def _counts(tables: Mapping[str, DataFrame], expected: Sequence[str], label: str
         spark = df.sparkSession
         parts.append(df.agg(F.lit(name).alias(label), F.count("*").alias("row_count")))
     missing = [n for n in expected if n not in tables]
+    if spark is None:
+        raise ValueError("none of the expected tables is available")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    if missing:
+    if missing:  # one row per missing name (bounded by the expected list)
         out = out.unionByName(
             spark.createDataFrame([(n, None) for n in missing], f"{label} string, row_count bigint")
         )

@@ -196,8 +196,12 @@ def stock_summary(
     keys = [_resolve(b) for b in by]
     m = _resolve(measure)
     df = gold
-    if where is not None:
-        df = df.filter(STATUS_FILTERS[where.lower()]() if isinstance(where, str) else where)
+    if isinstance(where, str):
+        if where.lower() not in STATUS_FILTERS:
+            raise ValueError(f"unknown filter {where!r}; use a Column or one of {sorted(STATUS_FILTERS)}")
+        df = df.filter(STATUS_FILTERS[where.lower()]())
+    elif where is not None:
+        df = df.filter(where)
     order = F.desc("value_pkr_mn") if descending else F.asc("value_pkr_mn")
     return (
         df.groupBy(*keys)
