@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparesledger.functions.periods import period_name  # noqa: F401  (re-exported for users)
 
 # Account type decode and business-line prefixes.
 ACCOUNT_TYPES = {"A": "Asset", "L": "Liability", "E": "Expense"}

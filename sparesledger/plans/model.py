@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
