@@ -52,6 +52,11 @@ def test_fixture_findings(spark):
     assert g.filter("redistribution_candidate").count() == 123
     assert g.filter("redistribution_candidate AND issue_txn_count IS NOT NULL").count() == 113
     assert QUERIES["dead_here_active_there"](spark, SF_SMALL).count() == 22
+    # never received; unknown variance (zero cost); variance above 15 and above 20
+    assert g.filter("last_receipt_date IS NULL").count() == 36
+    assert g.filter("cost_variance_pct IS NULL").count() == 6
+    assert g.filter("cost_variance_pct > 15").count() == 187
+    assert g.filter("cost_variance_pct > 20").count() == 123
 
 
 def test_reconciliation_classes_sf001(spark):
