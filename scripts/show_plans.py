@@ -40,7 +40,8 @@ NOTES = {
         "distribution (fact x fact) left to the optimizer; GL filtered on source and natural "
         "account before its aggregate. The full outer join runs on per-period rows only."),
     "report: secured_view(GCI) over stored gold": (
-        "The persona is a literal: PushedFilters carries org_code = 'GCI' into the parquet scan."),
+        "The persona is a literal and gold is partitioned by plant: PartitionFilters "
+        "(org_code = GCI) -- only that plant's files are listed and read."),
     "report: redistribution_list over stored gold": (
         "Partial aggregation by item number, bool_or for both HAVING tests, top-50 as "
         "TakeOrderedAndProject (bounded by k per partition)."),

@@ -5,10 +5,11 @@ root must be shared storage on a cluster; by default it is a folder under the se
 ``spark.checkpoint.dir``. Writing the layers also cuts lineage: reports built with
 ``Model.from_warehouse`` plan from the stored tables, not from the sources.
 
-The material transaction fact is written partitioned by ``txn_year_month`` behind a
-``rebalance`` hint on that key: AQE sizes the write tasks (a hot month is split, small
-months are merged), so there is neither a small-file storm nor one task per month. A month
-filter on the stored fact prunes partitions.
+The material transaction fact is written partitioned by ``txn_year_month`` and the gold
+ageing table by ``org_code``, each behind a ``rebalance`` hint on that key: AQE sizes the
+write tasks (a hot month or plant is split, small ones are merged), so there is neither a
+small-file storm nor one task per key. Month filters and persona filters then prune
+partitions on read.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from sparesledger.operators.aging import STORES_AGING_COLUMNS
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
@@ -27,7 +30,10 @@ from sparesledger.sources.schemas import SOURCE_TABLES
 
 LAYERS = ("bronze", "silver", "gold")
 GOLD_TABLES = ("agg_stores_aging", "recon_ap_to_gl")
-PARTITIONED = {"fact_material_txn": "txn_year_month"}
+# Partition columns: the transaction fact by month (lookback/cutoff filters prune months);
+# the gold ageing table by plant (persona views and per-plant reports read one plant's files).
+PARTITIONED = {"fact_material_txn": "txn_year_month", "agg_stores_aging": "org_code"}
+COLUMN_ORDER = {"agg_stores_aging": STORES_AGING_COLUMNS}
 
 
 def default_root(spark: SparkSession) -> str:
@@ -97,7 +103,7 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
         model = Model(model._sources, as_of=model.as_of, edges=model.edges,
                       silver_tables=_read_dir(spark, f"{root}/silver", SILVER_TABLES), **model.aging_options)
     if "gold" in layers:
-        _write_all([job(with_comments(model.stores_aging), "gold", "agg_stores_aging"),
+        _write_all([job(with_comments(model.stores_aging), "gold", "agg_stores_aging", PARTITIONED["agg_stores_aging"]),
                     job(model.recon_ap_to_gl, "gold", "recon_ap_to_gl")], parallelism)
         if use_catalog:
             text = TABLE_COMMENT.replace("'", "\\'")
@@ -108,10 +114,19 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
 def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
     out = {}
     for n in names:
+        path = f"{base}/{n}"
         try:
-            out[n] = spark.read.parquet(f"{base}/{n}")
+            df = spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - a layer may be partly written
             continue
+        part = PARTITIONED.get(n)
+        if part and part in df.columns:
+            # partition values are text: declare them so '001' is never inferred as 1
+            schema = StructType([StructField(f.name, StringType(), True) if f.name == part else f for f in df.schema])
+            df = spark.read.schema(schema).parquet(path)
+        if n in COLUMN_ORDER and set(COLUMN_ORDER[n]) == set(df.columns):
+            df = df.select(*COLUMN_ORDER[n])  # partition columns come back last; keep the table's layout
+        out[n] = df
     return out
 
 
