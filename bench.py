@@ -4,7 +4,7 @@ Three groups are timed:
 
 * ``e2e_*``    -- a registered query planned from the raw parquet tables (fixture mapping +
                   silver + gold + report), fully evaluated through a ``noop`` sink;
-* ``pipeline`` -- the batch job writing bronze, silver and gold parquet (full refresh);
+* ``layers_write`` -- the batch job writing bronze, silver and gold parquet (full refresh);
 * ``gold_refresh`` -- the ageing table and the tie-out recomputed from the stored silver layer;
 * ``rpt_*``    -- reports over the stored gold/silver tables, as the reference's reports
                   read its stored gold table.
@@ -68,7 +68,7 @@ def main() -> None:
         times[f"e2e_{name}"] = _best(lambda n=name: _force(QUERIES[n](spark, sf_dir)), repeat)
 
     root = os.path.join(scratch, "warehouse")
-    times["pipeline"] = _best(
+    times["layers_write"] = _best(
         lambda: run_pipeline(spark, Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF), root), 1)
 
     def gold_refresh():

@@ -187,7 +187,9 @@ class Fixtures:
             value.alias("TRANSACTION_COST_TOTAL"),
             F.col("l_suppkey").alias("VENDOR_ID"),
             F.concat(F.lit("PO-"), F.col("l_orderkey").cast("string")).alias("PO_NUMBER"),
-            # no unique key in the input: full rows are distinct, so hash the full row
+            # no unique key in the input: full rows are distinct, so hash the full row. 64 bits
+            # are unique at test scale; near 10^12 rows a few collisions are expected, which is
+            # harmless because no operator uses transaction_id as a key.
             F.xxhash64(*[F.col(c) for c in li.columns]).alias("TRANSACTION_ID"),
         )
         return _conform(out, "mtl_material_transactions")
