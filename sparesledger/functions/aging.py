@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's output labels.
 DEFAULT_EDGES: tuple[int, ...] = (90, 180, 365, 730)
+DEFAULT_LABELS = ("1. 0-90 days", "2. 91-180 days", "3. 181-365 days", "4. 366-730 days", "5. Over 730 days")
 DEAD_STOCK = "Dead Stock - Never Issued"
 NON_MOVING = "Non-Moving - 12m+"
 SLOW_MOVING = "Slow Moving - 6m+"
@@ -17,7 +18,7 @@ NON_MOVING_STATUSES = (NON_MOVING, DEAD_STOCK)
 
 
 def bucket_labels(edges: Sequence[int] = DEFAULT_EDGES) -> list[str]:
-    """Labels for inclusive upper edges: ``'1. 0-90 days' … '5. Over 730 days'``."""
+    """Labels for inclusive upper edges; the default edges give ``DEFAULT_LABELS``."""
     labels, lo = [], 0
     for i, hi in enumerate(edges, start=1):
         labels.append(f"{i}. {lo}-{hi} days")

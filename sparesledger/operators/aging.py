@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from sparesledger.functions.aging import DEFAULT_EDGES, age_bucket, movement_status
 from sparesledger.functions.money import MONEY, div_round
 
+# Receipt and issue transaction types, the reference's reporting date.
 RECEIPT, ISSUE = 18, 33
-REFERENCE_AS_OF = _dt.date(2026, 6, 30)  # the reference's reporting date
+REFERENCE_AS_OF = _dt.date(2026, 6, 30)
 KEY = ["inventory_item_id", "org_id"]
 
 

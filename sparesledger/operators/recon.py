@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from sparesledger.functions.money import MONEY
 from sparesledger.functions.periods import period_start
 
+# Status words, the stores inventory natural account, the journal source.
 RECONCILED, INVESTIGATE = "RECONCILED", "INVESTIGATE"
 STORES_ACCOUNT = "1310"  # Stores & Spares Inventory
 PAYABLES = "Payables"

@@ -16,9 +16,9 @@ from sparesledger.functions import (
 
 
 def test_bucket_labels_default():
-    assert bucket_labels() == [
-        "1. 0-90 days", "2. 91-180 days", "3. 181-365 days", "4. 366-730 days", "5. Over 730 days",
-    ]
+    from sparesledger.functions.aging import DEFAULT_LABELS
+
+    assert tuple(bucket_labels()) == DEFAULT_LABELS
 
 
 def test_age_bucket_edges_inclusive(spark):
