@@ -15,6 +15,7 @@ import argparse
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sparesledger.operators import checks, recon, reports, security
@@ -62,8 +63,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
                  catalog_prefix=args.catalog_prefix)
     if args.reports:
         stored = Model.from_warehouse(spark, root, as_of=as_of)
-        for name, build in REPORTS.items():
-            build(stored).write.mode("overwrite").parquet(f"{root.rstrip('/')}/reports/{name}")
+        # most reports scan the gold table: keep it for the batch (a lost executor re-reads
+        # its blocks from the stored parquet), release it afterwards
+        gold = stored.stores_aging.persist(StorageLevel.MEMORY_AND_DISK)
+        stored._gold["agg_stores_aging"] = gold
+        try:
+            for name, build in REPORTS.items():
+                build(stored).write.mode("overwrite").parquet(f"{root.rstrip('/')}/reports/{name}")
+        finally:
+            gold.unpersist()
     return root
 
 
