@@ -13,11 +13,14 @@ from pyspark.sql import SparkSession
 
 from sparesledger.operators.security import BOARD, secured_view
 from sparesledger.plans.model import Model
+from sparesledger.sources.schemas import SOURCE_TABLES
 
 
 def register_views(spark: SparkSession, model: Model, persona: str = BOARD) -> list[str]:
+    """Temp views for the bronze extracts, silver, gold and the persona's secured view."""
     names = []
-    for name, df in {**model.silver_tables(), **model.gold_tables()}.items():
+    bronze = model.sources(SOURCE_TABLES)
+    for name, df in {**bronze, **model.silver_tables(), **model.gold_tables()}.items():
         df.createOrReplaceTempView(name)
         names.append(name)
     secured_view(model.stores_aging, persona).createOrReplaceTempView("vw_stores_aging_secured")

@@ -95,6 +95,10 @@ def test_reference_sql_runs_on_views(spark):
     vis = spark.sql("SELECT COUNT(DISTINCT org_code) AS orgs_visible, COUNT(*) AS rows_visible "
                     "FROM vw_stores_aging_secured").first()
     assert vis.orgs_visible == 1 and vis.rows_visible == m.stores_aging.filter("org_code = 'GCI'").count()
+    # the gold query's own inputs are there too: bronze on-hand joined to silver items
+    n = spark.sql("""SELECT COUNT(*) AS n FROM dim_item i JOIN mtl_onhand_quantities_detail oh
+                     ON oh.INVENTORY_ITEM_ID = i.inventory_item_id AND oh.ORGANIZATION_ID = i.org_id""").first().n
+    assert n == m.stores_aging.count()
     recon_rows = spark.sql("SELECT * FROM recon_ap_to_gl ORDER BY to_date(period_name, 'MMM-yy')").collect()
     assert recon_rows[0].period_name == "JAN-19" and recon_rows[-1].period_name == "DEC-25"
 
