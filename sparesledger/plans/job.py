@@ -1,6 +1,6 @@
 """The batch job as a ``spark-submit`` application.
 
-    spark-submit --py-files sparesledger.zip -m sparesledger.plans.job \\
+    spark-submit --py-files sparesledger.zip scripts/run_job.py \\
         --landing s3://bucket/landing --root s3://bucket/warehouse --as-of 2026-06-30 --reports
 
 Reads every extract of the registry from ``--landing`` (declared schemas, CSV by default),
