@@ -96,12 +96,12 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
         # later layers read the stored bronze (never an earlier run's silver or gold, which
         # this run is about to overwrite)
         if "silver" in layers:
-            bronze, _, _ = read_layers(spark, root)
-            model = Model(bronze, as_of=model.as_of, edges=model.edges, **model.aging_options)
+            model = Model(read_bronze(spark, root), as_of=model.as_of, edges=model.edges, **model.aging_options)
     if "silver" in layers:
         _write_all([job(getattr(model, t), "silver", t, PARTITIONED.get(t)) for t in SILVER_TABLES], parallelism)
         model = Model(model._sources, as_of=model.as_of, edges=model.edges,
-                      silver_tables=_read_dir(spark, f"{root}/silver", SILVER_TABLES), **model.aging_options)
+                      silver_tables=_read_dir(spark, f"{root}/silver", SILVER_TABLES),
+                      **model.aging_options)
     if "gold" in layers:
         _write_all([job(with_comments(model.stores_aging), "gold", "agg_stores_aging", PARTITIONED["agg_stores_aging"]),
                     job(model.recon_ap_to_gl, "gold", "recon_ap_to_gl")], parallelism)
@@ -130,11 +130,29 @@ def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
     return out
 
 
+def _existing(spark: SparkSession, base: str, names) -> list[str]:
+    """Tables present under ``base`` (a listing through Hadoop's FileSystem, no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    present = {st.getPath().getName() for st in fs.listStatus(path)}
+    return [n for n in names if n in present]
+
+
+def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Stored bronze extracts without their audit columns."""
+    base = f"{root.rstrip('/')}/bronze"
+    return {t: df.drop("_ingest_ts", "_source_system")
+            for t, df in _read_dir(spark, base, _existing(spark, base, SOURCE_TABLES)).items()}
+
+
 def read_layers(spark: SparkSession, root: str):
     root = root.rstrip("/")
-    bronze = {t: df.drop("_ingest_ts", "_source_system")
-              for t, df in _read_dir(spark, f"{root}/bronze", SOURCE_TABLES).items()}
-    return bronze, _read_dir(spark, f"{root}/silver", SILVER_TABLES), _read_dir(spark, f"{root}/gold", GOLD_TABLES)
+    silver_t = _read_dir(spark, f"{root}/silver", _existing(spark, f"{root}/silver", SILVER_TABLES))
+    gold_t = _read_dir(spark, f"{root}/gold", _existing(spark, f"{root}/gold", GOLD_TABLES))
+    return read_bronze(spark, root), silver_t, gold_t
 
 
 def month_slice(fact: DataFrame, first_month: str, last_month: str) -> DataFrame:

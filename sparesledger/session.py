@@ -42,11 +42,15 @@ def local_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset)."""
-    d = spark.sparkContext.getCheckpointDir()
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset).
+
+    The configured value is preferred: Spark's own checkpoint folder adds a per-application
+    UUID below it, which would move the warehouse on every run.
+    """
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if d:
         return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.sparkContext.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
