@@ -196,3 +196,37 @@ def test_batch_job_from_csv_landing(spark, scratch):
     want = reports.aging_by_bucket(Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF).stores_aging)
     assert _rows(got) == _rows(want)
     assert spark.read.parquet(f"{root}/reports/check_grain").count() == 0
+
+
+def test_checkpoint_folder_precedence():
+    """The folder the cluster names wins over Spark's per-application subfolder; unset raises."""
+    import pytest as _pytest
+
+    from sparesledger.session import checkpoint_dir, ensure_checkpoint_dir
+
+    class _Conf(dict):
+        def get(self, k, default=None):
+            return super().get(k, default)
+
+    class _SC:
+        def __init__(self, conf, ckpt):
+            self._conf, self._ckpt = _Conf(conf), ckpt
+
+        def getConf(self):
+            return self._conf
+
+        def getCheckpointDir(self):
+            return self._ckpt
+
+        def setCheckpointDir(self, d):
+            self._ckpt = f"{d}/uuid"
+
+    class _Spark:
+        def __init__(self, conf, ckpt=None):
+            self.sparkContext = _SC(conf, ckpt)
+
+    assert checkpoint_dir(_Spark({"spark.checkpoint.dir": "hdfs:///shared"}, "hdfs:///shared/uuid")) == "hdfs:///shared"
+    assert checkpoint_dir(_Spark({}, "/local/uuid")) == "/local/uuid"
+    with _pytest.raises(ValueError):
+        ensure_checkpoint_dir(_Spark({}))
+    assert ensure_checkpoint_dir(_Spark({}), "/tmp/x") == "/tmp/x/uuid"
