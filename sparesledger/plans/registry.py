@@ -1,8 +1,9 @@
 """Named queries: each ``(spark, sf_dir) -> DataFrame`` over the fixture tables at ``sf_dir``.
 
 Outputs pass through ``comparable`` so the same values read the same in any engine:
-decimals become DOUBLE (after exact decimal rounding), dates ISO text, and collected sets
-sorted comma-joined text. The library functions themselves keep native types.
+decimals become DOUBLE (after exact decimal rounding), integer columns that can be NULL
+DOUBLE, dates ISO text, and collected sets sorted comma-joined text. The library functions
+themselves keep native types.
 """
 
 from __future__ import annotations
@@ -27,12 +28,22 @@ NEVER_RECEIVED = "0. Never received"
 SUMMARY_BY, SUMMARY_WHERE = ("site", "category"), "non-moving"
 
 
+# Integer columns that can be NULL (left-joined profile values, one-sided periods). They are
+# returned as DOUBLE: integer NULLs read differently across clients (NaN in a float column on
+# one side, a nullable-integer NA on the other), a double NULL reads the same everywhere.
+NULLABLE_INT_COLUMNS = frozenset({
+    "days_since_receipt", "days_since_issue", "days_since_first_receipt",
+    "issue_txn_count", "receipt_txn_count", "distinct_suppliers",
+    "ap_distribution_count", "sla_link_count",
+})
+
+
 def comparable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType
-        if isinstance(t, T.DecimalType):
+        if isinstance(t, T.DecimalType) or (isinstance(t, T.IntegralType) and f.name in NULLABLE_INT_COLUMNS):
             c = c.cast("double")
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
