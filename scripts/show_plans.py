@@ -27,11 +27,12 @@ NOTES = {
         "threshold, so Spark broadcasts them; the next plan shows the same query past the "
         "threshold. No nested-loop join: the as-of date is a literal."),
     "gold: stores_aging from stored silver, sizes past the broadcast threshold": (
-        "autoBroadcastJoinThreshold = -1 mimics cluster-size inputs: the item side, the on-hand "
-        "aggregate, costs and the profile's final aggregate meet on one hash partitioning of "
-        "(inventory_item_id, org_id) -- the aggregate outputs are joined without a second "
-        "exchange -- and redundancy joins on item number. No broadcast remains (the plant "
-        "dimension was joined when silver was built)."),
+        "autoBroadcastJoinThreshold = -1 mimics cluster-size inputs: the narrow item master "
+        "joins redundancy on item number first, then the item side, the on-hand aggregate, costs "
+        "and the profile's final aggregate meet on one hash partitioning of (inventory_item_id, "
+        "org_id) -- the aggregate outputs are joined without a second exchange and the wide rows "
+        "never move again. No broadcast remains (the plant dimension was joined when silver was "
+        "built)."),
     "gold: recon_ap_to_gl from stored silver, sizes past the broadcast threshold": (
         "Each side is aggregated to periods before any join; only the bounded plant dimension "
         "is broadcast."),

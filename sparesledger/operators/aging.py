@@ -8,10 +8,10 @@ Plan shape (``stores_aging(...).explain()``):
   item/plant is reduced map-side before it moves, so skew does not reach one task.
 * ``redundancy`` aggregates the item master by item number in one shuffle (map-side
   partial sets, bounded by the number of plants).
-* The item master joins on-hand, cost and the profile on (item, plant); the sort-merge
-  joins share one hash partitioning on that key, so the profile's aggregation output is
-  joined without another exchange. The redundancy join on item number is left to AQE:
-  broadcast when small, sort-merge with skew splitting otherwise.
+* The item master first joins redundancy on item number (the narrow master is what moves),
+  then on-hand, cost and the profile on (item, plant); those sort-merge joins share one hash
+  partitioning on that key, so the aggregation outputs are joined without another exchange.
+  AQE broadcasts a side at run time when it is measured small and splits skewed partitions.
 * The as-of date is a literal, not a one-row relation, so no nested-loop join appears.
 """
 
@@ -151,11 +151,13 @@ def stores_aging(
     ref = _as_date(as_of)
     prof = txn_profile(txn, receipt_type, issue_type, as_of, cutoff)
     rd = redundancy(dim_item, onhand, basis)
+    # Redundancy joins the narrow item master first (item-number shuffle of ~11 columns), so
+    # the wide joined rows never move again; the rest meets on one (item, plant) partitioning.
     base = (
-        dim_item.join(onhand_by_item(onhand), KEY)
+        dim_item.join(rd, "item_number", "left")
+        .join(onhand_by_item(onhand), KEY)
         .join(item_costs(costs), KEY)
         .join(prof, KEY, "left")
-        .join(rd, "item_number", "left")
     )
 
     qty, avg_c, last_c = F.col("onhand_qty"), F.col("average_cost"), F.col("last_po_cost")
