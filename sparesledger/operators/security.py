@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparesledger.functions.money import in_millions
@@ -34,6 +34,26 @@ def secured_view(gold: DataFrame, persona: str, plants: Sequence[str] = PLANT_PE
     return gold.filter(persona_predicate(persona, plants))
 
 
+def secured_view_sql(spark: SparkSession, table: str, persona: str,
+                     plants: Sequence[str] = PLANT_PERSONAS) -> DataFrame:
+    """The secured view in SQL, with the persona bound as a named parameter.
+
+    The persona is a parameter marker, never text spliced into the statement, so a persona
+    value cannot change the SQL; it binds as a literal, and Catalyst folds the CASE just as
+    it folds ``secured_view``'s Python-built predicate. ``table`` is a catalog or temp-view name.
+    """
+    if not all(p.isalnum() for p in plants):
+        raise ValueError("plant codes must be alphanumeric")
+    plant_list = ", ".join(f"'{p}'" for p in plants)
+    return spark.sql(
+        f"""SELECT * FROM {table}
+            WHERE CASE WHEN :persona = 'BOARD' THEN TRUE
+                       WHEN :persona IN ({plant_list}) THEN org_code = :persona
+                       ELSE FALSE END""",
+        args={"persona": persona},
+    )
+
+
 def visibility_check(gold: DataFrame, persona: str, plants: Sequence[str] = PLANT_PERSONAS) -> DataFrame:
     """One row: who is asking, plants visible, rows visible, value visible (millions)."""
     return secured_view(gold, persona, plants).agg(

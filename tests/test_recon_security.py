@@ -127,3 +127,13 @@ def test_row_filter_by_map_never_duplicates(spark, gold_small):
     got = sorted(r.item_number for r in security.row_filter_by_map(gold_small, grants, "dual").collect())
     assert got == ["A", "B"]
     assert security.row_filter_by_map(gold_small, grants, "stranger").count() == 0
+
+
+def test_secured_view_sql_binds_the_persona(spark, gold_small):
+    gold_small.createOrReplaceTempView("gold_small_v")
+    for persona in ("BOARD", "GCI", "HOC", "nobody", "x' OR '1'='1"):
+        by_sql = sorted(r.item_number for r in security.secured_view_sql(spark, "gold_small_v", persona).collect())
+        by_df = sorted(r.item_number for r in security.secured_view(gold_small, persona).collect())
+        assert by_sql == by_df, persona
+    plan = security.secured_view_sql(spark, "gold_small_v", "nobody")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in plan or "Filter false" in plan
