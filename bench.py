@@ -20,6 +20,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -57,7 +58,9 @@ def main() -> None:
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")}
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
                           extra=extra)
-    ensure_checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
+    # written tables go to the shared folder the session names in spark.checkpoint.dir (a local
+    # scratch folder only when it is unset), in a fresh subfolder per run
+    shared = ensure_checkpoint_dir(spark, os.path.join(scratch, "checkpoints")).rstrip("/")
 
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
@@ -67,7 +70,7 @@ def main() -> None:
     for name in E2E:
         times[f"e2e_{name}"] = _best(lambda n=name: _force(QUERIES[n](spark, sf_dir)), repeat)
 
-    root = os.path.join(scratch, "warehouse")
+    root = f"{shared}/bench-{uuid.uuid4().hex}"
     # the three layers timed apart: bronze derives the extracts from the test tables; silver is
     # built from the stored bronze and gold from the stored silver, as on a cluster
     times["bronze_write"] = _best(

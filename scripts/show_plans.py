@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -54,10 +55,10 @@ NOTES = {
 def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     out = argv[1] if len(argv) > 1 else os.path.join(os.path.dirname(os.path.dirname(__file__)), "PLANS.md")
-    scratch = tempfile.mkdtemp(prefix="plans-")
     spark = local_session()
-    ensure_checkpoint_dir(spark, os.path.join(scratch, "ckpt"))
-    root = run_pipeline(spark, Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF), os.path.join(scratch, "wh"))
+    shared = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="plans-")).rstrip("/")
+    root = run_pipeline(spark, Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF),
+                        f"{shared}/plans-{uuid.uuid4().hex}")
     silver_only = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
     silver_only._gold.clear()
     stored = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
