@@ -144,3 +144,17 @@ def test_reports_on_hand_rows(spark, frames):
     # ITM-2 is dead in GCI and Non-Moving in WCI: not "active elsewhere"
     assert reports.redistribution_list(g).count() == 0
     assert checks.check_grain(g).count() == 0
+
+
+def test_stock_summary_vocabulary(frames):
+    items, onhand, costs, txn = frames
+    g = aging.stores_aging(items, onhand, costs, txn, as_of=AS_OF)
+    # "site" means the plant code; "replacement cost" the last-PO value; "dead stock" the status
+    rows = reports.stock_summary(g, by=("site",), where="dead stock", measure="replacement cost",
+                                 scale_digits=4).collect()
+    assert [r.org_code for r in rows] == ["GCI"]  # only GCI holds dead lines in the hand-made rows
+    dead_last_value = sum(r.onhand_value_last_cost for r in g.filter(f"movement_status = '{DEAD_STOCK}'").collect())
+    assert rows[0].value_pkr_mn == (dead_last_value / Decimal(1_000_000)).quantize(Decimal("0.0001"))
+    assert rows[0].item_lines == 4  # ITM-2, ITM-3, ITM-6 (received, never issued), ITM-7
+    with pytest.raises(ValueError):
+        reports.stock_summary(g, where="slow-ish")
