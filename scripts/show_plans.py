@@ -59,8 +59,7 @@ def main(argv: list[str]) -> None:
     shared = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="plans-")).rstrip("/")
     root = run_pipeline(spark, Model.from_fixtures(spark, sf_dir, as_of=FIXTURE_AS_OF),
                         f"{shared}/plans-{uuid.uuid4().hex}")
-    silver_only = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
-    silver_only._gold.clear()
+    silver_only = Model.from_warehouse(spark, root, read_gold=False, as_of=FIXTURE_AS_OF)
     stored = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
     frames = {
         "gold: stores_aging from stored silver": silver_only.stores_aging,
@@ -71,8 +70,7 @@ def main(argv: list[str]) -> None:
             stored.fact_ap_distribution, stored.bridge_sla_gl, stored.dim_account, "MAR-25"),
     }
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    at_scale = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
-    at_scale._gold.clear()
+    at_scale = Model.from_warehouse(spark, root, read_gold=False, as_of=FIXTURE_AS_OF)
     scale_frames = {
         "gold: stores_aging from stored silver, sizes past the broadcast threshold": at_scale.stores_aging,
         "gold: recon_ap_to_gl from stored silver, sizes past the broadcast threshold": at_scale.recon_ap_to_gl,

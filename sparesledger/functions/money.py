@@ -10,9 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
-
-MONEY = DecimalType(18, 2)
+from sparesledger.sources.schemas import MONEY
 
 
 def to_money(c: Column) -> Column:
@@ -24,9 +22,10 @@ def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(20
     """``round(num / den, digits)``; NULL when ``den`` is 0 or NULL (``NULLIF`` semantics).
 
     Spark gives ``decimal(p1,s1) / decimal(p2,s2)`` the scale ``max(6, s1 + p2 + 1)`` and cuts
-    it when the precision passes 38, so the operand types are chosen per call to keep 15+
-    fractional digits: e.g. ``decimal(15,2) / decimal(14,8)`` is ``decimal(38,17)``. Values
-    beyond the chosen precision raise (ANSI) rather than round silently.
+    it when the precision passes 38, so the operand types are chosen per call: wide enough
+    for any value of the source types (money and quantities are ``DECIMAL(18,2)``) and still
+    14+ fractional digits, e.g. ``decimal(18,2) / decimal(14,8)`` is ``decimal(38,14)`` and
+    ``decimal(30,10) / decimal(18,2)`` is ``decimal(38,16)``.
     """
     d = den.cast(den_type)
     return F.round(num.cast(num_type) / F.when(d != 0, d), digits)
@@ -34,7 +33,7 @@ def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(20
 
 def avg_round(c: Column, digits: int) -> Column:
     """Exactly rounded mean of a decimal column (NULLs skipped, NULL on no rows)."""
-    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(20,2)", den_type="decimal(12,0)")
+    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(28,2)", den_type="decimal(20,0)")
 
 
 def in_millions(c: Column, digits: int) -> Column:

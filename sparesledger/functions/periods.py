@@ -12,8 +12,12 @@ def period_name(d: Column) -> Column:
 
 
 def period_start(name: Column) -> Column:
-    """First day of a ``MMM-yy`` period; ``yy`` always reads as 20yy (``JAN-95`` -> 2095-01-01)."""
-    return F.to_date(name, "MMM-yy")
+    """First day of a ``MMM-yy`` period; ``yy`` always reads as 20yy (``JAN-95`` -> 2095-01-01).
+
+    Names in another form (adjustment periods such as ``ADJ-25``) give NULL rather than
+    failing the query, so they sort last.
+    """
+    return F.try_to_date(name, "MMM-yy")
 
 
 def shift_years(ts: Column, years: int) -> Column:

@@ -177,7 +177,7 @@ def stores_aging(
         last_c.alias("last_po_cost"),
         F.round(qty * avg_c, 2).cast(MONEY).alias("onhand_value_avg_cost"),
         F.round(qty * last_c, 2).cast(MONEY).alias("onhand_value_last_cost"),
-        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(20,2)", "decimal(14,2)").cast(MONEY)
+        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(20,2)", "decimal(18,2)").cast(MONEY)
         .alias("cost_variance_pct"),
         F.round(qty * (last_c - avg_c), 2).cast(MONEY).alias("revaluation_exposure"),
         "first_receipt_date",
@@ -188,11 +188,11 @@ def stores_aging(
         "issue_txn_count",
         "receipt_txn_count",
         "distinct_suppliers",
-        div_round(consumed, months, 3, "decimal(15,2)", "decimal(14,8)")
+        div_round(consumed, months, 3, "decimal(18,2)", "decimal(14,8)")
         .cast("decimal(18,3)").alias("avg_monthly_consumption"),
         # stock / (consumed / months) == stock * months / consumed: one exact division
         F.when(consumed > 0, div_round(F.when(months != 0, qty * months), consumed, 1,
-                                       "decimal(22,10)", "decimal(15,2)"))
+                                       "decimal(30,10)", "decimal(18,2)"))
         .cast("decimal(18,1)").alias("months_of_cover"),
         days_first.alias("days_since_first_receipt"),
         age_bucket(days_rcpt, edges, unknown_bucket).alias("aging_bucket_last_receipt"),

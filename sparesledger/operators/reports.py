@@ -165,10 +165,12 @@ SYNONYMS = {
     "plant": "org_code", "site": "org_code", "location": "org_code", "unit": "org_code",
     "value": "onhand_value_avg_cost", "worth": "onhand_value_avg_cost", "amount": "onhand_value_avg_cost",
     "replacement cost": "onhand_value_last_cost", "last purchase price": "onhand_value_last_cost",
+    "exposure": "revaluation_exposure",
     "age": "days_since_receipt", "original age": "days_since_first_receipt",
     "bucket": "aging_bucket_last_receipt", "original bucket": "aging_bucket_first_receipt",
     "category": "category_name", "status": "movement_status", "item": "item_number",
 }
+MEASURES = ("onhand_value_avg_cost", "onhand_value_last_cost", "revaluation_exposure")
 STATUS_FILTERS = {
     "dead stock": lambda: F.col("movement_status") == DEAD_STOCK,
     "non-moving": lambda: F.col("movement_status").isin(*NON_MOVING_STATUSES),
@@ -195,6 +197,9 @@ def stock_summary(
     """
     keys = [_resolve(b) for b in by]
     m = _resolve(measure)
+    if m not in MEASURES:
+        raise ValueError(f"measure {measure!r} is not a money column; use value, replacement cost or "
+                         f"one of {MEASURES}")
     df = gold
     if isinstance(where, str):
         if where.lower() not in STATUS_FILTERS:

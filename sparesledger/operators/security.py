@@ -9,6 +9,7 @@ enforced security; enforcement belongs to the catalog's row filters.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,19 +39,19 @@ def secured_view_sql(spark: SparkSession, table: str, persona: str,
                      plants: Sequence[str] = PLANT_PERSONAS) -> DataFrame:
     """The secured view in SQL, with the persona bound as a named parameter.
 
-    The persona is a parameter marker, never text spliced into the statement, so a persona
-    value cannot change the SQL; it binds as a literal, and Catalyst folds the CASE just as
-    it folds ``secured_view``'s Python-built predicate. ``table`` is a catalog or temp-view name.
+    The persona and the plant list are parameter markers, never text spliced into the
+    statement, so their values cannot change the SQL; they bind as literals, and Catalyst folds
+    the CASE just as it folds ``secured_view``'s Python-built predicate. ``table`` is a
+    catalog or temp-view name (a dotted identifier).
     """
-    if not all(p.isalnum() for p in plants):
-        raise ValueError("plant codes must be alphanumeric")
-    plant_list = ", ".join(f"'{p}'" for p in plants)
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*", table):
+        raise ValueError(f"not a table identifier: {table!r}")
     return spark.sql(
         f"""SELECT * FROM {table}
             WHERE CASE WHEN :persona = 'BOARD' THEN TRUE
-                       WHEN :persona IN ({plant_list}) THEN org_code = :persona
+                       WHEN array_contains(CAST(:plants AS ARRAY<STRING>), :persona) THEN org_code = :persona
                        ELSE FALSE END""",
-        args={"persona": persona},
+        args={"persona": persona, "plants": list(plants)},
     )
 
 

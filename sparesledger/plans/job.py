@@ -46,7 +46,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sparesledger-job", description=__doc__.split("\n\n")[0])
     p.add_argument("--landing", required=True, help="folder holding {table}.{format} extracts")
     p.add_argument("--format", default="csv", help="extract format (csv, parquet, ...)")
-    p.add_argument("--root", default=None, help="warehouse root (default: under spark.checkpoint.dir)")
+    p.add_argument("--root", default=None,
+                   help="warehouse root (default: {spark.checkpoint.dir}/sparesledger-warehouse/as_of=<date>)")
     p.add_argument("--as-of", default=None, help="reporting date YYYY-MM-DD (default: today)")
     p.add_argument("--catalog-prefix", default=None, help="also register layers as databases {prefix}bronze ...")
     p.add_argument("--reports", action="store_true", help="write report and dashboard data sets")
@@ -58,7 +59,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     ext = args.format
     sources = {t: read_extract(spark, t, f"{args.landing.rstrip('/')}/{t}.{ext}", args.format) for t in SOURCE_TABLES}
-    root = args.root or default_root(spark)
+    # runs for different as-of dates (a backfill beside the daily run) get separate roots
+    root = args.root or f"{default_root(spark)}/as_of={as_of.isoformat()}"
     run_pipeline(spark, Model(sources, as_of=as_of), root, parallelism=args.parallelism,
                  catalog_prefix=args.catalog_prefix)
     if args.reports:

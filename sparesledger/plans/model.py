@@ -44,12 +44,17 @@ class Model:
         return cls(Fixtures(spark, sf_dir), **kw)
 
     @classmethod
-    def from_warehouse(cls, spark: SparkSession, root: str, **kw) -> "Model":
-        """Read bronze, silver and gold parquet tables written by ``run_pipeline``."""
+    def from_warehouse(cls, spark: SparkSession, root: str, read_gold: bool = True, **kw) -> "Model":
+        """Read bronze, silver and gold parquet tables written by ``run_pipeline``.
+
+        Stored gold carries the as-of date and options of the run that wrote it; pass
+        ``read_gold=False`` to recompute gold from the stored silver with this model's
+        ``as_of`` and options instead.
+        """
         from sparesledger.plans.pipeline import read_layers
 
         bronze, silver_t, gold_t = read_layers(spark, root)
-        return cls(bronze, silver_tables=silver_t, gold_tables=gold_t, **kw)
+        return cls(bronze, silver_tables=silver_t, gold_tables=gold_t if read_gold else None, **kw)
 
     # -- sources ---------------------------------------------------------------------------
 

@@ -15,10 +15,10 @@ partitions on read.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from sparesledger.operators.aging import STORES_AGING_COLUMNS
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
@@ -37,6 +37,7 @@ COLUMN_ORDER = {"agg_stores_aging": STORES_AGING_COLUMNS}
 
 
 def default_root(spark: SparkSession) -> str:
+    """``{spark.checkpoint.dir}/sparesledger-warehouse``; raises when the session names none."""
     return ensure_checkpoint_dir(spark).rstrip("/") + "/sparesledger-warehouse"
 
 
@@ -50,7 +51,9 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if table:
-        writer.saveAsTable(table)  # managed table; its database is located under the same root
+        # an external table at the layer path: the files outlive any one catalog, so a later
+        # run (or a fresh session catalog) re-registers and replaces them instead of failing
+        writer.option("path", path).saveAsTable(table)
     else:
         writer.save(path)
 
@@ -91,12 +94,13 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
         return (df, f"{root}/{layer}/{t}", part, f"{catalog_prefix}{layer}.{t}" if use_catalog else None)
 
     if "bronze" in layers:
-        _write_all([job(add_audit_columns(df), "bronze", t) for t, df in model.sources(SOURCE_TABLES).items()],
-                   parallelism)
-        # later layers read the stored bronze (never an earlier run's silver or gold, which
-        # this run is about to overwrite)
+        landed = model.sources(SOURCE_TABLES)
+        _write_all([job(add_audit_columns(df), "bronze", t) for t, df in landed.items()], parallelism)
+        # later layers read the bronze this run wrote (never another run's tables, nor the
+        # silver or gold this run is about to overwrite)
         if "silver" in layers:
-            model = Model(read_bronze(spark, root), as_of=model.as_of, edges=model.edges, **model.aging_options)
+            model = Model(read_bronze(spark, root, list(landed)), as_of=model.as_of, edges=model.edges,
+                          **model.aging_options)
     if "silver" in layers:
         _write_all([job(getattr(model, t), "silver", t, PARTITIONED.get(t)) for t in SILVER_TABLES], parallelism)
         model = Model(model._sources, as_of=model.as_of, edges=model.edges,
@@ -111,19 +115,33 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     return root
 
 
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
     out = {}
     for n in names:
         path = f"{base}/{n}"
         try:
-            df = spark.read.parquet(path)
+            if n in PARTITIONED:
+                # partition values are text ('001' must not become 1): read with type inference
+                # off, one listing of the folders
+                with _conf(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+                    df = spark.read.parquet(path)
+            else:
+                df = spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - a layer may be partly written
             continue
-        part = PARTITIONED.get(n)
-        if part and part in df.columns:
-            # partition values are text: declare them so '001' is never inferred as 1
-            schema = StructType([StructField(f.name, StringType(), True) if f.name == part else f for f in df.schema])
-            df = spark.read.schema(schema).parquet(path)
         if n in COLUMN_ORDER and set(COLUMN_ORDER[n]) == set(df.columns):
             df = df.select(*COLUMN_ORDER[n])  # partition columns come back last; keep the table's layout
         out[n] = df
@@ -141,11 +159,11 @@ def _existing(spark: SparkSession, base: str, names) -> list[str]:
     return [n for n in names if n in present]
 
 
-def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Stored bronze extracts without their audit columns."""
+def read_bronze(spark: SparkSession, root: str, names=SOURCE_TABLES) -> dict[str, DataFrame]:
+    """Stored bronze extracts (``names`` only) without their audit columns."""
     base = f"{root.rstrip('/')}/bronze"
     return {t: df.drop("_ingest_ts", "_source_system")
-            for t, df in _read_dir(spark, base, _existing(spark, base, SOURCE_TABLES)).items()}
+            for t, df in _read_dir(spark, base, _existing(spark, base, names)).items()}
 
 
 def read_layers(spark: SparkSession, root: str):

@@ -41,16 +41,25 @@ def local_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset).
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names in ``spark.checkpoint.dir`` (context or session conf).
 
-    The configured value is preferred: Spark's own checkpoint folder adds a per-application
-    UUID below it, which would move the warehouse on every run.
+    This is the stable base for written tables and stream checkpoints. Spark's own
+    checkpoint folder (``getCheckpointDir``) adds a per-application UUID below it, so it
+    would move on every run and is not used as a base.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    return spark.sparkContext.getCheckpointDir() or None
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - conf lookups can be refused on some deployments
+            d = None
+    return d or None
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """``shared_folder``, else the folder set with ``setCheckpointDir`` (None when neither)."""
+    return shared_folder(spark) or spark.sparkContext.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -60,15 +69,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     Only callers that know they run locally (tests, the bench) pass ``fallback``; library
     code passes nothing and fails loudly rather than writing to a machine-local folder.
     """
-    d = checkpoint_dir(spark)
+    d = shared_folder(spark)
     if d:
         return d
     if fallback is None:
         raise ValueError(
             "spark.checkpoint.dir is not set: set it to shared storage (or pass an explicit root/checkpoint path)"
         )
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir() or fallback
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(fallback)
+    return fallback  # the stable base, not Spark's per-application subfolder
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,

@@ -48,17 +48,26 @@ def add_audit_columns(df: DataFrame, source_system: str = SOURCE_SYSTEM) -> Data
 
 def land_bronze(
     spark: SparkSession,
-    source_root: str,
+    source_root: str | None,
     target_root: str,
     tables: Iterable[str] = SOURCE_TABLES,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
+    db_tables: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Full refresh of each extract into ``{target_root}/{table}`` (parquet, overwrite)."""
+    """Full refresh of each extract into ``{target_root}/{table}`` (parquet, overwrite).
+
+    Files are read from ``{source_root}/{table}.{fmt}``; with ``fmt='jdbc'`` each extract is
+    read from its own database table, ``db_tables[table]`` (default: the extract name), with
+    the shared connection ``options``.
+    """
     written = {}
     for t in tables:
-        ext = "csv" if fmt == "csv" else fmt
-        df = add_audit_columns(read_extract(spark, t, f"{source_root}/{t}.{ext}", fmt, options))
+        if fmt == "jdbc":
+            opts = {**(options or {}), "dbtable": (db_tables or {}).get(t, t)}
+            df = add_audit_columns(read_extract(spark, t, None, fmt, opts))
+        else:
+            df = add_audit_columns(read_extract(spark, t, f"{source_root}/{t}.{fmt}", fmt, options))
         out = f"{target_root}/{t}"
         df.write.mode("overwrite").parquet(out)
         written[t] = out

@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparesledger.functions.periods import period_name, shift_years
+from sparesledger.operators.aging import ISSUE as ISSUE_TYPE
+from sparesledger.operators.aging import RECEIPT as RECEIPT_TYPE
 from sparesledger.sources.schemas import MONEY, SOURCE_SCHEMAS
 
 # Fixed values of the fixture mapping (FIXTURES.md section 3).
 ORG_CODES = ("GCI", "WCI", "GCM", "WCM", "HOC")  # plant code by region key 0..4
 YEAR_SHIFT = 24  # dates move 1995-2001 -> 2019-2025; 24 keeps leap days
-RECEIPT_TYPE, ISSUE_TYPE = 18, 33
 TERMS = ("NET30", "NET60", "NET90")  # by supplier key % 3
 # Account suffix -> (natural account, type, enabled, description); id = region key * 10 + suffix.
 ACCOUNTS = (

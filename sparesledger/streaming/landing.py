@@ -33,6 +33,7 @@ def stream_extract(
     opts = dict(options or {})
     if fmt == "csv":
         opts.setdefault("header", "true")
+        opts.setdefault("mode", "FAILFAST")  # as the batch reader: a malformed row stops the stream
         opts.setdefault("dateFormat", "yyyy-MM-dd")
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -52,6 +53,8 @@ def land_incrementally(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing query; with no ``processing_time`` it drains the folder and stops."""
+    # the default lives under the configured shared folder, so a restarted application finds
+    # the same checkpoint (never under Spark's per-application checkpoint subfolder)
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}"
     writer = (
         stream_extract(spark, table, source_dir, fmt, options, max_files_per_trigger)

@@ -158,3 +158,29 @@ def test_stock_summary_vocabulary(frames):
     assert rows[0].item_lines == 4  # ITM-2, ITM-3, ITM-6 (received, never issued), ITM-7
     with pytest.raises(ValueError):
         reports.stock_summary(g, where="slow-ish")
+
+
+def test_large_quantities_do_not_overflow(spark):
+    """Any DECIMAL(18,2) quantity works: 5e10 on hand, first received 16 years before as-of."""
+    items = spark.createDataFrame([_item(1, 1)], ITEM_SCHEMA)
+    onhand = spark.createDataFrame([(1, 1, Decimal("50000000000.00"))],
+                                   "INVENTORY_ITEM_ID long, ORGANIZATION_ID long, PRIMARY_TRANSACTION_QUANTITY decimal(18,2)")
+    costs = spark.createDataFrame([(1, 1, Decimal("1.00"), Decimal("1.10"))],
+                                  "INVENTORY_ITEM_ID long, ORGANIZATION_ID long, ITEM_COST decimal(18,2), LAST_PO_COST decimal(18,2)")
+    txn = spark.createDataFrame([
+        (1, 1, 18, dt.date(2010, 6, 30), Decimal("9000000000000000.00"), 1),
+        (1, 1, 33, dt.date(2020, 6, 30), Decimal("-3.00"), None),
+    ], TXN_SCHEMA)
+    r = aging.stores_aging(items, onhand, costs, txn, as_of=AS_OF).first()
+    # 16 whole months-ends apart: 192 months; 3 consumed -> 0.016 a month; cover 5e10 * 192 / 3
+    assert r.avg_monthly_consumption == Decimal("0.016")
+    assert r.months_of_cover == Decimal("3200000000000.0")
+    assert r.cost_variance_pct == Decimal("10.00")
+
+
+def test_summary_rejects_non_money_measures(frames):
+    items, onhand, costs, txn = frames
+    g = aging.stores_aging(items, onhand, costs, txn, as_of=AS_OF)
+    for bad in ("age", "plant"):
+        with pytest.raises(ValueError):
+            reports.stock_summary(g, measure=bad)

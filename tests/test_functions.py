@@ -52,6 +52,8 @@ def test_period_roundtrip(spark):
     assert r.p == "MAR-26" and r.s == dt.date(2026, 3, 1)
     # yy is always 20yy
     assert spark.range(1).select(period_start(F.lit("JAN-95")).alias("s")).first().s == dt.date(2095, 1, 1)
+    # an adjustment period is not a calendar month: NULL, not a failed query
+    assert spark.range(1).select(period_start(F.lit("ADJ-25")).alias("s")).first().s is None
 
 
 def _exact(n: int, d: int, digits: int) -> Decimal | None:

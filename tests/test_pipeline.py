@@ -124,8 +124,14 @@ def test_pipeline_as_catalog_tables(spark, scratch):
     """Layers as databases, tables replaced on each run, comments in the catalog."""
     lazy = Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF)
     root = f"{scratch}/cat"
-    for _ in range(2):  # the second run replaces the tables (full refresh)
-        run_pipeline(spark, lazy, root, catalog_prefix="ssl_")
+    run_pipeline(spark, lazy, root, catalog_prefix="ssl_")
+    # a new application starts with an empty session catalog: forget the tables (external, so
+    # the files stay) and run again -- the run re-registers and replaces them
+    for layer in ("bronze", "silver", "gold"):
+        for r in spark.sql(f"SHOW TABLES IN ssl_{layer}").collect():
+            if not r.isTemporary:
+                spark.sql(f"DROP TABLE ssl_{layer}.{r.tableName}")
+    run_pipeline(spark, lazy, root, catalog_prefix="ssl_")
     names = {r.tableName for r in spark.sql("SHOW TABLES IN ssl_silver").collect() if not r.isTemporary}
     assert names == set(SILVER_TABLES)
     assert spark.table("ssl_gold.agg_stores_aging").count() == 545
@@ -229,4 +235,26 @@ def test_checkpoint_folder_precedence():
     assert checkpoint_dir(_Spark({}, "/local/uuid")) == "/local/uuid"
     with _pytest.raises(ValueError):
         ensure_checkpoint_dir(_Spark({}))
-    assert ensure_checkpoint_dir(_Spark({}), "/tmp/x") == "/tmp/x/uuid"
+    # the stable base is returned, never Spark's per-application subfolder below it
+    fresh = _Spark({})
+    assert ensure_checkpoint_dir(fresh, "/tmp/x") == "/tmp/x"
+    assert fresh.sparkContext.getCheckpointDir() == "/tmp/x/uuid"
+
+    class _SessionConf:
+        def get(self, k, default=None):
+            return "s3://shared" if k == "spark.checkpoint.dir" else default
+
+    in_session = _Spark({})
+    in_session.conf = _SessionConf()  # set on the session only (builder.config on a running context)
+    assert checkpoint_dir(in_session) == "s3://shared"
+
+
+def test_recompute_gold_with_another_as_of(spark, scratch):
+    import datetime as dt
+
+    root = run_pipeline(spark, Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF), f"{scratch}/wh")
+    stored = Model.from_warehouse(spark, root, as_of=dt.date(2026, 6, 30))
+    fresh = Model.from_warehouse(spark, root, read_gold=False, as_of=dt.date(2026, 6, 30))
+    d_stored = stored.stores_aging.agg(F.max("days_since_first_receipt")).first()[0]
+    d_fresh = fresh.stores_aging.agg(F.max("days_since_first_receipt")).first()[0]
+    assert d_fresh - d_stored == (dt.date(2026, 6, 30) - FIXTURE_AS_OF).days

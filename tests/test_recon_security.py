@@ -137,3 +137,12 @@ def test_secured_view_sql_binds_the_persona(spark, gold_small):
         assert by_sql == by_df, persona
     plan = security.secured_view_sql(spark, "gold_small_v", "nobody")._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation <empty>" in plan or "Filter false" in plan
+
+
+def test_secured_view_sql_plant_lists(spark, gold_small):
+    gold_small.createOrReplaceTempView("gold_small_v")
+    assert security.secured_view_sql(spark, "gold_small_v", "GCI", plants=()).count() == 0  # fails closed
+    got = security.secured_view_sql(spark, "gold_small_v", "HOC", plants=("HOC", "GC_1")).collect()
+    assert [r.item_number for r in got] == ["D"]
+    with pytest.raises(ValueError):
+        security.secured_view_sql(spark, "gold_small_v; DROP TABLE x", "GCI")
