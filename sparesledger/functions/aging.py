@@ -15,6 +15,7 @@ NON_MOVING = "Non-Moving - 12m+"
 SLOW_MOVING = "Slow Moving - 6m+"
 ACTIVE = "Active"
 NON_MOVING_STATUSES = (NON_MOVING, DEAD_STOCK)
+RECEIPT_TYPE, ISSUE_TYPE = 18, 33  # material transaction types: PO receipt, issue
 
 
 def bucket_labels(edges: Sequence[int] = DEFAULT_EDGES) -> list[str]:

@@ -23,11 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparesledger.functions.aging import DEFAULT_EDGES, age_bucket, movement_status
+from sparesledger.functions.aging import DEFAULT_EDGES, ISSUE_TYPE, RECEIPT_TYPE, age_bucket, movement_status
 from sparesledger.functions.money import MONEY, div_round
 
-# Receipt and issue transaction types, the reference's reporting date.
-RECEIPT, ISSUE = 18, 33
+# Fixed value: the reference's reporting date (transaction types live in functions.aging).
+RECEIPT, ISSUE = RECEIPT_TYPE, ISSUE_TYPE
 REFERENCE_AS_OF = _dt.date(2026, 6, 30)
 KEY = ["inventory_item_id", "org_id"]
 
@@ -165,7 +165,8 @@ def stores_aging(
     days_issue = F.datediff(ref, F.col("last_issue_date"))
     days_first = F.datediff(ref, F.col("first_receipt_date"))
     # months since first receipt, kept exact: months_between rounds to 8 places
-    months = F.months_between(ref, F.col("first_receipt_date")).cast("decimal(20,8)")
+    # (16,8): qty (18,2) x months (16,8) is decimal(35,10) -- exact, no precision-loss rounding
+    months = F.months_between(ref, F.col("first_receipt_date")).cast("decimal(16,8)")
     consumed = F.col("qty_consumed")
     issues = F.coalesce(F.col("issue_txn_count"), F.lit(0))
     stocked = F.coalesce(F.col("stocked_in_orgs"), F.lit(1))
@@ -177,7 +178,7 @@ def stores_aging(
         last_c.alias("last_po_cost"),
         F.round(qty * avg_c, 2).cast(MONEY).alias("onhand_value_avg_cost"),
         F.round(qty * last_c, 2).cast(MONEY).alias("onhand_value_last_cost"),
-        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(20,2)", "decimal(18,2)").cast(MONEY)
+        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(22,2)", "decimal(18,2)").cast(MONEY)
         .alias("cost_variance_pct"),
         F.round(qty * (last_c - avg_c), 2).cast(MONEY).alias("revaluation_exposure"),
         "first_receipt_date",

@@ -44,7 +44,8 @@ def secured_view_sql(spark: SparkSession, table: str, persona: str,
     the CASE just as it folds ``secured_view``'s Python-built predicate. ``table`` is a
     catalog or temp-view name (a dotted identifier).
     """
-    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*", table):
+    part = r"(`[^`]+`|[A-Za-z0-9_]+)"
+    if not re.fullmatch(rf"{part}(\.{part})*", table):
         raise ValueError(f"not a table identifier: {table!r}")
     return spark.sql(
         f"""SELECT * FROM {table}

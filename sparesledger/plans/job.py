@@ -59,8 +59,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     ext = args.format
     sources = {t: read_extract(spark, t, f"{args.landing.rstrip('/')}/{t}.{ext}", args.format) for t in SOURCE_TABLES}
-    # runs for different as-of dates (a backfill beside the daily run) get separate roots
-    root = args.root or f"{default_root(spark)}/as_of={as_of.isoformat()}"
+    root = args.root or default_root(spark, as_of)  # one root per as-of date
     run_pipeline(spark, Model(sources, as_of=as_of), root, parallelism=args.parallelism,
                  catalog_prefix=args.catalog_prefix)
     if args.reports:

@@ -53,8 +53,8 @@ class Model:
         """
         from sparesledger.plans.pipeline import read_layers
 
-        bronze, silver_t, gold_t = read_layers(spark, root)
-        return cls(bronze, silver_tables=silver_t, gold_tables=gold_t if read_gold else None, **kw)
+        bronze, silver_t, gold_t = read_layers(spark, root, read_gold=read_gold)
+        return cls(bronze, silver_tables=silver_t, gold_tables=gold_t, **kw)
 
     # -- sources ---------------------------------------------------------------------------
 

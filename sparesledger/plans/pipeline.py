@@ -17,6 +17,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +37,15 @@ PARTITIONED = {"fact_material_txn": "txn_year_month", "agg_stores_aging": "org_c
 COLUMN_ORDER = {"agg_stores_aging": STORES_AGING_COLUMNS}
 
 
-def default_root(spark: SparkSession) -> str:
-    """``{spark.checkpoint.dir}/sparesledger-warehouse``; raises when the session names none."""
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/sparesledger-warehouse"
+def default_root(spark: SparkSession, as_of=None) -> str:
+    """``{spark.checkpoint.dir}/sparesledger-warehouse[/as_of=<date>]``; raises when unset.
+
+    Runs for different as-of dates (a backfill beside the daily run) get separate roots.
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/sparesledger-warehouse"
+    if as_of is not None:
+        root += f"/as_of={as_of.isoformat() if hasattr(as_of, 'isoformat') else as_of}"
+    return root
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str | None = None) -> None:
@@ -79,12 +86,14 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.
 
     Layers run in order (silver reads the stored bronze, gold the stored silver); the
-    tables within a layer are independent and are written concurrently. With
-    ``catalog_prefix`` (``''`` for plain ``bronze``/``silver``/``gold``) each layer is also a
-    database located at ``{root}/{layer}`` and every table a managed table in it, replaced on
-    each run; the files sit at the same paths either way.
+    tables within a layer are independent and are written concurrently. The default root is
+    ``default_root(spark, model.as_of)``. With ``catalog_prefix`` (``''`` for plain
+    ``bronze``/``silver``/``gold``) each table is also registered as an external table at its
+    layer path (``{prefix}{layer}.{table}``): the catalog names then point at this run's
+    root (the latest run publishes), dropping them leaves the files, and a fresh catalog
+    re-registers them on the next run.
     """
-    root = (root or default_root(spark)).rstrip("/")
+    root = (root or default_root(spark, model.as_of)).rstrip("/")
     use_catalog = catalog_prefix is not None
     if use_catalog:
         for layer in layers:
@@ -115,6 +124,16 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     return root
 
 
+def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None only when nothing readable is there (an empty folder)."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
 @contextmanager
 def _conf(spark: SparkSession, key: str, value: str):
     old = spark.conf.get(key, None)
@@ -132,15 +151,14 @@ def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
     out = {}
     for n in names:
         path = f"{base}/{n}"
-        try:
-            if n in PARTITIONED:
-                # partition values are text ('001' must not become 1): read with type inference
-                # off, one listing of the folders
-                with _conf(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-                    df = spark.read.parquet(path)
-            else:
-                df = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - a layer may be partly written
+        if n in PARTITIONED:
+            # partition values are text ('001' must not become 1): one listing, with partition
+            # type inference off for this read only (the relation fixes its schema when created)
+            with _conf(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+                df = _read_parquet(spark, path)
+        else:
+            df = _read_parquet(spark, path)
+        if df is None:
             continue
         if n in COLUMN_ORDER and set(COLUMN_ORDER[n]) == set(df.columns):
             df = df.select(*COLUMN_ORDER[n])  # partition columns come back last; keep the table's layout
@@ -166,10 +184,10 @@ def read_bronze(spark: SparkSession, root: str, names=SOURCE_TABLES) -> dict[str
             for t, df in _read_dir(spark, base, _existing(spark, base, names)).items()}
 
 
-def read_layers(spark: SparkSession, root: str):
+def read_layers(spark: SparkSession, root: str, read_gold: bool = True):
     root = root.rstrip("/")
     silver_t = _read_dir(spark, f"{root}/silver", _existing(spark, f"{root}/silver", SILVER_TABLES))
-    gold_t = _read_dir(spark, f"{root}/gold", _existing(spark, f"{root}/gold", GOLD_TABLES))
+    gold_t = _read_dir(spark, f"{root}/gold", _existing(spark, f"{root}/gold", GOLD_TABLES)) if read_gold else {}
     return read_bronze(spark, root), silver_t, gold_t
 
 

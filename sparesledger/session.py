@@ -41,20 +41,29 @@ def local_session(
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}  # folder chosen by ensure_checkpoint_dir, per session
+
+
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names in ``spark.checkpoint.dir`` (context or session conf).
+    """The folder the session names in ``spark.checkpoint.dir`` (None when unset).
 
-    This is the stable base for written tables and stream checkpoints. Spark's own
-    checkpoint folder (``getCheckpointDir``) adds a per-application UUID below it, so it
-    would move on every run and is not used as a base.
+    The session conf is read first (it also carries the cluster's value); the context conf
+    is a fallback for deployments that keep it only there. This is the stable base for
+    written tables and stream checkpoints -- Spark's own checkpoint folder adds a
+    per-application UUID below it and would move on every run. A local folder chosen by
+    ``ensure_checkpoint_dir`` (tests, bench) is remembered for the session.
     """
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = None
+    try:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - some deployments refuse conf lookups
+        d = None
     if not d:
         try:
-            d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - conf lookups can be refused on some deployments
+            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
             d = None
-    return d or None
+    return d or _LOCAL_FALLBACK.get(id(spark)) or None
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -78,6 +87,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         )
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(fallback)
+    _LOCAL_FALLBACK[id(spark)] = fallback  # later calls (default roots, stream checkpoints) agree
     return fallback  # the stable base, not Spark's per-application subfolder
 
 

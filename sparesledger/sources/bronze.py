@@ -53,18 +53,22 @@ def land_bronze(
     tables: Iterable[str] = SOURCE_TABLES,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
-    db_tables: Mapping[str, str] | None = None,
+    table_options: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, str]:
     """Full refresh of each extract into ``{target_root}/{table}`` (parquet, overwrite).
 
-    Files are read from ``{source_root}/{table}.{fmt}``; with ``fmt='jdbc'`` each extract is
-    read from its own database table, ``db_tables[table]`` (default: the extract name), with
-    the shared connection ``options``.
+    Files are read from ``{source_root}/{table}.{fmt}``. With ``fmt='jdbc'``, ``options``
+    holds the connection (url, user, driver, ...) and ``table_options[table]`` what belongs to
+    one extract: its ``dbtable`` or ``query`` and its read partitioning (``partitionColumn``,
+    ``lowerBound``, ``upperBound``, ``numPartitions``); without either, ``dbtable`` is the
+    extract name.
     """
     written = {}
     for t in tables:
         if fmt == "jdbc":
-            opts = {**(options or {}), "dbtable": (db_tables or {}).get(t, t)}
+            opts = {**(options or {}), **((table_options or {}).get(t, {}))}
+            if "dbtable" not in opts and "query" not in opts:
+                opts["dbtable"] = t
             df = add_audit_columns(read_extract(spark, t, None, fmt, opts))
         else:
             df = add_audit_columns(read_extract(spark, t, f"{source_root}/{t}.{fmt}", fmt, options))

@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparesledger.functions.periods import period_name, shift_years
-from sparesledger.operators.aging import ISSUE as ISSUE_TYPE
-from sparesledger.operators.aging import RECEIPT as RECEIPT_TYPE
+from sparesledger.functions.aging import ISSUE_TYPE, RECEIPT_TYPE
 from sparesledger.sources.schemas import MONEY, SOURCE_SCHEMAS
 
 # Fixed values of the fixture mapping (FIXTURES.md section 3).

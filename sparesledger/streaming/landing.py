@@ -10,6 +10,7 @@ batch job or as a continuous stream (``processing_time``).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +54,13 @@ def land_incrementally(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing query; with no ``processing_time`` it drains the folder and stops."""
-    # the default lives under the configured shared folder, so a restarted application finds
-    # the same checkpoint (never under Spark's per-application checkpoint subfolder)
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}"
+    # the default lives under the configured shared folder, keyed by table, source and target,
+    # so a restarted application resumes the same stream and another source/target pair never
+    # inherits its file log (never under Spark's per-application checkpoint subfolder)
+    if checkpoint_location is None:
+        key = hashlib.sha1(f"{source_dir}|{target_dir}".encode()).hexdigest()[:16]
+        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
+    ckpt = checkpoint_location
     writer = (
         stream_extract(spark, table, source_dir, fmt, options, max_files_per_trigger)
         .writeStream.format("parquet")

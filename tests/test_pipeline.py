@@ -239,6 +239,12 @@ def test_checkpoint_folder_precedence():
     fresh = _Spark({})
     assert ensure_checkpoint_dir(fresh, "/tmp/x") == "/tmp/x"
     assert fresh.sparkContext.getCheckpointDir() == "/tmp/x/uuid"
+    # later calls agree with the folder chosen for this session
+    from sparesledger.plans.pipeline import default_root
+
+    assert ensure_checkpoint_dir(fresh, "/tmp/other") == "/tmp/x"
+    assert default_root(fresh) == "/tmp/x/sparesledger-warehouse"
+    assert default_root(fresh, "2026-06-30") == "/tmp/x/sparesledger-warehouse/as_of=2026-06-30"
 
     class _SessionConf:
         def get(self, k, default=None):
