@@ -27,7 +27,6 @@ from sparesledger.functions.aging import DEFAULT_EDGES, ISSUE_TYPE, RECEIPT_TYPE
 from sparesledger.functions.money import MONEY, div_round
 
 # Fixed value: the reference's reporting date (transaction types live in functions.aging).
-RECEIPT, ISSUE = RECEIPT_TYPE, ISSUE_TYPE
 REFERENCE_AS_OF = _dt.date(2026, 6, 30)
 KEY = ["inventory_item_id", "org_id"]
 
@@ -42,8 +41,8 @@ def _as_date(d) -> F.Column:
 
 def txn_profile(
     txn: DataFrame,
-    receipt_type: int = RECEIPT,
-    issue_type: int = ISSUE,
+    receipt_type: int = RECEIPT_TYPE,
+    issue_type: int = ISSUE_TYPE,
     as_of=None,
     cutoff: bool = False,
 ) -> DataFrame:
@@ -136,8 +135,8 @@ def stores_aging(
     edges: Sequence[int] = DEFAULT_EDGES,
     unknown_bucket: str | None = None,
     cutoff: bool = False,
-    receipt_type: int = RECEIPT,
-    issue_type: int = ISSUE,
+    receipt_type: int = RECEIPT_TYPE,
+    issue_type: int = ISSUE_TYPE,
     basis: str = "master",
     non_moving_days: int = 365,
     slow_moving_days: int = 180,
@@ -178,7 +177,8 @@ def stores_aging(
         last_c.alias("last_po_cost"),
         F.round(qty * avg_c, 2).cast(MONEY).alias("onhand_value_avg_cost"),
         F.round(qty * last_c, 2).cast(MONEY).alias("onhand_value_last_cost"),
-        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(22,2)", "decimal(18,2)").cast(MONEY)
+        # decimal(24,2): a 1e16 price rise over a 0.01 average cost still fits
+        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(22,2)", "decimal(18,2)").cast("decimal(24,2)")
         .alias("cost_variance_pct"),
         F.round(qty * (last_c - avg_c), 2).cast(MONEY).alias("revaluation_exposure"),
         "first_receipt_date",

@@ -14,11 +14,12 @@ partitions on read.
 
 from __future__ import annotations
 
+import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparesledger.operators.aging import STORES_AGING_COLUMNS
@@ -43,9 +44,19 @@ def default_root(spark: SparkSession, as_of=None) -> str:
     Runs for different as-of dates (a backfill beside the daily run) get separate roots.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/sparesledger-warehouse"
-    if as_of is not None:
-        root += f"/as_of={as_of.isoformat() if hasattr(as_of, 'isoformat') else as_of}"
-    return root
+    day = _as_of_day(as_of)
+    return f"{root}/as_of={day.isoformat()}" if day else root
+
+
+def _as_of_day(as_of) -> _dt.date | None:
+    """The as-of date of a run for its folder name (None for no date or a Column expression)."""
+    if as_of is None or isinstance(as_of, Column):
+        return None
+    if isinstance(as_of, _dt.datetime):
+        return as_of.date()
+    if isinstance(as_of, _dt.date):
+        return as_of
+    return _dt.date.fromisoformat(str(as_of))
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str | None = None) -> None:
@@ -129,7 +140,7 @@ def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+        if (e.getCondition() or "") in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             return None
         raise
 

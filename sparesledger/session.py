@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale. On a cluster, size shuffle partitions so one reduce
@@ -41,7 +43,9 @@ def local_session(
     return spark
 
 
-_LOCAL_FALLBACK: dict[int, str] = {}  # folder chosen by ensure_checkpoint_dir, per session
+# Folder chosen by ensure_checkpoint_dir for a session without spark.checkpoint.dir (tests,
+# bench). Weak keys: an entry dies with its session and is never inherited by a new one.
+_LOCAL_FALLBACK: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -63,7 +67,7 @@ def shared_folder(spark: SparkSession) -> str | None:
             d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
             d = None
-    return d or _LOCAL_FALLBACK.get(id(spark)) or None
+    return d or _LOCAL_FALLBACK.get(spark) or None
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -85,9 +89,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         raise ValueError(
             "spark.checkpoint.dir is not set: set it to shared storage (or pass an explicit root/checkpoint path)"
         )
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(fallback)
-    _LOCAL_FALLBACK[id(spark)] = fallback  # later calls (default roots, stream checkpoints) agree
+    if spark.sparkContext.getCheckpointDir():
+        # set programmatically: its base is not known (Spark adds a per-application folder),
+        # and a local fallback must not silently replace it
+        raise ValueError("checkpoint folder set without spark.checkpoint.dir: set the conf to its base")
+    spark.sparkContext.setCheckpointDir(fallback)
+    _LOCAL_FALLBACK[spark] = fallback  # later calls (default roots, stream checkpoints) agree
     return fallback  # the stable base, not Spark's per-application subfolder
 
 

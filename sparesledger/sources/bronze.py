@@ -1,8 +1,9 @@
 """Landing -> bronze: read extracts with explicit schemas, tag them, write them as-is.
 
 The source is a parameter: CSV files with a header (the reference), parquet, or any
-``spark.read.format`` source such as JDBC (``options`` carries url/dbtable/partitioning;
-give ``partitionColumn``/``numPartitions`` so a large table is read in parallel).
+``spark.read.format`` source such as JDBC (``options`` carries the connection; each
+extract's ``dbtable``/``query`` and read partitioning -- ``partitionColumn``/
+``numPartitions`` so a large table is read in parallel -- go per table).
 """
 
 from __future__ import annotations
@@ -63,11 +64,13 @@ def land_bronze(
     ``lowerBound``, ``upperBound``, ``numPartitions``); without either, ``dbtable`` is the
     extract name.
     """
+    if fmt == "jdbc" and {k.lower() for k in (options or {})} & {"dbtable", "query"}:
+        raise ValueError("dbtable/query name one extract: give them per table in table_options")
     written = {}
     for t in tables:
         if fmt == "jdbc":
             opts = {**(options or {}), **((table_options or {}).get(t, {}))}
-            if "dbtable" not in opts and "query" not in opts:
+            if not {k.lower() for k in opts} & {"dbtable", "query"}:  # JDBC keys are case-insensitive
                 opts["dbtable"] = t
             df = add_audit_columns(read_extract(spark, t, None, fmt, opts))
         else:

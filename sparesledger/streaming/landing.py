@@ -42,6 +42,13 @@ def stream_extract(
     return add_audit_columns(df, source_system)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file-system scheme and without redundant separators."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def land_incrementally(
     spark: SparkSession,
     table: str,
@@ -54,19 +61,17 @@ def land_incrementally(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing query; with no ``processing_time`` it drains the folder and stops."""
-    # the default lives under the configured shared folder, keyed by table, source and target,
-    # so a restarted application resumes the same stream and another source/target pair never
-    # inherits its file log (never under Spark's per-application checkpoint subfolder)
-    if checkpoint_location is None:
-        key = hashlib.sha1(f"{source_dir}|{target_dir}".encode()).hexdigest()[:16]
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
-    ckpt = checkpoint_location
+    # A stream's identity is its sink: the checkpoint and the target's commit log must stay
+    # paired. The default lives under the configured shared folder, keyed by the qualified
+    # target path, so a restarted application resumes it and no other target shares it.
+    key = hashlib.sha1(_qualified(spark, target_dir).encode()).hexdigest()[:16]
+    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
     writer = (
         stream_extract(spark, table, source_dir, fmt, options, max_files_per_trigger)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", ckpt)
-        .queryName(f"land_{table}")
+        .queryName(f"land_{table}_{key[:8]}")
     )
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start(target_dir)

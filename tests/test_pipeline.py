@@ -204,7 +204,7 @@ def test_batch_job_from_csv_landing(spark, scratch):
     assert spark.read.parquet(f"{root}/reports/check_grain").count() == 0
 
 
-def test_checkpoint_folder_precedence():
+def test_checkpoint_folder_precedence(spark):
     """The folder the cluster names wins over Spark's per-application subfolder; unset raises."""
     import pytest as _pytest
 
@@ -245,6 +245,16 @@ def test_checkpoint_folder_precedence():
     assert ensure_checkpoint_dir(fresh, "/tmp/other") == "/tmp/x"
     assert default_root(fresh) == "/tmp/x/sparesledger-warehouse"
     assert default_root(fresh, "2026-06-30") == "/tmp/x/sparesledger-warehouse/as_of=2026-06-30"
+    import datetime as dt
+
+    assert default_root(fresh, dt.datetime(2026, 6, 30, 13, 5)) == default_root(fresh, dt.date(2026, 6, 30))
+    # a Column as-of has no folder of its own
+    from pyspark.sql import functions as F
+
+    assert default_root(fresh, F.current_date()) == "/tmp/x/sparesledger-warehouse"
+    # a programmatic checkpoint folder has no known base: refuse a silent local fallback
+    with _pytest.raises(ValueError):
+        ensure_checkpoint_dir(_Spark({}, "hdfs:///ckpt/uuid"), "/tmp/y")
 
     class _SessionConf:
         def get(self, k, default=None):
@@ -264,3 +274,12 @@ def test_recompute_gold_with_another_as_of(spark, scratch):
     d_stored = stored.stores_aging.agg(F.max("days_since_first_receipt")).first()[0]
     d_fresh = fresh.stores_aging.agg(F.max("days_since_first_receipt")).first()[0]
     assert d_fresh - d_stored == (dt.date(2026, 6, 30) - FIXTURE_AS_OF).days
+
+
+def test_stream_checkpoint_key_follows_the_target(spark, scratch):
+    """Respelled target paths map to one stream identity (the sink's commit log stays paired)."""
+    from sparesledger.streaming.landing import _qualified
+
+    a = _qualified(spark, f"{scratch}/bronze_items")
+    assert a == _qualified(spark, f"{scratch}//bronze_items/") == _qualified(spark, f"file:{scratch}/bronze_items")
+    assert a != _qualified(spark, f"{scratch}/bronze_other")
