@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,17 @@ def period_start(name: Column) -> Column:
     return F.try_to_date(name, "MMM-yy")
 
 
+def as_of_date(value) -> _dt.date | Column:
+    """A reporting date from a date, a datetime (its date), ISO text, or a Column expression."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, _dt.datetime):
+        return value.date()
+    if isinstance(value, _dt.date):
+        return value
+    return _dt.date.fromisoformat(str(value))
+
+
 def shift_years(ts: Column, years: int) -> Column:
     """Date of ``ts`` moved by whole years (leap days kept when ``years`` is a multiple of 4)."""
     return F.add_months(F.to_date(ts), 12 * years)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from sparesledger.functions.aging import DEFAULT_EDGES, ISSUE_TYPE, RECEIPT_TYPE, age_bucket, movement_status
 from sparesledger.functions.money import MONEY, div_round
+from sparesledger.functions.periods import as_of_date
 
 # Fixed value: the reference's reporting date (transaction types live in functions.aging).
 REFERENCE_AS_OF = _dt.date(2026, 6, 30)
@@ -32,11 +33,8 @@ KEY = ["inventory_item_id", "org_id"]
 
 
 def _as_date(d) -> F.Column:
-    if isinstance(d, F.Column):
-        return d
-    if isinstance(d, str):
-        d = _dt.date.fromisoformat(d)
-    return F.lit(d)
+    v = as_of_date(d)
+    return v if isinstance(v, F.Column) else F.lit(v)
 
 
 def txn_profile(

@@ -22,11 +22,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparesledger.functions.periods import as_of_date
 from sparesledger.operators.aging import STORES_AGING_COLUMNS
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
-from sparesledger.session import ensure_checkpoint_dir
+from sparesledger.session import ensure_checkpoint_dir, hadoop_path
 from sparesledger.sources.bronze import add_audit_columns
 from sparesledger.sources.schemas import SOURCE_TABLES
 
@@ -49,14 +50,13 @@ def default_root(spark: SparkSession, as_of=None) -> str:
 
 
 def _as_of_day(as_of) -> _dt.date | None:
-    """The as-of date of a run for its folder name (None for no date or a Column expression)."""
-    if as_of is None or isinstance(as_of, Column):
+    """The as-of date of a run for its folder name; an expression has none, so it is refused."""
+    if as_of is None:
         return None
-    if isinstance(as_of, _dt.datetime):
-        return as_of.date()
-    if isinstance(as_of, _dt.date):
-        return as_of
-    return _dt.date.fromisoformat(str(as_of))
+    day = as_of_date(as_of)
+    if isinstance(day, Column):
+        raise ValueError("as_of is an expression: pass an explicit root for this run")
+    return day
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str | None = None) -> None:
@@ -179,9 +179,7 @@ def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
 
 def _existing(spark: SparkSession, base: str, names) -> list[str]:
     """Tables present under ``base`` (a listing through Hadoop's FileSystem, no data read)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, path = hadoop_path(spark, base)
     if not fs.exists(path):
         return []
     present = {st.getPath().getName() for st in fs.listStatus(path)}

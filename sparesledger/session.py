@@ -43,9 +43,10 @@ def local_session(
     return spark
 
 
-# Folder chosen by ensure_checkpoint_dir for a session without spark.checkpoint.dir (tests,
-# bench). Weak keys: an entry dies with its session and is never inherited by a new one.
-_LOCAL_FALLBACK: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
+# Folder chosen by ensure_checkpoint_dir when spark.checkpoint.dir is unset (tests, bench).
+# Keyed weakly by the SparkContext it configured: every session of that context sees it, and
+# it dies with the context, so a new one never inherits it.
+_LOCAL_FALLBACK: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -67,7 +68,12 @@ def shared_folder(spark: SparkSession) -> str | None:
             d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
             d = None
-    return d or _LOCAL_FALLBACK.get(spark) or None
+    if d:
+        return d
+    try:
+        return _LOCAL_FALLBACK.get(spark.sparkContext)
+    except Exception:  # noqa: BLE001 - no JVM context (e.g. Spark Connect)
+        return None
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -94,7 +100,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         # and a local fallback must not silently replace it
         raise ValueError("checkpoint folder set without spark.checkpoint.dir: set the conf to its base")
     spark.sparkContext.setCheckpointDir(fallback)
-    _LOCAL_FALLBACK[spark] = fallback  # later calls (default roots, stream checkpoints) agree
+    _LOCAL_FALLBACK[spark.sparkContext] = fallback  # later calls (default roots, streams) agree
     return fallback  # the stable base, not Spark's per-application subfolder
 
 
@@ -122,3 +128,12 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(FileSystem, qualified Path) for ``path`` under the session's Hadoop configuration."""
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    return fs, fs.makeQualified(p)

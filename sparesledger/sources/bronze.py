@@ -64,7 +64,8 @@ def land_bronze(
     ``lowerBound``, ``upperBound``, ``numPartitions``); without either, ``dbtable`` is the
     extract name.
     """
-    if fmt == "jdbc" and {k.lower() for k in (options or {})} & {"dbtable", "query"}:
+    tables = list(tables)
+    if fmt == "jdbc" and len(tables) > 1 and {k.lower() for k in (options or {})} & {"dbtable", "query"}:
         raise ValueError("dbtable/query name one extract: give them per table in table_options")
     written = {}
     for t in tables:

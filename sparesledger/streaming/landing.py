@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sparesledger.session import ensure_checkpoint_dir
+from sparesledger.session import ensure_checkpoint_dir, hadoop_path
 from sparesledger.sources.bronze import SOURCE_SYSTEM, add_audit_columns
 from sparesledger.sources.schemas import SOURCE_SCHEMAS
 
@@ -43,10 +43,8 @@ def stream_extract(
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with its file-system scheme and without redundant separators."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    """``path`` qualified as the sink resolves it (session Hadoop conf, scheme, no extra '/')."""
+    return hadoop_path(spark, path)[1].toString()
 
 
 def land_incrementally(
@@ -63,15 +61,19 @@ def land_incrementally(
     """Start the landing query; with no ``processing_time`` it drains the folder and stops."""
     # A stream's identity is its sink: the checkpoint and the target's commit log must stay
     # paired. The default lives under the configured shared folder, keyed by the qualified
-    # target path, so a restarted application resumes it and no other target shares it.
-    key = hashlib.sha1(_qualified(spark, target_dir).encode()).hexdigest()[:16]
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
+    # target path, so a restarted application resumes it and no other target shares it. To
+    # feed an existing target from a different source folder, give a new checkpoint_location.
+    if checkpoint_location is None:
+        key = hashlib.sha1(_qualified(spark, target_dir).encode()).hexdigest()[:16]
+        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
+    ckpt = checkpoint_location
+    key = hashlib.sha1(ckpt.encode()).hexdigest()[:8]  # distinct names for parallel streams
     writer = (
         stream_extract(spark, table, source_dir, fmt, options, max_files_per_trigger)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", ckpt)
-        .queryName(f"land_{table}_{key[:8]}")
+        .queryName(f"land_{table}_{key}")
     )
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start(target_dir)

@@ -248,10 +248,11 @@ def test_checkpoint_folder_precedence(spark):
     import datetime as dt
 
     assert default_root(fresh, dt.datetime(2026, 6, 30, 13, 5)) == default_root(fresh, dt.date(2026, 6, 30))
-    # a Column as-of has no folder of its own
+    # an expression as-of has no date of its own: the caller must name the root
     from pyspark.sql import functions as F
 
-    assert default_root(fresh, F.current_date()) == "/tmp/x/sparesledger-warehouse"
+    with _pytest.raises(ValueError):
+        default_root(fresh, F.current_date())
     # a programmatic checkpoint folder has no known base: refuse a silent local fallback
     with _pytest.raises(ValueError):
         ensure_checkpoint_dir(_Spark({}, "hdfs:///ckpt/uuid"), "/tmp/y")
@@ -283,3 +284,43 @@ def test_stream_checkpoint_key_follows_the_target(spark, scratch):
     a = _qualified(spark, f"{scratch}/bronze_items")
     assert a == _qualified(spark, f"{scratch}//bronze_items/") == _qualified(spark, f"file:{scratch}/bronze_items")
     assert a != _qualified(spark, f"{scratch}/bronze_other")
+
+
+def test_streaming_default_checkpoint_resumes(spark, scratch):
+    """Without a checkpoint_location the stream checkpoints under the shared folder, keyed by the
+    target, so a second start (a new run) resumes instead of re-landing."""
+    fx = Fixtures(spark, SF_SMALL)
+    items = fx.mtl_system_items_b
+    src, dst = f"{scratch}/drop", f"{scratch}/bronze_default_ckpt"
+    items.filter("ORGANIZATION_ID = 0").write.option("header", "true").csv(f"{src}/b1")
+    land_incrementally(spark, "mtl_system_items_b", f"{src}/*", dst).awaitTermination()
+    items.filter("ORGANIZATION_ID <> 0").write.option("header", "true").csv(f"{src}/b2")
+    land_incrementally(spark, "mtl_system_items_b", f"{src}/*", dst + "/").awaitTermination()  # respelled
+    assert spark.read.parquet(dst).count() == items.count()
+
+
+def test_second_session_sees_the_local_fallback():
+    from sparesledger.session import _LOCAL_FALLBACK, ensure_checkpoint_dir, shared_folder
+
+    class _Ctx:
+        def __init__(self):
+            self.ckpt = None
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.ckpt
+
+        def setCheckpointDir(self, d):
+            self.ckpt = f"{d}/uuid"
+
+    class _S:
+        def __init__(self, ctx):
+            self.sparkContext = ctx
+
+    ctx = _Ctx()
+    first, second = _S(ctx), _S(ctx)
+    assert ensure_checkpoint_dir(first, "/tmp/fb") == "/tmp/fb"
+    assert shared_folder(second) == "/tmp/fb" and ensure_checkpoint_dir(second, "/tmp/other") == "/tmp/fb"
+    assert ctx in _LOCAL_FALLBACK
