@@ -33,7 +33,9 @@ def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(20
 
 def avg_round(c: Column, digits: int) -> Column:
     """Exactly rounded mean of a decimal column (NULLs skipped, NULL on no rows)."""
-    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(32,2)", den_type="decimal(20,0)")
+    # decimal(30,2) / decimal(20,0) keeps 10 fractional digits (a wider numerator would cut the
+    # quotient's scale and round twice)
+    return div_round(F.sum(c), F.count(c), digits, num_type="decimal(30,2)", den_type="decimal(20,0)")
 
 
 def in_millions(c: Column, digits: int) -> Column:

@@ -24,6 +24,8 @@ def period_start(name: Column) -> Column:
 
 def as_of_date(value) -> _dt.date | Column:
     """A reporting date from a date, a datetime (its date), ISO text, or a Column expression."""
+    if value is None:
+        raise ValueError("an as-of date is required")
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):

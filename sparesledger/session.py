@@ -56,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     is a fallback for deployments that keep it only there. This is the stable base for
     written tables and stream checkpoints -- Spark's own checkpoint folder adds a
     per-application UUID below it and would move on every run. A local folder chosen by
-    ``ensure_checkpoint_dir`` (tests, bench) is remembered for the session.
+    ``ensure_checkpoint_dir`` (tests, bench) is remembered for its SparkContext.
     """
     d = None
     try:

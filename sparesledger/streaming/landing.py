@@ -59,21 +59,24 @@ def land_incrementally(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing query; with no ``processing_time`` it drains the folder and stops."""
-    # A stream's identity is its sink: the checkpoint and the target's commit log must stay
-    # paired. The default lives under the configured shared folder, keyed by the qualified
-    # target path, so a restarted application resumes it and no other target shares it. To
-    # feed an existing target from a different source folder, give a new checkpoint_location.
-    if checkpoint_location is None:
-        key = hashlib.sha1(_qualified(spark, target_dir).encode()).hexdigest()[:16]
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
-    ckpt = checkpoint_location
-    key = hashlib.sha1(ckpt.encode()).hexdigest()[:8]  # distinct names for parallel streams
+    # A stream's identity is its sink: a target folder's commit log and its checkpoint are a
+    # pair. The default checkpoint lives under the configured shared folder, keyed by the
+    # qualified target, so a restarted application resumes it. A target that already has a
+    # commit log is never paired with a fresh checkpoint (the sink would skip the new batch
+    # ids as already committed): land a different source into a new target instead. The
+    # query name carries the same key, so two streams cannot write one target at once.
+    key = hashlib.sha1(_qualified(spark, target_dir).encode()).hexdigest()[:16]
+    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/bronze/{table}-{key}"
+    fs, sink_log = hadoop_path(spark, f"{target_dir.rstrip('/')}/_spark_metadata")
+    if fs.exists(sink_log) and not fs.exists(hadoop_path(spark, f"{ckpt.rstrip('/')}/commits")[1]):
+        raise ValueError(f"{target_dir} already has a stream commit log but {ckpt} has no commits: "
+                         "resume with its checkpoint, or land into a new target")
     writer = (
         stream_extract(spark, table, source_dir, fmt, options, max_files_per_trigger)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", ckpt)
-        .queryName(f"land_{table}_{key}")
+        .queryName(f"land_{table}_{key[:8]}")
     )
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start(target_dir)

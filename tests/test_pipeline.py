@@ -324,3 +324,20 @@ def test_second_session_sees_the_local_fallback():
     assert ensure_checkpoint_dir(first, "/tmp/fb") == "/tmp/fb"
     assert shared_folder(second) == "/tmp/fb" and ensure_checkpoint_dir(second, "/tmp/other") == "/tmp/fb"
     assert ctx in _LOCAL_FALLBACK
+
+
+def test_streaming_refuses_a_fresh_checkpoint_over_a_used_target(spark, scratch):
+    import pytest as _pytest
+
+    fx = Fixtures(spark, SF_SMALL)
+    items = fx.mtl_system_items_b
+    items.filter("ORGANIZATION_ID = 0").write.option("header", "true").csv(f"{scratch}/src1/b1")
+    land_incrementally(spark, "mtl_system_items_b", f"{scratch}/src1/*", f"{scratch}/dst",
+                       f"{scratch}/ck1").awaitTermination()
+    items.filter("ORGANIZATION_ID <> 0").write.option("header", "true").csv(f"{scratch}/src2/b1")
+    with _pytest.raises(ValueError):
+        land_incrementally(spark, "mtl_system_items_b", f"{scratch}/src2/*", f"{scratch}/dst", f"{scratch}/ck2")
+    # into a new target the second source lands in full
+    land_incrementally(spark, "mtl_system_items_b", f"{scratch}/src2/*", f"{scratch}/dst2",
+                       f"{scratch}/ck2").awaitTermination()
+    assert spark.read.parquet(f"{scratch}/dst2").count() == items.filter("ORGANIZATION_ID <> 0").count()
