@@ -2,7 +2,7 @@
 
 Spark sizes a decimal quotient from the operand precisions; with wide operands the scale
 collapses to 6 and a later ``round`` rounds twice. Casting operands to bounded precision
-first keeps 12+ fractional digits, so ``round(num / den, n)`` equals the exactly rounded
+first keeps 10+ fractional digits, so ``round(num / den, n)`` equals the exactly rounded
 quotient (HALF_UP, away from zero) for every realistic input.
 """
 
@@ -24,7 +24,7 @@ def div_round(num: Column, den: Column, digits: int, num_type: str = "decimal(20
     Spark gives ``decimal(p1,s1) / decimal(p2,s2)`` the scale ``max(6, s1 + p2 + 1)`` and cuts
     it when the precision passes 38, so the operand types are chosen per call: wide enough
     for any value of the source types (money and quantities are ``DECIMAL(18,2)``) and still
-    14+ fractional digits, e.g. ``decimal(18,2) / decimal(14,8)`` is ``decimal(38,14)`` and
+    10+ fractional digits, e.g. ``decimal(18,2) / decimal(14,8)`` is ``decimal(38,14)`` and
     ``decimal(30,10) / decimal(18,2)`` is ``decimal(38,16)``.
     """
     d = den.cast(den_type)
