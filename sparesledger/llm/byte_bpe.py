@@ -95,7 +95,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     table: list[tuple] = []
 
-    def finish(ids, lengths, numbers, _, found):
+    def finish(_, ids, lengths, numbers, __, found):
         if not table:
             by_rank = sorted(load_ranks(ranks_path).items(), key=lambda x: x[1])
             size = np.zeros(by_rank[-1][1] + 1, dtype=np.int64)

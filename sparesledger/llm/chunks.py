@@ -126,16 +126,16 @@ def per_bucket(rows: DataFrame, resolve: Callable[[Iterator], Iterator], id_type
 
 
 def per_chunk(rows: DataFrame, resolved: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """``finish(ids, lengths, numbers, beside, [(a, b, c) of the buckets in order])`` for each chunk,
-    which gives a RecordBatch (or several)."""
+    """``finish(chunk, ids, lengths, numbers, beside, [(a, b, c) of the buckets in order])`` for each
+    chunk, which gives RecordBatches."""
     id_type = rows.schema["ids"].dataType
 
-    def done(held):
+    def done(chunk, held):
         (ids, a, b, c), found = held
         numbers_ = unpacked(b)
         lengths = unpacked(a, "<u4").astype(np.int64)
         kind = "<u2" if len(numbers_) == 2 * lengths.sum() else "<u4"
-        yield from finish(ids, lengths, np.frombuffer(numbers_, dtype=kind), None if c is None else unpacked(c), found)
+        yield from finish(chunk, ids, lengths, np.frombuffer(numbers_, dtype=kind), None if c is None else unpacked(c), found)
 
     def run(batches):
         at, held = None, None
@@ -145,14 +145,14 @@ def per_chunk(rows: DataFrame, resolved: DataFrame, finish: Callable, schema: st
                 chunk, bucket, a, b, c = (batch.column(k)[i].as_py() for k in ("chunk", "bucket", "a", "b", "c"))
                 if chunk != at:
                     if held:
-                        yield from done(held)
+                        yield from done(at, held)
                     at, held = chunk, None
                 if bucket < 0:
                     held = ((ids[i].values, a, b, c), [])
                 else:
                     held[1].append((a, b, c))
         if held:
-            yield from done(held)
+            yield from done(at, held)
 
     both = rows.filter("bucket < 0").unionByName(resolved.withColumn("ids", F.lit(None).cast(id_type)).select(*NAMES))
     return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, near_dedup, packing, sharding, substring_dedup, suffix_dedup
+from . import byte_bpe, exact_dedup, fingerprints, katz_lm, language_id, near_dedup, packing, sharding, substring_dedup, suffix_dedup
 from .common import read_documents
 
 
@@ -21,11 +21,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_documents(spark, sf_dir))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                            public_tokenizers.PATTERN)
 
 
+def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_lm.score(read_documents(spark, sf_dir), language_id.fold("doc_id") == 1)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -47,7 +55,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_language_id, op4_byte_bpe, op6_best_fit_packing, op7_substring_dedup, op8_exact_dedup,
+    op1_minhash_dedup, op2_language_id, op3_fingerprints, op4_byte_bpe, op5_katz_scoring, op6_best_fit_packing, op7_substring_dedup, op8_exact_dedup,
     op9_suffix_array_dedup, op10_jump_sharding)}
 
 ORACLE_SQL = {
