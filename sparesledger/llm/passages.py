@@ -18,16 +18,15 @@ the ends of a shared passage. All counts are over all documents.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, as_bytes, fmix64, in_blocks, per_text, stored
+from .common import U64, as_bytes, fmix64, in_blocks, stored, work_folder
 
 _BASES = (U64(0x9E3779B97F4A7C15 | 1), U64(0xD6E8FEB86659FD93 | 1))
 
@@ -94,19 +93,20 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def document_key(id_col: str, text_col: str) -> Column:
+    """A 64-bit name of a document (its id and text), by which its rows are joined."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+
+
 def survey(docs: DataFrame, id_col: str, text_col: str, units, shape: Shape, unit_count) -> DataFrame:
-    """One stored row per input row: row, id, th (hash of the text), n units, sha256 of the text
-    as it would be kept whole, anchors (their hashes). ``units(bytes)`` gives the unit hashes,
-    ``unit_count(bytes)`` (count, the bytes kept if nothing is removed)."""
-
-    def rows(ids, texts, seen):
-        part = TaskContext.get().partitionId()
-        numbers = np.arange(len(texts)) + seen[0] + (part << 40)
-        seen[0] += len(texts)
-        th, n, sha, flat, ends = [], [], [], [], [0]
+    """One stored row per input row: id, key, n units, sha256 of the text as it would be kept
+    whole, anchors (their hashes). ``units(bytes)`` gives the unit hashes, ``unit_count(bytes)``
+    (count, the bytes kept if nothing is removed)."""
+
+    def rows(ids, keys, texts):
+        n, sha, flat, ends = [], [], [], [0]
         for t in texts:
             count, whole = unit_count(t)
-            th.append(xxhash.xxh3_64_intdigest(t))
             n.append(count)
             sha.append(hashlib.sha256(whole).digest())
             found = np.zeros(0, dtype=U64)
@@ -115,56 +115,60 @@ def survey(docs: DataFrame, id_col: str, text_col: str, units, shape: Shape, uni
                 found = h[anchors(h, shape)[0]]
             flat.append(found)
             ends.append(ends[-1] + len(found))
-        values = np.concatenate(flat) if flat else np.zeros(0, dtype=U64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(numbers), ids, _signed(np.array(th, dtype=U64)), pa.array(n, pa.int64()), pa.array(sha, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(values))],
-            ["row", "id", "th", "n", "sha", "anchors"])
+            [ids, keys, pa.array(n, pa.int64()), pa.array(sha, pa.binary()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(flat)))], ["id", "key", "n", "sha", "anchors"])
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or b"" for t in as_bytes(batch.column(2))]
+            for a, b in in_blocks(texts):
+                yield rows(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), texts[a:b])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return stored(per_text(docs, id_col, text_col, f"row long, id {id_type}, th long, n long, sha binary, anchors array<long>",
-                           rows, [0]), "survey")
+    texts = docs.select(F.col(f"`{id_col}`"), document_key(id_col, text_col), F.col(f"`{text_col}`"))
+    return stored(texts.mapInArrow(run, f"id {id_type}, key long, n long, sha binary, anchors array<long>"), "survey")
 
 
-def suspects(docs: DataFrame, id_col: str, text_col: str, found: DataFrame, text_hash) -> DataFrame:
-    """The texts in which an anchor stands that stands again anywhere: id, th, text (stored).
+def suspects(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
+    """The texts in which an anchor stands that stands again anywhere: id, key, text, again (those
+    anchors), as a table bucketed by key, so that later joins by key leave the texts in place.
 
     Rows that repeat both id and text are one document.
     """
-    each = found.select("row", F.explode("anchors").alias("h"))
+    spark = docs.sparkSession
+    each = found.select("key", F.explode("anchors").alias("h"))
     again = each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
-    rows = each.join(again, "h", "left_semi").select("row").distinct()
-    keys = found.select("row", "id", "th").join(rows, "row", "left_semi").select("id", "th").distinct()
-    keys = stored(keys.withColumnsRenamed({"id": "key_id", "th": "key_th"}), "suspect-keys")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    # the text's hash is taken after the join by id, on what is left
-    near = texts.join(keys.select("key_id").distinct(), texts["id"].eqNullSafe(F.col("key_id"))).select("id", "text")
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def hashed(batches):
-        for batch in batches:
-            th = np.array([xxhash.xxh3_64_intdigest(t) for t in as_bytes(batch.column(1))], dtype=U64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _signed(th), batch.column(1)], ["id", "th", "text"])
-
-    out = near.mapInArrow(hashed, f"id {id_type}, th long, text string")
-    both = out.join(keys, out["id"].eqNullSafe(F.col("key_id")) & (out["th"] == F.col("key_th")), "left_semi")
-    return stored(both.dropDuplicates(["id", "th"]), "suspects")
+    marked = stored(each.join(again, "h", "left_semi").groupBy("key").agg(F.collect_set("h").alias("again")), "marked")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), document_key(id_col, text_col).alias("key"),
+                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    both = texts.join(marked, "key")
+    # the narrow survey tells whether any row repeats another
+    if found.groupBy("key").count().filter("count > 1").limit(1).count():
+        both = both.dropDuplicates(["key", "id"])
+    name = f"llm_suspects_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (both.write.bucketBy(buckets, "key").option("compression", "zstd")
+     .option("path", f"{work_folder(spark).rstrip('/')}/llm/{name}").saveAsTable(name))
+    return spark.table(name)
 
 
 def extended(texts: DataFrame, units, shape: Shape) -> DataFrame:
-    """Rows g, c1, c2 (hashes of extended gram and context), id, th, lo, hi of the suspects."""
+    """Rows g, c (hashes of extended gram and context), id, key, lo, hi of the suspects'
+    repeated anchors (stored); grams that stand once are left out."""
 
     def run(batches):
         for batch in batches:
-            ids, th, all_texts = batch.column(0), batch.column(1), as_bytes(batch.column(2))
+            ids, key, all_texts, again = batch.column(0), batch.column(1), as_bytes(batch.column(2)), batch.column(3)
             for a, b in in_blocks(all_texts, 1 << 20):
-                cols, row = [[] for _ in range(5)], []
+                cols, row = [[] for _ in range(4)], []
                 for i in range(a, b):
                     u = units(all_texts[i])
-                    if len(u) < shape.length:
-                        continue
-                    one, two = Grams(u), Grams(u, 1)
-                    p, lo, hi = anchors(one.all(shape.gram), shape)
+                    one = Grams(u)
+                    h = one.all(shape.gram)
+                    p, lo, hi = anchors(h, shape)
+                    keep = np.isin(h[p].view(np.int64), again[i].values.to_numpy())
+                    p, lo, hi = p[keep], lo[keep], hi[keep]
                     turn = p - (shape.length - shape.half)  # from here on the right gram is inside
                     right = hi >= turn
                     left = lo < turn
@@ -174,38 +178,38 @@ def extended(texts: DataFrame, units, shape: Shape) -> DataFrame:
                     g ^= np.r_[np.zeros(right.sum(), dtype=U64), np.ones(left.sum(), dtype=U64)]
                     # the context's hash also says where in it the gram stands
                     shift = fmix64((start - lo2).astype(U64) + U64(1))
-                    for c, x in zip(cols, (g, one(lo2, hi2 + shape.length) ^ shift, two(lo2, hi2 + shape.length), lo2, hi2)):
+                    for c, x in zip(cols, (g, one(lo2, hi2 + shape.length) ^ shift, lo2, hi2)):
                         c.append(x)
                     row.append(np.full(len(g), i))
                 if row:
                     at = pa.array(np.concatenate(row))
-                    g, c1, c2, lo2, hi2 = (np.concatenate(c) for c in cols)
+                    g, context, lo2, hi2 = (np.concatenate(c) for c in cols)
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(g), _signed(c1), _signed(c2), ids.take(at), th.take(at),
-                         pa.array(lo2.astype(np.int64)), pa.array(hi2.astype(np.int64))],
-                        ["g", "c1", "c2", "id", "th", "lo", "hi"])
+                        [_signed(g), _signed(context), ids.take(at), key.take(at),
+                         pa.array(lo2.astype(np.int32)), pa.array(hi2.astype(np.int32))],
+                        ["g", "c", "id", "key", "lo", "hi"])
 
     id_type = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "th", "text").mapInArrow(
-        run, f"g long, c1 long, c2 long, id {id_type}, th long, lo long, hi long")
+    rows = stored(texts.select("id", "key", "text", "again").mapInArrow(
+        run, f"g long, c long, id {id_type}, key long, lo int, hi int"), "extended")
+    several = rows.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
+    return stored(rows.join(several, "g", "left_semi"), "repeated-grams")
 
 
 def contexts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, open): rows counted by gram and context, with the first occurrence of each; and
-    those groups whose gram also stands in another context (stored)."""
-    groups = stored(rows.groupBy("g", "c1", "c2").agg(
-        F.count(F.lit(1)).alias("k"), F.min(F.struct("id", "th", "lo", "hi")).alias("first")), "contexts")
+    those groups whose gram also stands in another context."""
+    groups = stored(rows.groupBy("g", "c").agg(
+        F.count(F.lit(1)).alias("k"), F.min(F.struct("id", "key", "lo", "hi")).alias("first")), "contexts")
     several = groups.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return groups, groups.join(several.select("g"), "g", "left_semi")
 
 
 def by_text(ranges: DataFrame, texts: DataFrame) -> DataFrame:
-    """Texts with the list of their ranges (structs), joined null-safely on id and th."""
-    fields = [c for c in ranges.columns if c not in ("id", "th")]
-    lists = ranges.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("ranges"))
-    lists = lists.withColumnsRenamed({"id": "key_id", "th": "key_th"})
-    return texts.join(lists, texts["id"].eqNullSafe(F.col("key_id")) & (texts["th"] == F.col("key_th"))).select(
-        "id", "th", "text", "ranges")
+    """Texts with the list of their ranges (structs): id, key, text, ranges."""
+    fields = [c for c in ranges.columns if c not in ("id", "key")]
+    lists = ranges.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("ranges"))
+    return texts.join(lists, "key").select("id", "key", "text", "ranges")
 
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -217,9 +221,6 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def outcome(found: DataFrame, changed: DataFrame) -> DataFrame:
-    """Each input row with its text's outcome: id, th, n, sha and the columns of ``changed``
+    """Each input row with its text's outcome: id, key, n, sha and the columns of ``changed``
     (null where nothing is removed)."""
-    changed = changed.withColumnsRenamed({"id": "key_id", "th": "key_th"})
-    rows = found.select("id", "th", "n", "sha")
-    return rows.join(changed, rows["id"].eqNullSafe(F.col("key_id")) & (rows["th"] == F.col("key_th")), "left").drop(
-        "key_id", "key_th")
+    return found.select("id", "key", "n", "sha").join(changed.drop("id"), "key", "left")

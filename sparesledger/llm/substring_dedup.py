@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .common import U64, WordHashes, as_bytes, stored
+from .common import WordHashes, as_bytes, stored
 
 _WORDS = WordHashes()
 
@@ -37,12 +37,12 @@ def shape(window: int) -> passages.Shape:
 
 
 def _windows(batches, size: int):
-    """Each window of the open ranges: w1, w2 (128-bit hash), k (occurrences), id, th, start."""
+    """Each window of the open ranges: w1, w2 (128-bit hash), k (occurrences), id, key, start."""
     for batch in batches:
         texts = as_bytes(batch.column(2))
         for i, text in enumerate(texts):
             ranges = batch.column(3)[i].values
-            lo, hi, k = (ranges.field(f).to_numpy() for f in ("lo", "hi", "k"))
+            lo, hi, k = (ranges.field(f).to_numpy().astype(np.int64) for f in ("lo", "hi", "k"))
             u = _units(text)
             n = hi - lo + 1
             start = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -50,8 +50,8 @@ def _windows(batches, size: int):
             same = pa.array(np.full(len(start), i))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.repeat(k, n)),
-                 batch.column(0).take(same), batch.column(1).take(same), pa.array(start)],
-                ["w1", "w2", "k", "id", "th", "lo"])
+                 batch.column(0).take(same), batch.column(1).take(same), pa.array(start.astype(np.int32))],
+                ["w1", "w2", "k", "id", "key", "lo"])
 
 
 def _cut(batches, size: int):
@@ -67,27 +67,27 @@ def _cut(batches, size: int):
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
              pa.array([hashlib.sha256(x).digest() for x in kept], pa.binary()),
-             pa.array([x.decode() for x in kept], pa.string())], ["id", "th", "removed", "kept_sha", "kept_text"])
+             pa.array([x.decode() for x in kept], pa.string())], ["id", "key", "removed", "kept_sha", "kept_text"])
 
 
 def _run(docs: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
-    """(every row's survey, texts that lose words: id, th, removed, kept_sha, kept_text)."""
+    """(every row's survey, texts that lose words: id, key, removed, kept_sha, kept_text)."""
     levels = shape(window)
     found = passages.survey(docs, id_col, text_col, _units, levels, _whole)
-    texts = passages.suspects(docs, id_col, text_col, found, None)
+    texts = passages.suspects(docs, id_col, text_col, found)
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = stored(passages.extended(texts, _units, levels), "extended")
+    rows = passages.extended(texts, _units, levels)
     groups, open_ = passages.contexts(rows)
-    repeated = rows.join(groups.filter("k > 1").select("g", "c1", "c2"), ["g", "c1", "c2"], "left_semi").select(
-        "id", "th", "lo", "hi")
+    repeated = rows.join(groups.filter("k > 1").select("g", "c"), ["g", "c"], "left_semi").select(
+        "id", "key", "lo", "hi")
     ends = passages.by_text(open_.select("first.*", "k"), texts)
-    windows = stored(ends.mapInArrow(lambda b: _windows(b, window), f"w1 long, w2 long, k long, id {id_type}, th long, lo long"),
+    windows = stored(ends.mapInArrow(lambda b: _windows(b, window), f"w1 long, w2 long, k long, id {id_type}, key long, lo int"),
                      "windows")
     again = windows.groupBy("w1", "w2").agg(F.sum("k").alias("n")).filter("n > 1").select("w1", "w2")
-    single = windows.filter("k = 1").join(again, ["w1", "w2"], "left_semi").select("id", "th", "lo", F.col("lo").alias("hi"))
+    single = windows.filter("k = 1").join(again, ["w1", "w2"], "left_semi").select("id", "key", "lo", F.col("lo").alias("hi"))
     ranges = repeated.unionByName(single)
     return found, passages.by_text(ranges, texts).mapInArrow(
-        lambda b: _cut(b, window), f"id {id_type}, th long, removed long, kept_sha binary, kept_text string")
+        lambda b: _cut(b, window), f"id {id_type}, key long, removed long, kept_sha binary, kept_text string")
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
@@ -111,21 +111,11 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Texts that lose nothing stay as they are; ``size_col``, if there, follows a changed text.
     """
     _, changed = _run(docs, id_col, text_col, window)
-    lost = changed.filter("removed > 0").select(F.col("id").alias("__id"), F.col("th").alias("__th"),
-                                                F.col("kept_text").alias("__kept"))
-    lost = stored(lost, "kept-texts")
-    several = lost.groupBy("__id").count().filter("count > 1").limit(1).count() > 0
-    on = docs[id_col].eqNullSafe(lost["__id"])
-    if several:  # one id, several texts: their hashes tell them apart
-        import xxhash
-        from pyspark.sql import types as T
-
-        hashed = F.udf(lambda t: np.array([xxhash.xxh3_64_intdigest((t or "").encode())], dtype=U64).view(np.int64)[0].item(),
-                       T.LongType())
-        on = on & (hashed(docs[text_col]) == lost["__th"])
-    rows = docs.join(lost, on, "left")
-    new = {text_col: F.coalesce(lost["__kept"], docs[text_col]).alias(text_col)}
+    lost = stored(changed.filter("removed > 0").select(F.col("key").alias("__key"), F.col("kept_text").alias("__kept")), "kept-texts")
+    rows = docs.withColumn("__own_key", passages.document_key(id_col, text_col)).join(
+        lost, F.col("__own_key") == F.col("__key"), "left")
+    new = {text_col: F.coalesce("__kept", F.col(f"`{text_col}`")).alias(text_col)}
     if size_col and size_col in docs.columns:
         kind = docs.schema[size_col].dataType
-        new[size_col] = F.when(lost["__kept"].isNotNull(), F.length(lost["__kept"]).cast(kind)).otherwise(docs[size_col]).alias(size_col)
-    return rows.select([new.get(c, docs[c]) for c in docs.columns])
+        new[size_col] = F.when(F.col("__kept").isNotNull(), F.length("__kept").cast(kind)).otherwise(F.col(f"`{size_col}`")).alias(size_col)
+    return rows.select([new.get(c, F.col(f"`{c}`")) for c in docs.columns])

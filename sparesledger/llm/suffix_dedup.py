@@ -113,12 +113,12 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, starts: np.ndarray, cap: i
 
 
 def _shard(table: pa.Table, length: int) -> pa.Table:
-    """Rows (win, id, th, lo, hi) of one shard's stretches: starts that go have win null; of a
+    """Rows (win, id, key, lo, hi) of one shard's stretches: starts that go have win null; of a
     dealt gram also each string kept (lo = hi), for the merge."""
-    order = pc.sort_indices(table, [("id", "ascending"), ("th", "ascending"), ("lo", "ascending")], null_placement="at_start")
+    order = pc.sort_indices(table, [("id", "ascending"), ("key", "ascending"), ("lo", "ascending")], null_placement="at_start")
     table = table.take(order)
     parts = as_bytes(table["part"].combine_chunks())
-    lo, dealt = table["lo"].to_numpy(), table["dealt"].to_numpy(zero_copy_only=False)
+    lo, dealt = table["lo"].to_numpy().astype(np.int64), table["dealt"].to_numpy(zero_copy_only=False)
     sizes = np.array([len(p) for p in parts])
     # 0xFF stands in no UTF-8 text
     data = np.frombuffer(b"\xff".join(parts) + b"\xff", dtype=np.uint8)
@@ -142,21 +142,21 @@ def _shard(table: pa.Table, length: int) -> pa.Table:
     win = [None] * len(a) + [bytes(data[i:i + length]) for i in stay.tolist()]
     a, b = np.r_[a, stay], np.r_[b, stay]
     who = pa.array(owner[a])
-    return pa.table([pa.array(win, pa.binary()), table["id"].combine_chunks().take(who), table["th"].combine_chunks().take(who),
-                     pa.array(lo[owner[a]] + inside[a]), pa.array(lo[owner[b]] + inside[b])],
-                    ["win", "id", "th", "lo", "hi"])
+    return pa.table([pa.array(win, pa.binary()), table["id"].combine_chunks().take(who), table["key"].combine_chunks().take(who),
+                     pa.array((lo[owner[a]] + inside[a]).astype(np.int32)), pa.array((lo[owner[b]] + inside[b]).astype(np.int32))],
+                    ["win", "id", "key", "lo", "hi"])
 
 
 def _parts(batches, length: int):
     for batch in batches:
         for i, text in enumerate(as_bytes(batch.column(2))):
             ranges = batch.column(3)[i].values
-            lo, hi = (ranges.field(f).to_numpy() for f in ("lo", "hi"))
+            lo, hi = (ranges.field(f).to_numpy().astype(np.int64) for f in ("lo", "hi"))
             same = pa.array(np.full(len(lo), i))
             yield pa.RecordBatch.from_arrays(
                 [ranges.field("g"), ranges.field("salt"), batch.column(0).take(same), batch.column(1).take(same), ranges.field("lo"),
                  pa.array([text[a:b + length] for a, b in zip(lo.tolist(), hi.tolist())], pa.binary())],
-                ["g", "salt", "id", "th", "lo", "part"])
+                ["g", "salt", "id", "key", "lo", "part"])
 
 
 def _merge(batches):
@@ -167,7 +167,7 @@ def _merge(batches):
         again = [w == (win[i - 1] if i else last) for i, w in enumerate(win)]
         last = win[-1] if win else last
         rest = batch.filter(pa.array(again, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([rest.column(1), rest.column(2), rest.column(3), rest.column(3)], ["id", "th", "lo", "hi"])
+        yield pa.RecordBatch.from_arrays([rest.column(1), rest.column(2), rest.column(3), rest.column(3)], ["id", "key", "lo", "hi"])
 
 
 def _cut(batches, length: int):
@@ -181,7 +181,7 @@ def _cut(batches, length: int):
             kept.append(hashlib.sha256(np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()).digest())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-            ["id", "th", "removed", "spans", "kept_sha"])
+            ["id", "key", "removed", "spans", "kept_sha"])
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
@@ -189,37 +189,37 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes when a string of ``length`` bytes that covers it also starts earlier: in a
-    document of smaller id (null is the smallest; of equal ids, of smaller text hash) or earlier
+    document of smaller id (null is the smallest; of equal ids, of smaller key) or earlier
     in the same one. Null or short texts lose nothing; rows that repeat both id and text are one
     document; an empty table gives an empty result.
     """
     levels = shape(length)
     id_type = docs.schema[id_col].dataType.simpleString()
     found = passages.survey(docs, id_col, text_col, _units, levels, _whole)
-    texts = passages.suspects(docs, id_col, text_col, found, None)
-    rows = stored(passages.extended(texts, _units, levels), "extended")
+    texts = passages.suspects(docs, id_col, text_col, found)
+    rows = passages.extended(texts, _units, levels)
     groups, open_ = passages.contexts(rows)
-    later = rows.join(groups.filter("k > 1").select("g", "c1", "c2", "first"), ["g", "c1", "c2"]).filter(
-        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")) & (F.col("lo") == F.col("first.lo")))
-    ).select("id", "th", "lo", "hi")
+    later = rows.join(groups.filter("k > 1").select("g", "c", "first"), ["g", "c"]).filter(
+        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key")) & (F.col("lo") == F.col("first.lo")))
+    ).select("id", "key", "lo", "hi")
     # stretches of a gram that fill more than half a shard are dealt over several
     each = max(1, shard_bytes // (4 * length))
     counts = groups.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     dealt = open_.join(counts, "g").select(
-        "g", "first.*", F.when(F.col("n") > each, F.pmod(F.xxhash64("c1", "c2"), F.ceil(F.col("n") / each))).alias("salt"))
-    parts = stored(passages.by_text(dealt.select("g", "salt", "id", "th", "lo", "hi"), texts).mapInArrow(
-        lambda b: _parts(b, length), f"g long, salt long, id {id_type}, th long, lo long, part binary"), "stretches")
+        "g", "first.*", F.when(F.col("n") > each, F.pmod(F.xxhash64("c"), F.ceil(F.col("n") / each))).alias("salt"))
+    parts = stored(passages.by_text(dealt.select("g", "salt", "id", "key", "lo", "hi"), texts).mapInArrow(
+        lambda b: _parts(b, length), f"g long, salt long, id {id_type}, key long, lo int, part binary"), "stretches")
     total = parts.agg(F.sum(F.octet_length("part"))).first()[0] or 0
     shards = max(1, -(-total // (shard_bytes // 2)))
-    sharded = parts.select(F.pmod(F.xxhash64("g", "salt"), F.lit(shards)).alias("shard"), "id", "th", "lo", "part",
+    sharded = parts.select(F.pmod(F.xxhash64("g", "salt"), F.lit(shards)).alias("shard"), "id", "key", "lo", "part",
                            F.col("salt").isNotNull().alias("dealt"))
     out = stored(sharded.groupBy("shard").applyInArrow(
-        lambda t: _shard(t, length), f"win binary, id {id_type}, th long, lo long, hi long"), "shards")
-    merged = (out.filter("win IS NOT NULL").repartitionByRange("win").sortWithinPartitions("win", "id", "th", "lo")
-              .mapInArrow(_merge, f"id {id_type}, th long, lo long, hi long"))
+        lambda t: _shard(t, length), f"win binary, id {id_type}, key long, lo int, hi int"), "shards")
+    merged = (out.filter("win IS NOT NULL").repartitionByRange("win").sortWithinPartitions("win", "id", "key", "lo")
+              .mapInArrow(_merge, f"id {id_type}, key long, lo int, hi int"))
     ranges = later.unionByName(out.filter("win IS NULL").drop("win")).unionByName(merged)
     changed = passages.by_text(ranges, texts).mapInArrow(
-        lambda b: _cut(b, length), f"id {id_type}, th long, removed long, spans long, kept_sha binary")
+        lambda b: _cut(b, length), f"id {id_type}, key long, removed long, spans long, kept_sha binary")
     done = passages.outcome(found, changed)
     return done.select(F.col("id").alias(id_col), F.col("n").alias("n_bytes"),
                        F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
