@@ -6,12 +6,14 @@ places, a second one, shifted circularly by k, gives coordinate k: the least of
 bijections computed on the fly. Bands of coordinates are buckets of candidates; a candidate
 pair is linked only if the full sets pass ``100 * intersection >= percent * union``.
 
-Documents of equal sets are one class from the start. Only links between classes that are not
-yet connected are looked for, as the result is each document's component: in each bucket the
-members are compared with a few leaders per round; a member that has been leader is done, and
-a bucket is finished when all members that are left are in one component. Leaders come from
-the bucket's small components, so a bucket of n near copies takes about n comparisons, not
-n * n, yet at the end no pair of a bucket in different components is uncompared.
+Documents of equal sets are one class from the start, and only links between classes not yet
+connected are looked for, as the result is each document's component. First each class is
+compared with the bucket leader it shares most buckets with, one comparison each however large
+the bucket. Of buckets that then still span several components, two classes of different
+components are compared if they meet in a prefix: a set's rarest shingles, so many that sets
+alike enough share one for certain; each is compared with a few neighbours first, which
+connects most of a large group, then all pairs still in different components are. So a common
+passage makes no pairs, a large group few, and no link is lost.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql.window import Window
 from .common import LOWER_ASCII, U64, WordHashes, as_bytes, fmix64, per_text, stored
 
 COORDINATES = 130
+NEIGHBOURS = 3
 _WORDS = WordHashes()
 _ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -161,7 +164,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     multi = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
-    members = stored(members.join(multi, "bucket", "left_semi").withColumn("done", F.lit(False)), "members")
+    members = stored(members.join(multi, "bucket", "left_semi"), "members")
     # full sets of the candidates' classes, from one text of each
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "low", "key")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -185,27 +188,33 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = stored(members.select("node").distinct().withColumn("comp", F.col("node")), "labels")
     labels = _relabel(labels, stored(_verified(shared.select("a", "b"), sets, percent), "links"))
 
-    turn = 8
-    while True:
-        # buckets with undone members in several components; members of small components lead first
-        open_ = members.join(labels, "node")
-        sizes = open_.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.count(F.when(~F.col("done"), 1)).alias("undone"))
-        alive = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.count(F.when(F.col("undone") > 0, 1)).alias("left"),
-                                            F.max(F.col("undone")).alias("most")).filter("comps > 1 AND left > 1")
-        ranked = (open_.join(alive.select("bucket"), "bucket", "left_semi").join(sizes.select("bucket", "comp", "size"), ["bucket", "comp"]))
-        order = Window.partitionBy("bucket").orderBy("done", "size", "comp", "node")
-        members = stored(ranked.withColumn("place", F.row_number().over(order)).select(
-            "bucket", "node", "n", "done", "comp", (~F.col("done") & (F.col("place") <= turn)).alias("leads")), "members")
-        if members.limit(1).count() == 0:
-            break
-        one = members.filter("leads").select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        two = members.filter("NOT done").select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-        pairs = (one.join(two, (one["bucket"] == two["bucket"]) & (F.col("ca") != F.col("cb"))
-                          & (F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")))
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    # then, of buckets that span several components, the pairs whose rarest shingles meet
+    open_ = members.join(labels, "node")
+    alive = open_.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("bucket")
+    some = open_.join(alive, "bucket", "left_semi").select("node", "n", "comp").distinct()
+    each = stored(some.join(sets, "node").select("node", "n", "comp", F.explode("shingles").alias("shingle")), "open-shingles", "none")
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    rarest = Window.partitionBy("node").orderBy(F.coalesce("times", F.lit(1)), "shingle")
+    prefix = (each.join(often, "shingle", "left").withColumn("place", F.row_number().over(rarest))
+              .filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & F.col("times").isNotNull()))
+    prefix = stored(prefix.select("shingle", "node", "n"), "prefixes", "none")
+    alike = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+    # a few neighbours each first, in two random orders: they connect most of a large group
+    for turn in range(2):
+        order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", F.lit(turn)), "node").rowsBetween(1, NEIGHBOURS)
+        near = prefix.join(labels, "node").withColumn("mates", F.collect_list(F.struct("node", "n", "comp")).over(order))
+        near = near.select(F.col("node").alias("p"), F.col("n").alias("na"), "comp", F.explode("mates").alias("m")).select(
+            F.least("p", "m.node").alias("a"), F.greatest("p", "m.node").alias("b"), "na", F.col("m.n").alias("nb"),
+            F.col("comp").alias("ca"), F.col("m.comp").alias("cb"))
+        pairs = near.filter((F.col("ca") != F.col("cb")) & alike).select("a", "b").distinct()
         labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
-        members = members.select("bucket", "node", "n", (F.col("done") | F.col("leads")).alias("done"))
-        turn *= 8
+    # then all that are still in different components
+    last = prefix.join(labels, "node")
+    one = last.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+    two = last.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    pairs = (one.join(two, (one["shingle"] == two["shingle"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
+             .select("a", "b").distinct())
+    labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
 
     named = classes.select("key", "node", "low").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("low").alias("component"))
