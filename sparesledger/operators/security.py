@@ -69,8 +69,9 @@ def visibility_check(gold: DataFrame, persona: str, plants: Sequence[str] = PLAN
 def row_filter_by_map(gold: DataFrame, security_map: DataFrame, user: str) -> DataFrame:
     """Rows of plants granted to ``user`` in an entitlement table (user, plant).
 
-    A semi join never duplicates gold rows, even with repeated grants. The user's grants
-    are at most one row per plant, so that side is broadcast.
+    A semi join never duplicates gold rows, even with repeated grants. The grants are
+    reduced to one row per plant; the join strategy is left to their measured size.
     """
-    grants = security_map.filter(F.col("USER_NAME") == user).select(F.col("ORG_CODE").alias("org_code"))
-    return gold.join(F.broadcast(grants), "org_code", "left_semi")
+    grants = security_map.filter(F.col("USER_NAME") == user).select(
+        F.col("ORG_CODE").alias("org_code")).distinct()
+    return gold.join(grants, "org_code", "left_semi")

@@ -79,6 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("sparesledger-job").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates of timestamps hang on it
     print(run(spark, args))
 
 

@@ -105,7 +105,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+                 max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
 
     The initial shuffle partition count is set so the largest shuffle (the transaction
@@ -116,10 +116,12 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     cheap and under-estimating is what this guards against.
 
     >>> cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"]
-    '100000'
+    '409600'
     """
     by_size = -(-input_bytes // target_partition_bytes)
-    n = min(max(2 * total_cores, by_size), max_partitions)
+    n = max(2 * total_cores, by_size)
+    if max_partitions is not None:  # the caller's choice: larger reduce tasks for fewer of them
+        n = min(n, max_partitions)
     return {
         **SCALE_CONF,
         "spark.sql.shuffle.partitions": str(n),

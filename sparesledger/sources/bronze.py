@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparesledger.sources.schemas import SOURCE_SCHEMAS, SOURCE_TABLES
 
@@ -25,23 +26,51 @@ def read_extract(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One extract with its declared schema (no inference, so no extra pass over the file)."""
+    """One extract in its declared types (no inference, so no extra pass over the file).
+
+    CSV columns are taken by header name, whatever their order; columns that are not declared
+    are kept as text behind the declared ones, and a missing one raises ``ValueError``. Dates
+    may carry a time of day. A number that its declared type cannot hold exactly fails the read
+    instead of being rounded.
+    """
     schema = SOURCE_SCHEMAS[table]
-    reader = spark.read.format(fmt)
     opts = dict(options or {})
     if fmt == "csv":
         opts.setdefault("header", "true")
         opts.setdefault("mode", "FAILFAST")
-        opts.setdefault("dateFormat", "yyyy-MM-dd")
+        opts.setdefault("enforceSchema", "false")  # each file's header is held against the first one's
+        return _by_name(spark.read.options(**opts).csv(path), table)
+    reader = spark.read.format(fmt)
     if fmt != "jdbc":
         reader = reader.schema(schema)
     reader = reader.options(**opts)
     df = reader.load(path) if path is not None else reader.load()
     if fmt == "jdbc":  # the database decides types; conform to the declared schema
-        df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        df = df.select([_typed(F.col(f"`{f.name}`"), f) for f in schema.fields])
     return df
 
 
+def _by_name(df: DataFrame, table: str) -> DataFrame:
+    """All-text ``df`` with the extract's declared columns typed, then the others as they are."""
+    found = {c.strip().upper(): c for c in df.columns}
+    fields = SOURCE_SCHEMAS[table].fields
+    missing = [f.name for f in fields if f.name.upper() not in found]
+    if missing:
+        raise ValueError(f"extract {table} lacks the columns {', '.join(missing)}")
+    declared = {f.name.upper() for f in fields}
+    return df.select([_typed(F.col(f"`{found[f.name.upper()]}`"), f) for f in fields]
+                     + [F.col(f"`{c}`") for u, c in found.items() if u not in declared])
+
+
+def _typed(col: Column, field: T.StructField) -> Column:
+    kind = field.dataType
+    if isinstance(kind, T.DecimalType):
+        exact, kept = col.cast("decimal(38,12)"), col.cast(kind)
+        lost = F.concat(F.lit(f"{field.name} does not fit {kind.simpleString()}: "), col.cast("string"))
+        return F.when(exact == kept, kept).when(col.isNotNull(), F.raise_error(lost).cast(kind)).alias(field.name)
+    return col.cast(kind).alias(field.name)
+
+
 def add_audit_columns(df: DataFrame, source_system: str = SOURCE_SYSTEM) -> DataFrame:
     """``_ingest_ts`` (load time) and ``_source_system`` on every bronze row."""
     return df.withColumn("_ingest_ts", F.current_timestamp()).withColumn("_source_system", F.lit(source_system))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import os
 import re
 
@@ -151,7 +153,7 @@ def test_parquet_extracts_and_cluster_sizing(spark, scratch):
     write_extracts({"cst_item_costs": fx.cst_item_costs}, scratch, fmt="parquet")
     back = read_extract(spark, "cst_item_costs", f"{scratch}/cst_item_costs.parquet", fmt="parquet")
     assert _rows(back) == _rows(fx.cst_item_costs)
-    assert cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "409600"
     assert cluster_conf(10 * 2**30, 64)["spark.sql.shuffle.partitions"] == "128"
     assert int(cluster_conf(2**40, 1000)["spark.sql.shuffle.partitions"]) == 4096
 
@@ -341,3 +343,39 @@ def test_streaming_refuses_a_fresh_checkpoint_over_a_used_target(spark, scratch)
     land_incrementally(spark, "mtl_system_items_b", f"{scratch}/src2/*", f"{scratch}/dst2",
                        f"{scratch}/ck2").awaitTermination()
     assert spark.read.parquet(f"{scratch}/dst2").count() == items.filter("ORGANIZATION_ID <> 0").count()
+
+
+COSTS = "INVENTORY_ITEM_ID,ORGANIZATION_ID,ITEM_COST,LAST_PO_COST"
+
+
+def _csv(scratch, name, text):
+    with open(f"{scratch}/{name}.csv", "w") as f:
+        f.write(text)
+    return f"{scratch}/{name}.csv"
+
+
+def test_csv_columns_go_by_header_name(spark, scratch):
+    path = _csv(scratch, "swapped", "COST_TYPE_ID,LAST_PO_COST,ITEM_COST,ORGANIZATION_ID,INVENTORY_ITEM_ID\n7,12.50,10.25,2,1\n")
+    df = read_extract(spark, "cst_item_costs", path)
+    assert df.columns == [*COSTS.split(","), "COST_TYPE_ID"]
+    assert [str(x) for x in df.first()] == ["1", "2", "10.25", "12.50", "7"]
+
+
+def test_csv_missing_column_raises(spark, scratch):
+    path = _csv(scratch, "missing", "INVENTORY_ITEM_ID,ORGANIZATION_ID,ITEM_COST\n1,2,3\n")
+    with pytest.raises(ValueError, match="LAST_PO_COST"):
+        read_extract(spark, "cst_item_costs", path)
+
+
+def test_csv_dates_with_time_and_leading_zeros(spark, scratch):
+    head = "AE_HEADER_ID,APPLICATION_NAME,PERIOD_NAME,ACCOUNTING_DATE"
+    path = _csv(scratch, "dates", head + "\n1,007,MAR-26,2026-03-05 10:11:12\n2,,,2026-03-06\n3,,,\n")
+    rows = read_extract(spark, "xla_ae_headers", path).orderBy("AE_HEADER_ID").collect()
+    assert [str(r.ACCOUNTING_DATE) for r in rows] == ["2026-03-05", "2026-03-06", "None"]
+    assert rows[0].APPLICATION_NAME == "007"
+
+
+def test_csv_number_that_would_be_rounded_fails(spark, scratch):
+    path = _csv(scratch, "fine", COSTS + "\n1,2,0.0049,1.00\n")
+    with pytest.raises(Exception, match="ITEM_COST does not fit"):
+        read_extract(spark, "cst_item_costs", path).collect()
