@@ -11,8 +11,8 @@ connected are looked for, as the result is each document's component. First each
 compared with the bucket leader it shares most buckets with, one comparison each however large
 the bucket. Of buckets that then still span several components, two classes of different
 components are compared if they meet in a prefix: a set's rarest shingles, so many that sets
-alike enough share one for certain; each is compared with a few neighbours first, which
-connects most of a large group, then all pairs still in different components are. So a common
+alike enough share one for certain, with enough shingles left in both after the first that they
+share; each is compared with a few neighbours first, which connects most of a large group, then all pairs still in different components are. So a common
 passage makes no pairs, a large group few, and no link is lost.
 """
 
@@ -197,21 +197,25 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarest = Window.partitionBy("node").orderBy(F.coalesce("times", F.lit(1)), "shingle")
     prefix = (each.join(often, "shingle", "left").withColumn("place", F.row_number().over(rarest))
               .filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & F.col("times").isNotNull()))
-    prefix = stored(prefix.select("shingle", "node", "n"), "prefixes", "none")
-    alike = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+    # those whose own rare shingles leave too few for a partner of the least size are in no link
+    prefix = prefix.filter((F.col("n") - F.col("place") + 1) * (100 + percent) >= F.col("n") * percent + F.ceil(F.col("n") * percent / 100) * percent)
+    prefix = stored(prefix.select("shingle", "node", "n", (F.col("n") - F.col("place") + 1).alias("rest")), "prefixes", "none")
+    # sizes that can be alike, and (for the first shingle that two share) enough shingles left from there on
+    alike = ((F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
+             & (F.lit(100 + percent) * F.least("ra", "rb") >= F.lit(percent) * (F.col("na") + F.col("nb"))))
     # a few neighbours each first, in two random orders: they connect most of a large group
     for turn in range(2):
         order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", F.lit(turn)), "node").rowsBetween(1, NEIGHBOURS)
-        near = prefix.join(labels, "node").withColumn("mates", F.collect_list(F.struct("node", "n", "comp")).over(order))
-        near = near.select(F.col("node").alias("p"), F.col("n").alias("na"), "comp", F.explode("mates").alias("m")).select(
-            F.least("p", "m.node").alias("a"), F.greatest("p", "m.node").alias("b"), "na", F.col("m.n").alias("nb"),
-            F.col("comp").alias("ca"), F.col("m.comp").alias("cb"))
+        near = prefix.join(labels, "node").withColumn("mates", F.collect_list(F.struct("node", "n", "rest", "comp")).over(order))
+        near = near.select(F.col("node").alias("p"), F.col("n").alias("na"), F.col("rest").alias("ra"), "comp", F.explode("mates").alias("m")).select(
+            F.least("p", "m.node").alias("a"), F.greatest("p", "m.node").alias("b"), "na", "ra", F.col("m.n").alias("nb"),
+            F.col("m.rest").alias("rb"), F.col("comp").alias("ca"), F.col("m.comp").alias("cb"))
         pairs = near.filter((F.col("ca") != F.col("cb")) & alike).select("a", "b").distinct()
         labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
     # then all that are still in different components
     last = prefix.join(labels, "node")
-    one = last.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    two = last.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    one = last.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("comp").alias("ca"))
+    two = last.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("comp").alias("cb"))
     pairs = (one.join(two, (one["shingle"] == two["shingle"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
              .select("a", "b").distinct())
     labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
