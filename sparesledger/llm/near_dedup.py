@@ -12,8 +12,10 @@ compared with the bucket leader it shares most buckets with, one comparison each
 the bucket. Of buckets that then still span several components, two classes of different
 components are compared if they meet in a prefix: a set's rarest shingles, so many that sets
 alike enough share one for certain, with enough shingles left in both after the first that they
-share; each is compared with a few neighbours first, which connects most of a large group, then all pairs still in different components are. So a common
-passage makes no pairs, a large group few, and no link is lost.
+share, and parity bits that do not differ too much (both bounds are exact); each is compared
+with a few neighbours first, which connects most of a large group, then all pairs still in
+different components are. So a common passage makes no pairs, a large group few, and no link
+is lost.
 """
 
 from __future__ import annotations
@@ -78,6 +80,13 @@ def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     return h
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """256 bits of a set, each the parity of the hashes that fall on it: two sets differ in at least
+    as many elements as their bits differ."""
+    odd = (np.bincount((found & U64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _survey(ids, texts, words: int, rows: int, seen: dict):
     n, key, flat, ends = [], [], [], [0]
     for t in texts:
@@ -174,11 +183,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i, t in enumerate(as_bytes(batch.column(2))):
                 s = shingles(t or b"", words)
                 if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == batch.column(1)[i].as_py():
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64()))],
-                                                     ["node", "shingles"])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64())),
+                         pa.array([parities(s)], pa.list_(pa.int64()))], ["node", "shingles", "bits"])
 
     fetched = wanted.join(texts, wanted["low"].eqNullSafe(texts["id"])).select("node", "key", "text")
-    sets = stored(fetched.mapInArrow(sets_of, "node long, shingles array<long>").dropDuplicates(["node"]), "sets", "none")
+    sets = stored(fetched.mapInArrow(sets_of, "node long, shingles array<long>, bits array<long>").dropDuplicates(["node"]), "sets", "none")
 
     # first, each member with the bucket-mate it shares most buckets with, of those that lead them
     lead = members.groupBy("bucket").agg(F.min("node").alias("a"))
@@ -199,23 +209,30 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & F.col("times").isNotNull()))
     # those whose own rare shingles leave too few for a partner of the least size are in no link
     prefix = prefix.filter((F.col("n") - F.col("place") + 1) * (100 + percent) >= F.col("n") * percent + F.ceil(F.col("n") * percent / 100) * percent)
-    prefix = stored(prefix.select("shingle", "node", "n", (F.col("n") - F.col("place") + 1).alias("rest")), "prefixes", "none")
+    prefix = prefix.select("shingle", "node", "n", (F.col("n") - F.col("place") + 1).alias("rest"))
     # sizes that can be alike, and (for the first shingle that two share) enough shingles left from there on
+    # and, by the parity bits, few enough differences
+    differ = sum(F.bit_count(F.col("va")[i].bitwiseXOR(F.col("vb")[i])) for i in range(4))
     alike = ((F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
-             & (F.lit(100 + percent) * F.least("ra", "rb") >= F.lit(percent) * (F.col("na") + F.col("nb"))))
+             & (F.lit(100 + percent) * F.least("ra", "rb") >= F.lit(percent) * (F.col("na") + F.col("nb")))
+             & (F.lit(100 + percent) * (F.col("na") + F.col("nb") - differ) >= F.lit(2 * percent) * (F.col("na") + F.col("nb"))))
+    prefix = stored(prefix.join(sets.select("node", "bits"), "node"), "prefixes", "none")
     # a few neighbours each first, in two random orders: they connect most of a large group
     for turn in range(2):
         order = Window.partitionBy("shingle").orderBy(F.xxhash64("node", F.lit(turn)), "node").rowsBetween(1, NEIGHBOURS)
-        near = prefix.join(labels, "node").withColumn("mates", F.collect_list(F.struct("node", "n", "rest", "comp")).over(order))
-        near = near.select(F.col("node").alias("p"), F.col("n").alias("na"), F.col("rest").alias("ra"), "comp", F.explode("mates").alias("m")).select(
-            F.least("p", "m.node").alias("a"), F.greatest("p", "m.node").alias("b"), "na", "ra", F.col("m.n").alias("nb"),
-            F.col("m.rest").alias("rb"), F.col("comp").alias("ca"), F.col("m.comp").alias("cb"))
+        near = prefix.join(labels, "node").withColumn("mates", F.collect_list(F.struct("node", "n", "rest", "bits", "comp")).over(order))
+        near = near.select(F.col("node").alias("p"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("bits").alias("va"), "comp",
+                           F.explode("mates").alias("m")).select(
+            F.least("p", "m.node").alias("a"), F.greatest("p", "m.node").alias("b"), "na", "ra", "va", F.col("m.n").alias("nb"),
+            F.col("m.rest").alias("rb"), F.col("m.bits").alias("vb"), F.col("comp").alias("ca"), F.col("m.comp").alias("cb"))
         pairs = near.filter((F.col("ca") != F.col("cb")) & alike).select("a", "b").distinct()
         labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
     # then all that are still in different components
     last = prefix.join(labels, "node")
-    one = last.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("comp").alias("ca"))
-    two = last.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("comp").alias("cb"))
+    one = last.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("bits").alias("va"),
+                      F.col("comp").alias("ca"))
+    two = last.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("bits").alias("vb"),
+                      F.col("comp").alias("cb"))
     pairs = (one.join(two, (one["shingle"] == two["shingle"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
              .select("a", "b").distinct())
     labels = _relabel(labels, stored(_verified(pairs, sets, percent), "links"))
