@@ -88,11 +88,14 @@ def redundancy(dim_item: DataFrame, onhand: DataFrame | None = None, basis: str
         items = items.join(stock, KEY, "left_semi")
     elif basis != "master":
         raise ValueError(f"unknown basis {basis!r}")
-    # The plant set per item number is bounded by the number of plants, and the reference
-    # collects it anyway; its size is the distinct plant count without a second shuffle.
-    return items.groupBy("item_number").agg(
-        F.size(F.collect_set("org_id")).cast("long").alias("stocked_in_orgs"),
-        F.sort_array(F.collect_set("org_code")).alias("stocked_org_list"),
+    # One set per item number, bounded by the number of plants (the list is wanted anyway); the
+    # distinct plant count and the list of codes both come from it, without a second shuffle.
+    plants = items.groupBy("item_number").agg(F.collect_set(F.struct("org_id", "org_code")).alias("plants"))
+    distinct = lambda field: F.array_distinct(F.array_compact(F.col(f"plants.{field}")))
+    return plants.select(
+        "item_number",
+        F.size(distinct("org_id")).cast("long").alias("stocked_in_orgs"),
+        F.sort_array(distinct("org_code")).alias("stocked_org_list"),
     )
 
 

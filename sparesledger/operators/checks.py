@@ -82,18 +82,25 @@ def check_journal_balance(fact_gl_line: DataFrame) -> DataFrame:
 
 
 def check_bridge_coverage(fact_ap_distribution: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Distributions without a link (UNLINKED) and distributions linked more than once (DUPLICATE)."""
-    d = fact_ap_distribution.select("invoice_distribution_id")
-    b = bridge.select("invoice_distribution_id")
-    unlinked = d.join(b, "invoice_distribution_id", "left_anti").select(
-        "invoice_distribution_id", F.lit("UNLINKED").alias("issue"), F.lit(0).cast("long").alias("link_count")
-    )
-    dup = (
-        b.groupBy("invoice_distribution_id").agg(F.count("*").alias("link_count"))
-        .filter(F.col("link_count") > 1)
-        .select("invoice_distribution_id", F.lit("DUPLICATE").alias("issue"), "link_count")
-    )
-    return unlinked.unionByName(dup)
+    """Distributions without a link (UNLINKED), ids linked more than once (DUPLICATE) and links
+    without a distribution (ORPHAN), with the id's link count.
+
+    Both sides are tagged and counted per id in one shuffle. A NULL id matches nothing: NULL
+    distributions are UNLINKED and NULL links ORPHAN, one row each.
+    """
+    tagged = fact_ap_distribution.select("invoice_distribution_id", F.lit(1).alias("_d"), F.lit(0).alias("_b")).unionByName(
+        bridge.select("invoice_distribution_id", F.lit(0).alias("_d"), F.lit(1).alias("_b")))
+    seen = tagged.groupBy("invoice_distribution_id").agg(F.sum("_d").alias("_d"), F.sum("_b").alias("_b"))
+    unknown = F.col("invoice_distribution_id").isNull()
+    none, links = F.lit(0).cast("long"), F.col("_b")
+    issue = lambda when, name, n: F.when(when, F.struct(F.lit(name).alias("issue"), n.alias("link_count")))
+    found = F.array_compact(F.array(
+        issue((F.col("_d") > 0) & ((links == 0) | unknown), "UNLINKED", none),
+        issue((links > 1) & ~unknown, "DUPLICATE", links),
+        issue((links > 0) & ((F.col("_d") == 0) | unknown), "ORPHAN", links),
+    ))
+    return seen.select("invoice_distribution_id", F.explode(found).alias("found")).select(
+        "invoice_distribution_id", "found.issue", "found.link_count")
 
 
 def check_recon(recon: DataFrame) -> DataFrame:

@@ -40,31 +40,32 @@ def aging_by_bucket(gold: DataFrame, bucket_col: str = "aging_bucket_last_receip
 def _cross_plant(gold: DataFrame, with_stock_columns: bool, k: int) -> DataFrame:
     """Items carried in more than one plant, dead in one and Active in another; top k by value.
 
-    ``bool_or`` answers the two HAVING tests without materialising the status set; the sets
-    shown are sorted so the output is stable.
+    Sums and the two HAVING tests (``bool_or``) are hash aggregates over all items; the sets are
+    collected for the k survivors only, whose keys are broadcast (k rows). The sets shown are
+    sorted so the output is stable.
     """
-    aggs = []
-    if with_stock_columns:
-        aggs.append(F.sum("onhand_qty").alias("total_onhand"))
-    aggs += [
-        in_millions(F.sum(VALUE), 2).alias("value_pkr_mn"),
-        F.sort_array(F.collect_set("org_code")).alias("held_in"),
-    ]
-    if with_stock_columns:
-        aggs.append(F.sort_array(F.collect_set("movement_status")).alias("status_mix"))
-    aggs += [
-        F.bool_or(_dead()).alias("_has_dead"),
-        F.bool_or(F.col("movement_status") == ACTIVE).alias("_has_active"),
-    ]
-    return (
-        gold.filter(F.col("stocked_in_orgs") > 1)
-        .groupBy("item_number", "item_description", "category_name")
-        .agg(*aggs)
+    keys = ["item_number", "item_description", "category_name"]
+    multi = gold.filter(F.col("stocked_in_orgs") > 1)
+    sums = [F.sum("onhand_qty").alias("total_onhand")] if with_stock_columns else []
+    top = (
+        multi.groupBy(*keys)
+        .agg(*sums, in_millions(F.sum(VALUE), 2).alias("value_pkr_mn"),
+             F.bool_or(_dead()).alias("_has_dead"), F.bool_or(F.col("movement_status") == ACTIVE).alias("_has_active"))
         .filter(F.col("_has_dead") & F.col("_has_active"))
         .drop("_has_dead", "_has_active")
         .orderBy(F.desc("value_pkr_mn"), F.asc("item_number"))
         .limit(k)
     )
+    sets = [F.sort_array(F.collect_set("org_code")).alias("held_in")]
+    if with_stock_columns:
+        sets.append(F.sort_array(F.collect_set("movement_status")).alias("status_mix"))
+    rows = multi.select(*[F.col(c).alias(f"_{c}") for c in keys], "org_code", "movement_status")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return (
+        rows.join(F.broadcast(top), same).groupBy(*top.columns).agg(*sets)
+        .select(*top.columns, *(["held_in", "status_mix"] if with_stock_columns else ["held_in"]))
+        .orderBy(F.desc("value_pkr_mn"), F.asc("item_number"))
+    )
 
 
 def redistribution_list(gold: DataFrame, k: int = 50) -> DataFrame:

@@ -24,12 +24,14 @@ class Model:
     def __init__(
         self,
         sources: Mapping[str, DataFrame] | Fixtures,
-        as_of=FIXTURE_AS_OF,
+        as_of=None,
         edges: Sequence[int] = DEFAULT_EDGES,
         silver_tables: Mapping[str, DataFrame] | None = None,
         gold_tables: Mapping[str, DataFrame] | None = None,
         **aging_options,
     ):
+        if as_of is None and isinstance(sources, Fixtures):
+            as_of = FIXTURE_AS_OF
         self._sources = sources
         self._silver = dict(silver_tables or {})
         self._gold = dict(gold_tables or {})

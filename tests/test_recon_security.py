@@ -79,6 +79,16 @@ def test_drill_through_and_checks(recon_rows, spark):
     assert cov == {(3, "UNLINKED"), (5, "UNLINKED")}
 
 
+def test_bridge_coverage_lists_orphans_duplicates_and_nulls(spark):
+    dist = spark.createDataFrame([(1,), (2,), (3,), (None,)], "invoice_distribution_id long")
+    links = spark.createDataFrame([(1,), (2,), (2,), (99,), (98,), (98,), (None,), (None,)], "invoice_distribution_id long")
+    found = checks.check_bridge_coverage(dist, links)
+    assert {tuple(r) for r in found.collect()} == {
+        (2, "DUPLICATE", 2), (3, "UNLINKED", 0), (98, "DUPLICATE", 2), (98, "ORPHAN", 2), (99, "ORPHAN", 1),
+        (None, "UNLINKED", 0), (None, "ORPHAN", 2)}
+    assert checks.check_bridge_coverage(dist, links)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_journal_balance(spark):
     gl = spark.createDataFrame([
         (1, "JAN-26", "Payables", "10.00", None), (1, "JAN-26", "Payables", None, "10.00"),
