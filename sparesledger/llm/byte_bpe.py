@@ -4,6 +4,8 @@ Texts are cut into pre-tokens where they are read; their positions stay in the c
 chunk's distinct pre-tokens are shuffled by hash (see ``chunks``). A bucket encodes each
 distinct pre-token once, sends the ids back to the chunks that have it, and there they are put
 in order by position. Decoding looks the ids up in the vocabulary's table of token bytes.
+The positions are as large as the texts, so they are not stored beside the distinct words: the
+texts are read and cut a second time for them.
 """
 
 from __future__ import annotations
@@ -63,7 +65,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     Each match of ``pattern`` is encoded by itself, without special tokens. A null or empty text
     has no tokens; repeated ids and rows are encoded like any others; an empty table gives an
-    empty result. A pre-token of any length is one word.
+    empty result. A pre-token of any length is one word. ``docs`` is evaluated twice: give a table
+    (or a frame read from one), as other frames may be partitioned anew, which raises an error.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     cut: list[PreTokens] = []
@@ -73,15 +76,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             cut.append(PreTokens(pattern))
         return cut[0](texts)
 
-    rows = chunks.chunked(docs, [F.col(f"`{id_col}`"), F.col(f"`{text_col}`")], id_type, tokenise, chunks.bucket_count(docs),
-                          "pre-tokens")
+    rows = chunks.cut(docs, [F.col(f"`{id_col}`"), F.col(f"`{text_col}`")], id_type, tokenise, chunks.bucket_count(docs),
+                      checked=True)
 
     def resolve(words_rows):
         import tiktoken
 
         model = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={})
         piece, known, at = model._core_bpe.encode_single_piece, {}, None
-        for chunk, bucket, a, b, _ in words_rows:
+        for chunk, bucket, a, b, c in words_rows:
             if bucket != at:
                 known, at = {}, bucket
             found = []
@@ -91,7 +94,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     ids = known[w] = piece(w)
                 found.append(ids)
             yield (chunk, bucket, chunks.packed(np.fromiter((i for x in found for i in x), dtype="<u4")),
-                   chunks.packed(np.array([len(x) for x in found], dtype="<u4")), None)
+                   chunks.packed(np.array([len(x) for x in found], dtype="<u4")), c)
 
     table: list[tuple] = []
 
@@ -122,4 +125,4 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         yield pa.RecordBatch.from_arrays(out, names)
 
     schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return chunks.per_chunk(rows, chunks.per_bucket(rows, resolve, id_type), finish, schema)
+    return chunks.per_chunk_again(rows, chunks.per_bucket(rows, resolve, id_type), finish, schema)

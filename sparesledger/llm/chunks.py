@@ -65,14 +65,16 @@ def batch_of(id_type: pa.DataType, rows: list[tuple]) -> pa.RecordBatch:
          pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(c, pa.binary())], NAMES)
 
 
-def chunked(docs: DataFrame, columns: list, id_type: str, tokenise: Callable, buckets: int, name: str,
-            limit: int = 8 << 20) -> DataFrame:
-    """The stored chunks of ``docs`` (``columns``: id, text, then what else ``tokenise`` is given).
+def cut(docs: DataFrame, columns: list, id_type: str, tokenise: Callable, buckets: int, limit: int = 8 << 20,
+        checked: bool = False) -> DataFrame:
+    """The chunks of ``docs`` (``columns``: id, text, then what else ``tokenise`` is given), not stored.
 
     ``tokenise(texts, batch slice)`` gives (distinct words as bytes, number sequence of each text,
     a weight per word or None, an array kept beside the sequences or None). Rows of bucket -1
     hold the ids, sequence lengths (a), numbers (b) and that array (c); the others hold words
-    (a), word lengths (b) and weights (c).
+    (a), word lengths (b) and weights (c). A chunk's number is its partition's and its place in it,
+    so it says the same on a second evaluation only where the partitions of ``docs`` do. For that,
+    ``checked`` puts a digest of the words into c instead: of all in row -1, of a bucket's in its row.
     """
 
     def run(batches):
@@ -82,11 +84,14 @@ def chunked(docs: DataFrame, columns: list, id_type: str, tokenise: Callable, bu
             for x, y in in_blocks(texts, limit):
                 words, seqs, weights, beside = tokenise(texts[x:y], batch.slice(x, y - x))
                 rows = []
-                home = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), dtype=np.int64, count=len(words))
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+                home = (hashes % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(home, kind="stable")
                 place = np.empty(len(words), dtype=np.uint32)
                 place[order] = np.arange(len(words), dtype=np.uint32)
                 small = np.uint16 if len(words) <= 1 << 16 else np.uint32
+                if checked:
+                    beside = digest(hashes)
                 rows.append((part + n, -1, batch.column(0).slice(x, y - x).to_pylist(),
                              packed(np.array([len(s) for s in seqs], dtype=np.uint32)),
                              packed(place[np.concatenate(seqs)].astype(small)) if words else packed(b""),
@@ -97,11 +102,22 @@ def chunked(docs: DataFrame, columns: list, id_type: str, tokenise: Callable, bu
                     own = [words[i] for i in mine.tolist()]
                     rows.append((part + n, k, None, packed(b"".join(own)),
                                  packed(np.array([len(w) for w in own], dtype=np.uint32)),
+                                 packed(digest(hashes[mine])) if checked else
                                  None if weights is None else packed(weights[mine])))
                 n += 1
                 yield batch_of(batch.column(0).type, rows)
 
-    return stored(docs.select(*columns).mapInArrow(run, SCHEMA.format(id=id_type)), name, "none")
+    return docs.select(*columns).mapInArrow(run, SCHEMA.format(id=id_type))
+
+
+def chunked(docs: DataFrame, columns: list, id_type: str, tokenise: Callable, buckets: int, name: str) -> DataFrame:
+    """``cut``, stored."""
+    return stored(cut(docs, columns, id_type, tokenise, buckets), name, "none")
+
+
+def digest(hashes: np.ndarray) -> np.ndarray:
+    """Number and exclusive-or of word hashes: the digests of parts add up to that of the whole."""
+    return np.array([len(hashes), np.bitwise_xor.reduce(hashes, initial=np.uint64(0))], dtype=np.uint64)
 
 
 def words_of(a: bytes, b: bytes) -> list[bytes]:
@@ -132,10 +148,7 @@ def per_chunk(rows: DataFrame, resolved: DataFrame, finish: Callable, schema: st
 
     def done(chunk, held):
         (ids, a, b, c), found = held
-        numbers_ = unpacked(b)
-        lengths = unpacked(a, "<u4").astype(np.int64)
-        kind = "<u2" if len(numbers_) == 2 * lengths.sum() else "<u4"
-        yield from finish(chunk, ids, lengths, np.frombuffer(numbers_, dtype=kind), None if c is None else unpacked(c), found)
+        yield from finish(chunk, ids, *sequences(a, b), None if c is None else unpacked(c), found)
 
     def run(batches):
         at, held = None, None
@@ -158,6 +171,37 @@ def per_chunk(rows: DataFrame, resolved: DataFrame, finish: Callable, schema: st
     return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)
 
 
+def sequences(a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and numbers of a chunk's row -1."""
+    numbers_ = unpacked(b)
+    lengths = unpacked(a, "<u4").astype(np.int64)
+    return lengths, np.frombuffer(numbers_, dtype="<u2" if len(numbers_) == 2 * lengths.sum() else "<u4")
+
+
+def per_chunk_again(rows: DataFrame, resolved: DataFrame, finish: Callable, schema: str) -> DataFrame:
+    """``per_chunk`` where ``rows`` are ``checked`` and cut a second time for the sequences.
+
+    The two sides are shuffled apart from each other, so each is cut in a stage of its own, with
+    the partition numbers of ``docs``. A chunk whose words are not those of its sequences (the
+    partitions of ``docs`` came out differently) is an error, never a wrong row.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows != 1:
+            raise RuntimeError("the chunks differ between two evaluations; store the documents first")
+        row = left.to_batches()[0]
+        found = sorted(zip(*(right.column(k).to_pylist() for k in ("bucket", "a", "b", "c"))), key=lambda x: x[0])
+        parts = np.array([unpacked(c, "<u8") for *_, c in found], dtype=np.uint64).reshape(-1, 2)
+        whole = unpacked(row.column(5)[0].as_py(), "<u8")
+        if (parts[:, 0].sum(), np.bitwise_xor.reduce(parts[:, 1])) != tuple(whole):
+            raise RuntimeError("the chunks differ between two evaluations; store the documents first")
+        lengths, numbers_ = sequences(row.column(3)[0].as_py(), row.column(4)[0].as_py())
+        return pa.Table.from_batches(list(finish(row.column(0)[0].as_py(), row.column(2)[0].values, lengths, numbers_, None,
+                                                 [x[1:] for x in found])))
+
+    return rows.filter("bucket < 0").groupBy("chunk").cogroup(resolved.groupBy("chunk")).applyInArrow(run, schema)
+
+
 def bucket_count(docs: DataFrame) -> int:
     """As many buckets as the session shuffles into partitions."""
     return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
