@@ -14,6 +14,7 @@ of label values (a few hundred at most), never on the documents; it is collected
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from .common import U64, as_bytes, fmix64, in_blocks, stored
 
 SLICE = 32  # longer words are cut into stretches of so many code points, each segmented by itself
 SCALE = 1000.0  # per code point, so that products stay within a double
-KNOWN = 300_000  # words whose scores a task remembers
+KNOWN = 100_000  # words whose scores a task remembers,
+KNOWN_CHARS = 2_000_000  # and their code points together
 _MIX = U64(0x9E3779B97F4A7C15)
 _SLOTS = 20  # bits
 _LETTER = re.compile(r"[A-Za-z]")
@@ -122,6 +124,12 @@ class Pieces:
         return np.log(np.maximum(alpha[n], 1e-300)) - n * np.log(SCALE)
 
 
+@lru_cache(maxsize=1)
+def _pieces(path: str) -> Pieces:
+    """One vocabulary per Python worker, whatever the number of its tasks."""
+    return Pieces(path)
+
+
 def _lower(text: bytes) -> str:
     return text.decode().lower()
 
@@ -130,18 +138,19 @@ def piece_counts(docs: DataFrame, lang_col: str, text_col: str, path: str) -> Da
     """Rows lang, piece, n over all rows with a label: the vocabulary's own cut of each word."""
 
     def run(batches):
-        pieces, sums, known = Pieces(path), {}, {}
+        pieces, sums, known, held = _pieces(path), {}, {}, 0
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), [t or b"" for t in as_bytes(batch.column(1))]
-            for x, y in in_blocks(texts, 8 << 20):
+            for x, y in in_blocks(texts, 1 << 20):
                 words = chunks.vocabulary()
                 count: dict = {}
                 for lang, t in zip(langs[x:y], texts[x:y]):
                     count.setdefault(lang, []).append(chunks.numbers(words, _lower(t).split()))
                 new = [w for w in words if w not in known]
-                if len(known) + len(new) > KNOWN:
+                if known and (len(known) + len(new) > KNOWN or held > KNOWN_CHARS):
                     known.clear()
-                    new = list(words)
+                    new, held = list(words), 0
+                held += sum(map(len, new))
                 for w, ids in zip(new, pieces.model.encode(new, num_threads=1)):
                     known[w] = ids
                 cuts = [known[w] for w in words]
@@ -178,7 +187,7 @@ def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "
     counts = stored(piece_counts(train, lang_col, text_col, vocabulary), "piece-counts").collect()  # pieces x languages
     langs = sorted({r["lang"] for r in counts})
     at = {v: i for i, v in enumerate(langs)}
-    size = Pieces(vocabulary).size
+    size = _pieces(vocabulary).size
     prob = np.full((size, max(1, len(langs))), smoothing)
     for r in counts:
         prob[r["piece"], at[r["lang"]]] += r["n"]
@@ -187,17 +196,18 @@ def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        pieces, words = Pieces(vocabulary), chunks.vocabulary()
+        pieces, words, held = _pieces(vocabulary), chunks.vocabulary(), 0
         score = np.zeros((0, prob_columns))
         for batch in batches:
             texts = [t or b"" for t in as_bytes(batch.column(1))]
-            for x, y in in_blocks(texts, 4 << 20):
-                if len(words) > KNOWN:
-                    words, score = chunks.vocabulary(), score[:0]
+            for x, y in in_blocks(texts, 1 << 20):
+                if len(words) > KNOWN or held > KNOWN_CHARS:
+                    words, score, held = chunks.vocabulary(), np.zeros((0, prob_columns)), 0
                 lower = [_lower(t) for t in texts[x:y]]
                 seqs = [chunks.numbers(words, t.split()) for t in lower]
                 new = list(words)[len(score):]
                 if new:
+                    held += sum(map(len, new))
                     score = np.vstack([score, pieces.scores(new, model.value)])
                 best, prec = [], []
                 for t, s in zip(lower, seqs):
