@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, per_text, stored
+from .common import LOWER_ASCII, as_bytes, per_text, stored
 
 
 def _digest_rows(ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
@@ -83,18 +83,20 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shar
                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _digest(text: pa.Array) -> pa.Array:
+    """The digest that ``copies`` takes of a text."""
+    return pa.array([hashlib.sha256((t or b"").translate(LOWER_ASCII)).digest() for t in as_bytes(text)], pa.binary())
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without exact copies: one row of each group stays, with all its columns.
 
-    Of rows that repeat both id and text one is kept as well. Columns of any name may be there.
+    A row stays by its id and its own text's digest, so rows of one id (or of none) with
+    different texts are told apart. Of rows that repeat both id and text one is kept as well.
+    Columns of any name may be there.
     """
     kept = (copies(docs, id_col, text_col).filter("kept")
-            .select(F.col(f"`{id_col}`").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha")).distinct())
-    joined = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept_id"]))
-    # ids are unique as a rule; where one repeats, a row stays for each text that won
-    own = F.sha2(F.translate(F.coalesce(docs[text_col], F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                             "abcdefghijklmnopqrstuvwxyz"), 256)
-    repeated = kept.groupBy("__kept_id").count().filter("count > 1").limit(1).count() > 0
-    if repeated:
-        joined = joined.filter(own == F.col("__kept_sha"))
+            .select(F.col(f"`{id_col}`").alias("__kept_id"), F.unhex("text_sha256").alias("__kept_sha")).distinct())
+    rows = docs.select("*", F.arrow_udf(_digest, "binary")(docs[text_col]).alias("__own_sha"))
+    joined = rows.join(kept, rows[id_col].eqNullSafe(kept["__kept_id"]) & (rows["__own_sha"] == kept["__kept_sha"]))
     return joined.dropDuplicates(["__kept_id", "__kept_sha"]).select([docs[c] for c in docs.columns])

@@ -203,6 +203,19 @@ def test_exact(docs):
     assert kept.columns == docs.columns and kept.count() == len(groups)
 
 
+def test_exact_copies_go_by_id_and_text(spark):
+    """Repeated and null ids that hold different texts, of which each id wins once."""
+    rows = [(None, "n"), (None, "m"), (500, "M")]
+    for i in range(30):
+        rows += [(i, f"a {i}"), (i, f"b {i}"), (100 + i, f"B {i}")][::1 if i % 2 else -1]
+    rows += [(900, "twice"), (900, "TWICE")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, kept string")
+    left = collections.Counter((r.doc_id, r.text.lower()) for r in exact_dedup.drop_copies(docs).collect())
+    want = {(None, "n"), (500, "m"), (900, "twice")}
+    want |= {(i, f"a {i}") for i in range(30)} | {(100 + i, f"b {i}") for i in range(30)}
+    assert left == collections.Counter(want)
+
+
 def test_sharding(docs):
     keys = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64("doc_id")).collect()}
     slots = collections.defaultdict(list)
