@@ -14,6 +14,7 @@ of label values (a few hundred at most), never on the documents; it is collected
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -176,14 +177,8 @@ def fold(id_col: str, parts: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", smoothing: float = 0.5) -> DataFrame:
-    """One row per input row: id, lang_pred, score (the posterior of the predicted language).
-
-    Learns from ``train``'s text and non-null label only. A null text or one without letters is
-    ``und`` with score 0, as is every text if there is nothing to learn from. Ties go to the
-    label first in order. Repeated ids and rows are predicted like any others.
-    """
+def _predictor(train: DataFrame, vocabulary: str, text_col: str, lang_col: str, smoothing: float):
+    """The labels of ``train`` and a function that predicts (languages, posteriors) for each of many columns of texts."""
     counts = stored(piece_counts(train, lang_col, text_col, vocabulary), "piece-counts").collect()  # pieces x languages
     langs = sorted({r["lang"] for r in counts})
     at = {v: i for i, v in enumerate(langs)}
@@ -192,14 +187,15 @@ def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "
     for r in counts:
         prob[r["piece"], at[r["lang"]]] += r["n"]
     prob /= prob.sum(axis=0)
-    model = docs.sparkSession.sparkContext.broadcast(prob)
-    id_type = docs.schema[id_col].dataType.simpleString()
+    model = train.sparkSession.sparkContext.broadcast(prob)
+    prob_columns = prob.shape[1]
 
-    def run(batches):
+    def predict(columns):
         pieces, words, held = _pieces(vocabulary), chunks.vocabulary(), 0
         score = np.zeros((0, prob_columns))
-        for batch in batches:
-            texts = [t or b"" for t in as_bytes(batch.column(1))]
+        for column in columns:
+            texts = [t or b"" for t in as_bytes(column)]
+            best, prec = [], []
             for x, y in in_blocks(texts, 1 << 20):
                 if len(words) > KNOWN or held > KNOWN_CHARS:
                     words, score, held = chunks.vocabulary(), np.zeros((0, prob_columns)), 0
@@ -209,7 +205,6 @@ def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "
                 if new:
                     held += sum(map(len, new))
                     score = np.vstack([score, pieces.scores(new, model.value)])
-                best, prec = [], []
                 for t, s in zip(lower, seqs):
                     total = score[s].sum(axis=0)
                     letters = _LETTER.search(t) or any(c.isalpha() for c in set(t))
@@ -220,10 +215,34 @@ def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "
                         k = int(total.argmax())
                         best.append(langs[k])
                         prec.append(float(1 / np.exp(np.maximum(total - total[k], -700)).sum()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), pa.array(best), pa.array(prec)],
-                                                 [id_col, "lang_pred", "score"])
+            yield best, prec
+
+    return langs, predict
+
+
+def identify(docs: DataFrame, train: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
+             lang_col: str = "lang", smoothing: float = 0.5) -> DataFrame:
+    """One row per input row: id, lang_pred, score (the posterior of the predicted language).
+
+    Learns from ``train``'s text and non-null label only. A null text or one without letters is
+    ``und`` with score 0, as is every text if there is nothing to learn from. Ties go to the
+    label first in order. Repeated ids and rows are predicted like any others.
+    """
+    _, predict = _predictor(train, vocabulary, text_col, lang_col, smoothing)
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        ids = []
+
+        def texts():
+            for batch in batches:
+                ids.append(batch.column(0))
+                yield batch.column(1)
+
+        for best, prec in predict(texts()):
+            yield pa.RecordBatch.from_arrays([ids.pop(), pa.array(best, pa.string()), pa.array(prec, pa.float64())],
+                                             [id_col, "lang_pred", "score"])
 
-    prob_columns = prob.shape[1]
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(
         run, f"`{id_col}` {id_type}, lang_pred string, score double")
 
@@ -233,11 +252,16 @@ def keep_identified(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     """The rows of ``docs`` whose predicted language has a posterior of at least ``least``.
 
     Texts without letters (``und``) go; where no row has a label there is no model and nothing
-    else is rejected. All columns are kept, whatever their names. Of rows with one id, all go
-    if one of them does.
+    else is rejected. All columns are kept, whatever their names. Each row is judged by its own
+    text, whatever its id.
     """
-    found = identify(docs, docs, vocabulary, id_col, text_col, lang_col)
     labelled = docs.filter(F.col(f"`{lang_col}`").isNotNull()).limit(1).count() > 0
-    bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < least)) if labelled else found.filter(F.lit(False))
-    gone = bad.select(F.col(f"`{id_col}`").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    if not labelled:
+        return docs
+    _, predict = _predictor(docs, vocabulary, text_col, lang_col, 0.5)
+
+    def good(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for best, prec in predict(columns):
+            yield pa.array([b != "und" and p >= least for b, p in zip(best, prec)], pa.bool_())
+
+    return docs.filter(F.arrow_udf(good, "boolean")(F.col(f"`{text_col}`")))

@@ -20,10 +20,12 @@ is lost.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -88,8 +90,9 @@ def parities(found: np.ndarray) -> np.ndarray:
 
 
 def _survey(ids, texts, words: int, rows: int, seen: dict):
-    n, key, flat, ends = [], [], [], [0]
+    n, key, own, flat, ends = [], [], [], [], [0]
     for t in texts:
+        own.append(hashlib.sha256(t).digest())
         found = shingles(t, words)
         k = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
         if k is None:
@@ -104,8 +107,13 @@ def _survey(ids, texts, words: int, rows: int, seen: dict):
         ends.append(ends[-1] + len(b))
     values = np.concatenate(flat) if flat else np.zeros(0, dtype=U64)
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))], ["id", "n", "key", "bands"])
+        [ids, pa.array(own, pa.binary()), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))], ["id", "own", "n", "key", "bands"])
+
+
+def _own(text: Column) -> Column:
+    """The SHA-256 of a text, as in ``_survey``."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -155,28 +163,25 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(merged, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "labels")
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept.
-
-    ``component_id`` is the smallest id reachable over links, its own included (null ids are
-    passed over; a component of null ids only has a null one); ``kept`` says that it is the
-    row's own. Null texts and texts without words have no shingles and no links. Repeated rows
-    are of one class and all alike; an empty table gives an empty result.
-    """
+def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """One row per input row: id, own (its text's digest), n, key (null without shingles), component, kept."""
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = band_rows(percent)
-    found = stored(per_text(docs, id_col, text_col, f"id {id_type}, n long, key binary, bands array<long>",
-                            _survey, words, rows, {}), "shingles")
+    found = per_text(docs, id_col, text_col, f"id {id_type}, own binary, n long, key binary, bands array<long>",
+                     _survey, words, rows, {})
+    found = stored(found.withColumn("row", F.monotonically_increasing_id()), "shingles")
+    # a class stands for its first row: null ids come last, equal ids go by text, equal rows by place
     classes = found.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "own", "row")).alias("low"),
+        F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     multi = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
     members = stored(members.join(multi, "bucket", "left_semi"), "members")
     # full sets of the candidates' classes, from one text of each
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "low", "key")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "low.id", "low.own", "key")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).withColumn("own", _own(F.col("text")))
 
     def sets_of(batches):
         for batch in batches:
@@ -187,7 +192,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         [batch.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64())),
                          pa.array([parities(s)], pa.list_(pa.int64()))], ["node", "shingles", "bits"])
 
-    fetched = wanted.join(texts, wanted["low"].eqNullSafe(texts["id"])).select("node", "key", "text")
+    fetched = wanted.join(texts, wanted["id"].eqNullSafe(texts["id"]) & (wanted["own"] == texts["own"])).select("node", "key", "text")
     sets = stored(fetched.mapInArrow(sets_of, "node long, shingles array<long>, bits array<long>").dropDuplicates(["node"]), "sets", "none")
 
     # first, each member with the bucket-mate it shares most buckets with, of those that lead them
@@ -240,14 +245,43 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = classes.select("key", "node", "low").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("low").alias("component"))
     by_key = named.join(lowest, "comp").select(F.col("key").alias("class"), "component")
-    out = found.select("id", "n", "key").join(by_key, F.col("key") == F.col("class"), "left")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+    out = found.select("id", "own", "n", "key", "row").join(by_key, F.col("key") == F.col("class"), "left")
+    linked = F.col("key").isNotNull()
+    return out.select("id", "own", "n", "key", F.when(linked, F.col("component.id")).otherwise(F.col("id")).alias("component"),
+                      F.when(linked, F.col("component.row") == F.col("row")).otherwise(F.lit(True)).alias("kept"))
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept.
+
+    ``component_id`` is the smallest id reachable over links, its own included (null ids are
+    passed over; a component of null ids only has a null one). ``kept`` is true of one row of
+    each component: that of the smallest id, null last; of rows of that id (or of null ids only)
+    the one of the least text digest, and of rows alike in both any one. Null texts and texts
+    without words have no shingles and no links: each such row is kept. An empty table gives an
+    empty result.
+    """
+    return _labelled(docs, id_col, text_col, words, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                      percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component (that of smallest id), all columns kept."""
-    gone = components(docs, id_col, text_col, words, percent).filter("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    """``docs`` with one document of each component (the row that ``components`` keeps), all columns kept.
+
+    Rows go by id and text together, so rows of one id, or of none, are told apart; of rows
+    alike in both that are near copies' survivor one stays. Rows without shingles all stay.
+    """
+    found = _labelled(docs, id_col, text_col, words, percent).filter("key IS NOT NULL")
+    marks = found.groupBy("id", "own").agg(F.min("kept").alias("all"), F.max("kept").alias("one")).filter("NOT all")
+    marks = stored(marks.select(F.col("id").alias("__id"), F.col("own").alias("__sha"), "one"), "near-copies")
+    rows = docs.select("*", _own(docs[text_col]).alias("__own"))
+
+    def join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        return left.join(right, left[id_col].eqNullSafe(right["__id"]) & (left["__own"] == right["__sha"]), how)
+
+    left = join(rows, marks.filter("NOT one"), "left_anti")
+    again = marks.filter("one")
+    if again.limit(1).count():  # the survivor's id and text stand in several rows
+        left = join(left, again, "left_anti").union(join(left, again, "left_semi").dropDuplicates([id_col, "__own"]))
+    return left.select([F.col(f"`{c}`") for c in docs.columns])

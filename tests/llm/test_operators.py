@@ -91,6 +91,29 @@ def test_near(docs):
     assert near_dedup.drop_near_copies(docs).columns == docs.columns
 
 
+def test_near_copies_go_by_row(spark):
+    """One row of each component stays, whatever ids are null or repeated; unlinked rows all stay."""
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(80))
+    rows = [(1, text("a")), (None, text("a") + " z"),  # a null id linked to an id,
+            (None, text("b")), (None, text("c")), (None, ""), (None, ""),  # unlinked null ids,
+            (None, text("d")), (None, text("d") + " z"),  # a component of null ids,
+            (5, text("e")), (5, text("e") + " z"), (5, text("f")),  # one of a single id, and an unlinked text of that id,
+            (4, text("g")), (5, text("g") + " z"),
+            (7, text("h")), (7, text("h")), (8, text("h") + " z")]  # rows alike
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, kept string")
+    left = collections.Counter((r.doc_id, (r.text[:1] or "-") + ("" if r.doc_id else "?")) for r in near_dedup.drop_near_copies(docs).collect())
+    assert left == {(1, "a"): 1, (None, "b?"): 1, (None, "c?"): 1, (None, "-?"): 2, (None, "d?"): 1, (5, "e"): 1, (5, "f"): 1, (4, "g"): 1, (7, "h"): 1}
+    got = near_dedup.components(docs).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == sum(left.values())
+
+
+def test_language_stage_judges_each_row(spark):
+    rows = [(None, "the thing is here", "en"), (None, "1234 ---", "en"), (3, "the other thing", "en"), (3, "...", "en"), (3, "the other thing", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = language_id.keep_identified(docs, P.path("piece_bpe_32k.model"))
+    assert sorted(r.text for r in left.collect()) == ["the other thing"] * 2 + ["the thing is here"]
+
+
 def test_language(docs):
     got = {r.doc_id: r for r in RUNS["language"](docs).collect()}
     assert got[0].lang_pred == got[1].lang_pred == got[2].lang_pred == got[5].lang_pred == "und"
