@@ -35,7 +35,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of at most 2048."""
+    """Token pieces, with their ids, in sequences of at most 2048."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

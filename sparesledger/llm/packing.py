@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import bisect
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +33,16 @@ class WordIds:
     words' ids in turn. Words seen are remembered (up to ``limit``). A text in Latin-1 is
     lower-cased first and a full stop or comma that ends a word is set apart, as the
     tokenizer's own pattern would; a word of letters only then goes straight to its BPE model.
+    A text in which a special token may stand is left as it is: its words go to the tokenizer,
+    which finds special tokens (in their own case only) as its defaults say.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.limit = self.tokenizer.model, limit
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain, self.other = {}, {}
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in set(shown)]
@@ -74,13 +75,15 @@ class WordIds:
             plain = text.decode().lower().encode("latin-1")
         except UnicodeEncodeError:
             return self._join(text.split(), self.other, "utf-8")
+        if any(s in plain for s in self.special):
+            return self._join(text.split(), self.other, "utf-8")
         return self._join(_MARK.sub(rb"\1 \2", plain).split(), self.plain, "latin-1")
 
 
 def _pieces(ids: pa.Array, texts: list[bytes], words: list[WordIds], path: str, capacity: int) -> pa.RecordBatch:
     if not words:
         words.append(WordIds(path))
-    row, piece, start, length, crc = [], [], [], [], []
+    row, piece, start, length, kept = [], [], [], [], []
     for i, t in enumerate(texts):
         tokens = words[0].text(t) + b"\0\0\0\0"
         n = len(tokens) // 4
@@ -90,10 +93,10 @@ def _pieces(ids: pa.Array, texts: list[bytes], words: list[WordIds], path: str,
             piece.append(k)
             start.append(s)
             length.append(e - s)
-            crc.append(zlib.crc32(tokens[4 * s:4 * e]))
+            kept.append(tokens[4 * s:4 * e])
     return pa.RecordBatch.from_arrays(
         [ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-         pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
+         pa.array(length, pa.int64()), pa.array(kept, pa.binary())], ["id", "piece", "start", "length", "ids"])
 
 
 def plan_packing(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -170,22 +173,23 @@ def plan_packing(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
+    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset, ids.
 
-    A document is its ids, then id 0 (so a null or empty text is one token); only documents
-    longer than ``capacity`` are cut. Null and repeated ids and repeated rows are packed like
+    ``ids`` are the piece's token ids, four bytes each, little-endian, and ``ids_crc32`` their
+    CRC32; a sequence is its pieces' ids in the order of ``offset``. A document is its ids, then
+    id 0 (so a null or empty text is one token); only documents longer than ``capacity`` are cut. Null and repeated ids and repeated rows are packed like
     any others; an empty table gives an empty result.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     words: list[WordIds] = []
     pieces = stored(per_text(docs, id_col, text_col,
-                             f"id {id_type}, piece int, start long, length long, ids_crc32 long",
+                             f"id {id_type}, piece int, start long, length long, ids binary",
                              _pieces, words, tokenizer_path, capacity), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     records = plan_packing(counts, capacity)
     records = records[np.lexsort((records[:, 1], records[:, 0]))]
     plan = docs.sparkSession.sparkContext.broadcast(records)  # its size depends on the capacity alone
-    ranked = gapless_rank(pieces, "length", ["id", "piece", "start", "ids_crc32"], "rank", sum(counts.values()))
+    ranked = gapless_rank(pieces, "length", ["id", "piece", "start", "ids"], "rank", sum(counts.values()))
 
     def place(batches):
         r = plan.value
@@ -197,9 +201,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             at = r[np.searchsorted(keys, length * span + rank, side="right") - 1] if batch.num_rows else r[:0]
             bin_, inside = np.divmod(rank - at[:, 1], at[:, 4])
             yield pa.RecordBatch.from_arrays(
-                [table["id"], table["piece"], table["start"], table["length"], table["ids_crc32"],
-                 pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + inside * length)],
-                [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
-    return ranked.mapInArrow(place, f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long, "
-                                    "sequence_id long, offset long")
+                [table["id"], table["piece"], table["start"], table["length"],
+                 pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + inside * length), table["ids"]],
+                [id_col, "piece", "start", "length", "sequence_id", "offset", "ids"])
+
+    placed = ranked.mapInArrow(place, f"`{id_col}` {id_type}, piece int, start long, length long, sequence_id long, "
+                                      "offset long, ids binary")
+    return placed.select(F.col(f"`{id_col}`"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "sequence_id", "offset", "ids")

@@ -35,7 +35,8 @@ def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

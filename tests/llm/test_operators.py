@@ -202,6 +202,27 @@ def test_packing(docs):
     assert len(places) <= -(-total // 2048) + 1
 
 
+def test_packed_sequences_hold_the_ids(spark):
+    """The sequences' own ids, special tokens as the tokenizer's defaults have them."""
+    from tokenizers import Tokenizer
+
+    import numpy as np
+
+    model = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["plain words.", "a<|endoftext|>b", "<|startoftext|> Été, <|endoftext|>", "a<|ENDOFTEXT|>b <|EndOfText|>.",
+             "a<|ENDOFTEXT|>b <|endoftext|>c", "日本<|endoftext|>語", "<|end oftext|>", "word " * 3000 + "<|endoftext|>", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = packing.pack(docs, P.path("word_bpe_49k.json")).collect()
+    sequences = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == len(sequences[r.sequence_id]) and r.ids_crc32 == zlib.crc32(r.ids)
+        sequences[r.sequence_id] += np.frombuffer(r.ids, "<u4").tolist()
+    for i, t in enumerate(texts):
+        got = [x for r in sorted(rows, key=lambda r: r.start) if r.doc_id == i
+               for x in sequences[r.sequence_id][r.offset:r.offset + r.length]]
+        assert got == model.encode(t or "", add_special_tokens=False).ids + [0]
+
+
 def test_substring(docs):
     assert {r.doc_id: tuple(r)[1:] for r in RUNS["substring"](docs).collect()} == brute.op7(DOCS)
     left = {r.doc_id: r for r in substring_dedup.drop_repeated(docs).collect()}
