@@ -22,14 +22,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from sparesledger.functions.aging import DEFAULT_EDGES, ISSUE_TYPE, RECEIPT_TYPE, age_bucket, movement_status
-from sparesledger.functions.money import MONEY, div_round
+from sparesledger.functions.money import decimal_type, difference_type, product, quotient
 from sparesledger.functions.periods import as_of_date
 
 # Fixed value: the reference's reporting date (transaction types live in functions.aging).
 REFERENCE_AS_OF = _dt.date(2026, 6, 30)
 KEY = ["inventory_item_id", "org_id"]
+# Types of the gold measures: values in money of two places (a value that does not fit is an error).
+VALUE, PERCENT = DecimalType(20, 2), DecimalType(24, 2)
+MONTHS = DecimalType(14, 8)  # months_between rounds to 8 places
 
 
 def _as_date(d) -> F.Column:
@@ -67,7 +71,7 @@ def txn_profile(
         F.max(F.when(is_issue, F.col("txn_date"))).alias("last_issue_date"),
         F.count_if(is_issue).alias("issue_txn_count"),
         F.count_if(is_rcpt).alias("receipt_txn_count"),
-        F.sum(F.when(is_issue, -F.col("primary_quantity")).otherwise(F.lit(0))).cast(MONEY).alias("qty_consumed"),
+        F.sum(F.when(is_issue, -F.col("primary_quantity")).otherwise(F.lit(0))).alias("qty_consumed"),
         F.count_distinct(F.when(is_rcpt, F.col("vendor_id"))).alias("distinct_suppliers"),
     )
 
@@ -103,7 +107,7 @@ def onhand_by_item(onhand: DataFrame) -> DataFrame:
     """On-hand rows summed to the item x plant grain, so several rows never multiply lines."""
     return onhand.groupBy(
         F.col("INVENTORY_ITEM_ID").alias("inventory_item_id"), F.col("ORGANIZATION_ID").alias("org_id")
-    ).agg(F.sum("PRIMARY_TRANSACTION_QUANTITY").cast(MONEY).alias("onhand_qty"))
+    ).agg(F.sum("PRIMARY_TRANSACTION_QUANTITY").alias("onhand_qty"))
 
 
 def item_costs(costs: DataFrame) -> DataFrame:
@@ -160,13 +164,20 @@ def stores_aging(
         .join(prof, KEY, "left")
     )
 
-    qty, avg_c, last_c = F.col("onhand_qty"), F.col("average_cost"), F.col("last_po_cost")
+    qty, avg_c, last_c, rise = F.col("onhand_qty"), F.col("average_cost"), F.col("last_po_cost"), F.col("last_po_cost") - F.col("average_cost")
+    # Products and quotients are sized from the places that the sources declare.
+    qty_t, consumed_t = decimal_type(base, "onhand_qty"), decimal_type(base, "qty_consumed")
+    avg_t, last_t = decimal_type(base, "average_cost"), decimal_type(base, "last_po_cost")
+    rise_t = difference_type(last_t, avg_t)
+
+    def value(price: F.Column, kind: DecimalType) -> F.Column:
+        return F.round(product(qty, qty_t, price, kind)[0], 2).cast(VALUE)
+
     days_rcpt = F.datediff(ref, F.col("last_receipt_date"))
     days_issue = F.datediff(ref, F.col("last_issue_date"))
     days_first = F.datediff(ref, F.col("first_receipt_date"))
-    # months since first receipt, kept exact: months_between rounds to 8 places
-    # (16,8): qty (18,2) x months (16,8) is decimal(35,10) -- exact, no precision-loss rounding
-    months = F.months_between(ref, F.col("first_receipt_date")).cast("decimal(16,8)")
+    months = F.months_between(ref, F.col("first_receipt_date")).cast(MONTHS)  # since the first receipt
+    stock_months, stock_months_t = product(qty, qty_t, months, MONTHS)
     consumed = F.col("qty_consumed")
     issues = F.coalesce(F.col("issue_txn_count"), F.lit(0))
     stocked = F.coalesce(F.col("stocked_in_orgs"), F.lit(1))
@@ -176,12 +187,11 @@ def stores_aging(
         qty.alias("onhand_qty"),
         avg_c.alias("average_cost"),
         last_c.alias("last_po_cost"),
-        F.round(qty * avg_c, 2).cast(MONEY).alias("onhand_value_avg_cost"),
-        F.round(qty * last_c, 2).cast(MONEY).alias("onhand_value_last_cost"),
-        # decimal(24,2): a 1e16 price rise over a 0.01 average cost still fits
-        div_round((last_c - avg_c) * 100, avg_c, 2, "decimal(22,2)", "decimal(18,2)").cast("decimal(24,2)")
-        .alias("cost_variance_pct"),
-        F.round(qty * (last_c - avg_c), 2).cast(MONEY).alias("revaluation_exposure"),
+        value(avg_c, avg_t).alias("onhand_value_avg_cost"),
+        value(last_c, last_t).alias("onhand_value_last_cost"),
+        # four places of the ratio are two of the percentage
+        (quotient(rise, rise_t, avg_c, avg_t, 4) * 100).cast(PERCENT).alias("cost_variance_pct"),
+        value(rise, rise_t).alias("revaluation_exposure"),
         "first_receipt_date",
         "last_receipt_date",
         days_rcpt.alias("days_since_receipt"),
@@ -190,12 +200,10 @@ def stores_aging(
         "issue_txn_count",
         "receipt_txn_count",
         "distinct_suppliers",
-        div_round(consumed, months, 3, "decimal(18,2)", "decimal(14,8)")
-        .cast("decimal(18,3)").alias("avg_monthly_consumption"),
+        quotient(consumed, consumed_t, months, MONTHS, 3).cast("decimal(24,3)").alias("avg_monthly_consumption"),
         # stock / (consumed / months) == stock * months / consumed: one exact division
-        F.when(consumed > 0, div_round(F.when(months != 0, qty * months), consumed, 1,
-                                       "decimal(30,10)", "decimal(18,2)"))
-        .cast("decimal(18,1)").alias("months_of_cover"),
+        F.when((consumed > 0) & (months != 0), quotient(stock_months, stock_months_t, consumed, consumed_t, 1))
+        .cast("decimal(24,1)").alias("months_of_cover"),
         days_first.alias("days_since_first_receipt"),
         age_bucket(days_rcpt, edges, unknown_bucket).alias("aging_bucket_last_receipt"),
         age_bucket(days_first, edges, unknown_bucket).alias("aging_bucket_first_receipt"),

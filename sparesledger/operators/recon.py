@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparesledger.functions.money import MONEY
 from sparesledger.functions.periods import period_start
 
 # Status words, the stores inventory natural account, the journal source.
@@ -33,12 +32,12 @@ def ap_side(fact_ap_distribution: DataFrame, dim_org: DataFrame, by_plant: bool
         o = F.broadcast(dim_org.select("org_id", "org_code"))
         return d.join(o, "org_id").groupBy("period_name", "org_code").agg(
             F.count("*").alias("ap_distribution_count"),
-            F.round(F.sum("amount"), 2).cast(MONEY).alias("ap_amount"),
+            F.round(F.sum("amount"), 2).alias("ap_amount"),
         )
     known = d.join(F.broadcast(dim_org.select("org_id")), "org_id", "left_semi")
     return known.groupBy("period_name").agg(
         F.count("*").alias("ap_distribution_count"),
-        F.round(F.sum("amount"), 2).cast(MONEY).alias("ap_amount"),
+        F.round(F.sum("amount"), 2).alias("ap_amount"),
     )
 
 
@@ -49,7 +48,7 @@ def sla_side(bridge: DataFrame, fact_ap_distribution: DataFrame) -> DataFrame:
         bridge.select("invoice_distribution_id", "period_name")
         .join(d, "invoice_distribution_id")
         .groupBy("period_name")
-        .agg(F.count("*").alias("sla_link_count"), F.round(F.sum("amount"), 2).cast(MONEY).alias("sla_amount"))
+        .agg(F.count("*").alias("sla_link_count"), F.round(F.sum("amount"), 2).alias("sla_amount"))
     )
 
 
@@ -65,8 +64,8 @@ def gl_side(fact_gl_line: DataFrame, dim_account: DataFrame, source: str = PAYAB
         l.join(a, "code_combination_id", "left_semi")
         .groupBy("period_name")
         .agg(
-            F.round(F.sum("accounted_dr"), 2).cast(MONEY).alias("gl_debit"),
-            F.round(F.sum("accounted_cr"), 2).cast(MONEY).alias("gl_credit"),
+            F.round(F.sum("accounted_dr"), 2).alias("gl_debit"),
+            F.round(F.sum("accounted_cr"), 2).alias("gl_credit"),
         )
     )
 
@@ -116,10 +115,10 @@ def recon_ap_to_gl(
     gap = F.abs(F.coalesce(ap_t, F.lit(0)) - F.coalesce(gl_t, F.lit(0)))
     cols = [
         "period_name",
-        ap_t.cast(MONEY).alias("ap_subledger_total"),
-        F.col("sla_total").cast(MONEY).alias("sla_bridged_total"),
-        gl_t.cast(MONEY).alias("gl_posted_total"),
-        F.round(ap_t - gl_t, 2).cast(MONEY).alias("variance"),
+        ap_t.alias("ap_subledger_total"),
+        F.col("sla_total").alias("sla_bridged_total"),
+        gl_t.alias("gl_posted_total"),
+        F.round(ap_t - gl_t, 2).alias("variance"),
         F.when(gap < tolerance, RECONCILED).otherwise(INVESTIGATE).alias("status"),
     ]
     if detail:
@@ -127,8 +126,8 @@ def recon_ap_to_gl(
             period_start(F.col("period_name")).alias("period_start"),
             F.col("ap_count").alias("ap_distribution_count"),
             F.col("sla_count").alias("sla_link_count"),
-            F.col("gl_credit_total").cast(MONEY).alias("gl_credit_total"),
-            F.round(ap_t - F.col("sla_total"), 2).cast(MONEY).alias("bridge_gap"),
+            F.col("gl_credit_total").alias("gl_credit_total"),
+            F.round(ap_t - F.col("sla_total"), 2).alias("bridge_gap"),
         ]
     return joined.select(cols)
 

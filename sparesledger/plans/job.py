@@ -3,10 +3,12 @@
     spark-submit --py-files sparesledger.zip scripts/run_job.py \\
         --landing s3://bucket/landing --root s3://bucket/warehouse --as-of 2026-06-30 --reports
 
-Reads every extract of the registry from ``--landing`` (declared schemas, CSV by default),
-writes bronze/silver/gold under ``--root`` (default: under ``spark.checkpoint.dir``), and
-with ``--reports`` writes the report and dashboard data sets under ``{root}/reports``. The
-session comes from the cluster (``getOrCreate``); the job sets no cluster configuration.
+Lands every extract from ``--landing`` (declared schemas, CSV by default; ``--format jdbc`` with
+``--option url=...`` reads them from a database), publishes bronze/silver/gold under ``--root``
+(default: under ``spark.checkpoint.dir``), and with ``--reports`` writes the report and dashboard
+data sets under ``{root}/reports``. Rows that do not fit go to ``rejected_rows``; with more of
+them than ``--max-reject-share`` the job fails and the previous run stays current. The session
+comes from the cluster (``getOrCreate``); the job sets no cluster configuration.
 """
 
 from __future__ import annotations
@@ -20,9 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparesledger.operators import checks, recon, reports, security
 from sparesledger.plans.model import Model
-from sparesledger.plans.pipeline import default_root, run_pipeline
-from sparesledger.sources.bronze import read_extract
-from sparesledger.sources.schemas import SOURCE_TABLES
+from sparesledger.plans.pipeline import default_root, land, read_bronze, register_layer, run_pipeline
 
 REPORTS: dict[str, Callable[[Model], DataFrame]] = {
     "aging_by_bucket": lambda m: reports.aging_by_bucket(m.stores_aging),
@@ -44,24 +44,55 @@ REPORTS: dict[str, Callable[[Model], DataFrame]] = {
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sparesledger-job", description=__doc__.split("\n\n")[0])
-    p.add_argument("--landing", required=True, help="folder holding {table}.{format} extracts")
-    p.add_argument("--format", default="csv", help="extract format (csv, parquet, ...)")
+    p.add_argument("--landing", default=None, help="folder holding {table}.{format} extracts (not for jdbc)")
+    p.add_argument("--format", default="csv", help="extract format (csv, json, parquet, jdbc, ...)")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option, such as the JDBC url")
+    p.add_argument("--table-option", action="append", default=[], metavar="TABLE.KEY=VALUE",
+                   help="reader option of one extract, such as its dbtable or partitionColumn")
+    p.add_argument("--type", action="append", default=[], metavar="TABLE.COLUMN=TYPE",
+                   help="type of a column instead of the declared one, such as cst_item_costs.ITEM_COST=decimal(20,8)")
+    p.add_argument("--max-reject-share", type=float, default=0.0, help="share of an extract's rows that may not fit")
     p.add_argument("--root", default=None,
                    help="warehouse root (default: {spark.checkpoint.dir}/sparesledger-warehouse/as_of=<date>)")
     p.add_argument("--as-of", default=None, help="reporting date YYYY-MM-DD (default: today)")
     p.add_argument("--catalog-prefix", default=None, help="also register layers as databases {prefix}bronze ...")
     p.add_argument("--reports", action="store_true", help="write report and dashboard data sets")
     p.add_argument("--parallelism", type=int, default=4, help="concurrent table writes within a layer")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if args.format != "jdbc" and not args.landing:
+        p.error("--landing is needed unless --format is jdbc")
+    return args
+
+
+def _pairs(texts: Sequence[str]) -> dict[str, str]:
+    out = {}
+    for t in texts:
+        key, sign, value = t.partition("=")
+        if not sign or not key:
+            raise ValueError(f"not KEY=VALUE: {t!r}")
+        out[key] = value
+    return out
+
+
+def _by_table(texts: Sequence[str]) -> dict[str, dict[str, str]]:
+    out: dict[str, dict[str, str]] = {}
+    for key, value in _pairs(texts).items():
+        table, dot, rest = key.partition(".")
+        if not dot or not rest:
+            raise ValueError(f"not TABLE.KEY=VALUE: {key!r}")
+        out.setdefault(table, {})[rest] = value
+    return out
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
-    ext = args.format
-    sources = {t: read_extract(spark, t, f"{args.landing.rstrip('/')}/{t}.{ext}", args.format) for t in SOURCE_TABLES}
-    root = args.root or default_root(spark, as_of)  # one root per as-of date
-    run_pipeline(spark, Model(sources, as_of=as_of), root, parallelism=args.parallelism,
-                 catalog_prefix=args.catalog_prefix)
+    root = (args.root or default_root(spark, as_of)).rstrip("/")  # one root per as-of date
+    land(spark, args.landing, root, fmt=args.format, options=_pairs(args.option), table_options=_by_table(args.table_option),
+         types=_by_table(args.type), max_reject_share=args.max_reject_share, parallelism=args.parallelism)
+    if args.catalog_prefix is not None:
+        register_layer(spark, root, "bronze", args.catalog_prefix)
+    run_pipeline(spark, Model(read_bronze(spark, root), as_of=as_of), root, layers=("silver", "gold"),
+                 parallelism=args.parallelism, catalog_prefix=args.catalog_prefix)
     if args.reports:
         stored = Model.from_warehouse(spark, root, as_of=as_of)
         # most reports scan the gold table: keep it for the batch (a lost executor re-reads
@@ -70,7 +101,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         stored._gold["agg_stores_aging"] = gold
         try:
             for name, build in REPORTS.items():
-                build(stored).write.mode("overwrite").parquet(f"{root.rstrip('/')}/reports/{name}")
+                build(stored).write.mode("overwrite").parquet(f"{root}/reports/{name}")
         finally:
             gold.unpersist()
     return root

@@ -65,14 +65,15 @@ class Model:
             return self._sources.table(name)
         return self._sources[name]
 
-    def sources(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        out = {}
-        for n in names:
-            try:
-                out[n] = self.source(n)
-            except (KeyError, AttributeError):
-                pass
-        return out
+    def has_source(self, name: str) -> bool:
+        return hasattr(type(self._sources), name) if isinstance(self._sources, Fixtures) else name in self._sources
+
+    def sources(self, names: Sequence[str], optional: Sequence[str] = ()) -> dict[str, DataFrame]:
+        """The extracts ``names``; ``KeyError`` if one that is not ``optional`` is absent."""
+        missing = [n for n in names if n not in optional and not self.has_source(n)]
+        if missing:
+            raise KeyError(f"extracts not there: {', '.join(missing)}")
+        return {n: self.source(n) for n in names if self.has_source(n)}
 
     # -- silver ------------------------------------------------------------------------------
 

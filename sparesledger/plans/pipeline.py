@@ -1,9 +1,10 @@
 """The batch job: sources -> bronze -> silver -> gold, written as parquet under one root.
 
-Layout: ``{root}/bronze/{table}``, ``{root}/silver/{table}``, ``{root}/gold/{table}``. The
-root must be shared storage on a cluster; by default it is a folder under the session's
-``spark.checkpoint.dir``. Writing the layers also cuts lineage: reports built with
-``Model.from_warehouse`` plan from the stored tables, not from the sources.
+Each layer of a run is written as a new version and published at once (``plans.publish``), so
+readers see whole layers of one run, and a failed run changes nothing. The root must be shared
+storage on a cluster; by default it is a folder under the session's ``spark.checkpoint.dir``.
+Writing the layers also cuts lineage: reports built with ``Model.from_warehouse`` plan from the
+stored tables, not from the sources.
 
 The material transaction fact is written partitioned by ``txn_year_month`` and the gold
 ageing table by ``org_code``, each behind a ``rebalance`` hint on that key: AQE sizes the
@@ -15,28 +16,32 @@ partitions on read.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sparesledger.functions.periods import as_of_date
-from sparesledger.operators.aging import STORES_AGING_COLUMNS
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
+from sparesledger.plans.publish import Written, current, new_version, publish, read_layer, version_path, write_table
 from sparesledger.session import ensure_checkpoint_dir, hadoop_path
-from sparesledger.sources.bronze import add_audit_columns
-from sparesledger.sources.schemas import SOURCE_TABLES
+from sparesledger.sources.bronze import (
+    Types, add_audit_columns, extract_options, extract_path, good_rows, rejects, split_extract,
+)
+from sparesledger.sources.conform import PROBLEMS
+from sparesledger.sources.schemas import AUDIT_COLUMNS, LANDING_TABLES, SOURCE_TABLES
 
 LAYERS = ("bronze", "silver", "gold")
 GOLD_TABLES = ("agg_stores_aging", "recon_ap_to_gl")
 # Partition columns: the transaction fact by month (lookback/cutoff filters prune months);
 # the gold ageing table by plant (persona views and per-plant reports read one plant's files).
 PARTITIONED = {"fact_material_txn": "txn_year_month", "agg_stores_aging": "org_code"}
-COLUMN_ORDER = {"agg_stores_aging": STORES_AGING_COLUMNS}
+#: The table of rows that did not fit, in a bronze version that has any.
+REJECTED = "rejected_rows"
 
 
 def default_root(spark: SparkSession, as_of=None) -> str:
@@ -59,145 +64,160 @@ def _as_of_day(as_of) -> _dt.date | None:
     return day
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None, table: str | None = None) -> None:
-    w = df
-    if partition_by:
-        # REBALANCE, not repartition(col): AQE splits a hot month into advisory-size tasks and
-        # merges small ones, so no month lands in one task and no month becomes many tiny files.
-        w = df.hint("rebalance", partition_by)
-    writer = w.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if table:
-        # an external table at the layer path: the files outlive any one catalog, so a later
-        # run (or a fresh session catalog) re-registers and replaces them instead of failing
-        writer.option("path", path).saveAsTable(table)
-    else:
-        writer.save(path)
-
+def publish_tables(spark: SparkSession, root: str, layer: str, tables: Mapping[str, DataFrame], parallelism: int = 4) -> str:
+    """Write the independent tables of a layer concurrently (one Spark job each) into a new version
+    and publish it; a failed write raises and nothing is published.
 
-def _write_all(jobs: list[tuple], parallelism: int) -> None:
-    """Submit the independent writes of one layer concurrently (one Spark job each).
-
-    Small dimension writes would otherwise leave the cluster idle between jobs; the big
-    fact writes still spread over every executor. A failed write raises here, and since
-    every write is an overwrite the layer can simply be rerun.
+    Small dimension writes would otherwise leave the cluster idle between jobs; the big fact
+    writes still spread over every executor.
+    """
+    version = new_version()
+    path = version_path(root, layer, version)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        jobs = [pool.submit(write_table, df, f"{path}/{t}", PARTITIONED.get(t)) for t, df in tables.items()]
+        written = [j.result() for j in jobs]
+    publish(spark, root, layer, version, written)
+    return version
+
+
+class RejectedRows(ValueError):
+    """More rows of an extract did not fit than the load allows."""
+
+
+def land(spark: SparkSession, landing: str | None, root: str, tables: Sequence[str] = LANDING_TABLES,
+         optional: Iterable[str] | None = None, fmt: str = "csv", options: Mapping[str, str] | None = None,
+         table_options: Mapping[str, Mapping[str, str]] | None = None, types: Types | None = None,
+         max_reject_share: float = 0.0, parallelism: int = 4) -> str:
+    """Load the extracts of a landing zone into a new bronze version under ``root``; its name.
+
+    ``{landing}/{table}.{fmt}`` must be there for every table but the ``optional`` ones (default:
+    those that no later layer reads); absent ones raise ``FileNotFoundError`` before anything is
+    read. Rows with a value that does not fit its type, and malformed lines, go to the table
+    ``rejected_rows`` (extract, file, problems, source row); all others are loaded. If more than
+    ``max_reject_share`` of an extract's rows are bad, the load raises ``RejectedRows`` and the
+    previous version stays current; the rejected rows can be read in the unpublished folder that
+    the error names. Bad rows are counted while the good ones are written; only an extract that
+    has some is read again for them.
     """
-    if parallelism <= 1:
-        for job in jobs:
-            _write(*job)
-        return
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for f in [pool.submit(_write, *job) for job in jobs]:
-            f.result()
+    tables = list(tables)
+    optional = set(LANDING_TABLES) - set(SOURCE_TABLES) if optional is None else set(optional)
+    if fmt == "jdbc":
+        there = [t for t in tables if t not in optional or t in (table_options or {})]
+        if len(there) > 1 and {k.lower() for k in (options or {})} & {"dbtable", "query"}:
+            raise ValueError("dbtable/query name one extract: give them per table in table_options")
+    else:
+        fs, _ = hadoop_path(spark, landing)
+        there = [t for t in tables if fs.exists(hadoop_path(spark, extract_path(landing, t, fmt))[1])]
+        missing = [t for t in tables if t not in there and t not in optional]
+        if missing:
+            raise FileNotFoundError(f"{landing} lacks the extracts {', '.join(missing)}")
+    version = new_version()
+    path = version_path(root, "bronze", version)
+
+    def load(t: str) -> tuple[Written, DataFrame]:
+        opts = extract_options(t, fmt, options, table_options)
+        split = split_extract(spark, t, extract_path(landing, t, fmt), fmt, opts, (types or {}).get(t))
+        seen = Observation()
+        counted = split.observe(seen, F.count_if(F.size(PROBLEMS) > 0).alias("bad"))
+        return write_table(add_audit_columns(good_rows(counted)), f"{path}/{t}", rejected=seen), split
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        loaded = list(pool.map(load, there))
+    bad = [(w, split) for w, split in loaded if w.rejected]
+    written = [w for w, _ in loaded]
+    if bad:
+        rows = reduce(DataFrame.unionByName, [rejects(split, w.table_name) for w, split in bad])
+        written.append(write_table(rows, f"{path}/{REJECTED}"))
+    over = [w for w, _ in bad if w.rejected > max_reject_share * (w.row_count + w.rejected)]
+    if over:
+        told = ", ".join(f"{w.table_name} {w.rejected} of {w.row_count + w.rejected}" for w in over)
+        raise RejectedRows(f"rows that do not fit: {told} (allowed share {max_reject_share:g}); see {path}/{REJECTED}")
+    publish(spark, root, "bronze", version, written)
+    return version
 
 
 def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, layers=LAYERS,
                  parallelism: int = 4, catalog_prefix: str | None = None) -> str:
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.
 
-    Layers run in order (silver reads the stored bronze, gold the stored silver); the
-    tables within a layer are independent and are written concurrently. The default root is
+    Layers run in order (silver reads the stored bronze, gold the stored silver), each published
+    as one version when all its tables are written. The default root is
     ``default_root(spark, model.as_of)``. With ``catalog_prefix`` (``''`` for plain
-    ``bronze``/``silver``/``gold``) each table is also registered as an external table at its
-    layer path (``{prefix}{layer}.{table}``): the catalog names then point at this run's
-    root (the latest run publishes), dropping them leaves the files, and a fresh catalog
-    re-registers them on the next run.
+    ``bronze``/``silver``/``gold``) each table of a published layer is also registered as an
+    external table (``{prefix}{layer}.{table}``) at its version's path: the catalog names point
+    at the latest run, dropping them leaves the files, and a fresh catalog re-registers them on
+    the next run.
     """
     root = (root or default_root(spark, model.as_of)).rstrip("/")
-    use_catalog = catalog_prefix is not None
-    if use_catalog:
-        for layer in layers:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {catalog_prefix}{layer} LOCATION '{root}/{layer}'")
 
-    def job(df, layer, t, part=None):
-        return (df, f"{root}/{layer}/{t}", part, f"{catalog_prefix}{layer}.{t}" if use_catalog else None)
+    def write(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        version = publish_tables(spark, root, layer, tables, parallelism)
+        if catalog_prefix is not None:
+            register_layer(spark, root, layer, catalog_prefix, version)
+        return read_layer(spark, root, layer, version=version)
 
     if "bronze" in layers:
-        landed = model.sources(SOURCE_TABLES)
-        _write_all([job(add_audit_columns(df), "bronze", t) for t, df in landed.items()], parallelism)
+        landed = write("bronze", {t: add_audit_columns(df) for t, df in model.sources(SOURCE_TABLES).items()})
         # later layers read the bronze this run wrote (never another run's tables, nor the
-        # silver or gold this run is about to overwrite)
+        # silver or gold of the version before)
         if "silver" in layers:
-            model = Model(read_bronze(spark, root, list(landed)), as_of=model.as_of, edges=model.edges,
+            model = Model({t: df.drop(*AUDIT_COLUMNS) for t, df in landed.items()}, as_of=model.as_of, edges=model.edges,
                           **model.aging_options)
     if "silver" in layers:
-        _write_all([job(getattr(model, t), "silver", t, PARTITIONED.get(t)) for t in SILVER_TABLES], parallelism)
-        model = Model(model._sources, as_of=model.as_of, edges=model.edges,
-                      silver_tables=_read_dir(spark, f"{root}/silver", SILVER_TABLES),
-                      **model.aging_options)
+        silver = write("silver", {t: getattr(model, t) for t in SILVER_TABLES})
+        model = Model(model._sources, as_of=model.as_of, edges=model.edges, silver_tables=silver, **model.aging_options)
     if "gold" in layers:
-        _write_all([job(with_comments(model.stores_aging), "gold", "agg_stores_aging", PARTITIONED["agg_stores_aging"]),
-                    job(model.recon_ap_to_gl, "gold", "recon_ap_to_gl")], parallelism)
-        if use_catalog:
-            text = TABLE_COMMENT.replace("'", "\\'")
-            spark.sql(f"COMMENT ON TABLE {catalog_prefix}gold.agg_stores_aging IS '{text}'")
+        write("gold", {"agg_stores_aging": with_comments(model.stores_aging), "recon_ap_to_gl": model.recon_ap_to_gl})
     return root
 
 
-def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``; None only when nothing readable is there (an empty folder)."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if (e.getCondition() or "") in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
-            return None
-        raise
-
-
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
-def _read_dir(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
-    out = {}
-    for n in names:
-        path = f"{base}/{n}"
-        if n in PARTITIONED:
-            # partition values are text ('001' must not become 1): one listing, with partition
-            # type inference off for this read only (the relation fixes its schema when created)
-            with _conf(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
-                df = _read_parquet(spark, path)
-        else:
-            df = _read_parquet(spark, path)
-        if df is None:
+def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "", version: str | None = None) -> None:
+    """Point the catalog names ``{prefix}{layer}.{table}`` at a published version (default: the
+    current one), as external tables with their column comments.
+
+    A name whose schema did not change is moved in one step; others, and partitioned tables, are
+    dropped and created anew, which readers of that name may notice. Readers by path
+    (``Model.from_warehouse``) always see whole layers.
+    """
+    database = f"{prefix}{layer}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{layer}'")
+    version = version or current(spark, root, layer)
+    for t, df in read_layer(spark, root, layer, version=version).items():
+        name, path, part = f"{database}.{t}", f"{version_path(root, layer, version)}/{t}", PARTITIONED.get(t)
+        if not part and spark.catalog.tableExists(name) and spark.table(name).schema == df.schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
             continue
-        if n in COLUMN_ORDER and set(COLUMN_ORDER[n]) == set(df.columns):
-            df = df.select(*COLUMN_ORDER[n])  # partition columns come back last; keep the table's layout
-        out[n] = df
-    return out
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{_quoted(f.metadata['comment'])}'" if "comment" in f.metadata else "")
+                            for f in df.schema.fields)
+        parted = f" PARTITIONED BY (`{part}`)" if part else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parted} LOCATION '{path}'")
+        if part:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        if t == "agg_stores_aging":
+            spark.sql(f"COMMENT ON TABLE {name} IS '{_quoted(TABLE_COMMENT)}'")
 
 
-def _existing(spark: SparkSession, base: str, names) -> list[str]:
-    """Tables present under ``base`` (a listing through Hadoop's FileSystem, no data read)."""
-    fs, path = hadoop_path(spark, base)
-    if not fs.exists(path):
-        return []
-    present = {st.getPath().getName() for st in fs.listStatus(path)}
-    return [n for n in names if n in present]
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def read_bronze(spark: SparkSession, root: str, names=SOURCE_TABLES) -> dict[str, DataFrame]:
-    """Stored bronze extracts (``names`` only) without their audit columns."""
-    base = f"{root.rstrip('/')}/bronze"
-    return {t: df.drop("_ingest_ts", "_source_system")
-            for t, df in _read_dir(spark, base, _existing(spark, base, names)).items()}
+def read_bronze(spark: SparkSession, root: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """The current bronze extracts (all, or ``names``) without their audit columns."""
+    tables = read_layer(spark, root.rstrip("/"), "bronze", names)
+    return {t: df.drop(*AUDIT_COLUMNS) for t, df in tables.items() if t != REJECTED}
 
 
 def read_layers(spark: SparkSession, root: str, read_gold: bool = True):
+    """Bronze, silver and gold tables of the current versions; ``FileNotFoundError`` if no layer was
+    ever published under ``root``."""
     root = root.rstrip("/")
-    silver_t = _read_dir(spark, f"{root}/silver", _existing(spark, f"{root}/silver", SILVER_TABLES))
-    gold_t = _read_dir(spark, f"{root}/gold", _existing(spark, f"{root}/gold", GOLD_TABLES)) if read_gold else {}
-    return read_bronze(spark, root), silver_t, gold_t
+    bronze, silver = read_bronze(spark, root), read_layer(spark, root, "silver")
+    gold = read_layer(spark, root, "gold") if read_gold else {}
+    if not (bronze or silver or gold):
+        raise FileNotFoundError(f"no published layer under {root}")
+    return bronze, silver, gold
 
 
 def month_slice(fact: DataFrame, first_month: str, last_month: str) -> DataFrame:

@@ -1,22 +1,59 @@
 """Landing -> bronze: read extracts with explicit schemas, tag them, write them as-is.
 
-The source is a parameter: CSV files with a header (the reference), parquet, or any
+The source is a parameter: CSV files with a header (the reference), JSON lines, parquet, or any
 ``spark.read.format`` source such as JDBC (``options`` carries the connection; each
 extract's ``dbtable``/``query`` and read partitioning -- ``partitionColumn``/
-``numPartitions`` so a large table is read in parallel -- go per table).
+``numPartitions`` so a large table is read in parallel -- go per table). Whatever the way in,
+``conform`` types the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparesledger.sources.schemas import SOURCE_SCHEMAS, SOURCE_TABLES
+from sparesledger.sources.conform import CORRUPT, FILE, PROBLEMS, conform, declared, judged
+from sparesledger.sources.schemas import SOURCE_TABLES
 
 SOURCE_SYSTEM = "EBS_R12"  # fixed value of the audit column
+Types = Mapping[str, Mapping[str, str]]  # by extract: column -> type instead of the declared one
+
+
+def json_schema(table: str, types: Mapping[str, str] | None = None) -> T.StructType | None:
+    """What JSON is read as: numbers at 18 places (``conform`` holds them against the declared
+    type), dates as text."""
+    schema = declared(table, types)
+    wider = {T.DecimalType: T.DecimalType(38, 18), T.DateType: T.StringType()}
+    return schema and T.StructType([T.StructField(f.name, wider.get(type(f.dataType), f.dataType)) for f in schema.fields])
+
+
+def _raw(spark: SparkSession, table: str, path: str | None, fmt: str, options: Mapping[str, str] | None,
+         types: Mapping[str, str] | None, bad_lines: bool = False) -> DataFrame:
+    """The extract as its source has it: CSV as text under its header's names, JSON numbers wide,
+    other formats in their own types. ``bad_lines``: a malformed CSV or JSON line is kept in
+    ``CORRUPT`` instead of failing the read."""
+    opts = dict(options or {})
+    if fmt == "csv":
+        opts.setdefault("header", "true")
+        opts.setdefault("enforceSchema", "false")  # each file's header is held against the first one's
+        if not bad_lines:
+            opts.setdefault("mode", "FAILFAST")
+            return spark.read.options(**opts).csv(path)
+        names = spark.read.options(**opts).csv(path).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        return spark.read.options(**opts, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
+    reader = spark.read.format(fmt)
+    if fmt == "json" and (schema := json_schema(table, types)):
+        opts.setdefault("mode", "PERMISSIVE" if bad_lines else "FAILFAST")
+        if bad_lines:
+            schema = schema.add(CORRUPT, T.StringType())
+            opts["columnNameOfCorruptRecord"] = CORRUPT
+        reader = reader.schema(schema)
+    reader = reader.options(**opts)
+    return reader.load(path) if path is not None else reader.load()
 
 
 def read_extract(
@@ -25,50 +62,42 @@ def read_extract(
     path: str | None = None,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One extract in its declared types (no inference, so no extra pass over the file).
 
-    CSV columns are taken by header name, whatever their order; columns that are not declared
-    are kept as text behind the declared ones, and a missing one raises ``ValueError``. Dates
-    may carry a time of day. A number that its declared type cannot hold exactly fails the read
-    instead of being rounded.
+    Columns are taken by name, whatever their order; columns that are not declared are kept
+    behind the declared ones, and a missing one raises ``ValueError``. Dates may carry a time of
+    day. A value that its declared type cannot hold exactly fails the read instead of being
+    rounded; ``types`` declares another type for a column, such as ``{"ITEM_COST": "decimal(20,8)"}``.
     """
-    schema = SOURCE_SCHEMAS[table]
-    opts = dict(options or {})
-    if fmt == "csv":
-        opts.setdefault("header", "true")
-        opts.setdefault("mode", "FAILFAST")
-        opts.setdefault("enforceSchema", "false")  # each file's header is held against the first one's
-        return _by_name(spark.read.options(**opts).csv(path), table)
-    reader = spark.read.format(fmt)
-    if fmt != "jdbc":
-        reader = reader.schema(schema)
-    reader = reader.options(**opts)
-    df = reader.load(path) if path is not None else reader.load()
-    if fmt == "jdbc":  # the database decides types; conform to the declared schema
-        df = df.select([_typed(F.col(f"`{f.name}`"), f) for f in schema.fields])
-    return df
+    return conform(_raw(spark, table, path, fmt, options, types), table, types)
 
 
-def _by_name(df: DataFrame, table: str) -> DataFrame:
-    """All-text ``df`` with the extract's declared columns typed, then the others as they are."""
-    found = {c.strip().upper(): c for c in df.columns}
-    fields = SOURCE_SCHEMAS[table].fields
-    missing = [f.name for f in fields if f.name.upper() not in found]
-    if missing:
-        raise ValueError(f"extract {table} lacks the columns {', '.join(missing)}")
-    declared = {f.name.upper() for f in fields}
-    return df.select([_typed(F.col(f"`{found[f.name.upper()]}`"), f) for f in fields]
-                     + [F.col(f"`{c}`") for u, c in found.items() if u not in declared])
+def split_extract(
+    spark: SparkSession,
+    table: str,
+    path: str | None = None,
+    fmt: str = "csv",
+    options: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One extract with every row: typed columns, ``_problems`` (empty for a good row), the file the
+    row stands in and its source text. ``good_rows`` and ``rejects`` part them."""
+    rows = _raw(spark, table, path, fmt, options, types, bad_lines=True)
+    at = F.col("_metadata.file_path") if fmt != "jdbc" else F.lit(None).cast("string")
+    return judged(rows.withColumn(FILE, at), table, types)
+
 
+def good_rows(split: DataFrame) -> DataFrame:
+    return split.filter(F.size(PROBLEMS) == 0).drop(PROBLEMS, FILE, "_source_row")
 
-def _typed(col: Column, field: T.StructField) -> Column:
-    kind = field.dataType
-    if isinstance(kind, T.DecimalType):
-        exact, kept = col.cast("decimal(38,12)"), col.cast(kind)
-        lost = F.concat(F.lit(f"{field.name} does not fit {kind.simpleString()}: "), col.cast("string"))
-        return F.when(exact == kept, kept).when(col.isNotNull(), F.raise_error(lost).cast(kind)).alias(field.name)
-    return col.cast(kind).alias(field.name)
+
+def rejects(split: DataFrame, table: str) -> DataFrame:
+    """The rows of ``split_extract`` that did not fit: extract, file, problems, source row."""
+    return split.filter(F.size(PROBLEMS) > 0).select(
+        F.lit(table).alias("table_name"), F.col(FILE).alias("source_file"), F.col(PROBLEMS).alias("problems"),
+        F.col("_source_row").alias("source_row"))
 
 
 def add_audit_columns(df: DataFrame, source_system: str = SOURCE_SYSTEM) -> DataFrame:
@@ -76,6 +105,20 @@ def add_audit_columns(df: DataFrame, source_system: str = SOURCE_SYSTEM) -> Data
     return df.withColumn("_ingest_ts", F.current_timestamp()).withColumn("_source_system", F.lit(source_system))
 
 
+def extract_options(table: str, fmt: str, options: Mapping[str, str] | None,
+                    table_options: Mapping[str, Mapping[str, str]] | None) -> dict[str, str]:
+    """The reader options of one extract: the common ones, its own, and for JDBC its name as ``dbtable``
+    unless it names a table or query."""
+    opts = {**(options or {}), **((table_options or {}).get(table, {}))}
+    if fmt == "jdbc" and not {k.lower() for k in opts} & {"dbtable", "query"}:  # JDBC keys are case-insensitive
+        opts["dbtable"] = table
+    return opts
+
+
+def extract_path(root: str | None, table: str, fmt: str) -> str | None:
+    return None if fmt == "jdbc" else f"{root.rstrip('/')}/{table}.{fmt}"
+
+
 def land_bronze(
     spark: SparkSession,
     source_root: str | None,
@@ -84,6 +127,7 @@ def land_bronze(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     table_options: Mapping[str, Mapping[str, str]] | None = None,
+    types: Types | None = None,
 ) -> dict[str, str]:
     """Full refresh of each extract into ``{target_root}/{table}`` (parquet, overwrite).
 
@@ -98,15 +142,10 @@ def land_bronze(
         raise ValueError("dbtable/query name one extract: give them per table in table_options")
     written = {}
     for t in tables:
-        if fmt == "jdbc":
-            opts = {**(options or {}), **((table_options or {}).get(t, {}))}
-            if not {k.lower() for k in opts} & {"dbtable", "query"}:  # JDBC keys are case-insensitive
-                opts["dbtable"] = t
-            df = add_audit_columns(read_extract(spark, t, None, fmt, opts))
-        else:
-            df = add_audit_columns(read_extract(spark, t, f"{source_root}/{t}.{fmt}", fmt, options))
+        opts = extract_options(t, fmt, options, table_options)
+        df = read_extract(spark, t, extract_path(source_root, t, fmt), fmt, opts, (types or {}).get(t))
         out = f"{target_root}/{t}"
-        df.write.mode("overwrite").parquet(out)
+        add_audit_columns(df).write.mode("overwrite").parquet(out)
         written[t] = out
     return written
 

@@ -1,8 +1,8 @@
 """Explicit schemas of the ERP extracts.
 
 Schemas are declared, never inferred: inference turns account segments such as ``'01'`` and
-``'000'`` into integers and loses the leading zeros. Money and quantities are
-``DECIMAL(18,2)`` so sums are exact.
+``'000'`` into integers and loses the leading zeros. Money and quantities are decimals, so
+sums are exact; silver and gold keep the places their source declares.
 """
 
 from __future__ import annotations
@@ -17,14 +17,19 @@ from pyspark.sql.types import (
     StructType,
 )
 
+#: Ledger money as the test tables hold it.
 MONEY = DecimalType(18, 2)
+#: Default precision of the extracts: five places, as an ERP keeps unit costs and quantities.
+#: ``read_extract(..., types=)`` declares another one for a column.
+AMOUNT = QUANTITY = UNIT_COST = DecimalType(18, 5)
 
 
 def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-S, L, I, D, M = StringType(), LongType(), IntegerType(), DateType(), MONEY
+S, L, I, D = StringType(), LongType(), IntegerType(), DateType()
+M, Q, C = AMOUNT, QUANTITY, UNIT_COST
 
 SOURCE_SCHEMAS: dict[str, StructType] = {
     "hr_operating_units": _schema(
@@ -66,22 +71,40 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     "mtl_material_transactions": _schema(
         ("TRANSACTION_ID", L), ("INVENTORY_ITEM_ID", L), ("ORGANIZATION_ID", L),
         ("TRANSACTION_TYPE_ID", I), ("TRANSACTION_TYPE_NAME", S), ("TRANSACTION_DATE", D),
-        ("PRIMARY_QUANTITY", M), ("ACTUAL_COST", M), ("TRANSACTION_COST_TOTAL", M),
+        ("PRIMARY_QUANTITY", Q), ("ACTUAL_COST", C), ("TRANSACTION_COST_TOTAL", M),
         ("VENDOR_ID", L), ("PO_NUMBER", S),
     ),
     "mtl_onhand_quantities_detail": _schema(
-        ("INVENTORY_ITEM_ID", L), ("ORGANIZATION_ID", L), ("PRIMARY_TRANSACTION_QUANTITY", M),
+        ("INVENTORY_ITEM_ID", L), ("ORGANIZATION_ID", L), ("PRIMARY_TRANSACTION_QUANTITY", Q),
     ),
     "cst_item_costs": _schema(
-        ("INVENTORY_ITEM_ID", L), ("ORGANIZATION_ID", L), ("ITEM_COST", M), ("LAST_PO_COST", M),
+        ("INVENTORY_ITEM_ID", L), ("ORGANIZATION_ID", L), ("ITEM_COST", C), ("LAST_PO_COST", C),
     ),
     "org_security_map": _schema(("USER_NAME", S), ("ORG_CODE", S)),
 }
 
-# Extracts the landing zone is expected to hold. The reference also lands gl_ledgers,
-# gl_periods, gl_import_references and ap_invoice_lines_all, but never reads them and does
-# not state their columns, so they are not part of this registry.
 SOURCE_TABLES: tuple[str, ...] = tuple(SOURCE_SCHEMAS)
+# Extracts that are landed but that no later layer reads. Their columns are not declared: they
+# land as text under the names in their header.
+LANDED_ONLY: tuple[str, ...] = ("gl_ledgers", "gl_periods", "gl_import_references", "ap_invoice_lines_all")
+# What the landing zone is expected to hold.
+LANDING_TABLES: tuple[str, ...] = SOURCE_TABLES + LANDED_ONLY
+
+# What tells the rows of an extract apart (on-hand details and grants have no key of their own).
+SOURCE_KEYS: dict[str, tuple[str, ...]] = {
+    "hr_operating_units": ("ORG_ID",),
+    "gl_code_combinations": ("CODE_COMBINATION_ID",),
+    "gl_je_headers": ("JE_HEADER_ID",),
+    "gl_je_lines": ("JE_HEADER_ID", "JE_LINE_NUM"),
+    "xla_ae_headers": ("AE_HEADER_ID",),
+    "xla_distribution_links": ("GL_SL_LINK_ID",),
+    "ap_suppliers": ("VENDOR_ID",),
+    "ap_invoices_all": ("INVOICE_ID",),
+    "ap_invoice_distributions_all": ("INVOICE_DISTRIBUTION_ID",),
+    "mtl_system_items_b": ("INVENTORY_ITEM_ID", "ORGANIZATION_ID"),
+    "mtl_material_transactions": ("TRANSACTION_ID",),
+    "cst_item_costs": ("INVENTORY_ITEM_ID", "ORGANIZATION_ID"),
+}
 
 # Columns the bronze layer adds to every extract.
 AUDIT_COLUMNS = ("_ingest_ts", "_source_system")

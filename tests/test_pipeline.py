@@ -6,12 +6,14 @@ import pytest
 
 import os
 import re
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import FIXTURE_AS_OF, Model
 from sparesledger.plans.pipeline import month_slice, run_pipeline
+from sparesledger.plans.publish import layer_path
 from sparesledger.plans.registry import comparable
 from sparesledger.sources.bronze import land_bronze, read_extract, write_extracts
 from sparesledger.sources.fixtures import Fixtures
@@ -48,10 +50,11 @@ def test_pipeline_matches_lazy_model(spark, scratch):
     lazy = Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF)
     root = run_pipeline(spark, lazy, f"{scratch}/wh")
     for layer in ("bronze", "silver", "gold"):
-        assert os.path.isdir(f"{root}/{layer}")
-    assert sorted(os.listdir(f"{root}/silver")) == sorted(SILVER_TABLES)
+        assert os.path.isdir(layer_path(spark, root, layer))
+    silver = layer_path(spark, root, "silver")
+    assert sorted(os.listdir(silver)) == sorted(SILVER_TABLES)
     # the transaction fact is month-partitioned
-    assert any(p.startswith("txn_year_month=") for p in os.listdir(f"{root}/silver/fact_material_txn"))
+    assert any(p.startswith("txn_year_month=") for p in os.listdir(f"{silver}/fact_material_txn"))
     stored = Model.from_warehouse(spark, root, as_of=FIXTURE_AS_OF)
     assert _rows(stored.stores_aging) == _rows(lazy.stores_aging)
     assert _rows(stored.recon_ap_to_gl) == _rows(lazy.recon_ap_to_gl)
@@ -358,7 +361,7 @@ def test_csv_columns_go_by_header_name(spark, scratch):
     path = _csv(scratch, "swapped", "COST_TYPE_ID,LAST_PO_COST,ITEM_COST,ORGANIZATION_ID,INVENTORY_ITEM_ID\n7,12.50,10.25,2,1\n")
     df = read_extract(spark, "cst_item_costs", path)
     assert df.columns == [*COSTS.split(","), "COST_TYPE_ID"]
-    assert [str(x) for x in df.first()] == ["1", "2", "10.25", "12.50", "7"]
+    assert list(df.first()) == [1, 2, Decimal("10.25"), Decimal("12.50"), "7"]
 
 
 def test_csv_missing_column_raises(spark, scratch):
@@ -376,6 +379,6 @@ def test_csv_dates_with_time_and_leading_zeros(spark, scratch):
 
 
 def test_csv_number_that_would_be_rounded_fails(spark, scratch):
-    path = _csv(scratch, "fine", COSTS + "\n1,2,0.0049,1.00\n")
+    path = _csv(scratch, "fine", COSTS + "\n1,2,0.0000049,1.00\n")
     with pytest.raises(Exception, match="ITEM_COST does not fit"):
         read_extract(spark, "cst_item_costs", path).collect()
