@@ -69,6 +69,14 @@ def check_layer_tables(silver: Mapping[str, DataFrame], expected: Sequence[str])
     return _counts(silver, expected, "table_name")
 
 
+def check_manifest(manifest: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """Every expected table of a published layer with its rows, rejected rows and bytes, from the
+    manifest its run wrote (no table is read); a table that is not in it has ``present = false``."""
+    want = manifest.sparkSession.createDataFrame([(t,) for t in expected], "table_name string")
+    have = manifest.select("table_name", "row_count", "rejected", "bytes")
+    return want.join(have, "table_name", "left").withColumn("present", F.coalesce(F.col("row_count") > 0, F.lit(False)))
+
+
 def check_journal_balance(fact_gl_line: DataFrame) -> DataFrame:
     """Journals whose debits and credits differ (a balanced ledger returns no rows)."""
     dr = F.coalesce(F.sum("accounted_dr"), F.lit(0))

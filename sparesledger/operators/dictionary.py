@@ -88,3 +88,11 @@ def data_dictionary(gold: DataFrame, comments: Mapping[str, str] = COLUMN_COMMEN
         F.col("non_null_rows").cast("long").alias("non_null_rows"),
         F.col("total_rows").cast("long").alias("total_rows"),
     )
+
+
+def stored_dictionary(manifest: DataFrame, table: str = "agg_stores_aging") -> DataFrame:
+    """The same report of a published table from its run's manifest: types, comments and fill counts
+    were taken while it was written, so no data is read."""
+    one = manifest.filter(F.col("table_name") == table).select("row_count", F.posexplode("columns").alias("at", "c"))
+    return one.select(F.col("c.name").alias("column_name"), (F.col("at") + 1).alias("ordinal"), F.col("c.type").alias("data_type"),
+                      F.col("c.comment").alias("comment"), F.col("c.filled").alias("non_null_rows"), F.col("row_count").alias("total_rows"))

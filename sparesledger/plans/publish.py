@@ -27,7 +27,8 @@ from pyspark.sql.types import DecimalType, StructType
 from sparesledger.session import hadoop_path
 
 MANIFEST = ("layer string, version string, table_name string, row_count long, rejected long, bytes long, files long, "
-            "sums map<string,string>, schema string, written_at timestamp")
+            "sums map<string,string>, columns array<struct<name:string,type:string,comment:string,filled:long>>, "
+            "schema string, written_at timestamp")
 
 
 @dataclass
@@ -41,6 +42,7 @@ class Written:
     schema: str
     rejected: int = 0
     sums: dict[str, str] = field(default_factory=dict)
+    columns: list[dict] = field(default_factory=list)
 
 
 def new_version() -> str:
@@ -57,8 +59,8 @@ def _manifest_path(root: str, layer: str, version: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejected: Observation | None = None) -> Written:
-    """Write ``df`` into the new folder ``path`` and count it on the way (no second scan): rows and
-    the exact sum of every decimal column; bytes and files come from a listing.
+    """Write ``df`` into the new folder ``path`` and count it on the way (no second scan): rows, filled
+    values of each column and the exact sum of every decimal one; bytes and files come from a listing.
 
     The counting is the last step before the write, behind any shuffle, so a stage that runs again
     after a lost executor is not counted twice.
@@ -69,9 +71,10 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
         # merges small ones, so no month lands in one task and no month becomes many tiny files.
         out = df.hint("rebalance", partition_by)
     seen = Observation()
-    money = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
-    out = out.observe(seen, F.count(F.lit(1)).alias("rows"),
-                      *(F.sum(F.col(f"`{c}`")).cast("string").alias(f"sum_{i}") for i, c in enumerate(money)))
+    fields = df.schema.fields
+    money = [i for i, f in enumerate(fields) if isinstance(f.dataType, DecimalType)]
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count(F.col(f"`{f.name}`")).alias(f"filled_{i}") for i, f in enumerate(fields)),
+                      *(F.sum(F.col(f"`{fields[i].name}`")).cast("string").alias(f"sum_{i}") for i in money))
     writer = out.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -79,9 +82,11 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
     fs, at = hadoop_path(df.sparkSession, path)
     size = fs.getContentSummary(at)
     got = seen.get
-    sums = {c: got[f"sum_{i}"] for i, c in enumerate(money) if got[f"sum_{i}"] is not None}
+    sums = {fields[i].name: got[f"sum_{i}"] for i in money if got[f"sum_{i}"] is not None}
+    columns = [{"name": f.name, "type": f.dataType.simpleString(), "comment": f.metadata.get("comment"), "filled": got[f"filled_{i}"]}
+               for i, f in enumerate(fields)]
     return Written(path.rpartition("/")[2], got["rows"], size.getLength(), size.getFileCount(), df.schema.json(),
-                   rejected.get["bad"] if rejected is not None else 0, sums)
+                   rejected.get["bad"] if rejected is not None else 0, sums, columns)
 
 
 def _create(spark: SparkSession, path: str, text: str) -> None:

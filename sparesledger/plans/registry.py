@@ -9,6 +9,7 @@ themselves keep native types.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ from sparesledger.functions.aging import age_bucket, movement_status
 from sparesledger.operators import aging, checks, dictionary, recon, reports, security
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import FIXTURE_AS_OF, Model
-from sparesledger.sources.bronze import add_audit_columns
+from sparesledger.plans.pipeline import LAYERS, land, read_bronze, run_pipeline
+from sparesledger.plans.publish import manifest, read_layer
+from sparesledger.session import work_folder
+from sparesledger.sources.bronze import add_audit_columns, write_extracts
 from sparesledger.sources.schemas import SOURCE_TABLES
 
 DRILL_PERIOD = "MAR-25"  # the reference drills MAR-26, a period the fixture does not have
@@ -94,9 +98,53 @@ def _gold(m: Model) -> DataFrame:
     return m.stores_aging
 
 
+def _fresh(m: Model, name: str) -> str:
+    """A new folder for a query that writes, in the shared folder (its retention policy clears it)."""
+    spark = m.source("hr_operating_units").sparkSession
+    return f"{work_folder(spark).rstrip('/')}/sparesledger-queries/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_round_trip(m: Model) -> DataFrame:
+    """The ageing table of extracts with four-place costs and three-place quantities that went
+    through CSV files (columns in another order), the landing, silver and gold as they are stored."""
+    item = F.col("INVENTORY_ITEM_ID")
+    sources = m.sources(SOURCE_TABLES)
+    costs, onhand, txn = (sources[t] for t in ("cst_item_costs", "mtl_onhand_quantities_detail", "mtl_material_transactions"))
+    finer = {
+        "cst_item_costs": costs.withColumns({
+            "ITEM_COST": F.when(F.col("ITEM_COST") == 0, F.col("ITEM_COST")).otherwise(F.col("ITEM_COST") + (item % 9973) / F.lit(10_000)),
+            "LAST_PO_COST": F.col("LAST_PO_COST") + (item * 7 % 9973) / F.lit(10_000)}),
+        "mtl_onhand_quantities_detail": onhand.withColumn(
+            "PRIMARY_TRANSACTION_QUANTITY", F.col("PRIMARY_TRANSACTION_QUANTITY") + (item % 997) / F.lit(1_000)),
+        "mtl_material_transactions": txn.withColumn("PRIMARY_QUANTITY", F.col("PRIMARY_QUANTITY") * F.lit(1125) / F.lit(1_000)),
+    }
+    text = {t: df.select([F.col(c).cast("decimal(18,4)").alias(c) if c in ("ITEM_COST", "LAST_PO_COST") else
+                          F.col(c).cast("decimal(18,3)").alias(c) if c.endswith("QUANTITY") else F.col(c) for c in reversed(df.columns)])
+            for t, df in (sources | finer).items()}
+    folder = _fresh(m, "csv")
+    write_extracts(text, f"{folder}/landing")
+    spark = costs.sparkSession
+    land(spark, f"{folder}/landing", f"{folder}/root")
+    root = run_pipeline(spark, Model(read_bronze(spark, f"{folder}/root"), as_of=m.as_of, edges=m.edges), f"{folder}/root", layers=("silver", "gold"))
+    return read_layer(spark, root, "gold", ["agg_stores_aging"])["agg_stores_aging"]
+
+
+def _layer_manifest(m: Model) -> DataFrame:
+    """Rows of every table of the three layers and the sum of each money or quantity column, from
+    the manifests of a run that wrote them."""
+    root = run_pipeline(m.source("hr_operating_units").sparkSession, m, _fresh(m, "layers"), LAYERS)
+    spark = m.source("hr_operating_units").sparkSession
+    lines = [manifest(spark, root, layer) for layer in LAYERS]
+    all_lines = lines[0].unionByName(lines[1]).unionByName(lines[2])
+    return all_lines.select("layer", "table_name", "row_count", F.explode_outer("sums").alias("column_name", "total")).withColumn(
+        "total", F.col("total").cast("decimal(38,5)"))
+
+
 QUERY_BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     # sources and bronze
     "bronze_audit": lambda m: add_audit_columns(m.source("mtl_system_items_b")).drop("_ingest_ts"),
+    "csv_round_trip": _csv_round_trip,
+    "layer_manifest": _layer_manifest,
     "data_dictionary": lambda m: dictionary.data_dictionary(m.stores_aging),
     # functions shown on their own
     "age_bucket": _age_bucket,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import weakref
 
 from pyspark.sql import SparkSession
@@ -104,6 +105,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return fallback  # the stable base, not Spark's per-application subfolder
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder; where none is named and the session runs in one local process (tests),
+    a temporary one. On a cluster an unset folder is an error."""
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
+    if shared_folder(spark) is None and local and not spark.sparkContext.getCheckpointDir():
+        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sparesledger-"))
+    return ensure_checkpoint_dir(spark)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
                  max_partitions: int | None = None) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
