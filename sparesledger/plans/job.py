@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparesledger.operators import checks, recon, reports, security
 from sparesledger.plans.model import Model
 from sparesledger.plans.pipeline import default_root, land, read_bronze, register_layer, run_pipeline
+from sparesledger.plans.views import register_sql
 
 REPORTS: dict[str, Callable[[Model], DataFrame]] = {
     "aging_by_bucket": lambda m: reports.aging_by_bucket(m.stores_aging),
@@ -93,6 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         register_layer(spark, root, "bronze", args.catalog_prefix)
     run_pipeline(spark, Model(read_bronze(spark, root), as_of=as_of), root, layers=("silver", "gold"),
                  parallelism=args.parallelism, catalog_prefix=args.catalog_prefix)
+    if args.catalog_prefix is not None:
+        register_sql(spark, args.catalog_prefix)
     if args.reports:
         stored = Model.from_warehouse(spark, root, as_of=as_of)
         # most reports scan the gold table: keep it for the batch (a lost executor re-reads

@@ -27,13 +27,14 @@ from sparesledger.functions.periods import as_of_date
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
-from sparesledger.plans.publish import Written, current, new_version, publish, read_layer, version_path, write_table
+from sparesledger.plans.publish import Written, current, manifest, new_version, publish, read_layer, version_path, write_table
 from sparesledger.session import ensure_checkpoint_dir, hadoop_path
 from sparesledger.sources.bronze import (
     Types, add_audit_columns, extract_options, extract_path, good_rows, rejects, split_extract,
 )
 from sparesledger.sources.conform import PROBLEMS
-from sparesledger.sources.schemas import AUDIT_COLUMNS, LANDING_TABLES, SOURCE_TABLES
+from sparesledger.sources.ranges import LARGE, planned_ranges
+from sparesledger.sources.schemas import AUDIT_COLUMNS, LANDING_TABLES, SOURCE_KEYS, SOURCE_TABLES
 
 LAYERS = ("bronze", "silver", "gold")
 GOLD_TABLES = ("agg_stores_aging", "recon_ap_to_gl")
@@ -98,6 +99,12 @@ def land(spark: SparkSession, landing: str | None, root: str, tables: Sequence[s
     previous version stays current; the rejected rows can be read in the unpublished folder that
     the error names. Bad rows are counted while the good ones are written; only an extract that
     has some is read again for them.
+
+    With ``fmt='jdbc'``, ``options`` holds the connection and ``table_options`` what belongs to one
+    extract (its ``dbtable`` or ``query``; optional extracts are read if they are named here). The
+    extracts that grow with the business (``ranges.LARGE``) are read by ranges of their key, which
+    ``planned_ranges`` cuts, unless their options state a partitioning; a ``query`` of one without
+    is refused.
     """
     tables = list(tables)
     optional = set(LANDING_TABLES) - set(SOURCE_TABLES) if optional is None else set(optional)
@@ -111,12 +118,14 @@ def land(spark: SparkSession, landing: str | None, root: str, tables: Sequence[s
         missing = [t for t in tables if t not in there and t not in optional]
         if missing:
             raise FileNotFoundError(f"{landing} lacks the extracts {', '.join(missing)}")
+    ranges = _key_ranges(spark, root, there, options, table_options) if fmt == "jdbc" else {}
     version = new_version()
     path = version_path(root, "bronze", version)
 
     def load(t: str) -> tuple[Written, DataFrame]:
         opts = extract_options(t, fmt, options, table_options)
-        split = split_extract(spark, t, extract_path(landing, t, fmt), fmt, opts, (types or {}).get(t))
+        by_range = {"predicates": ranges[t]} if t in ranges else {}
+        split = split_extract(spark, t, extract_path(landing, t, fmt), fmt, opts, (types or {}).get(t), **by_range)
         seen = Observation()
         counted = split.observe(seen, F.count_if(F.size(PROBLEMS) > 0).alias("bad"))
         return write_table(add_audit_columns(good_rows(counted)), f"{path}/{t}", rejected=seen), split
@@ -136,6 +145,23 @@ def land(spark: SparkSession, landing: str | None, root: str, tables: Sequence[s
     return version
 
 
+def _key_ranges(spark: SparkSession, root: str, tables: Iterable[str], options: Mapping[str, str] | None,
+                table_options: Mapping[str, Mapping[str, str]] | None) -> dict[str, list[str]]:
+    """The range predicates of the large extracts that state no partitioning of their own."""
+    out = {}
+    last = {r.table_name: r.row_count for r in manifest(spark, root, "bronze").select("table_name", "row_count").collect()} if current(spark, root, "bronze") else {}
+    for t in set(tables) & set(LARGE):
+        opts = extract_options(t, "jdbc", options, table_options)
+        keys = {k.lower() for k in opts}
+        if "partitioncolumn" in keys:
+            continue
+        if "query" in keys:
+            raise ValueError(f"{t} would be read by one task: give its query a partitionColumn, or a dbtable")
+        stored = read_bronze(spark, root, [t])[t] if t in last else None
+        out[t] = planned_ranges(spark, t, SOURCE_KEYS[t][0], opts, stored, last.get(t))
+    return out
+
+
 def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, layers=LAYERS,
                  parallelism: int = 4, catalog_prefix: str | None = None) -> str:
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.

@@ -9,7 +9,7 @@ extract's ``dbtable``/``query`` and read partitioning -- ``partitionColumn``/
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +31,15 @@ def json_schema(table: str, types: Mapping[str, str] | None = None) -> T.StructT
 
 
 def _raw(spark: SparkSession, table: str, path: str | None, fmt: str, options: Mapping[str, str] | None,
-         types: Mapping[str, str] | None, bad_lines: bool = False) -> DataFrame:
+         types: Mapping[str, str] | None, bad_lines: bool = False, predicates: Sequence[str] | None = None) -> DataFrame:
     """The extract as its source has it: CSV as text under its header's names, JSON numbers wide,
     other formats in their own types. ``bad_lines``: a malformed CSV or JSON line is kept in
-    ``CORRUPT`` instead of failing the read."""
+    ``CORRUPT`` instead of failing the read. ``predicates``: one task each reads a JDBC table."""
     opts = dict(options or {})
+    if predicates:
+        own = {k.lower(): k for k in opts}
+        url, name = opts.pop(own["url"]), opts.pop(own["dbtable"])
+        return spark.read.jdbc(url, name, predicates=list(predicates), properties=opts)
     if fmt == "csv":
         opts.setdefault("header", "true")
         opts.setdefault("enforceSchema", "false")  # each file's header is held against the first one's
@@ -81,10 +85,11 @@ def split_extract(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     types: Mapping[str, str] | None = None,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """One extract with every row: typed columns, ``_problems`` (empty for a good row), the file the
     row stands in and its source text. ``good_rows`` and ``rejects`` part them."""
-    rows = _raw(spark, table, path, fmt, options, types, bad_lines=True)
+    rows = _raw(spark, table, path, fmt, options, types, bad_lines=True, predicates=predicates)
     at = F.col("_metadata.file_path") if fmt != "jdbc" else F.lit(None).cast("string")
     return judged(rows.withColumn(FILE, at), table, types)
 

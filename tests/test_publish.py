@@ -186,23 +186,49 @@ def test_job_declares_types_and_options(spark, scratch):
     assert parse_args(["--format", "jdbc", "--option", "url=jdbc:x:y"]).option == ["url=jdbc:x:y"]
 
 
-def test_jdbc_options_of_each_extract(monkeypatch, spark, scratch):
-    """Without a database: what the reader is asked for, with Parquet in its place."""
+def test_jdbc_reads_by_ranges(monkeypatch, spark, scratch):
+    """Without a database: what the reader is asked for, with the test tables in its place."""
     from sparesledger.plans import pipeline
+    from sparesledger.sources import ranges
+    from sparesledger.sources.conform import judged
 
-    asked = {}
-    fx = Fixtures(spark, SF_SMALL)
-
-    def split(spark, table, path, fmt, options, types):
-        asked[table] = (path, fmt, options)
-        from sparesledger.sources.conform import judged
+    asked, fx = {}, Fixtures(spark, SF_SMALL)
 
+    def split(spark, table, path, fmt, options, types, predicates=None):
+        asked[table] = (path, fmt, options, predicates)
         return judged(fx.table(table), table, types)
 
     monkeypatch.setattr(pipeline, "split_extract", split)
-    land(spark, None, f"{scratch}/wh", fmt="jdbc", options={"url": "jdbc:x"}, table_options={"ap_suppliers": {"query": "SELECT 1"}})
-    assert asked["ap_suppliers"] == (None, "jdbc", {"url": "jdbc:x", "query": "SELECT 1"})
-    assert asked["gl_je_lines"] == (None, "jdbc", {"url": "jdbc:x", "dbtable": "gl_je_lines"}) and set(asked) == set(SOURCE_TABLES)
+    monkeypatch.setattr(ranges, "observed_cuts", lambda spark, name, column, n, options: ranges.even_cuts(1, 640, n))
+    by_hand = {"ap_suppliers": {"query": "SELECT 1"}, "gl_je_lines": {"dbtable": "gl.lines", "partitionColumn": "JE_HEADER_ID"}}
+    land(spark, None, f"{scratch}/wh", fmt="jdbc", options={"url": "jdbc:x"}, table_options=by_hand)
+    assert asked["ap_suppliers"] == (None, "jdbc", {"url": "jdbc:x", "query": "SELECT 1"}, None)
+    assert asked["gl_je_lines"][2:] == ({"url": "jdbc:x", "dbtable": "gl.lines", "partitionColumn": "JE_HEADER_ID"}, None)
+    assert asked["cst_item_costs"][3] is None and set(asked) == set(SOURCE_TABLES)
+    assert asked["ap_invoices_all"][2] == {"url": "jdbc:x", "dbtable": "ap_invoices_all"} and len(asked["ap_invoices_all"][3]) == 64
+    monkeypatch.setattr(ranges, "ROWS_PER_READ", 500)  # the second run cuts by what the first one stored
+    land(spark, None, f"{scratch}/wh", fmt="jdbc", options={"url": "jdbc:x"}, table_options=by_hand)
+    predicates = asked["ap_invoices_all"][3]
+    invoices = fx.ap_invoices_all
+    sizes = [invoices.filter(p).count() for p in predicates]
+    assert len(predicates) == -(-invoices.count() // 500) and sum(sizes) == invoices.count() and max(sizes) < 600
     with pytest.raises(ValueError, match="name one extract"):
         land(spark, None, f"{scratch}/wh", fmt="jdbc", options={"url": "jdbc:x", "DbTable": "t"})
-    assert layer_path(spark, f"{scratch}/wh", "bronze")
+    with pytest.raises(ValueError, match="one task"):
+        land(spark, None, f"{scratch}/wh", fmt="jdbc", options={"url": "jdbc:x"}, table_options={"ap_invoices_all": {"query": "SELECT 1"}})
+
+
+def test_range_predicates_take_every_key_once(spark):
+    import datetime as dt
+
+    from sparesledger.sources.ranges import even_cuts, quantile_cuts, range_predicates
+
+    keys = spark.createDataFrame([(None, None, None), *((i, f"k{i}'", dt.date(2026, 1, 1) + dt.timedelta(i % 40)) for i in [-5, 0, 1, 2, 2, 2, 3, 10, 99, 1000])],
+                                 "i long, s string, d date")
+    cuts = {"i": [even_cuts(-5, 1000, 7), [2], [], [2, 2, 3]], "s": [["k1'", "k2'"]], "d": [[dt.date(2026, 1, 3)]]}
+    cuts["i"].append(quantile_cuts(keys, "i", 4))
+    for column, choices in cuts.items():
+        for chosen in choices:
+            hit = [F.when(F.expr(p), 1).otherwise(0) for p in range_predicates(column, chosen)]
+            assert [r[0] for r in keys.select(sum(hit[1:], hit[0])).collect()] == [1] * 11, (column, chosen)
+    assert even_cuts(1, 10, 3) == [4, 7] and even_cuts(5, 5, 4) == [] and quantile_cuts(keys.limit(0), "i", 4) == []
