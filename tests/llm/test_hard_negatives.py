@@ -61,7 +61,7 @@ def test_odd_rows(spark):
 
 
 def test_scores_beyond_doubles(spark):
-    rows = [(i, [1e6 + i, 3e6 - i * 7, float(i)], i % 2) for i in range(30)]
+    rows = [(i, [1e6 * (1 + i % 11), 3e6 - i * 7, float(i)], i % 2) for i in range(30)]
     every = lambda i: i % 3 == 0
     got = mined(spark, rows, every)
     assert got == brute(rows, every) and max(r[4] for r in got) > 2**53
@@ -73,7 +73,8 @@ def test_candidates_are_exactly_those_at_the_threshold(low):
     for scale in (10, 3000, 10**8):
         a, r = (np.floor(rnd.normal(0, scale, (n, 40)) * (rnd.random((n, 40)) < .5)) for n in (30, 200))
         least = np.full(30, low * scale * scale) if np.isfinite(low) else np.full(30, low)
-        exact = a.astype(object) @ r.astype(object).T if scale == 10**8 else a @ r.T
+        whole = np.vectorize(int, otypes=[object])
+        exact = whole(a) @ whole(r).T
         got = {(i, j): s for i, j, s in zip(*(x.tolist() for x in hard_negatives.candidates(a, r, least)))}
         assert got == {(i, j): int(exact[i, j]) for i in range(30) for j in range(200) if exact[i, j] >= least[i]}
 
