@@ -90,7 +90,7 @@ def main() -> None:
     gold = stored.stores_aging
     rpts = {
         "aging_by_bucket": lambda: reports.aging_by_bucket(gold),
-        "redistribution_list": lambda: reports.redistribution_list(gold),
+        "redistribution_list": lambda: reports.redistribution_list(gold, plants=stored.plant_codes),
         "procurement_list": lambda: reports.procurement_list(gold),
         "nonmoving_by_category": lambda: reports.nonmoving_by_category(gold),
         "visibility_check_gci": lambda: security.visibility_check(gold, "GCI"),

@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from sparesledger.functions.aging import DEFAULT_EDGES, ISSUE_TYPE, RECEIPT_TYPE, age_bucket, movement_status
+from sparesledger.functions.bitsets import BitSet
 from sparesledger.functions.money import decimal_type, difference_type, product, quotient
 from sparesledger.functions.periods import as_of_date
 
@@ -76,11 +78,58 @@ def txn_profile(
     )
 
 
-def redundancy(dim_item: DataFrame, onhand: DataFrame | None = None, basis: str = "master") -> DataFrame:
+def profile_parts(txn: DataFrame, receipt_type: int = RECEIPT_TYPE, issue_type: int = ISSUE_TYPE) -> DataFrame:
+    """The profile in parts that merge: one row per item, plant, month and supplier.
+
+    A month's parts come from that month's transactions alone, so after new or corrected
+    transactions only their months are made anew; ``merged_profile`` puts any parts together.
+    """
+    is_rcpt, is_issue = F.col("txn_type_id") == receipt_type, F.col("txn_type_id") == issue_type
+    return txn.groupBy(*KEY, "txn_year_month", "vendor_id").agg(
+        F.max(F.when(is_rcpt, F.col("txn_date"))).alias("last_receipt_date"),
+        F.min(F.when(is_rcpt, F.col("txn_date"))).alias("first_receipt_date"),
+        F.max(F.when(is_issue, F.col("txn_date"))).alias("last_issue_date"),
+        F.count_if(is_issue).alias("issue_txn_count"),
+        F.count_if(is_rcpt).alias("receipt_txn_count"),
+        F.sum(F.when(is_issue, -F.col("primary_quantity")).otherwise(F.lit(0))).alias("qty_consumed"),
+    )
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """``txn_profile`` from the parts of all its months."""
+    return parts.groupBy(*KEY).agg(
+        F.max("last_receipt_date").alias("last_receipt_date"), F.min("first_receipt_date").alias("first_receipt_date"),
+        F.max("last_issue_date").alias("last_issue_date"), F.sum("issue_txn_count").alias("issue_txn_count"),
+        F.sum("receipt_txn_count").alias("receipt_txn_count"), F.sum("qty_consumed").alias("qty_consumed"),
+        F.count_distinct(F.when(F.col("receipt_txn_count") > 0, F.col("vendor_id"))).alias("distinct_suppliers"),
+    )
+
+
+class Plants(NamedTuple):
+    """The ids and codes of all plants: a small domain, so sets of plants fit into bit masks."""
+
+    ids: tuple[int, ...]
+    codes: tuple[str, ...]
+
+
+MOST_PLANTS = 1024  # beyond that, sets are gathered as sets
+
+
+def known_plants(dim_org: DataFrame) -> Plants | None:
+    """The plants of the dimension (one row per operating unit, read by the driver); None if there
+    are more than ``MOST_PLANTS``."""
+    rows = dim_org.select("org_id", "org_code").distinct().limit(MOST_PLANTS + 1).collect()
+    if len(rows) > MOST_PLANTS:
+        return None
+    return Plants(tuple(sorted({r.org_id for r in rows if r.org_id is not None})), tuple(sorted({r.org_code for r in rows if r.org_code is not None})))
+
+
+def redundancy(dim_item: DataFrame, onhand: DataFrame | None = None, basis: str = "master", plants: Plants | None = None) -> DataFrame:
     """Per item number: how many plants carry it, and which (sorted list).
 
     ``basis='master'`` counts item-master rows (the reference); ``basis='onhand'`` counts
-    only plants that hold stock.
+    only plants that hold stock. With ``plants`` known the sets are bit masks in a hash aggregate;
+    without, one set is collected per item number.
     """
     items = dim_item
     if basis == "onhand":
@@ -92,11 +141,15 @@ def redundancy(dim_item: DataFrame, onhand: DataFrame | None = None, basis: str
         items = items.join(stock, KEY, "left_semi")
     elif basis != "master":
         raise ValueError(f"unknown basis {basis!r}")
+    if plants is not None:
+        ids, codes = BitSet("plant_ids", plants.ids), BitSet("plant_codes", plants.codes)
+        masks = items.groupBy("item_number").agg(*ids.gather(F.col("org_id")), *codes.gather(F.col("org_code")))
+        return masks.select("item_number", ids.size().alias("stocked_in_orgs"), codes.decoded().alias("stocked_org_list"))
     # One set per item number, bounded by the number of plants (the list is wanted anyway); the
     # distinct plant count and the list of codes both come from it, without a second shuffle.
-    plants = items.groupBy("item_number").agg(F.collect_set(F.struct("org_id", "org_code")).alias("plants"))
+    carried = items.groupBy("item_number").agg(F.collect_set(F.struct("org_id", "org_code")).alias("plants"))
     distinct = lambda field: F.array_distinct(F.array_compact(F.col(f"plants.{field}")))
-    return plants.select(
+    return carried.select(
         "item_number",
         F.size(distinct("org_id")).cast("long").alias("stocked_in_orgs"),
         F.sort_array(distinct("org_code")).alias("stocked_org_list"),
@@ -145,6 +198,7 @@ def stores_aging(
     basis: str = "master",
     non_moving_days: int = 365,
     slow_moving_days: int = 180,
+    plants: Plants | None = None,
 ) -> DataFrame:
     """The 32-column ageing table (one row per item x plant with on-hand and cost rows).
 
@@ -154,7 +208,7 @@ def stores_aging(
     """
     ref = _as_date(as_of)
     prof = txn_profile(txn, receipt_type, issue_type, as_of, cutoff)
-    rd = redundancy(dim_item, onhand, basis)
+    rd = redundancy(dim_item, onhand, basis, plants)
     # Redundancy joins the narrow item master first (item-number shuffle of ~11 columns), so
     # the wide joined rows never move again; the rest meets on one (item, plant) partitioning.
     base = (

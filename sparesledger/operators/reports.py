@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparesledger.functions.aging import ACTIVE, DEAD_STOCK, NON_MOVING_STATUSES
+from sparesledger.functions.aging import ACTIVE, DEAD_STOCK, NON_MOVING_STATUSES, SLOW_MOVING
+from sparesledger.functions.bitsets import BitSet
 from sparesledger.functions.money import avg_round, in_millions
 
 VALUE = "onhand_value_avg_cost"
@@ -37,18 +38,39 @@ def aging_by_bucket(gold: DataFrame, bucket_col: str = "aging_bucket_last_receip
     )
 
 
-def _cross_plant(gold: DataFrame, with_stock_columns: bool, k: int) -> DataFrame:
+CROSS_PLANT_KEYS = ("item_number", "item_description", "category_name")
+STATUSES = (ACTIVE, SLOW_MOVING, *NON_MOVING_STATUSES)
+
+
+def _cross_plant(gold: DataFrame, with_stock_columns: bool, k: int, plants: Sequence[str] | None) -> DataFrame:
     """Items carried in more than one plant, dead in one and Active in another; top k by value.
 
-    Sums and the two HAVING tests (``bool_or``) are hash aggregates over all items; the sets are
-    collected for the k survivors only, whose keys are broadcast (k rows). The sets shown are
-    sorted so the output is stable.
+    Plants and statuses are gathered as bit masks in the same hash aggregate as the sums, over one
+    pass of gold, and decoded for the k rows that are left.
     """
-    keys = ["item_number", "item_description", "category_name"]
+    if plants is None:
+        return _cross_plant_sets(gold, with_stock_columns, k)
+    held, mix = BitSet("held", plants), BitSet("mix", STATUSES)
+    sums = [F.sum("onhand_qty").alias("total_onhand")] if with_stock_columns else []
+    top = (
+        gold.filter(F.col("stocked_in_orgs") > 1).groupBy(*CROSS_PLANT_KEYS)
+        .agg(*sums, in_millions(F.sum(VALUE), 2).alias("value_pkr_mn"), *held.gather(F.col("org_code")), *mix.gather(F.col("movement_status")))
+        .filter(mix.has(DEAD_STOCK) & mix.has(ACTIVE))
+        .orderBy(F.desc("value_pkr_mn"), F.asc("item_number"))
+        .limit(k)
+    )
+    stock, sets = (["total_onhand"], [mix.decoded().alias("status_mix")]) if with_stock_columns else ([], [])
+    return top.select(*CROSS_PLANT_KEYS, *stock, "value_pkr_mn", held.decoded().alias("held_in"), *sets)
+
+
+def _cross_plant_sets(gold: DataFrame, with_stock_columns: bool, k: int) -> DataFrame:
+    """The same where the plants are not known: sums and the two HAVING tests are hash aggregates over
+    all items, and sets are collected for the k rows that are left in a second pass, joined by
+    their keys (the join's strategy is left to the sizes)."""
     multi = gold.filter(F.col("stocked_in_orgs") > 1)
     sums = [F.sum("onhand_qty").alias("total_onhand")] if with_stock_columns else []
     top = (
-        multi.groupBy(*keys)
+        multi.groupBy(*CROSS_PLANT_KEYS)
         .agg(*sums, in_millions(F.sum(VALUE), 2).alias("value_pkr_mn"),
              F.bool_or(_dead()).alias("_has_dead"), F.bool_or(F.col("movement_status") == ACTIVE).alias("_has_active"))
         .filter(F.col("_has_dead") & F.col("_has_active"))
@@ -59,23 +81,24 @@ def _cross_plant(gold: DataFrame, with_stock_columns: bool, k: int) -> DataFrame
     sets = [F.sort_array(F.collect_set("org_code")).alias("held_in")]
     if with_stock_columns:
         sets.append(F.sort_array(F.collect_set("movement_status")).alias("status_mix"))
-    rows = multi.select(*[F.col(c).alias(f"_{c}") for c in keys], "org_code", "movement_status")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    rows = multi.select(*[F.col(c).alias(f"_{c}") for c in CROSS_PLANT_KEYS], "org_code", "movement_status")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CROSS_PLANT_KEYS]
     return (
-        rows.join(F.broadcast(top), same).groupBy(*top.columns).agg(*sets)
+        rows.join(top, same).groupBy(*top.columns).agg(*sets)
         .select(*top.columns, *(["held_in", "status_mix"] if with_stock_columns else ["held_in"]))
         .orderBy(F.desc("value_pkr_mn"), F.asc("item_number"))
     )
 
 
-def redistribution_list(gold: DataFrame, k: int = 50) -> DataFrame:
-    """Redistribution instead of purchase: dead here, Active elsewhere; top 50 by value."""
-    return _cross_plant(gold, True, k)
+def redistribution_list(gold: DataFrame, k: int = 50, plants: Sequence[str] | None = None) -> DataFrame:
+    """Redistribution instead of purchase: dead here, Active elsewhere; top 50 by value. ``plants``:
+    all plant codes, where they are known (one pass instead of two)."""
+    return _cross_plant(gold, True, k, plants)
 
 
-def dead_here_active_there(gold: DataFrame, k: int = 25) -> DataFrame:
+def dead_here_active_there(gold: DataFrame, k: int = 25, plants: Sequence[str] | None = None) -> DataFrame:
     """The verified-question version: no quantity or status columns, top 25."""
-    return _cross_plant(gold, False, k)
+    return _cross_plant(gold, False, k, plants)
 
 
 def procurement_list(gold: DataFrame, threshold: float = 15) -> DataFrame:
@@ -147,17 +170,30 @@ def movement_mix(gold: DataFrame) -> DataFrame:
     )
 
 
-def stock_kpis(gold: DataFrame) -> DataFrame:
-    """Dashboard KPI tiles (one row): lines, items, plants, value, dead lines and value."""
-    return gold.agg(
+def stock_kpis(gold: DataFrame, plants: Sequence[str] | None = None) -> DataFrame:
+    """Dashboard KPI tiles (one row): lines, items, plants, value, dead lines and value.
+
+    With the plant codes known, lines are summed per item first, with the plants as a mask, so the
+    two distinct counts take two hash aggregates and no Expand of the rows.
+    """
+    measures = [
         F.count("*").alias("stock_lines"),
-        F.count_distinct("item_number").alias("items"),
-        F.count_distinct("org_code").alias("plants"),
-        in_millions(F.sum(VALUE), 1).alias("value_pkr_mn"),
+        F.sum(VALUE).alias("value"),
         F.count_if(_dead()).alias("dead_stock_lines"),
-        in_millions(F.sum(F.when(_dead(), F.col(VALUE)).otherwise(F.lit(0))), 1).alias("dead_value_pkr_mn"),
+        F.sum(F.when(_dead(), F.col(VALUE)).otherwise(F.lit(0))).alias("dead_value"),
         F.count_if(F.col("redistribution_candidate")).alias("redistribution_candidates"),
-    )
+    ]
+    if plants is None:
+        total = gold.agg(*measures, F.count_distinct("item_number").alias("items"), F.count_distinct("org_code").alias("plants"))
+    else:
+        held = BitSet("held", plants)
+        per_item = gold.groupBy("item_number").agg(*measures, *held.gather(F.col("org_code")))
+        counted = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+        total = per_item.agg(counted("stock_lines"), F.sum("value").alias("value"), counted("dead_stock_lines"), F.sum("dead_value").alias("dead_value"),
+                             counted("redistribution_candidates"), F.count("item_number").alias("items"), *held.merge())
+        total = total.withColumn("plants", held.size())
+    return total.select("stock_lines", "items", "plants", in_millions(F.col("value"), 1).alias("value_pkr_mn"), "dead_stock_lines",
+                        in_millions(F.col("dead_value"), 1).alias("dead_value_pkr_mn"), "redistribution_candidates")
 
 
 # Vocabulary of the question space, re-aimed as arguments of ``stock_summary``.

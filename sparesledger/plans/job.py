@@ -27,12 +27,12 @@ from sparesledger.plans.views import register_sql
 
 REPORTS: dict[str, Callable[[Model], DataFrame]] = {
     "aging_by_bucket": lambda m: reports.aging_by_bucket(m.stores_aging),
-    "redistribution_list": lambda m: reports.redistribution_list(m.stores_aging),
+    "redistribution_list": lambda m: reports.redistribution_list(m.stores_aging, plants=m.plant_codes),
     "procurement_list": lambda m: reports.procurement_list(m.stores_aging),
     "nonmoving_by_category": lambda m: reports.nonmoving_by_category(m.stores_aging),
     "value_by_plant_bucket": lambda m: reports.value_by_plant_bucket(m.stores_aging),
     "movement_mix": lambda m: reports.movement_mix(m.stores_aging),
-    "stock_kpis": lambda m: reports.stock_kpis(m.stores_aging),
+    "stock_kpis": lambda m: reports.stock_kpis(m.stores_aging, plants=m.plant_codes),
     "cost_variance_by_category": lambda m: reports.cost_variance_by_category(m.stores_aging),
     "recon_report": lambda m: recon.recon_report(m.recon_ap_to_gl),
     "variance_trend": lambda m: recon.variance_trend(m.recon_ap_to_gl),

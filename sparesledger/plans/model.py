@@ -2,7 +2,7 @@
 
 A ``Model`` takes source extracts (the fixtures, bronze tables on storage, or any mapping
 of DataFrames) and exposes every silver and gold table as a cached property. Nothing runs
-until an action; each report is one Catalyst plan from the sources (or from stored
+until an action, but for reading the few plants that gold numbers; each report is one Catalyst plan from the sources (or from stored
 layers, when the model is built over a written warehouse).
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,19 @@ class Model:
         bronze, silver_t, gold_t = read_layers(spark, root, read_gold=read_gold)
         return cls(bronze, silver_tables=silver_t, gold_tables=gold_t, **kw)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, prefix: str = "", read_gold: bool = True, **kw) -> "Model":
+        """Read the tables that ``run_pipeline(..., catalog_prefix=prefix)`` registered, by name; tables
+        stored in buckets keep them, so joins on their key need no shuffle."""
+        def tables(layer: str) -> dict[str, DataFrame]:
+            database = f"{prefix}{layer}"
+            if not spark.catalog.databaseExists(database):
+                return {}
+            return {t.name: spark.table(f"{database}.{t.name}") for t in spark.catalog.listTables(database) if t.tableType not in ("TEMPORARY", "VIEW")}
+
+        bronze = {t: df.drop("_ingest_ts", "_source_system") for t, df in tables("bronze").items()}
+        return cls(bronze, silver_tables=tables("silver"), gold_tables=tables("gold") if read_gold else {}, **kw)
+
     # -- sources ---------------------------------------------------------------------------
 
     def source(self, name: str) -> DataFrame:
@@ -115,6 +129,15 @@ class Model:
     def silver_tables(self) -> dict[str, DataFrame]:
         return {t: getattr(self, t) for t in silver.SILVER_TABLES}
 
+    @cached_property
+    def plants(self) -> aging.Plants | None:
+        """All plants, read once from their dimension (one row per operating unit)."""
+        return aging.known_plants(self.dim_organization)
+
+    @property
+    def plant_codes(self) -> tuple[str, ...] | None:
+        return self.plants and self.plants.codes
+
     # -- gold --------------------------------------------------------------------------------
 
     def _g(self, name: str, build) -> DataFrame:
@@ -131,7 +154,7 @@ class Model:
             self.fact_material_txn,
             as_of=self.as_of,
             edges=self.edges,
-            **self.aging_options,
+            **{"plants": self.plants, **self.aging_options},
         ))
 
     @property

@@ -27,7 +27,7 @@ from sparesledger.functions.periods import as_of_date
 from sparesledger.operators.dictionary import TABLE_COMMENT, with_comments
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
-from sparesledger.plans.publish import Written, current, manifest, new_version, publish, read_layer, version_path, write_table
+from sparesledger.plans.publish import Buckets, Written, current, manifest, new_version, publish, read_layer, version_path, write_table
 from sparesledger.session import ensure_checkpoint_dir, hadoop_path
 from sparesledger.sources.bronze import (
     Types, add_audit_columns, extract_options, extract_path, good_rows, rejects, split_extract,
@@ -41,6 +41,8 @@ GOLD_TABLES = ("agg_stores_aging", "recon_ap_to_gl")
 # Partition columns: the transaction fact by month (lookback/cutoff filters prune months);
 # the gold ageing table by plant (persona views and per-plant reports read one plant's files).
 PARTITIONED = {"fact_material_txn": "txn_year_month", "agg_stores_aging": "org_code"}
+#: Joined on the distribution id; ``bridge_buckets`` stores them bucketed by it.
+BRIDGED, BRIDGE_KEY = ("fact_ap_distribution", "bridge_sla_gl"), "invoice_distribution_id"
 #: The table of rows that did not fit, in a bronze version that has any.
 REJECTED = "rejected_rows"
 
@@ -65,7 +67,8 @@ def _as_of_day(as_of) -> _dt.date | None:
     return day
 
 
-def publish_tables(spark: SparkSession, root: str, layer: str, tables: Mapping[str, DataFrame], parallelism: int = 4) -> str:
+def publish_tables(spark: SparkSession, root: str, layer: str, tables: Mapping[str, DataFrame], parallelism: int = 4,
+                   buckets: Mapping[str, Buckets] | None = None) -> str:
     """Write the independent tables of a layer concurrently (one Spark job each) into a new version
     and publish it; a failed write raises and nothing is published.
 
@@ -75,7 +78,7 @@ def publish_tables(spark: SparkSession, root: str, layer: str, tables: Mapping[s
     version = new_version()
     path = version_path(root, layer, version)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        jobs = [pool.submit(write_table, df, f"{path}/{t}", PARTITIONED.get(t)) for t, df in tables.items()]
+        jobs = [pool.submit(write_table, df, f"{path}/{t}", PARTITIONED.get(t), buckets=(buckets or {}).get(t)) for t, df in tables.items()]
         written = [j.result() for j in jobs]
     publish(spark, root, layer, version, written)
     return version
@@ -163,7 +166,7 @@ def _key_ranges(spark: SparkSession, root: str, tables: Iterable[str], options:
 
 
 def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, layers=LAYERS,
-                 parallelism: int = 4, catalog_prefix: str | None = None) -> str:
+                 parallelism: int = 4, catalog_prefix: str | None = None, bridge_buckets: int | None = None) -> str:
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.
 
     Layers run in order (silver reads the stored bronze, gold the stored silver), each published
@@ -173,11 +176,17 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     external table (``{prefix}{layer}.{table}``) at its version's path: the catalog names point
     at the latest run, dropping them leaves the files, and a fresh catalog re-registers them on
     the next run.
+
+    ``bridge_buckets`` stores the distributions and their links in that many buckets by distribution
+    id (about one per 256 MB of the larger table): read through the catalog
+    (``Model.from_catalog``), the tie-out and the drill-through join them without a shuffle. A join
+    of buckets cannot be split, so leave it off where one id may hold a large share of the links.
     """
+    bucketed = {t: Buckets(BRIDGE_KEY, bridge_buckets) for t in BRIDGED} if bridge_buckets else {}
     root = (root or default_root(spark, model.as_of)).rstrip("/")
 
     def write(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        version = publish_tables(spark, root, layer, tables, parallelism)
+        version = publish_tables(spark, root, layer, tables, parallelism, bucketed)
         if catalog_prefix is not None:
             register_layer(spark, root, layer, catalog_prefix, version)
         return read_layer(spark, root, layer, version=version)
@@ -208,9 +217,10 @@ def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "",
     database = f"{prefix}{layer}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{layer}'")
     version = version or current(spark, root, layer)
+    stored_in = {r.table_name: (r.bucket_column, r.bucket_count) for r in manifest(spark, root, layer, version).collect() if r.bucket_column}
     for t, df in read_layer(spark, root, layer, version=version).items():
         name, path, part = f"{database}.{t}", f"{version_path(root, layer, version)}/{t}", PARTITIONED.get(t)
-        if not part and spark.catalog.tableExists(name) and spark.table(name).schema == df.schema:
+        if not part and t not in stored_in and spark.catalog.tableExists(name) and spark.table(name).schema == df.schema:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             continue
@@ -218,6 +228,9 @@ def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "",
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{_quoted(f.metadata['comment'])}'" if "comment" in f.metadata else "")
                             for f in df.schema.fields)
         parted = f" PARTITIONED BY (`{part}`)" if part else ""
+        if t in stored_in:
+            column, count = stored_in[t]
+            parted += f" CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {count} BUCKETS"
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parted} LOCATION '{path}'")
         if part:
             spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -26,9 +26,17 @@ from pyspark.sql.types import DecimalType, StructType
 
 from sparesledger.session import hadoop_path
 
+@dataclass(frozen=True)
+class Buckets:
+    """A table stored in ``count`` buckets by ``column``, sorted by it in each file."""
+
+    column: str
+    count: int
+
+
 MANIFEST = ("layer string, version string, table_name string, row_count long, rejected long, bytes long, files long, "
             "sums map<string,string>, columns array<struct<name:string,type:string,comment:string,filled:long>>, "
-            "schema string, written_at timestamp")
+            "bucket_column string, bucket_count int, schema string, written_at timestamp")
 
 
 @dataclass
@@ -43,6 +51,8 @@ class Written:
     rejected: int = 0
     sums: dict[str, str] = field(default_factory=dict)
     columns: list[dict] = field(default_factory=list)
+    bucket_column: str | None = None
+    bucket_count: int | None = None
 
 
 def new_version() -> str:
@@ -58,7 +68,8 @@ def _manifest_path(root: str, layer: str, version: str) -> str:
     return f"{root.rstrip('/')}/{layer}/manifests/{version}.jsonl"
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejected: Observation | None = None) -> Written:
+def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejected: Observation | None = None,
+                buckets: Buckets | None = None) -> Written:
     """Write ``df`` into the new folder ``path`` and count it on the way (no second scan): rows, filled
     values of each column and the exact sum of every decimal one; bytes and files come from a listing.
 
@@ -70,6 +81,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
         # REBALANCE, not repartition(col): AQE splits a hot month into advisory-size tasks and
         # merges small ones, so no month lands in one task and no month becomes many tiny files.
         out = df.hint("rebalance", partition_by)
+    if buckets:
+        out = df.repartition(buckets.count, buckets.column)
     seen = Observation()
     fields = df.schema.fields
     money = [i for i, f in enumerate(fields) if isinstance(f.dataType, DecimalType)]
@@ -78,7 +91,12 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
     writer = out.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.save(path)
+    if buckets:  # Spark writes buckets of tables only: a name for the time of the write, the files stay
+        name = f"default.sparesledger_writing_{uuid.uuid4().hex}"
+        writer.bucketBy(buckets.count, buckets.column).sortBy(buckets.column).option("path", path).saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
+    else:
+        writer.save(path)
     fs, at = hadoop_path(df.sparkSession, path)
     size = fs.getContentSummary(at)
     got = seen.get
@@ -86,7 +104,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
     columns = [{"name": f.name, "type": f.dataType.simpleString(), "comment": f.metadata.get("comment"), "filled": got[f"filled_{i}"]}
                for i, f in enumerate(fields)]
     return Written(path.rpartition("/")[2], got["rows"], size.getLength(), size.getFileCount(), df.schema.json(),
-                   rejected.get["bad"] if rejected is not None else 0, sums, columns)
+                   rejected.get["bad"] if rejected is not None else 0, sums, columns,
+                   buckets and buckets.column, buckets and buckets.count)
 
 
 def _create(spark: SparkSession, path: str, text: str) -> None:

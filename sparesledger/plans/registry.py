@@ -159,23 +159,24 @@ QUERY_BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "bridge_sla_gl": lambda m: m.bridge_sla_gl,
     # gold
     "txn_profile": lambda m: aging.txn_profile(m.fact_material_txn),
-    "redundancy": lambda m: aging.redundancy(m.dim_item),
+    "txn_profile_merged": lambda m: aging.merged_profile(aging.profile_parts(m.fact_material_txn)),
+    "redundancy": lambda m: aging.redundancy(m.dim_item, plants=m.plants),
     "stores_aging": _gold,
     "stores_aging_cutoff": lambda m: aging.stores_aging(
         m.dim_item, m.source("mtl_onhand_quantities_detail"), m.source("cst_item_costs"), m.fact_material_txn,
-        as_of=_dt.date(2024, 12, 31), cutoff=True, basis="onhand"),
+        as_of=_dt.date(2024, 12, 31), cutoff=True, basis="onhand", plants=m.plants),
     # ageing reports
     "aging_by_bucket": lambda m: reports.aging_by_bucket(_gold(m)),
-    "redistribution_list": lambda m: reports.redistribution_list(_gold(m)),
+    "redistribution_list": lambda m: reports.redistribution_list(_gold(m), plants=m.plant_codes),
     "procurement_list": lambda m: reports.procurement_list(_gold(m)),
     "dead_stock_total": lambda m: reports.dead_stock_total(_gold(m)),
     "value_by_plant_bucket": lambda m: reports.value_by_plant_bucket(_gold(m)),
-    "dead_here_active_there": lambda m: reports.dead_here_active_there(_gold(m)),
+    "dead_here_active_there": lambda m: reports.dead_here_active_there(_gold(m), plants=m.plant_codes),
     "price_rise_by_category": lambda m: reports.price_rise_by_category(_gold(m)),
     "nonmoving_by_category": lambda m: reports.nonmoving_by_category(_gold(m)),
     "stock_summary": lambda m: reports.stock_summary(_gold(m), by=SUMMARY_BY, where=SUMMARY_WHERE),
     "movement_mix": lambda m: reports.movement_mix(_gold(m)),
-    "stock_kpis": lambda m: reports.stock_kpis(_gold(m)),
+    "stock_kpis": lambda m: reports.stock_kpis(_gold(m), plants=m.plant_codes),
     "cost_variance_by_category": lambda m: reports.cost_variance_by_category(_gold(m)),
     # reconciliation
     "recon_ap_to_gl": lambda m: m.recon_ap_to_gl,
