@@ -65,7 +65,7 @@ def main(argv: list[str]) -> None:
         "gold: stores_aging from stored silver": silver_only.stores_aging,
         "gold: recon_ap_to_gl from stored silver": silver_only.recon_ap_to_gl,
         "report: secured_view(GCI) over stored gold": security.secured_view(stored.stores_aging, "GCI"),
-        "report: redistribution_list over stored gold": reports.redistribution_list(stored.stores_aging),
+        "report: redistribution_list over stored gold": reports.redistribution_list(stored.stores_aging, plants=stored.plant_codes),
         "report: gl_drill_through(MAR-25) over stored silver": recon.gl_drill_through(
             stored.fact_ap_distribution, stored.bridge_sla_gl, stored.dim_account, "MAR-25"),
     }

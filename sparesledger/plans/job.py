@@ -6,7 +6,8 @@
 Lands every extract from ``--landing`` (declared schemas, CSV by default; ``--format jdbc`` with
 ``--option url=...`` reads them from a database), publishes bronze/silver/gold under ``--root``
 (default: under ``spark.checkpoint.dir``), and with ``--reports`` writes the report and dashboard
-data sets under ``{root}/reports``. Rows that do not fit go to ``rejected_rows``; with more of
+data sets under ``{root}/reports``. The landing and layer checks, from the manifests, go to
+``{root}/checks``. Rows that do not fit go to ``rejected_rows``; with more of
 them than ``--max-reject-share`` the job fails and the previous run stays current. The session
 comes from the cluster (``getOrCreate``); the job sets no cluster configuration.
 """
@@ -21,9 +22,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sparesledger.operators import checks, recon, reports, security
+from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
 from sparesledger.plans.pipeline import default_root, land, read_bronze, register_layer, run_pipeline
+from sparesledger.plans.publish import manifest
 from sparesledger.plans.views import register_sql
+from sparesledger.sources.schemas import LANDING_TABLES
 
 REPORTS: dict[str, Callable[[Model], DataFrame]] = {
     "aging_by_bucket": lambda m: reports.aging_by_bucket(m.stores_aging),
@@ -96,6 +100,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
                  parallelism=args.parallelism, catalog_prefix=args.catalog_prefix)
     if args.catalog_prefix is not None:
         register_sql(spark, args.catalog_prefix)
+    for name, layer, expected in (("check_landing", "bronze", LANDING_TABLES), ("check_layer_tables", "silver", SILVER_TABLES)):
+        found = checks.check_manifest(manifest(spark, root, layer), expected)  # what the run counted: no table is read
+        found.write.mode("overwrite").parquet(f"{root}/checks/{name}")
     if args.reports:
         stored = Model.from_warehouse(spark, root, as_of=as_of)
         # most reports scan the gold table: keep it for the batch (a lost executor re-reads

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,14 @@ def _csv_round_trip(m: Model) -> DataFrame:
     return read_layer(spark, root, "gold", ["agg_stores_aging"])["agg_stores_aging"]
 
 
+def _bronze_audit_counts(m: Model) -> DataFrame:
+    """Rows of every extract, those with a load time and those of the source system, in one pass each."""
+    parts = [add_audit_columns(df).agg(F.lit(t).alias("table_name"), F.count("*").alias("row_count"), F.count("_ingest_ts").alias("timed"),
+                                       F.count_if(F.col("_source_system") == "EBS_R12").alias("tagged"))
+             for t, df in m.sources(SOURCE_TABLES).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _layer_manifest(m: Model) -> DataFrame:
     """Rows of every table of the three layers and the sum of each money or quantity column, from
     the manifests of a run that wrote them."""
@@ -143,6 +152,7 @@ def _layer_manifest(m: Model) -> DataFrame:
 QUERY_BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     # sources and bronze
     "bronze_audit": lambda m: add_audit_columns(m.source("mtl_system_items_b")).drop("_ingest_ts"),
+    "bronze_audit_counts": _bronze_audit_counts,
     "csv_round_trip": _csv_round_trip,
     "layer_manifest": _layer_manifest,
     "data_dictionary": lambda m: dictionary.data_dictionary(m.stores_aging),

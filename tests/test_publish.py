@@ -181,6 +181,9 @@ def test_job_declares_types_and_options(spark, scratch):
     assert gold["agg_stores_aging"].schema["average_cost"].dataType.simpleString() == "decimal(20,7)"
     assert tuple(bronze["org_security_map"].first()) == ("u", "GCI")
     assert _rows(gold["agg_stores_aging"]) == _rows(Model.from_fixtures(spark, SF_SMALL, as_of=FIXTURE_AS_OF).stores_aging)
+    landed = {r.table_name: r for r in spark.read.parquet(f"{root}/checks/check_landing").collect()}
+    assert len(landed) == 18 and landed["org_security_map"].row_count == 1 and not landed["gl_ledgers"].present
+    assert all(r.present for r in spark.read.parquet(f"{root}/checks/check_layer_tables").collect())
     with pytest.raises(SystemExit):
         parse_args(["--root", "x"])
     assert parse_args(["--format", "jdbc", "--option", "url=jdbc:x:y"]).option == ["url=jdbc:x:y"]
