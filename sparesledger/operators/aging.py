@@ -163,7 +163,12 @@ def onhand_by_item(onhand: DataFrame) -> DataFrame:
     ).agg(F.sum("PRIMARY_TRANSACTION_QUANTITY").alias("onhand_qty"))
 
 
-def item_costs(costs: DataFrame) -> DataFrame:
+def item_costs(costs: DataFrame, cost_type: str | None = None, type_col: str = "COST_TYPE_ID") -> DataFrame:
+    """Costs per item x plant, as they stand: an extract with several rows per pair multiplies its
+    lines (``check_cost_grain`` lists them). ``cost_type`` takes the rows of one type only, from the
+    extract's ``type_col``."""
+    if cost_type is not None:
+        costs = costs.filter(F.col(type_col).cast("string") == cost_type)
     return costs.select(
         F.col("INVENTORY_ITEM_ID").alias("inventory_item_id"),
         F.col("ORGANIZATION_ID").alias("org_id"),
@@ -199,6 +204,7 @@ def stores_aging(
     non_moving_days: int = 365,
     slow_moving_days: int = 180,
     plants: Plants | None = None,
+    cost_type: str | None = None,
 ) -> DataFrame:
     """The 32-column ageing table (one row per item x plant with on-hand and cost rows).
 
@@ -214,7 +220,7 @@ def stores_aging(
     base = (
         dim_item.join(rd, "item_number", "left")
         .join(onhand_by_item(onhand), KEY)
-        .join(item_costs(costs), KEY)
+        .join(item_costs(costs, cost_type), KEY)
         .join(prof, KEY, "left")
     )
 

@@ -151,3 +151,9 @@ def check_findings(gold: DataFrame, variance_threshold: float = 15) -> DataFrame
 def check_grain(gold: DataFrame, keys: Sequence[str] = ("item_number", "org_id")) -> DataFrame:
     """Keys that occur more than once in the gold table (one row per item x plant expected)."""
     return gold.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
+
+
+def check_cost_grain(costs: DataFrame) -> DataFrame:
+    """Item x plant pairs with several cost rows; each of them would make a line of its own in gold."""
+    return costs.groupBy(F.col("INVENTORY_ITEM_ID").alias("inventory_item_id"), F.col("ORGANIZATION_ID").alias("org_id")).agg(
+        F.count("*").alias("row_count")).filter(F.col("row_count") > 1)

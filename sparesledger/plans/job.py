@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sparesledger.operators import checks, recon, reports, security
+from sparesledger.operators.dictionary import TABLE_COMMENT
 from sparesledger.operators.silver import SILVER_TABLES
 from sparesledger.plans.model import Model
 from sparesledger.plans.pipeline import default_root, land, read_bronze, register_layer, run_pipeline
@@ -61,6 +62,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
                    help="warehouse root (default: {spark.checkpoint.dir}/sparesledger-warehouse/as_of=<date>)")
     p.add_argument("--as-of", default=None, help="reporting date YYYY-MM-DD (default: today)")
     p.add_argument("--catalog-prefix", default=None, help="also register layers as databases {prefix}bronze ...")
+    p.add_argument("--table-comment", default=TABLE_COMMENT, help="comment of the ageing table in the catalog")
+    p.add_argument("--bridge-buckets", type=int, default=None, help="store distributions and links in so many buckets by distribution id")
+    p.add_argument("--cost-type", default=None, help="take the costs of this COST_TYPE_ID only")
     p.add_argument("--reports", action="store_true", help="write report and dashboard data sets")
     p.add_argument("--parallelism", type=int, default=4, help="concurrent table writes within a layer")
     args = p.parse_args(argv)
@@ -96,8 +100,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
          types=_by_table(args.type), max_reject_share=args.max_reject_share, parallelism=args.parallelism)
     if args.catalog_prefix is not None:
         register_layer(spark, root, "bronze", args.catalog_prefix)
-    run_pipeline(spark, Model(read_bronze(spark, root), as_of=as_of), root, layers=("silver", "gold"),
-                 parallelism=args.parallelism, catalog_prefix=args.catalog_prefix)
+    run_pipeline(spark, Model(read_bronze(spark, root), as_of=as_of, cost_type=args.cost_type), root, layers=("silver", "gold"),
+                 parallelism=args.parallelism, catalog_prefix=args.catalog_prefix, bridge_buckets=args.bridge_buckets,
+                 table_comment=args.table_comment)
     if args.catalog_prefix is not None:
         register_sql(spark, args.catalog_prefix)
     for name, layer, expected in (("check_landing", "bronze", LANDING_TABLES), ("check_layer_tables", "silver", SILVER_TABLES)):

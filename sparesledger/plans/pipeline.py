@@ -166,7 +166,8 @@ def _key_ranges(spark: SparkSession, root: str, tables: Iterable[str], options:
 
 
 def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, layers=LAYERS,
-                 parallelism: int = 4, catalog_prefix: str | None = None, bridge_buckets: int | None = None) -> str:
+                 parallelism: int = 4, catalog_prefix: str | None = None, bridge_buckets: int | None = None,
+                 table_comment: str = TABLE_COMMENT) -> str:
     """Materialise the layers of ``model`` under ``root`` (full refresh); return the root.
 
     Layers run in order (silver reads the stored bronze, gold the stored silver), each published
@@ -188,7 +189,7 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     def write(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         version = publish_tables(spark, root, layer, tables, parallelism, bucketed)
         if catalog_prefix is not None:
-            register_layer(spark, root, layer, catalog_prefix, version)
+            register_layer(spark, root, layer, catalog_prefix, version, table_comment)
         return read_layer(spark, root, layer, version=version)
 
     if "bronze" in layers:
@@ -206,9 +207,10 @@ def run_pipeline(spark: SparkSession, model: Model, root: str | None = None, lay
     return root
 
 
-def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "", version: str | None = None) -> None:
+def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "", version: str | None = None,
+                   table_comment: str = TABLE_COMMENT) -> None:
     """Point the catalog names ``{prefix}{layer}.{table}`` at a published version (default: the
-    current one), as external tables with their column comments.
+    current one), as external tables with their column comments; the ageing table gets ``table_comment``.
 
     A name whose schema did not change is moved in one step; others, and partitioned tables, are
     dropped and created anew, which readers of that name may notice. Readers by path
@@ -235,7 +237,7 @@ def register_layer(spark: SparkSession, root: str, layer: str, prefix: str = "",
         if part:
             spark.sql(f"MSCK REPAIR TABLE {name}")
         if t == "agg_stores_aging":
-            spark.sql(f"COMMENT ON TABLE {name} IS '{_quoted(TABLE_COMMENT)}'")
+            spark.sql(f"COMMENT ON TABLE {name} IS '{_quoted(table_comment)}'")
 
 
 def _quoted(text: str) -> str:

@@ -212,6 +212,7 @@ QUERY_BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "check_bucket_spread": lambda m: checks.check_bucket_spread(reports.aging_by_bucket(_gold(m))),
     "check_findings": lambda m: checks.check_findings(_gold(m)),
     "check_grain": lambda m: checks.check_grain(_gold(m)),
+    "check_cost_grain": lambda m: checks.check_cost_grain(m.source("cst_item_costs")),
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for k, v in QUERY_BUILDERS.items()}

@@ -107,3 +107,15 @@ def test_bridge_buckets_join_without_a_shuffle(spark, model, scratch):
     run_pipeline(spark, model, scratch, catalog_prefix="bkt_", bridge_buckets=4)  # a second run takes the names over
     assert not [t.name for t in spark.catalog.listTables("default") if t.name.startswith("sparesledger_writing")]
     assert Model.from_catalog(spark, "bkt_", as_of=FIXTURE_AS_OF).bridge_sla_gl.count() == model.bridge_sla_gl.count()
+
+
+def test_costs_of_one_type(spark, model):
+    from sparesledger.operators import checks
+
+    costs = model.source("cst_item_costs").withColumn("COST_TYPE_ID", F.lit("2"))
+    several = costs.unionByName(costs.withColumn("ITEM_COST", F.col("ITEM_COST") + 1).withColumn("COST_TYPE_ID", F.lit("1")))
+    assert checks.check_cost_grain(costs).count() == 0 and checks.check_cost_grain(several).count() == costs.count()
+    gold = lambda c, **more: aging.stores_aging(model.dim_item, model.source("mtl_onhand_quantities_detail"), c, model.fact_material_txn,
+                                                as_of=FIXTURE_AS_OF, **more)
+    assert _rows(gold(several, cost_type="2")) == _rows(gold(costs))
+    assert gold(several).count() == 2 * gold(costs).count()
