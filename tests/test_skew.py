@@ -109,7 +109,7 @@ def test_hot_plant_partition_write_is_split(spark, scratch):
     """rebalance: a plant holding a third of the rows is written by several tasks, rows kept whole."""
     import os
 
-    from sparesledger.plans.pipeline import _write
+    from sparesledger.plans.publish import write_table
 
     rows = spark.range(N).select(
         F.when(F.col("id") % 3 == 0, "GCI").otherwise(F.concat(F.lit("P"), (F.col("id") % 40).cast("string")))
@@ -118,7 +118,7 @@ def test_hot_plant_partition_write_is_split(spark, scratch):
     )
     with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
                         "spark.sql.adaptive.coalescePartitions.enabled": "true"}):
-        _write(rows, f"{scratch}/gold", partition_by="org_code")
+        assert write_table(rows, f"{scratch}/gold", partition_by="org_code").row_count == N
     hot = [f for f in os.listdir(f"{scratch}/gold/org_code=GCI") if f.endswith(".parquet")]
     assert len(hot) > 1  # the hot plant was split across tasks
     back = spark.read.parquet(f"{scratch}/gold")
@@ -126,6 +126,6 @@ def test_hot_plant_partition_write_is_split(spark, scratch):
     # contrast: without AQE's rebalance skew splitting the hot plant is one task, one file
     with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
                         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "false"}):
-        _write(rows, f"{scratch}/gold_unsplit", partition_by="org_code")
+        write_table(rows, f"{scratch}/gold_unsplit", partition_by="org_code")
     one = [f for f in os.listdir(f"{scratch}/gold_unsplit/org_code=GCI") if f.endswith(".parquet")]
     assert len(one) == 1
