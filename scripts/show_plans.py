@@ -35,18 +35,17 @@ NOTES = {
         "never move again. No broadcast remains (the plant dimension was joined when silver was "
         "built)."),
     "gold: recon_ap_to_gl from stored silver, sizes past the broadcast threshold": (
-        "Each side is aggregated to periods before any join; only the bounded plant dimension "
-        "is broadcast."),
+        "The three sides are one union, summed by (period, side, plant) over one exchange."),
     "gold: recon_ap_to_gl from stored silver": (
-        "AP semi-joined to the broadcast plant dimension and summed per period; bridge x "
-        "distribution (fact x fact) left to the optimizer; GL filtered on source and natural "
-        "account before its aggregate. The full outer join runs on per-period rows only."),
+        "AP with its plant, bridge x distribution (fact x fact, left to the optimizer) and GL "
+        "filtered on source and natural account are one tagged union with partial sums below a "
+        "single exchange; a second, tiny aggregation picks each period's columns."),
     "report: secured_view(GCI) over stored gold": (
         "The persona is a literal and gold is partitioned by plant: PartitionFilters "
         "(org_code = GCI) -- only that plant's files are listed and read."),
     "report: redistribution_list over stored gold": (
-        "Partial aggregation by item number, bool_or for both HAVING tests, top-50 as "
-        "TakeOrderedAndProject (bounded by k per partition)."),
+        "One pass: partial aggregation by item number with plants and statuses as bit masks, HAVING on "
+        "the masks, top-50 as TakeOrderedAndProject (bounded by k per partition), masks decoded last."),
     "report: gl_drill_through(MAR-25) over stored silver": (
         "period_name and natural_account pushed into their scans before the joins; top-25."),
 }

@@ -1,9 +1,8 @@
 """Silver layer: conformed dimensions, facts and the sub-ledger bridge.
 
-Inputs are bronze extracts (source column names); outputs use business names. The plant
-dimension is broadcast where it is joined: it holds one row per operating unit, a number
-bounded by the organisation, not by the data volume. Every other join is left to the
-optimizer and AQE (sort-merge at scale, skew splitting on hot keys).
+Inputs are bronze extracts (source column names); outputs use business names. Joins are left to
+the optimizer and AQE: the plant dimension is broadcast because it is small, fact joins are
+sort-merge at scale, and hot keys are split.
 """
 
 from __future__ import annotations
@@ -65,7 +64,7 @@ def dim_organization(hr_operating_units: DataFrame) -> DataFrame:
 def dim_item(mtl_system_items_b: DataFrame, dim_org: DataFrame) -> DataFrame:
     """Item x plant with plant attributes; items of unknown plants drop out (inner join)."""
     i = mtl_system_items_b
-    o = F.broadcast(dim_org.select("org_id", "org_code", "region", "business_line"))
+    o = dim_org.select("org_id", "org_code", "region", "business_line")
     return i.join(o, i.ORGANIZATION_ID == o.org_id).select(
         F.col("INVENTORY_ITEM_ID").alias("inventory_item_id"),
         o.org_id,

@@ -156,3 +156,29 @@ def test_secured_view_sql_plant_lists(spark, gold_small):
     assert [r.item_number for r in got] == ["D"]
     with pytest.raises(ValueError):
         security.secured_view_sql(spark, "gold_small_v; DROP TABLE x", "GCI")
+
+
+def test_ap_total_is_the_sum_of_rounded_plant_totals(spark):
+    """Amounts of four places: each plant's total is rounded, then summed, as the reference does."""
+    from decimal import Decimal
+
+    dist = spark.createDataFrame(
+        [(1, 1, Decimal("0.0049"), "MAR-26"), (2, 2, Decimal("0.0049"), "MAR-26"), (3, 2, Decimal("0.0001"), "MAR-26"), (4, 9, Decimal("5.0000"), "MAR-26")],
+        "invoice_distribution_id long, org_id long, amount decimal(18,4), period_name string")
+    org = spark.createDataFrame([(1, "GCI"), (2, "WCI")], "org_id long, org_code string")
+    links = spark.createDataFrame([(1, "MAR-26"), (2, "MAR-26"), (3, "APR-26"), (4, None)], "invoice_distribution_id long, period_name string")
+    lines = spark.createDataFrame([], "period_name string, je_source string, code_combination_id long, accounted_dr decimal(18,4), accounted_cr decimal(18,4)")
+    accounts = spark.createDataFrame([(1, "1310")], "code_combination_id long, natural_account string")
+    got = recon.recon_ap_to_gl(dist, org, links, lines, accounts, detail=True).collect()
+    assert [(r.period_name, r.ap_subledger_total, r.sla_bridged_total, r.gl_posted_total, r.variance, r.ap_distribution_count, r.sla_link_count) for r in got] == [
+        ("MAR-26", Decimal("0.01"), Decimal("0.01"), None, None, 3, 2)]  # 0.00 + 0.01, not round(0.0099)
+
+
+def test_tie_out_sums_once(spark):
+    """One exchange by period, side and plant carries all three sides."""
+    from sparesledger.plans.model import FIXTURE_AS_OF, Model
+
+    m = Model.from_fixtures(spark, "/root/testdata/sf0.001", as_of=FIXTURE_AS_OF)
+    plan = m.recon_ap_to_gl._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.split("Union")[0]
+    assert top.count("Aggregate") == 2 and "Join" not in top, plan
