@@ -12,88 +12,123 @@ place by its gapless rank among the pieces of its length.
 from __future__ import annotations
 
 import bisect
-import re
+import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless_rank, per_text, stored
+from .common import binary_rows, gapless_rank, per_text, stored
 
 CAPACITY = 2048
-#: Letters of Latin-1 in lower case, and a single mark at a word's end.
-_MARK = re.compile(rb"([a-z\xe0-\xf6\xf8-\xff])([.,])(?=[\x20\x09-\x0d]|\Z)")
+#: Latin-1 bytes of lower-case letters, and of the marks that may end a word.
+_LETTERS = frozenset([*range(0x61, 0x7B), *range(0xE0, 0xF7), *range(0xF8, 0x100)])
+_MARKS = b".,"
 
 
 class WordIds:
-    """Token ids of white-space-delimited words, as little-endian bytes, by the tokenizers library.
+    """Token ids of white-space-delimited words, as little-endian bytes (``width`` an id), by the
+    tokenizers library.
 
     The tokenizer drops white space and never joins tokens across it, so a text's ids are its
     words' ids in turn. Words seen are remembered (up to ``limit``). A text in Latin-1 is
-    lower-cased first and a full stop or comma that ends a word is set apart, as the
-    tokenizer's own pattern would; a word of letters only then goes straight to its BPE model.
+    lower-cased first; of a word that ends in a full stop or comma after a letter the mark is set
+    apart, as the tokenizer's own pattern would, when the word is first seen, and a word of
+    letters only goes straight to the BPE model.
     A text in which a special token may stand is left as it is: its words go to the tokenizer,
     which finds special tokens (in their own case only) as its defaults say.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, width: int = 4, limit: int = 400_000):
         from tokenizers import Tokenizer
 
+        self.code = {2: "H", 4: "I"}[width]
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.limit = self.tokenizer.model, limit
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.sign = os.path.commonprefix(self.special)  # what any special token begins with
         self.plain, self.other = {}, {}
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in set(shown)]
         # byte-level BPE shows printable bytes as themselves and the others from U+0100 on
         self.chars = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-
-    def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _word(self, word: str, letters: bool) -> bytes:
-        if letters and word.isalpha():
-            return self._ids([t.id for t in self.model.tokenize(
-                word.encode().decode("latin-1").translate(self.chars))])
-        return self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def _join(self, words: list[bytes], known: dict, code: str) -> bytes:
+        self.marks = {m: self._encoded(chr(m)) for m in _MARKS}
+
+    def _encoded(self, word: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _latin(self, word: bytes) -> bytes:
+        text = word.decode("latin-1")
+        if not text.isalpha():
+            return self._encoded(text)
+        shown = text if word.isascii() else text.encode().decode("latin-1").translate(self.chars)
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _word(self, word: bytes, latin: bool) -> bytes:
+        if not latin:
+            return self._encoded(word.decode())
+        if word[-1] in _MARKS and len(word) > 1 and word[-2] in _LETTERS:
+            stem = word[:-1]
+            return (self.plain.get(stem) or self._latin(stem)) + self.marks[word[-1]]
+        return self._latin(word)
+
+    def _join(self, words: list[bytes], known: dict, latin: bool) -> bytes:
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             pass
         if len(known) > self.limit:
             known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self._word(w.decode(code), code == "latin-1")
+        for w in set(words).difference(known):
+            known[w] = self._word(w, latin)
         return b"".join(map(known.__getitem__, words))
 
     def text(self, text: bytes) -> bytes:
-        try:
-            plain = text.decode().lower().encode("latin-1")
-        except UnicodeEncodeError:
-            return self._join(text.split(), self.other, "utf-8")
-        if any(s in plain for s in self.special):
-            return self._join(text.split(), self.other, "utf-8")
-        return self._join(_MARK.sub(rb"\1 \2", plain).split(), self.plain, "latin-1")
+        if text.isascii():
+            plain = text.lower()
+        else:
+            try:
+                plain = text.decode().lower().encode("latin-1")
+            except UnicodeEncodeError:
+                return self._join(text.split(), self.other, False)
+        if self.sign in plain and any(s in plain for s in self.special):
+            return self._join(text.split(), self.other, False)
+        return self._join(plain.split(), self.plain, True)
+
+
+def id_width(path: str) -> int:
+    """Bytes that hold any id of the tokenizer: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(path).get_vocab(True).values(), default=0) < 1 << 16 else 4
+
+
+def widened(ids: pa.Array, width: int) -> pa.Array:
+    """A binary column of ids of ``width`` bytes as one of four bytes each."""
+    if width == 4 or not len(ids):
+        return ids
+    _, offsets, values = ids.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64)
+    wide = np.frombuffer(values, dtype=np.uint8)[at[0]:at[-1]].view("<u2").astype("<u4") if at[-1] > at[0] else np.zeros(0, "<u4")
+    return binary_rows(wide.view(np.uint8), (at - at[0]) * 2)
 
 
-def _pieces(ids: pa.Array, texts: list[bytes], words: list[WordIds], path: str, capacity: int) -> pa.RecordBatch:
+def _pieces(ids: pa.Array, texts: list[bytes], words: list[WordIds], path: str, capacity: int, width: int) -> pa.RecordBatch:
     if not words:
-        words.append(WordIds(path))
+        words.append(WordIds(path, width))
     row, piece, start, length, kept = [], [], [], [], []
     for i, t in enumerate(texts):
-        tokens = words[0].text(t) + b"\0\0\0\0"
-        n = len(tokens) // 4
+        tokens = words[0].text(t) + bytes(width)
+        n = len(tokens) // width
         for k, s in enumerate(range(0, n, capacity)):
             e = min(n, s + capacity)
             row.append(i)
             piece.append(k)
             start.append(s)
             length.append(e - s)
-            kept.append(tokens[4 * s:4 * e])
+            kept.append(tokens[width * s:width * e])
     return pa.RecordBatch.from_arrays(
         [ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
          pa.array(length, pa.int64()), pa.array(kept, pa.binary())], ["id", "piece", "start", "length", "ids"])
@@ -182,9 +217,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     words: list[WordIds] = []
+    width = id_width(tokenizer_path)  # on their way, ids take no more bytes than the vocabulary asks for
     pieces = stored(per_text(docs, id_col, text_col,
                              f"id {id_type}, piece int, start long, length long, ids binary",
-                             _pieces, words, tokenizer_path, capacity), "pieces")
+                             _pieces, words, tokenizer_path, capacity, width), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     records = plan_packing(counts, capacity)
     records = records[np.lexsort((records[:, 1], records[:, 0]))]
@@ -202,7 +238,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             bin_, inside = np.divmod(rank - at[:, 1], at[:, 4])
             yield pa.RecordBatch.from_arrays(
                 [table["id"], table["piece"], table["start"], table["length"],
-                 pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + inside * length), table["ids"]],
+                 pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + inside * length), widened(table["ids"], width)],
                 [id_col, "piece", "start", "length", "sequence_id", "offset", "ids"])
 
     placed = ranked.mapInArrow(place, f"`{id_col}` {id_type}, piece int, start long, length long, sequence_id long, "
