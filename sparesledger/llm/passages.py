@@ -138,7 +138,9 @@ def suspects(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> D
     """
     spark = docs.sparkSession
     each = found.select("key", F.explode("anchors").alias("h"))
-    again = each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    # stored, so that the join below shuffles both sides and Spark can split an anchor that a large
+    # share of all texts has
+    again = stored(each.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"), "again")
     marked = stored(each.join(again, "h", "left_semi").groupBy("key").agg(F.collect_set("h").alias("again")), "marked")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), document_key(id_col, text_col).alias("key"),
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -150,7 +152,9 @@ def suspects(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> D
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (both.write.bucketBy(buckets, "key").option("compression", "zstd")
      .option("path", f"{work_folder(spark).rstrip('/')}/llm/{name}").saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files and their buckets stay with the frame, no name is left behind
+    return table
 
 
 def extended(texts: DataFrame, units, shape: Shape) -> DataFrame:
@@ -192,7 +196,7 @@ def extended(texts: DataFrame, units, shape: Shape) -> DataFrame:
     id_type = texts.schema["id"].dataType.simpleString()
     rows = stored(texts.select("id", "key", "text", "again").mapInArrow(
         run, f"g long, c long, id {id_type}, key long, lo int, hi int"), "extended")
-    several = rows.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
+    several = stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g"), "several")
     return stored(rows.join(several, "g", "left_semi"), "repeated-grams")
 
 
