@@ -61,6 +61,12 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if wide else pa.binary()).to_pylist()
 
 
+def slices(column: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
+    """``column`` in parts, so that not all its texts are Python objects at once."""
+    for a in range(0, len(column), rows):
+        yield column.slice(a, rows)
+
+
 def in_blocks(texts: Sequence[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``limit`` bytes together (a longer text alone)."""
     start = size = 0
@@ -82,9 +88,10 @@ def per_text(docs: DataFrame, id_col: str, text_col: str, schema: str, rows: Cal
 
     def run(batches):
         for batch in batches:
-            texts = [t or b"" for t in as_bytes(batch.column(1))]
-            for a, b in in_blocks(texts):
-                yield rows(batch.column(0).slice(a, b - a), texts[a:b], *args)
+            for ids, part in zip(slices(batch.column(0)), slices(batch.column(1))):
+                texts = [t or b"" for t in as_bytes(part)]
+                for a, b in in_blocks(texts):
+                    yield rows(ids.slice(a, b - a), texts[a:b], *args)
 
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, schema)
 

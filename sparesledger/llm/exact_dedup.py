@@ -97,6 +97,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     kept = (copies(docs, id_col, text_col).filter("kept")
             .select(F.col(f"`{id_col}`").alias("__kept_id"), F.unhex("text_sha256").alias("__kept_sha")).distinct())
-    rows = docs.select("*", F.arrow_udf(_digest, "binary")(docs[text_col]).alias("__own_sha"))
+    # taken as not deterministic, or the join's null filter would have it computed a second time, in
+    # a second Python worker of each task
+    own = F.arrow_udf(_digest, "binary").asNondeterministic()
+    rows = docs.select("*", own(docs[text_col]).alias("__own_sha"))
     joined = rows.join(kept, rows[id_col].eqNullSafe(kept["__kept_id"]) & (rows["__own_sha"] == kept["__kept_sha"]))
     return joined.dropDuplicates(["__kept_id", "__kept_sha"]).select([docs[c] for c in docs.columns])
