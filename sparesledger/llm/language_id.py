@@ -4,7 +4,7 @@ Training counts, for each language, the pieces of a fixed public vocabulary in t
 texts (all of them: counts are summed where they are read and shuffled as at most one row per
 language and piece). A text's likelihood is the product over its words of the sum, over all
 ways to cut the word into pieces, of the product of the pieces' probabilities; the forward
-algorithm computes the sums, for many words of one length at a time. A character outside the
+algorithm computes the sums, for many words of one length at a time, whatever the length. A character outside the
 vocabulary is cut into the vocabulary's byte pieces.
 
 The model has (pieces x languages) numbers: its size depends on the vocabulary and the number
@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import U64, as_bytes, fmix64, in_blocks, stored
+from .common import U64, as_bytes, fmix64, in_blocks, slices, stored
 
-SLICE = 32  # longer words are cut into stretches of so many code points, each segmented by itself
-SCALE = 1000.0  # per code point, so that products stay within a double
+SHORT = 32  # code points of a word whose products stay within a double under one fixed scale;
+SCALE = 1000.0  # that scale, per code point
+LONG_CELLS = 1 << 21  # numbers held at once for longer words
 KNOWN = 100_000  # words whose scores a task remembers,
 KNOWN_CHARS = 2_000_000  # and their code points together
 _MIX = U64(0x9E3779B97F4A7C15)
@@ -44,7 +45,7 @@ class Pieces:
         m, self.size = self.model, self.model.get_piece_size()
         plain = [i for i in range(self.size) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
         texts = [m.id_to_piece(i) for i in plain]
-        self.longest = min(SLICE + 1, max(map(len, texts)))
+        self.longest = max(map(len, texts))
         keys = np.zeros(len(texts), dtype=U64)
         size = np.array([len(t) for t in texts])
         for n in np.unique(size).tolist():
@@ -83,24 +84,24 @@ class Pieces:
     def scores(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """log P(word) for each language: rows as ``words``, columns as ``prob``'s (pieces x languages)."""
         total = np.zeros((len(words), prob.shape[1]))
-        owner, texts = [], []
-        for i, w in enumerate(words):
-            w = "▁" + w
-            for s in range(0, len(w), SLICE):
-                owner.append(i)
-                texts.append(w[s:s + SLICE])
+        texts = ["▁" + w for w in words]
         size = np.array([len(t) for t in texts])
-        owner = np.array(owner)
         padded = np.vstack([prob, np.zeros(prob.shape[1])])  # row -1: no piece
         for n in np.unique(size).tolist():
             at = np.flatnonzero(size == n)
-            for x in range(0, len(at), 4096):
-                some = at[x:x + 4096]
+            step = 4096 if n <= SHORT else max(1, LONG_CELLS // (n * min(n, self.longest) * prob.shape[1]))
+            forward = self._forward if n <= SHORT else self._forward_long
+            for x in range(0, len(at), step):
+                some = at[x:x + step]
                 chars = np.frombuffer("".join(texts[i] for i in some.tolist()).encode("utf-32-le", "surrogatepass"),
                                       dtype="<u4").reshape(-1, n)
-                np.add.at(total, owner[some], self._forward(chars, padded))
+                total[some] = forward(chars, padded)
         return total
 
+    def _in_bytes(self, code: int, prob: np.ndarray) -> np.ndarray:
+        """The probability of a character cut into byte pieces."""
+        return np.prod(prob[self.byte[list(chr(code).encode("utf-8", "surrogatepass"))]], axis=0)
+
     def _forward(self, chars: np.ndarray, prob: np.ndarray) -> np.ndarray:
         rows, n = chars.shape
         wide = chars.astype(U64)
@@ -116,14 +117,41 @@ class Pieces:
                 if j == i:
                     alpha[j + 1] += alpha[i] * prob[piece] * scale
                     for r in np.flatnonzero(piece < 0).tolist():
-                        code = chr(int(chars[r, i])).encode("utf-8", "surrogatepass")
-                        alpha[j + 1, r] += alpha[i, r] * np.prod(prob[self.byte[list(code)]], axis=0) * scale
+                        alpha[j + 1, r] += alpha[i, r] * self._in_bytes(int(chars[r, i]), prob) * scale
                 else:
                     some = np.flatnonzero(piece >= 0)
                     if len(some):
                         alpha[j + 1, some] += alpha[i, some] * prob[piece[some]] * scale
         return np.log(np.maximum(alpha[n], 1e-300)) - n * np.log(SCALE)
 
+    def _forward_long(self, chars: np.ndarray, prob: np.ndarray) -> np.ndarray:
+        """The same sums for words of any length: only the last ``longest`` positions are carried, and
+        they are rescaled as they shrink. ``before[:, k]`` is the sum k + 1 positions back."""
+        rows, n = chars.shape
+        wide, reach = chars.astype(U64), min(n, self.longest)
+        piece = np.full((rows, n, reach), -1, dtype=np.int64)  # of start and length - 1
+        h = np.zeros((rows, n), dtype=U64)
+        for j in range(reach):
+            h = fmix64(h[:, :n - j] * _MIX + wide[:, j:])
+            piece[:, :n - j, j] = self.find(h)
+        step = prob[piece]
+        for r, i in np.argwhere(piece[:, :, 0] < 0).tolist():
+            step[r, i, 0] = self._in_bytes(int(chars[r, i]), prob)
+        back = np.arange(reach)
+        before = np.zeros((rows, reach, prob.shape[1]))
+        before[:, 0] = 1
+        log = np.zeros((rows, 1))
+        for end in range(1, n + 1):
+            some = back[:end]  # pieces of 1 .. end characters that end here
+            now = (before[:, some] * step[:, end - 1 - some, some]).sum(axis=1)
+            before[:, 1:] = before[:, :-1].copy()
+            before[:, 0] = now
+            if end % 8 == 0:
+                most = np.maximum(before.max(axis=(1, 2)), 1e-300)
+                before /= most[:, None, None]
+                log[:, 0] += np.log(most)
+        return np.log(np.maximum(before[:, 0], 1e-300)) + log
+
 
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
@@ -135,17 +163,24 @@ def _lower(text: bytes) -> str:
     return text.decode().lower()
 
 
+def blocks(beside: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list[bytes]]]:
+    """Values of ``beside`` and texts (null: empty), about a MB of text at a time."""
+    for some, part in zip(slices(beside), slices(texts)):
+        own, raw = some.to_pylist(), [t or b"" for t in as_bytes(part)]
+        for x, y in in_blocks(raw, 1 << 20):
+            yield own[x:y], raw[x:y]
+
+
 def piece_counts(docs: DataFrame, lang_col: str, text_col: str, path: str) -> DataFrame:
     """Rows lang, piece, n over all rows with a label: the vocabulary's own cut of each word."""
 
     def run(batches):
         pieces, sums, known, held = _pieces(path), {}, {}, 0
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), [t or b"" for t in as_bytes(batch.column(1))]
-            for x, y in in_blocks(texts, 1 << 20):
+            for langs, texts in blocks(batch.column(0), batch.column(1)):
                 words = chunks.vocabulary()
                 count: dict = {}
-                for lang, t in zip(langs[x:y], texts[x:y]):
+                for lang, t in zip(langs, texts):
                     count.setdefault(lang, []).append(chunks.numbers(words, _lower(t).split()))
                 new = [w for w in words if w not in known]
                 if known and (len(known) + len(new) > KNOWN or held > KNOWN_CHARS):
@@ -194,12 +229,11 @@ def _predictor(train: DataFrame, vocabulary: str, text_col: str, lang_col: str,
         pieces, words, held = _pieces(vocabulary), chunks.vocabulary(), 0
         score = np.zeros((0, prob_columns))
         for column in columns:
-            texts = [t or b"" for t in as_bytes(column)]
             best, prec = [], []
-            for x, y in in_blocks(texts, 1 << 20):
+            for _, texts in blocks(pa.nulls(len(column)), column):
                 if len(words) > KNOWN or held > KNOWN_CHARS:
                     words, score, held = chunks.vocabulary(), np.zeros((0, prob_columns)), 0
-                lower = [_lower(t) for t in texts[x:y]]
+                lower = [_lower(t) for t in texts]
                 seqs = [chunks.numbers(words, t.split()) for t in lower]
                 new = list(words)[len(score):]
                 if new:
