@@ -145,6 +145,46 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(pieces.scores(words, prob), [np.log(total("▁" + w)) for w in words])
 
 
+def test_forward_sums_words_of_any_length():
+    """Against the full recursion in exact fractions of two: around the switch of methods and far beyond."""
+    import math
+
+    import numpy as np
+
+    pieces = language_id.Pieces(P.path("piece_bpe_32k.model"))
+    rnd, choose = np.random.default_rng(2), random.Random(3)
+    prob = rnd.random((pieces.size, 3))
+    prob /= prob.sum(axis=0)
+    table = {pieces.model.id_to_piece(i): i for i in range(pieces.size) if not pieces.model.is_byte(i)}
+
+    def total(word):
+        """log P by the recursion from the left, each prefix's sum kept as (mantissa, exponent)."""
+        out = []
+        for lang in range(3):
+            sums = [(0.5, 1)]
+            for end in range(1, len(word) + 1):
+                parts = []
+                for start in range(max(0, end - pieces.longest), end):
+                    text = word[start:end]
+                    if text in table:
+                        p = prob[table[text], lang]
+                    elif end - start == 1:
+                        p = float(np.prod(prob[pieces.byte[list(text.encode())], lang]))
+                    else:
+                        continue
+                    m, e = math.frexp(sums[start][0] * p)
+                    parts.append((m, e + sums[start][1]))
+                top = max(e for _, e in parts)
+                m, e = math.frexp(math.fsum(math.ldexp(m, e - top) for m, e in parts))
+                sums.append((m, e + top))
+            out.append(math.log(sums[-1][0]) + sums[-1][1] * math.log(2))
+        return out
+
+    words = ["thing" * 6 + "a", "thing" * 6 + "ab", "the" * 11, "internationalisation" * 30, "x" * 700, "été日ß" * 40, "日本語のテキスト" * 20, "a䷿b" * 50]
+    words += ["".join(choose.choice("thesandorig") for _ in range(n)) for n in (29, 30, 31, 32, 33, 60, 60, 250)]
+    assert np.allclose(pieces.scores(words, prob), [total("▁" + w) for w in words], rtol=1e-9)
+
+
 def test_fingerprints(docs):
     pieces = lambda t: set(re.findall(r"[^.!?\n]{1,100}[.!?\n]*|[.!?\n]+", t))
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
@@ -223,6 +263,15 @@ def test_packed_sequences_hold_the_ids(spark):
         assert got == model.encode(t or "", add_special_tokens=False).ids + [0]
 
 
+def test_ids_are_widened():
+    import pyarrow as pa
+
+    rows = [b"", b"\x01\x00\xff\xff", None, b"\x02\x00"]
+    column = pa.array([b"\x09\x09", *rows], pa.binary()).slice(1)
+    assert [x or b"" for x in packing.widened(column, 2).to_pylist()] == [b"", b"\x01\0\0\0\xff\xff\0\0", b"", b"\x02\0\0\0"]
+    assert packing.widened(column, 4) is column and packing.id_width(P.path("word_bpe_49k.json")) == 2
+
+
 def test_substring(docs):
     assert {r.doc_id: tuple(r)[1:] for r in RUNS["substring"](docs).collect()} == brute.op7(DOCS)
     left = {r.doc_id: r for r in substring_dedup.drop_repeated(docs).collect()}
@@ -293,3 +342,20 @@ def test_pipeline(spark, docs):
     for i, (n, removed, sha) in brute.op7([(i, texts[i]) for i in two]).items():
         assert four[i] == texts[i] if not removed else hashlib.sha256(four[i].encode()).hexdigest() == sha
     assert stage["packing"](spark, left, "").count() >= len(two)
+
+
+def test_a_passage_in_a_third_of_the_documents(spark):
+    """One hot passage, whose anchors a third of all texts have, beside ordinary ones; no table is left."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(70))
+    texts = []
+    for i in range(240):
+        own = " ".join(word() for _ in range(rnd.randint(5, 60)))
+        texts.append((i, f"{own} {passage} {word()}" if i % 3 == 0 else own))
+    texts += [(300 + i, texts[i + 1][1]) for i in range(5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    before = {t.name for t in spark.catalog.listTables()}
+    assert {r.doc_id: tuple(r)[1:] for r in RUNS["substring"](docs).collect()} == brute.op7(texts)
+    assert {r.doc_id: tuple(r)[1:] for r in RUNS["suffix"](docs).collect()} == brute.op9(texts)
+    assert {t.name for t in spark.catalog.listTables()} == before
