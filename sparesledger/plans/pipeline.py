@@ -78,7 +78,7 @@ def publish_tables(spark: SparkSession, root: str, layer: str, tables: Mapping[s
     version = new_version()
     path = version_path(root, layer, version)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        jobs = [pool.submit(write_table, df, f"{path}/{t}", PARTITIONED.get(t), buckets=(buckets or {}).get(t)) for t, df in tables.items()]
+        jobs = [pool.submit(write_table, df, f"{path}/{t}", PARTITIONED.get(t), buckets=(buckets or {}).get(t), fills=layer == "gold") for t, df in tables.items()]
         written = [j.result() for j in jobs]
     publish(spark, root, layer, version, written)
     return version

@@ -69,9 +69,10 @@ def _manifest_path(root: str, layer: str, version: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejected: Observation | None = None,
-                buckets: Buckets | None = None) -> Written:
-    """Write ``df`` into the new folder ``path`` and count it on the way (no second scan): rows, filled
-    values of each column and the exact sum of every decimal one; bytes and files come from a listing.
+                buckets: Buckets | None = None, fills: bool = False) -> Written:
+    """Write ``df`` into the new folder ``path`` and count it on the way (no second scan): rows, the exact
+    sum of every decimal column and, with ``fills``, the filled values of each column; bytes and files
+    come from a listing.
 
     The counting is the last step before the write, behind any shuffle, so a stage that runs again
     after a lost executor is not counted twice.
@@ -86,7 +87,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
     seen = Observation()
     fields = df.schema.fields
     money = [i for i, f in enumerate(fields) if isinstance(f.dataType, DecimalType)]
-    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count(F.col(f"`{f.name}`")).alias(f"filled_{i}") for i, f in enumerate(fields)),
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count(F.col(f"`{f.name}`")).alias(f"filled_{i}") for i, f in enumerate(fields) if fills),
                       *(F.sum(F.col(f"`{fields[i].name}`")).cast("string").alias(f"sum_{i}") for i in money))
     writer = out.write.mode("errorifexists").format("parquet")
     if partition_by:
@@ -101,7 +102,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, rejec
     size = fs.getContentSummary(at)
     got = seen.get
     sums = {fields[i].name: got[f"sum_{i}"] for i in money if got[f"sum_{i}"] is not None}
-    columns = [{"name": f.name, "type": f.dataType.simpleString(), "comment": f.metadata.get("comment"), "filled": got[f"filled_{i}"]}
+    columns = [{"name": f.name, "type": f.dataType.simpleString(), "comment": f.metadata.get("comment"), "filled": got.get(f"filled_{i}")}
                for i, f in enumerate(fields)]
     return Written(path.rpartition("/")[2], got["rows"], size.getLength(), size.getFileCount(), df.schema.json(),
                    rejected.get["bad"] if rejected is not None else 0, sums, columns,

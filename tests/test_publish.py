@@ -94,7 +94,8 @@ def test_manifest_counts_what_was_written(spark, scratch):
         lines = {r.table_name: r for r in manifest(spark, root, layer).collect()}
         for name, df in read_layer(spark, root, layer).items():
             assert lines[name].row_count == df.count() and lines[name].bytes > 0 and lines[name].rejected == 0
-            assert [c.filled for c in lines[name].columns] == list(df.agg(*(F.count(f"`{c}`") for c in df.columns)).first())
+            fills = list(df.agg(*(F.count(f"`{c}`") for c in df.columns)).first()) if layer == "gold" else [None] * len(df.columns)
+            assert [c.filled for c in lines[name].columns] == fills
             for c, total in lines[name].sums.items():
                 assert Decimal(total) == df.agg(F.sum(c)).first()[0]
     assert lines["agg_stores_aging"].sums.keys() >= {"onhand_qty", "onhand_value_avg_cost"}
