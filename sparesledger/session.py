@@ -106,13 +106,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder; where none is named and the session runs in one local process (tests),
-    a temporary one. On a cluster an unset folder is an error."""
+    """Where queries that write put their tables: the shared folder, else the folder set with
+    ``setCheckpointDir``; with neither, a temporary one where the session runs in one local process
+    (tests). On a cluster an unset folder is an error."""
+    found = checkpoint_dir(spark)
+    if found:
+        return found
     master = spark.sparkContext.master
     local = master == "local" or master.startswith("local[")
-    if shared_folder(spark) is None and local and not spark.sparkContext.getCheckpointDir():
-        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sparesledger-"))
-    return ensure_checkpoint_dir(spark)
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sparesledger-") if local else None)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,

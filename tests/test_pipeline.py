@@ -382,3 +382,31 @@ def test_csv_number_that_would_be_rounded_fails(spark, scratch):
     path = _csv(scratch, "fine", COSTS + "\n1,2,0.0000049,1.00\n")
     with pytest.raises(Exception, match="ITEM_COST does not fit"):
         read_extract(spark, "cst_item_costs", path).collect()
+
+
+def test_work_folder_of_queries_that_write():
+    from sparesledger.session import work_folder
+
+    class _Ctx:
+        def __init__(self, master, conf=None, ckpt=None):
+            self.master, self.conf, self.ckpt = master, conf or {}, ckpt
+
+        def getConf(self):
+            return self.conf
+
+        def getCheckpointDir(self):
+            return self.ckpt
+
+        def setCheckpointDir(self, d):
+            self.ckpt = f"{d}/uuid"
+
+    class _S:
+        def __init__(self, *args, **kw):
+            self.sparkContext = _Ctx(*args, **kw)
+
+    assert work_folder(_S("yarn", {"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
+    assert work_folder(_S("local[4]", ckpt="/set/uuid")) == "/set/uuid"
+    local = _S("local[4]")
+    assert os.path.isdir(work_folder(local)) and work_folder(local) == work_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(_S("spark://host:7077"))
