@@ -89,3 +89,10 @@ def test_security_map(fx):
     grants = {(r.USER_NAME, r.ORG_CODE) for r in fx.org_security_map.collect()}
     assert {c for u, c in grants if u == "board"} == {"GCI", "WCI", "GCM", "WCM", "HOC"}
     assert {c for u, c in grants if u == "dual_user"} == {"GCI", "WCI"}
+
+
+def test_a_run_that_writes_all_extracts_makes_the_distributions_once(spark, scratch):
+    plain, stored = Fixtures(spark, SF_SMALL), Fixtures(spark, SF_SMALL).stored(scratch)
+    for t in ("ap_invoice_distributions_all", "ap_invoices_all", "gl_je_lines", "gl_je_headers", "xla_ae_headers", "xla_distribution_links"):
+        assert not [f for f in stored.table(t).inputFiles() if "lineitem" in f], t
+        assert sorted(map(str, stored.table(t).collect())) == sorted(map(str, plain.table(t).collect())), t
