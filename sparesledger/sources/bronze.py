@@ -10,6 +10,7 @@ extract's ``dbtable``/``query`` and read partitioning -- ``partitionColumn``/
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,14 +156,17 @@ def land_bronze(
     return written
 
 
-def write_extracts(sources: Mapping[str, DataFrame], root: str, fmt: str = "csv") -> dict[str, str]:
-    """Write source-shaped DataFrames as extract files (``{root}/{table}.{fmt}``), one folder each."""
-    out = {}
-    for t, df in sources.items():
+def write_extracts(sources: Mapping[str, DataFrame], root: str, fmt: str = "csv", parallelism: int = 4) -> dict[str, str]:
+    """Write source-shaped DataFrames as extract files (``{root}/{table}.{fmt}``), one folder each,
+    ``parallelism`` of them at a time."""
+
+    def write(t: str) -> str:
         path = f"{root}/{t}.{fmt}"
-        w = df.write.mode("overwrite")
+        w = sources[t].write.mode("overwrite")
         if fmt == "csv":
             w = w.option("header", "true").option("dateFormat", "yyyy-MM-dd")
         w.format(fmt).save(path)
-        out[t] = path
-    return out
+        return path
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return dict(zip(sources, pool.map(write, sources)))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from sparesledger.functions.money import decimal_type, product, quotient
 from sparesledger.sources.bronze import good_rows, read_extract, rejects, split_extract
-from sparesledger.sources.conform import typed
+from sparesledger.sources.conform import _doubtful, typed
 from sparesledger.streaming import current_rows, land_incrementally
 
 COSTS = ["INVENTORY_ITEM_ID", "ORGANIZATION_ID", "ITEM_COST", "LAST_PO_COST"]
@@ -111,6 +111,15 @@ def test_number_text_is_taken_exactly_or_not_at_all(spark):
         assert (r.bad, None if r.bad else r.v) == (TEXTS[r.t] is None, TEXTS[r.t]), r
 
 
+def test_only_doubtful_text_is_looked_at_closely(spark):
+    want = T.DecimalType(18, 5)
+    df = spark.createDataFrame([(t,) for t in [*TEXTS, None]], "t string")
+    value, lost = typed(F.col("t"), T.StringType(), want)
+    rows = df.select("t", lost.alias("bad"), F.coalesce(_doubtful(F.col("t"), value, T.StringType(), want), F.lit(False)).alias("doubt")).collect()
+    assert [r for r in rows if r.bad and not r.doubt] == []
+    assert {r.t for r in rows if not r.doubt} == {"1.50000", " 7 ", "+0.5", ".5", None}
+
+
 def test_other_types_are_taken_exactly_or_not_at_all(spark):
     df = spark.createDataFrame([("12", 0.1, "2026-03-05 10:11:12"), ("12.5", 0.000001, "05/03/2026"), ("x", 1e30, "2026-02-30"), (None, None, None)],
                                "i string, d double, t string")
