@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from sparesledger.plans.model import FIXTURE_AS_OF, Model
 from sparesledger.sources.fixtures import Fixtures
 from sparesledger.sources.schemas import SOURCE_SCHEMAS
 
@@ -96,3 +97,13 @@ def test_a_run_that_writes_all_extracts_makes_the_distributions_once(spark, scra
     for t in ("ap_invoice_distributions_all", "ap_invoices_all", "gl_je_lines", "gl_je_headers", "xla_ae_headers", "xla_distribution_links"):
         assert not [f for f in stored.table(t).inputFiles() if "lineitem" in f], t
         assert sorted(map(str, stored.table(t).collect())) == sorted(map(str, plain.table(t).collect())), t
+
+
+def test_parts_are_dealt_out_before_their_pairs_are_made(spark):
+    plan = Fixtures(spark, SF_SMALL).mtl_system_items_b._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(p_partkey")
+
+
+def test_gold_broadcasts_none_of_its_growing_sides(spark):
+    plan = Model(Fixtures(spark, SF_SMALL), as_of=FIXTURE_AS_OF).stores_aging._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 4
