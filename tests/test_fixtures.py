@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from sparesledger.plans.model import FIXTURE_AS_OF, Model
+from sparesledger.operators.aging import _merged
 from sparesledger.sources.fixtures import Fixtures
 from sparesledger.sources.schemas import SOURCE_SCHEMAS
 
@@ -104,6 +104,12 @@ def test_parts_are_dealt_out_before_their_pairs_are_made(spark):
     assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(p_partkey")
 
 
-def test_gold_broadcasts_none_of_its_growing_sides(spark):
-    plan = Model(Fixtures(spark, SF_SMALL), as_of=FIXTURE_AS_OF).stores_aging._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") == 4
+def test_gold_broadcasts_a_side_only_if_it_is_far_below_the_limit(spark):
+    side, before = spark.range(1000), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, join in (("10000", "SortMergeJoin"), ("1000000", "BroadcastHashJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            plan = spark.range(10**7).join(_merged(side), "id", "left")._jdf.queryExecution().executedPlan().toString()
+            assert join in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
