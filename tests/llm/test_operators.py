@@ -5,16 +5,19 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from sparesledger.llm import (byte_bpe, exact_dedup, fingerprints, katz_lm, language_id, near_dedup, packing, sharding,
+from sparesledger.llm import (byte_bpe, common, exact_dedup, fingerprints, katz_lm, language_id, near_dedup, packing, sharding,
                               substring_dedup, suffix_dedup)
+from sparesledger.llm.common import stored
 
 from . import brute
 
@@ -198,6 +201,24 @@ def test_fingerprints(docs):
     assert len({(texts[i], r.fingerprint) for i, r in got.items()}) == len(set(texts))
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """op3 held the shuffles of all its tables at once."""
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {str(f) for d in dirs for f in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    rows = spark.range(5000).withColumn("key", F.col("id") % 7)
+    before, setting = files(), spark.conf.get(common.CLEAN_SHUFFLES)
+    tables = [stored(rows.repartition("key").sortWithinPartitions("id"), f"shuffled-{k}") for k in range(3)]
+    for _ in range(50):  # Spark removes them in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert [t.count() for t in tables] == [5000] * 3 and spark.conf.get(common.CLEAN_SHUFFLES) == setting
+
+
 def test_bpe(docs, spark):
     import tiktoken
 
