@@ -26,9 +26,9 @@ SCHEMA = "chunk long, bucket int, ids array<{id}>, a binary, b binary, c binary"
 NAMES = ["chunk", "bucket", "ids", "a", "b", "c"]
 
 
-def packed(x: np.ndarray | bytes) -> bytes:
+def packed(x: np.ndarray | bytes, level: int = 1) -> bytes:
     raw = x if isinstance(x, bytes) else x.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=level).compress(raw)
 
 
 def unpacked(x: bytes, kind: str | None = None):

@@ -1,22 +1,28 @@
-"""Language-model scoring by Katz backoff over word bigrams.
-
-Texts become number sequences (see ``chunks``). Unigram counts come from the word buckets.
-Each bigram then goes to the bucket of its context, where all counts of that context meet: the
-n-gram tables are partitioned by context, and what is scored travels to them, per chunk and
-bucket as one compact row. A context that has at least 1/256 of all tokens (so there are at
-most 256) is dealt over all buckets by its second word; its sums are small and added up.
-
-The model, recursively: a seen bigram has probability ``d_r * r / (c + 1/2)``, ``r`` its count,
-``c`` its context's, ``d_r`` the Good-Turing discount (1 above five; half a count is set aside
-so that no context is left without mass). An unseen one has the context's weight times the
-word's unigram probability; the weight is the mass left over divided by the unigram probability
-of all words not seen there, so each context's probabilities sum up to one exactly. A context
-never seen has weight 1. Unigrams are discounted the same way, and what they leave over is the
-probability of the unknown word. Discounts come from the counts of counts of all tables.
+"""Language-model scoring by Katz backoff over word n-grams of any order.
+
+Texts become number sequences (see ``chunks``). Unigram counts come from the word buckets. Then
+there is a level for each length of n-gram, two words and up: each chunk's distinct n-grams, as
+one compact row per bucket, go to the bucket of their context, where all counts of that context
+meet; the table of the bucket gives back each n-gram's count, which is also the count of the next
+level's context. An n-gram whose context stands nowhere in the learned texts is not there either. A context that has at least 1/256 of all tokens (so there are at most 256) is
+dealt over all buckets by its last word; its sums are small and added up. An n-gram whose context
+stands once, in a learned text, has that count too and stays with its chunk, unless a held-out
+text asks for the context.
+
+The model, recursively: a seen n-gram has probability ``d_r * r / (c + 1/2)``, ``r`` its count,
+``c`` its context's, ``d_r`` its level's Good-Turing discount (1 above five; half a count is set
+aside so that no context is left without mass). An unseen one has the context's weight times the
+word's probability after the context without its first word; the weight is the mass left over
+divided by the shorter context's probability of all words not seen there, so each context's
+probabilities sum up to one exactly. A context never seen has weight 1. Unigrams are discounted
+the same way, and what they leave over is the probability of the unknown word. Discounts come
+from the counts of counts of all tables of a level.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -98,43 +104,137 @@ def _count_words(rows):
         yield from settle(at, held)
 
 
-def _deal(chunk, ids, lengths, numbers, train, found, model: Unigrams, texts: int, buckets: int, id_type):
-    """A chunk's bigrams by context bucket (a: arrays), and its documents' own figures (bucket of
-    the chunk, b set)."""
-    word = np.concatenate([unpacked(a, "<u8") for a, _, _ in found]) if found else np.zeros(0, "<u8")
-    count = np.concatenate([unpacked(b, "<u8") for _, b, _ in found]).astype(np.int64) if found else np.zeros(0, np.int64)
-    train = np.frombuffer(train, dtype=np.uint8)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    known, base = (count > 0)[numbers], model.base(count)[numbers]
-    figures = np.stack([lengths.astype(np.float64), np.bincount(doc, weights=known, minlength=len(lengths)),
-                        np.bincount(doc, weights=base, minlength=len(lengths)), train.astype(np.float64)])
-    w = numbers.astype(np.int64)
-    first = np.r_[True, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, bool)
-    start = len(word)  # the number of the context before the first word
-    h = np.where(first, start, np.r_[start, w[:-1]])
-    # once per context, word and document
-    order = np.lexsort((w, doc, h))
-    h, w, doc = h[order], w[order], doc[order]
-    new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])]) if len(h) else np.zeros(0, np.int64)
-    times = np.diff(np.r_[new, len(h)])
-    h, w, doc = h[new], w[new], doc[new]
-    word, count = np.r_[word, U64(_START)], np.r_[count, texts]
-    hot = count * HOT >= model.tokens
-    hot[start] = True
-    home = (fmix64(word + U64(1)) % U64(buckets)).astype(np.int64)
-    to = np.where(hot[h], (home[h] + home[w]) % buckets, home[h])
-    order = np.argsort(to, kind="stable")
-    bounds = np.searchsorted(to[order], np.arange(buckets + 1))
-    rows = [(chunk, chunk % buckets, ids, None, packed(figures), None)]
-    for k in np.flatnonzero(np.diff(bounds)).tolist():
-        at = order[bounds[k]:bounds[k + 1]]
-        uh, ih = np.unique(h[at], return_inverse=True)
-        uw, iw = np.unique(w[at], return_inverse=True)
-        arrays = [np.array([len(at), len(uh), len(uw), len(lengths)], "<u4"), ih.astype("<u4"), iw.astype("<u4"), doc[at].astype("<u4"),
-                  times[at].astype("<u4"), train, word[uh].astype("<u8"), count[uh].astype("<u8"), hot[uh].astype(np.uint8),
-                  word[uw].astype("<u8"), count[uw].astype("<u8")]
-        rows.append((chunk, k, None, packed(b"".join(_shuffled(x) for x in arrays)), None, None))
-    return chunks.batch_of(id_type, rows)
+class Level:
+    """Distinct n-grams of a chunk, by their context and last word.
+
+    ``at`` is each position's n-gram, ``context`` and ``word`` are each n-gram's, ``place`` one of
+    its positions. ``ids`` are the contexts' words (an array for each place in the context). The
+    last context is that before the first word. What the table gives back is set by ``answered``.
+    """
+
+    def __init__(self, context: np.ndarray, ids: list[np.ndarray], count: np.ndarray, asked: np.ndarray, w: np.ndarray):
+        self.ids, self.count, self.context_asked, self.before = ids, count, asked, context
+        key, self.at = np.unique((context << 32) | w, return_inverse=True)
+        self.place = _one(self.at, len(key))
+        self.context, self.word = key >> 32, key & 0xFFFFFFFF
+
+    def route(self, tokens: int, home: np.ndarray, buckets: int) -> None:
+        """Which n-grams go to which bucket: ``sent`` in bucket order, ``bounds`` of each bucket in it."""
+        key = np.zeros(len(self.count), dtype=U64)
+        for x in self.ids:
+            key = fmix64((key * U64(31)) ^ (x + U64(1)))
+        own = (key % U64(buckets)).astype(np.int64)
+        self.hot = self.count * HOT >= tokens
+        self.hot[-1] = True
+        # no text that is learned has the context, or one has it once and no other asks
+        self.settled = (self.count == 0) | ((self.count == 1) & ~self.context_asked)
+        to = np.where(self.hot[self.context], (own[self.context] + home[self.word]) % buckets, own[self.context])
+        at = np.flatnonzero(~self.settled[self.context])
+        self.sent = at[np.argsort(to[at], kind="stable")]
+        self.bounds = np.searchsorted(to[self.sent], np.arange(buckets + 1))
+
+    def answered(self, found: list, discount: np.ndarray, hot: dict) -> None:
+        """``r`` and ``asked`` of each n-gram; ``weight``, the logarithm of the context's weight, where it is needed."""
+        self.r, self.asked, self.weight = self.count[self.context], np.zeros(len(self.word), bool), np.zeros(len(self.word))
+        for k, (a, b, c) in zip(np.flatnonzero(np.diff(self.bounds)).tolist(), found, strict=True):
+            mine = self.sent[self.bounds[k]:self.bounds[k + 1]]
+            raw = unpacked(a)
+            n = len(mine)
+            self.r[mine] = np.frombuffer(raw, np.uint8, 4 * n).reshape(4, n).T.copy().view("<u4").ravel()
+            self.asked[mine] = np.frombuffer(raw, np.uint8, n, 4 * n) > 0
+            back = mine[(self.r[mine] == 0) & (self.count[self.context[mine]] > 0)]
+            stats, which = unpacked(c, "<f8").reshape(-1, K + 1), unpacked(b, "<u4")
+            if not len(back):
+                continue
+            stats, context = stats[which].copy(), self.context[back]
+            for i in np.flatnonzero(self.hot[context]).tolist():
+                stats[i] = hot[tuple(int(x[context[i]]) for x in self.ids)]
+            left = stats[:, :K] @ ((1 - discount[1:]) * np.arange(1, K + 1)) + 0.5
+            self.weight[back] = np.log10(left / (self.count[context] + 0.5)) - np.log10(1 - stats[:, K])
+
+
+class Chunk:
+    """A chunk's texts as positions with their word, and the levels of their n-grams so far."""
+
+    def __init__(self, lengths, numbers, train, found: list, model: Unigrams, texts: int, buckets: int):
+        own = [f for f in found if f[2] is None]
+        self.rest = [f for f in found if f[2] is not None]
+        self.word = np.concatenate([unpacked(a, "<u8") for a, _, _ in own])
+        self.count = np.concatenate([unpacked(b, "<u8") for _, b, _ in own]).astype(np.int64)
+        self.lengths, self.w = lengths, numbers.astype(np.int64)
+        self.train = np.frombuffer(train, dtype=np.uint8)
+        self.doc = np.repeat(np.arange(len(lengths)), lengths)
+        self.learned = self.train[self.doc] > 0
+        self.first = np.r_[True, self.doc[1:] != self.doc[:-1]]
+        self.end = self.w[-1]  # the number of the token after the last word
+        self.model, self.texts, self.buckets, self.levels = model, texts, buckets, []
+        self.home = (fmix64(self.word + U64(1)) % U64(buckets)).astype(np.int64)
+
+    def below(self) -> tuple[np.ndarray, np.ndarray]:
+        """At each position: the count of the longest n-gram so far, and of its context."""
+        if not self.levels:
+            return self.count[self.w], np.full(len(self.w), self.model.tokens)
+        last = self.levels[-1]
+        return last.r[last.at], last.count[last.before]
+
+    def next_level(self) -> Level:
+        if self.levels:
+            last = self.levels[-1]
+            at, count, asked = last.at, last.r, last.asked
+            ids = [*(x[last.context] for x in last.ids), self.word[last.word]]
+        else:
+            at, count, asked, ids = self.w, self.count, np.ones(len(self.count), bool), [self.word]
+        before = np.where(self.first, len(count), np.r_[len(count), at[:-1]])
+        level = Level(before, [np.r_[x, U64(_START)] for x in ids], np.r_[count, self.texts], np.r_[asked, True], self.w)
+        level.route(self.model.tokens, self.home, self.buckets)
+        return level
+
+    def climb(self, discounts: list[np.ndarray], hots: list[dict]) -> "Chunk":
+        """Takes in the answers of the levels that are there."""
+        at = 0
+        for discount, hot in zip(discounts, hots, strict=True):
+            level = self.next_level()
+            n = int((np.diff(level.bounds) > 0).sum())
+            level.answered(self.rest[at:at + n], discount, hot)
+            at += n
+            self.levels.append(level)
+        return self
+
+
+def _deal(chunk, c: Chunk):
+    """A chunk's distinct n-grams of the next level, a row (bucket, arrays) for each context bucket;
+    and a row without arrays with the counts of counts of those that stay here."""
+    level = c.next_level()
+    n = np.bincount((level.count * level.settled)[level.context], minlength=K + 3)
+    n[0] = 0
+    yield chunk, chunk % c.buckets, None, None, packed(n.astype("<i8")), None
+    times = np.bincount(level.at, weights=c.learned, minlength=len(level.word)).astype("<u4")
+    # the context is wanted at the next level too; what ends a text is no context
+    asked = (np.bincount(level.at, weights=~c.learned, minlength=len(level.word)) > 0) | (level.word == c.end)
+    lower, lower_context = (x[level.place] for x in c.below())
+    for k in np.flatnonzero(np.diff(level.bounds)).tolist():
+        at = level.sent[level.bounds[k]:level.bounds[k + 1]]
+        h, ih = np.unique(level.context[at], return_inverse=True)
+        one = _one(ih, len(h))
+        ids, index = np.unique(np.concatenate([*(x[h] for x in level.ids), c.word[level.word[at]]]), return_inverse=True)
+        index = index.astype("<u4")
+        places = [index[i * len(h):(i + 1) * len(h)] for i in range(len(level.ids))]
+        arrays = [np.array([len(at), len(h), len(ids), len(places)], "<u4"), _steps(ih.astype("<u4")), index[len(h) * len(places):], times[at],
+                  lower[at].astype("<u4"), asked[at].astype(np.uint8), level.count[h].astype("<u8"), lower_context[at[one]].astype("<u8"),
+                  level.hot[h].astype(np.uint8), _steps(ids.astype("<u8")), *map(_steps, places)]
+        yield chunk, k, None, packed(b"".join(_shuffled(x) for x in arrays), 3), None, None
+
+
+def _one(at: np.ndarray, n: int) -> np.ndarray:
+    """A place of each number 0..n-1 in ``at``."""
+    place = np.empty(n, dtype=np.int64)
+    place[at] = np.arange(len(at))
+    return place
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """From each number to the next (modulo 2 ** its bits): small where they mostly rise."""
+    return np.diff(x, prepend=x.dtype.type(0))
 
 
 def _shuffled(x: np.ndarray) -> bytes:
@@ -153,64 +253,63 @@ def _read(blob: bytes) -> list[np.ndarray]:
         at += n * size
         return x
 
-    n, h, w, docs = take(4, "<u4").tolist()
-    for size, kind in ((n, "<u4"), (n, "<u4"), (n, "<u4"), (n, "<u4"), (docs, "u1"), (h, "<u8"), (h, "<u8"), (h, "u1"), (w, "<u8"), (w, "<u8")):
+    n, h, words, places = take(4, "<u4").tolist()
+    for size, kind in (*[(n, "<u4")] * 4, (n, "u1"), (h, "<u8"), (h, "<u8"), (h, "u1"), (words, "<u8"), *[(h, "<u4")] * places):
         out.append(take(size, kind))
-    return out
+    return [np.cumsum(x, dtype=x.dtype) if k == 0 or k >= 8 else x for k, x in enumerate(out)]
+
 
+def _table(bucket: int, held: list, below: Callable):
+    """One bucket of a level's table: counts all its contexts' n-grams and answers each chunk.
 
-def _table(bucket: int, held: list, model: Unigrams):
-    """One bucket of the bigram table: counts all its contexts' bigrams, then settles each chunk's
-    tokens as far as they don't hang on the discounts."""
+    ``below(count, context's count)`` is the probability of an n-gram's last word after the shorter
+    context, where the shorter n-gram was seen.
+    """
     blobs = [_read(a) for _, a in held]
     size = [len(b[0]) for b in blobs]
-    uh, h = np.unique(np.concatenate([b[5] for b in blobs]), return_inverse=True)
-    uw, w = np.unique(np.concatenate([b[8] for b in blobs]), return_inverse=True)
-    ch, hot, cw = (np.zeros(len(u), dtype=np.int64) for u in (uh, uh, uw))
-    ch[h], hot[h], cw[w] = (np.concatenate([b[k] for b in blobs]) for k in (6, 7, 9))
-    h_at, w_at = np.cumsum([0, *[len(b[5]) for b in blobs]]), np.cumsum([0, *[len(b[8]) for b in blobs]])
-    key = np.concatenate([(h[h_at[i] + b[0]].astype(np.int64) << 32) | w[w_at[i] + b[1]] for i, b in enumerate(blobs)])
-    seen = np.concatenate([b[3] * b[4][b[2]] for b in blobs]).astype(np.int64)
-    order = np.argsort(key, kind="stable")
+    ids, word = np.unique(np.concatenate([b[8] for b in blobs]), return_inverse=True)
+    word_at = np.cumsum([0, *[len(b[8]) for b in blobs]])
+    h = np.zeros(sum(len(b[5]) for b in blobs), dtype=np.int64)
+    for place in range(9, len(blobs[0])):
+        h = np.unique((h << 32) | word[np.concatenate([word_at[i] + b[place] for i, b in enumerate(blobs)])], return_inverse=True)[1]
+    n_h = int(h.max()) + 1
+    one = _one(h, n_h)
+    ch, lower_context, hot = (np.concatenate([b[k] for b in blobs])[one] for k in (5, 6, 7))
+    h_at = np.cumsum([0, *[len(b[5]) for b in blobs]])
+    key = np.concatenate([(h[h_at[i] + b[0]] << 32) | word[word_at[i] + b[1]] for i, b in enumerate(blobs)])
+    order = np.argsort(key)
     new = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-    pair, count = key[order][new], np.add.reduceat(seen[order], new)
-    r = np.empty(len(key), dtype=np.int64)
-    r[order] = np.repeat(count, np.diff(np.r_[new, len(key)]))
-    del order, seen
-    pair, count = pair[count > 0], count[count > 0]
-    ph, prob = pair >> 32, model.prob(cw)
-    stats = np.zeros((len(uh), K + 2))
+    count = np.add.reduceat(np.concatenate([b[2] for b in blobs])[order].astype(np.int64), new)
+    wanted = np.maximum.reduceat(np.concatenate([b[4] for b in blobs])[order], new)
+    lower = np.concatenate([b[3] for b in blobs])[order[new]].astype(np.int64)
+    pair = np.empty(len(key), dtype=np.int64)
+    pair[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(key)]))
+    ph = key[order[new]] >> 32
+    del key, order, new
+    stats, seen = np.zeros((n_h, K + 1)), count > 0
     for k in range(1, K + 1):
-        stats[:, k - 1] = np.bincount(ph[count == k], minlength=len(uh))
-    stats[:, K] = np.bincount(ph, weights=prob[pair & 0xFFFFFFFF], minlength=len(uh))
-    stats[:, K + 1] = ch
+        stats[:, k - 1] = np.bincount(ph[count == k], minlength=n_h)
+    stats[:, K] = np.bincount(ph[seen], weights=below(lower[seen], lower_context[ph[seen]]), minlength=n_h)
     n = np.bincount(np.minimum(count, K + 2), minlength=K + 3)
     at_hot = np.flatnonzero(hot)
-    yield -1, bucket, packed(n.astype("<i8")), packed(uh[at_hot].astype("<u8")), packed(stats[at_hot])
+    names = [ids[word[np.concatenate([word_at[i] + b[place] for i, b in enumerate(blobs)])[one[at_hot]]]] for place in range(9, len(blobs[0]))]
+    yield -1, bucket, packed(n.astype("<i8")), packed(np.array(names, dtype="<u8")), packed(stats[at_hot])
     at = 0
-    for (chunk, _), b, s in zip(held, blobs, size):
-        kh, kw, kr, doc, times, docs = key[at:at + s] >> 32, key[at:at + s] & 0xFFFFFFFF, r[at:at + s], b[2], b[3].astype(np.float64), len(b[4])
+    for (chunk, _), s in zip(held, size):
+        mine = pair[at:at + s]
         at += s
-        c = ch[kh]
-        fixed = np.where(kr > 0, np.log10(np.maximum(kr, 1)) - np.log10(c + 0.5), np.log10(prob)[kw])
-        out = [np.bincount(doc, weights=times * fixed, minlength=docs)]
-        for k in range(1, K + 1):
-            out.append(np.bincount(doc[kr == k], weights=times[kr == k], minlength=docs))
-        back = np.flatnonzero((kr == 0) & (c > 0))
-        u, inverse = np.unique(kh[back], return_inverse=True)
-        events = np.stack([doc[back], inverse, b[3][back]]).astype("<u4")
-        contexts = np.c_[stats[u], hot[u]]
-        yield chunk, bucket, packed(b"".join([_shuffled(out[0]), *[_shuffled(x.astype("<u4")) for x in out[1:]]])), \
-            packed(b"".join(_shuffled(x) for x in events)), packed(np.array([len(u), len(back)], "<u4").tobytes() + contexts.tobytes()
-                                                                   + uh[u].astype("<u8").tobytes())
-
-
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        r = count[mine]
+        u, which = np.unique(ph[mine][(r == 0) & (ch[ph[mine]] > 0)], return_inverse=True)
+        yield chunk, bucket, packed(_shuffled(r.astype("<u4")) + wanted[mine].tobytes()), packed(which.astype("<u4")), packed(stats[u])
+
+
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows where ``held_out`` is not true. Null and empty texts are their end token
-    alone. Repeated rows are counted and scored as often as they stand; with nothing to learn
-    from, every token is the unknown word; an empty table gives an empty result.
+    Learns from the rows where ``held_out`` is not true; contexts have up to ``order`` - 1 words.
+    Null and empty texts are their end token alone. Repeated rows are counted and scored as often
+    as they stand; with nothing to learn from, every token is the unknown word; an empty table
+    gives an empty result.
     """
     buckets = chunks.bucket_count(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -222,85 +321,69 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     texts = docs.select(columns[2]).filter("train").count()
 
     kind = docs.sparkSession.createDataFrame([], docs.select(columns[0]).schema).toArrow().schema.field(0).type
-
-    def deal(chunk, ids, lengths, numbers, train, found):
-        yield _deal(chunk, ids.to_pylist(), lengths, numbers, train, found, model, texts, buckets, kind)
-
-    bigrams = chunks.per_chunk(rows, words.filter("chunk >= 0"), deal, chunks.SCHEMA.format(id=id_type))
-
-    def table(batches):
-        at, held = None, []
-
-        def settle():
-            for chunk, bucket, a, b, c in _table(at, held, model):
-                yield chunks.batch_of(kind, [(chunk, bucket, None, a, b, c)])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bucket = batch.column(1)[i].as_py()
-                if bucket != at and held:
-                    yield from settle()
-                    held = []
-                at = bucket
-                if batch.column(3)[i].is_valid:
-                    held.append((batch.column(0)[i].as_py(), batch.column(3)[i].as_py()))
-                else:
-                    yield batch.slice(i, 1)
-        if held:
-            yield from settle()
-
-    settled = stored(bigrams.repartition("bucket").sortWithinPartitions("bucket", "chunk")
-                     .mapInArrow(table, chunks.SCHEMA.format(id=id_type)), "bigrams", "none")
-    # counts of counts (a row per bucket), and the sums of at most 257 hot contexts in each
-    n, hot = np.zeros(K + 3, dtype=np.int64), {}
-    for r in settled.filter("chunk = -1").select("a", "b", "c").toLocalIterator():
-        n += unpacked(r["a"], "<i8")
-        for word, x in zip(unpacked(r["b"], "<u8").tolist(), unpacked(r["c"], "<f8").reshape(-1, K + 2)):
-            hot[word] = hot.get(word, 0) + np.r_[x[:K + 1], 0] if word in hot else x.copy()
-    discount = good_turing(n[:K + 2])
-
-    def finish(batches):
-        at, held, own = None, [], None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = batch.column(0)[i].as_py()
-                if chunk != at and own is not None:
-                    yield evaluated(own, held)
-                    held, own = [], None
-                at = chunk
-                if batch.column(2)[i].is_valid:
-                    own = (batch.column(2)[i].values, unpacked(batch.column(4)[i].as_py(), "<f8").reshape(4, -1))
-                else:
-                    held.append([batch.column(k)[i].as_py() for k in (3, 4, 5)])
-        if own is not None:
-            yield evaluated(own, held)
-
-    def evaluated(own, held):
-        ids, (length, known, base, train) = own
-        total, logs = np.zeros(len(ids)), np.log10(discount)
-        for a, b, c in held:
-            docs_ = len(ids)
-            raw = unpacked(a)
-            fixed = np.frombuffer(raw, np.uint8, 8 * docs_).reshape(8, docs_).T.copy().view("<f8").ravel()
-            m = np.frombuffer(raw, np.uint8, 4 * K * docs_, 8 * docs_).reshape(K, 4, docs_).transpose(0, 2, 1).copy().view("<u4")[:, :, 0]
-            total += fixed + logs[1:] @ m
-            raw = unpacked(c)
-            u, events = np.frombuffer(raw, "<u4", 2).tolist()
-            if not events:
-                continue
-            contexts = np.frombuffer(raw, "<f8", u * (K + 3), 8).reshape(u, K + 3).copy()
-            word = np.frombuffer(raw, "<u8", u, 8 + u * (K + 3) * 8)
-            for k in np.flatnonzero(contexts[:, K + 2]).tolist():
-                contexts[k, :K + 2] = hot[int(word[k])]
-            left = contexts[:, :K] @ ((1 - discount[1:]) * np.arange(1, K + 1)) + 0.5
-            weight = np.log10(left / (contexts[:, K + 1] + 0.5)) - np.log10(1 - contexts[:, K])
-            doc, at, times = np.frombuffer(unpacked(b), np.uint8).reshape(3, 4, events).transpose(0, 2, 1).copy().view("<u4")[:, :, 0]
-            total += np.bincount(doc, weights=weight[at] * times, minlength=docs_)
-        return pa.RecordBatch.from_arrays(
-            [ids, pa.array(train == 0), pa.array(length.astype(np.int64)), pa.array(known.astype(np.int64)),
-             pa.array(np.full(len(ids), model.tokens)), pa.array(base), pa.array(total)],
+    known, discounts, hots = words.filter("chunk >= 0"), [], []
+
+    for level in range(2, order + 1):
+        def deal(chunk, ids, lengths, numbers, train, found, discounts=tuple(discounts), hots=tuple(hots)):
+            c = Chunk(lengths, numbers, train, found, model, texts, buckets).climb(discounts, hots)
+            for row in _deal(chunk, c):
+                yield chunks.batch_of(kind, [row])
+
+        def below(count, context, discount=discounts[-1] if discounts else None):
+            if discount is None:
+                return model.prob(count)
+            return np.where(count <= K, discount[np.minimum(count, K)], 1.0) * count / (context + 0.5)
+
+        def table(batches, below=below):
+            at, held = None, []
+
+            def settle():
+                for chunk, bucket, a, b, c in _table(at, held, below):
+                    yield chunks.batch_of(kind, [(chunk, bucket, None, a, b, c)])
+
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    bucket = batch.column(1)[i].as_py()
+                    if bucket != at and held:
+                        yield from settle()
+                        held = []
+                    at = bucket
+                    if batch.column(3)[i].is_valid:
+                        held.append((batch.column(0)[i].as_py(), batch.column(3)[i].as_py()))
+                    else:
+                        yield chunks.batch_of(kind, [(-1, bucket, None, batch.column(4)[i].as_py(), packed(b""), packed(b""))])
+            if held:
+                yield from settle()
+
+        grams = chunks.per_chunk(rows, known, deal, chunks.SCHEMA.format(id=id_type))
+        answers = stored(grams.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+                         .mapInArrow(table, chunks.SCHEMA.format(id=id_type)).drop("ids"), f"grams-{level}", "none")
+        # counts of counts (a row per bucket and per chunk), and the sums of at most 257 hot contexts in each bucket
+        n, hot = np.zeros(K + 3, dtype=np.int64), {}
+        for r in answers.filter("chunk = -1").select("a", "b", "c").toLocalIterator():
+            n += unpacked(r["a"], "<i8")
+            for name, x in zip(unpacked(r["b"], "<u8").reshape(level - 1, -1).T.tolist(), unpacked(r["c"], "<f8").reshape(-1, K + 1)):
+                hot[tuple(name)] = hot.get(tuple(name), 0) + x
+        discounts.append(good_turing(n[:K + 2]))
+        hots.append(hot)
+        # a level's answers stand after those of the levels below
+        known = known.unionByName(answers.filter("chunk >= 0").withColumn("bucket", (F.col("bucket") + (level - 1) * buckets).cast("int")))
+
+    def finish(chunk, ids, lengths, numbers, train, found):
+        c = Chunk(lengths, numbers, train, found, model, texts, buckets).climb(discounts, hots)
+        logs = np.log10(model.prob(c.count))[c.w]
+        for level, discount in zip(c.levels, discounts):
+            r, context = level.r[level.at], level.count[level.before]
+            seen = np.log10(np.where(r <= K, discount[np.minimum(r, K)], 1.0) * np.maximum(r, 1)) - np.log10(context + 0.5)
+            logs = np.where(r > 0, seen, logs + level.weight[level.at])
+
+        def per_text(x):
+            return np.bincount(c.doc, weights=x, minlength=len(ids))
+
+        yield pa.RecordBatch.from_arrays(
+            [ids, pa.array(c.train == 0), pa.array(lengths), pa.array(per_text((c.count > 0)[c.w]).astype(np.int64)),
+             pa.array(np.full(len(ids), model.tokens)), pa.array(per_text(model.base(c.count)[c.w])), pa.array(per_text(logs))],
             [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return (settled.filter("chunk >= 0").repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(
-        finish, f"`{id_col}` {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
-
+    return chunks.per_chunk(rows, known, finish, f"`{id_col}` {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                                 "base_score double, score double")

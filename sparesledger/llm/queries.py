@@ -33,7 +33,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_lm.score(read_documents(spark, sf_dir), language_id.fold("doc_id") == 1)
+    return katz_lm.score(read_documents(spark, sf_dir), language_id.fold("doc_id") == 1, order=3)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

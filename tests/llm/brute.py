@@ -90,3 +90,35 @@ def op5(docs, K=5):
             sc+=math.log10(p)
         out[i]=(zlib.crc32(str(i).encode())%5==1,len(t),sum(c[w]>0 for w in t),N,sum(math.log10((c[w]+.5)/(N+.5*(V+1))) for w in t),sc)
     return out
+def katz(docs, order, K=5):
+    """doc id -> score by Katz backoff over n-grams of up to ``order`` words, by recursion."""
+    T={i:W.findall((t or "").encode().translate(LOW))+[None] for i,t in docs}
+    c=[collections.Counter() for _ in range(order+1)]; ctx=collections.Counter(); fol=collections.defaultdict(set)
+    for i in T:
+        p=["<s>"]*(order-1)+T[i]
+        for j in range(order-1,len(p)) if zlib.crc32(str(i).encode())%5!=1 else ():
+            for k in range(1,order+1):
+                h=tuple(p[j-k+1:j]); c[k][h+(p[j],)]+=1; ctx[h]+=1; fol[h].add(p[j])
+    def gt(cc):
+        n=[0]*(K+2)
+        for v in cc.values():
+            if v<=K+1: n[v]+=1
+        last=(K+1)*n[K+1]/n[1] if n[1] else 0
+        d=[1]*(K+1)
+        for r in range(1,K+1):
+            x=((r+1)*n[r+1]/(r*n[r])-last)/(1-last) if n[r] and last<1 else 0
+            d[r]=x if 0<x<1 else r/(r+.5)
+        return d
+    d=[None]+[gt(x) for x in c[1:]]; weight={}
+    unknown=1-sum((d[1][v] if v<=K else 1)*v/(ctx[()]+.5) for v in c[1].values())
+    def P(h,w):
+        r=c[len(h)+1][h+(w,)]
+        if r: return (d[len(h)+1][r] if r<=K else 1)*r/(ctx[h]+.5)
+        if not h: return unknown
+        if ctx[h] and h not in weight: weight[h]=(1-sum(P(h,x) for x in fol[h]))/(1-sum(P(h[1:],x) for x in fol[h]))
+        return weight.get(h,1)*P(h[1:],w)
+    out={}
+    for i,t in T.items():
+        p=["<s>"]*(order-1)+t
+        out[i]=sum(math.log10(P(tuple(p[j-order+1:j]),p[j])) for j in range(order-1,len(p)))
+    return out

@@ -15,7 +15,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from sparesledger.llm import (byte_bpe, common, exact_dedup, fingerprints, katz_lm, language_id, near_dedup, packing, sharding,
+from sparesledger.llm import (byte_bpe, common, exact_dedup, fingerprints, katz_lm, language_id, near_dedup, packing, queries, sharding,
                               substring_dedup, suffix_dedup)
 from sparesledger.llm.common import stored
 
@@ -239,6 +239,21 @@ def test_katz(docs):
         assert got[i][:4] == w[:4] and got[i][4:] == pytest.approx(w[4:])
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_katz_of_any_order(docs, order):
+    got, want = {r.doc_id: r.score for r in katz_lm.score(docs, language_id.fold("doc_id") == 1, order=order).collect()}, brute.katz(DOCS, order)
+    assert got == pytest.approx(want)
+
+
+def test_katz_query_backs_off_from_trigrams(spark, scratch):
+    spark.createDataFrame(DOCS, "doc_id long, text string").repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:] for r in queries.op5_katz_scoring(spark, scratch).collect()}
+    scores, figures = brute.katz(DOCS, 3), brute.op5(DOCS)
+    assert {i: r[5] for i, r in got.items()} == pytest.approx(scores)
+    for i, r in got.items():
+        assert r[:4] == figures[i][:4] and r[4] == pytest.approx(figures[i][4])
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
