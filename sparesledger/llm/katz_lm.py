@@ -21,7 +21,7 @@ from the counts of counts of all tables of a level.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,16 +107,16 @@ def _count_words(rows):
 class Level:
     """Distinct n-grams of a chunk, by their context and last word.
 
-    ``at`` is each position's n-gram, ``context`` and ``word`` are each n-gram's, ``place`` one of
-    its positions. ``ids`` are the contexts' words (an array for each place in the context). The
+    ``at`` is each position's n-gram, ``before`` its context; ``context`` and ``word`` are each
+    n-gram's. ``ids`` are the contexts' words (an array for each place in the context). The
     last context is that before the first word. What the table gives back is set by ``answered``.
     """
 
     def __init__(self, context: np.ndarray, ids: list[np.ndarray], count: np.ndarray, asked: np.ndarray, w: np.ndarray):
         self.ids, self.count, self.context_asked, self.before = ids, count, asked, context
-        key, self.at = np.unique((context << 32) | w, return_inverse=True)
-        self.place = _one(self.at, len(key))
-        self.context, self.word = key >> 32, key & 0xFFFFFFFF
+        key, at = np.unique((context.astype(np.int64) << 32) | w, return_inverse=True)
+        self.at = at.astype(np.int32)
+        self.context, self.word = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
 
     def route(self, tokens: int, home: np.ndarray, buckets: int) -> None:
         """Which n-grams go to which bucket: ``sent`` in bucket order, ``bounds`` of each bucket in it."""
@@ -134,7 +134,8 @@ class Level:
         self.bounds = np.searchsorted(to[self.sent], np.arange(buckets + 1))
 
     def answered(self, found: list, discount: np.ndarray, hot: dict) -> None:
-        """``r`` and ``asked`` of each n-gram; ``weight``, the logarithm of the context's weight, where it is needed."""
+        """``r`` and ``asked`` of each n-gram; ``weight``, the logarithm of the context's weight, where it is
+        needed (and the answers have the sums for it)."""
         self.r, self.asked, self.weight = self.count[self.context], np.zeros(len(self.word), bool), np.zeros(len(self.word))
         for k, (a, b, c) in zip(np.flatnonzero(np.diff(self.bounds)).tolist(), found, strict=True):
             mine = self.sent[self.bounds[k]:self.bounds[k + 1]]
@@ -142,6 +143,8 @@ class Level:
             n = len(mine)
             self.r[mine] = np.frombuffer(raw, np.uint8, 4 * n).reshape(4, n).T.copy().view("<u4").ravel()
             self.asked[mine] = np.frombuffer(raw, np.uint8, n, 4 * n) > 0
+            if b is None:
+                continue
             back = mine[(self.r[mine] == 0) & (self.count[self.context[mine]] > 0)]
             stats, which = unpacked(c, "<f8").reshape(-1, K + 1), unpacked(b, "<u4")
             if not len(back):
@@ -167,38 +170,36 @@ class Chunk:
         self.learned = self.train[self.doc] > 0
         self.first = np.r_[True, self.doc[1:] != self.doc[:-1]]
         self.end = self.w[-1]  # the number of the token after the last word
-        self.model, self.texts, self.buckets, self.levels = model, texts, buckets, []
+        self.model, self.texts, self.buckets, self.last = model, texts, buckets, None
         self.home = (fmix64(self.word + U64(1)) % U64(buckets)).astype(np.int64)
 
     def below(self) -> tuple[np.ndarray, np.ndarray]:
         """At each position: the count of the longest n-gram so far, and of its context."""
-        if not self.levels:
+        if not self.last:
             return self.count[self.w], np.full(len(self.w), self.model.tokens)
-        last = self.levels[-1]
-        return last.r[last.at], last.count[last.before]
+        return self.last.r[self.last.at], self.last.count[self.last.before]
 
     def next_level(self) -> Level:
-        if self.levels:
-            last = self.levels[-1]
+        if last := self.last:
             at, count, asked = last.at, last.r, last.asked
             ids = [*(x[last.context] for x in last.ids), self.word[last.word]]
         else:
             at, count, asked, ids = self.w, self.count, np.ones(len(self.count), bool), [self.word]
-        before = np.where(self.first, len(count), np.r_[len(count), at[:-1]])
+        before = np.where(self.first, len(count), np.r_[len(count), at[:-1]]).astype(np.int32)
         level = Level(before, [np.r_[x, U64(_START)] for x in ids], np.r_[count, self.texts], np.r_[asked, True], self.w)
         level.route(self.model.tokens, self.home, self.buckets)
         return level
 
-    def climb(self, discounts: list[np.ndarray], hots: list[dict]) -> "Chunk":
-        """Takes in the answers of the levels that are there."""
+    def climb(self, discounts: list[np.ndarray], hots: list[dict]) -> Iterator[Level]:
+        """The levels that are there, with their answers; only the last one is kept."""
         at = 0
         for discount, hot in zip(discounts, hots, strict=True):
             level = self.next_level()
             n = int((np.diff(level.bounds) > 0).sum())
             level.answered(self.rest[at:at + n], discount, hot)
             at += n
-            self.levels.append(level)
-        return self
+            self.last = level
+            yield level
 
 
 def _deal(chunk, c: Chunk):
@@ -211,7 +212,8 @@ def _deal(chunk, c: Chunk):
     times = np.bincount(level.at, weights=c.learned, minlength=len(level.word)).astype("<u4")
     # the context is wanted at the next level too; what ends a text is no context
     asked = (np.bincount(level.at, weights=~c.learned, minlength=len(level.word)) > 0) | (level.word == c.end)
-    lower, lower_context = (x[level.place] for x in c.below())
+    place = _one(level.at, len(level.word))
+    lower, lower_context = (x[place] for x in c.below())
     for k in np.flatnonzero(np.diff(level.bounds)).tolist():
         at = level.sent[level.bounds[k]:level.bounds[k + 1]]
         h, ih = np.unique(level.context[at], return_inverse=True)
@@ -219,8 +221,12 @@ def _deal(chunk, c: Chunk):
         ids, index = np.unique(np.concatenate([*(x[h] for x in level.ids), c.word[level.word[at]]]), return_inverse=True)
         index = index.astype("<u4")
         places = [index[i * len(h):(i + 1) * len(h)] for i in range(len(level.ids))]
+        shorter = lower_context[at[one]].astype("<u8")
+        if len(places) == 2:  # the shorter context is a word: once per word
+            shorter, by_context = np.zeros(len(ids), "<u8"), shorter
+            shorter[places[1]] = by_context
         arrays = [np.array([len(at), len(h), len(ids), len(places)], "<u4"), _steps(ih.astype("<u4")), index[len(h) * len(places):], times[at],
-                  lower[at].astype("<u4"), asked[at].astype(np.uint8), level.count[h].astype("<u8"), lower_context[at[one]].astype("<u8"),
+                  lower[at].astype("<u4"), asked[at].astype(np.uint8), level.count[h].astype("<u8"), shorter,
                   level.hot[h].astype(np.uint8), _steps(ids.astype("<u8")), *map(_steps, places)]
         yield chunk, k, None, packed(b"".join(_shuffled(x) for x in arrays), 3), None, None
 
@@ -254,9 +260,12 @@ def _read(blob: bytes) -> list[np.ndarray]:
         return x
 
     n, h, words, places = take(4, "<u4").tolist()
-    for size, kind in (*[(n, "<u4")] * 4, (n, "u1"), (h, "<u8"), (h, "<u8"), (h, "u1"), (words, "<u8"), *[(h, "<u4")] * places):
+    for size, kind in (*[(n, "<u4")] * 4, (n, "u1"), (h, "<u8"), (words if places == 2 else h, "<u8"), (h, "u1"), (words, "<u8"), *[(h, "<u4")] * places):
         out.append(take(size, kind))
-    return [np.cumsum(x, dtype=x.dtype) if k == 0 or k >= 8 else x for k, x in enumerate(out)]
+    out = [np.cumsum(x, dtype=x.dtype) if k == 0 or k >= 8 else x for k, x in enumerate(out)]
+    if places == 2:
+        out[6] = out[6][out[10]]
+    return out
 
 
 def _table(bucket: int, held: list, below: Callable):
@@ -325,7 +334,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     for level in range(2, order + 1):
         def deal(chunk, ids, lengths, numbers, train, found, discounts=tuple(discounts), hots=tuple(hots)):
-            c = Chunk(lengths, numbers, train, found, model, texts, buckets).climb(discounts, hots)
+            c = Chunk(lengths, numbers, train, found, model, texts, buckets)
+            for _ in c.climb(discounts, hots):
+                pass
             for row in _deal(chunk, c):
                 yield chunks.batch_of(kind, [row])
 
@@ -355,7 +366,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             if held:
                 yield from settle()
 
-        grams = chunks.per_chunk(rows, known, deal, chunks.SCHEMA.format(id=id_type))
+        counts = known.withColumn("b", F.when(F.col("c").isNull(), F.col("b"))).withColumn("c", F.when(F.col("c").isNotNull(), F.lit(b"")))
+        grams = chunks.per_chunk(rows, counts, deal, chunks.SCHEMA.format(id=id_type))
         answers = stored(grams.repartition("bucket").sortWithinPartitions("bucket", "chunk")
                          .mapInArrow(table, chunks.SCHEMA.format(id=id_type)).drop("ids"), f"grams-{level}", "none")
         # counts of counts (a row per bucket and per chunk), and the sums of at most 257 hot contexts in each bucket
@@ -370,9 +382,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         known = known.unionByName(answers.filter("chunk >= 0").withColumn("bucket", (F.col("bucket") + (level - 1) * buckets).cast("int")))
 
     def finish(chunk, ids, lengths, numbers, train, found):
-        c = Chunk(lengths, numbers, train, found, model, texts, buckets).climb(discounts, hots)
+        c = Chunk(lengths, numbers, train, found, model, texts, buckets)
         logs = np.log10(model.prob(c.count))[c.w]
-        for level, discount in zip(c.levels, discounts):
+        for level, discount in zip(c.climb(discounts, hots), discounts, strict=True):
             r, context = level.r[level.at], level.count[level.before]
             seen = np.log10(np.where(r <= K, discount[np.minimum(r, K)], 1.0) * np.maximum(r, 1)) - np.log10(context + 0.5)
             logs = np.where(r > 0, seen, logs + level.weight[level.at])
