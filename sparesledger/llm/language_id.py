@@ -27,7 +27,8 @@ from .common import U64, as_bytes, fmix64, in_blocks, slices, stored
 
 SHORT = 32  # code points of a word whose products stay within a double under one fixed scale;
 SCALE = 1000.0  # that scale, per code point
-LONG_CELLS = 1 << 21  # numbers held at once for longer words
+CELLS = 1 << 19  # sums held at once for these words,
+LONG_CELLS = 1 << 21  # numbers for longer ones
 KNOWN = 100_000  # words whose scores a task remembers,
 KNOWN_CHARS = 2_000_000  # and their code points together
 _MIX = U64(0x9E3779B97F4A7C15)
@@ -47,6 +48,8 @@ class Pieces:
         texts = [m.id_to_piece(i) for i in plain]
         self.longest = max(map(len, texts))
         keys = np.zeros(len(texts), dtype=U64)
+        #: By slot: 1 where a piece may be, 2 where the start of a longer one may be (never 0 where one is).
+        self.there = np.zeros(1 << _SLOTS, dtype=np.uint8)
         size = np.array([len(t) for t in texts])
         for n in np.unique(size).tolist():
             at = np.flatnonzero(size == n)
@@ -54,6 +57,7 @@ class Pieces:
             h = np.zeros(len(at), dtype=U64)
             for j in range(n):
                 h = fmix64(h * _MIX + chars[:, j].astype(U64))
+                self.there[self._slot(h)] |= 1 if j == n - 1 else 2
             keys[at] = h
         self.byte = np.array([m.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
         # two tables of slots: a key that finds its first slot taken goes to the second
@@ -85,44 +89,79 @@ class Pieces:
         """log P(word) for each language: rows as ``words``, columns as ``prob``'s (pieces x languages)."""
         total = np.zeros((len(words), prob.shape[1]))
         texts = ["▁" + w for w in words]
-        size = np.array([len(t) for t in texts])
-        padded = np.vstack([prob, np.zeros(prob.shape[1])])  # row -1: no piece
-        for n in np.unique(size).tolist():
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        short = np.flatnonzero(size <= SHORT)
+        ends, step = np.cumsum(size[short]), max(SHORT, CELLS // prob.shape[1])
+        x = 0
+        while x < len(short):
+            y = int(np.searchsorted(ends, (ends[x - 1] if x else 0) + step, side="right"))
+            some = short[x:y]
+            total[some] = self._forward("".join([texts[i] for i in some.tolist()]), size[some], prob)
+            x = y
+        long = np.flatnonzero(size > SHORT)
+        padded = np.vstack([prob, np.zeros(prob.shape[1])]) if len(long) else prob  # row -1: no piece
+        for n in np.unique(size[long]).tolist():
             at = np.flatnonzero(size == n)
-            step = 4096 if n <= SHORT else max(1, LONG_CELLS // (n * min(n, self.longest) * prob.shape[1]))
-            forward = self._forward if n <= SHORT else self._forward_long
+            step = max(1, LONG_CELLS // (n * min(n, self.longest) * prob.shape[1]))
             for x in range(0, len(at), step):
                 some = at[x:x + step]
                 chars = np.frombuffer("".join(texts[i] for i in some.tolist()).encode("utf-32-le", "surrogatepass"),
                                       dtype="<u4").reshape(-1, n)
-                total[some] = forward(chars, padded)
+                total[some] = self._forward_long(chars, padded)
         return total
 
     def _in_bytes(self, code: int, prob: np.ndarray) -> np.ndarray:
         """The probability of a character cut into byte pieces."""
         return np.prod(prob[self.byte[list(chr(code).encode("utf-8", "surrogatepass"))]], axis=0)
 
-    def _forward(self, chars: np.ndarray, prob: np.ndarray) -> np.ndarray:
-        rows, n = chars.shape
-        wide = chars.astype(U64)
-        alpha = np.zeros((n + 1, rows, prob.shape[1]))
-        alpha[0] = 1
-        for i in range(n):
-            h = np.zeros(rows, dtype=U64)
-            scale = 1.0
-            for j in range(i, min(n, i + self.longest)):
-                h = fmix64(h * _MIX + wide[:, j])
-                scale *= SCALE
-                piece = self.find(h)
-                if j == i:
-                    alpha[j + 1] += alpha[i] * prob[piece] * scale
-                    for r in np.flatnonzero(piece < 0).tolist():
-                        alpha[j + 1, r] += alpha[i, r] * self._in_bytes(int(chars[r, i]), prob) * scale
-                else:
-                    some = np.flatnonzero(piece >= 0)
-                    if len(some):
-                        alpha[j + 1, some] += alpha[i, some] * prob[piece[some]] * scale
-        return np.log(np.maximum(alpha[n], 1e-300)) - n * np.log(SCALE)
+    def _forward(self, text: str, size: np.ndarray, prob: np.ndarray) -> np.ndarray:
+        """The sums for words of ``size`` code points (SHORT at most) that stand one after the other in ``text``.
+
+        All words go together, whatever their lengths: a substring is followed only while a piece
+        begins with it, and the pieces found are summed up by their start in the word.
+        """
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        wide, start = codes.astype(U64), chunks.runs(size)  # each character's place in its word
+        left = np.repeat(size, size) - start
+        at, h = np.arange(len(codes)), np.zeros(len(codes), dtype=U64)
+        found = []
+        for j in range(min(int(size.max()), self.longest)):
+            h = fmix64(h * _MIX + wide[at + j])
+            there = self.there[self._slot(h)]
+            some = np.flatnonzero(there & 1)
+            piece = self.find(h[some])
+            if j == 0:
+                whole = np.full(len(codes), -1, dtype=np.int64)
+                whole[some] = piece
+                bare = np.flatnonzero(whole < 0)
+                if len(bare):  # characters outside the vocabulary
+                    new, which = np.unique(codes[bare], return_inverse=True)
+                    whole[bare] = len(prob) + which
+                    spelled = np.vstack([self._in_bytes(c, prob) for c in new.tolist()])
+                found.append((at, whole))
+            else:
+                some, piece = some[piece >= 0], piece[piece >= 0]
+                found.append((at[some], piece))
+            on = np.flatnonzero((there > 1) & (left[at] > j + 1))
+            at, h = at[on], h[on]
+        first, piece = (np.concatenate(x) for x in zip(*found))
+        length = np.repeat(np.arange(1, len(found) + 1), [len(x) for x, _ in found])
+        order = np.argsort(start[first].astype(np.int8), kind="stable")
+        bounds = np.searchsorted(start[first[order]], np.arange(int(size.max()) + 1))
+        scale = np.cumprod(np.full(len(found), SCALE))
+        # a word's sums: one more than it has characters
+        word = np.repeat(np.arange(len(size)), size)
+        alpha = np.zeros((len(codes) + len(size), prob.shape[1]))
+        alpha[np.cumsum(size + 1) - size - 1] = 1
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            some = order[a:b]
+            n, source, own = length[some], first[some] + word[first[some]], piece[some]
+            factor = prob[np.minimum(own, len(prob) - 1)]
+            if len(bare):
+                outside = np.flatnonzero(own >= len(prob))
+                factor[outside] = spelled[own[outside] - len(prob)]
+            alpha[source + n] += alpha[source] * factor * scale[n - 1, None]
+        return np.log(np.maximum(alpha[np.cumsum(size + 1) - 1], 1e-300)) - size[:, None] * np.log(SCALE)
 
     def _forward_long(self, chars: np.ndarray, prob: np.ndarray) -> np.ndarray:
         """The same sums for words of any length: only the last ``longest`` positions are carried, and

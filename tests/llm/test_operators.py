@@ -188,6 +188,23 @@ def test_forward_sums_words_of_any_length():
     assert np.allclose(pieces.scores(words, prob), [total("▁" + w) for w in words], rtol=1e-9)
 
 
+def test_forward_follows_only_what_begins_a_piece(monkeypatch):
+    """Every substring of a word up to the longest piece was looked up: over ten per character."""
+    import numpy as np
+
+    pieces, choose, looked_up = language_id.Pieces(P.path("piece_bpe_32k.model")), random.Random(4), []
+    prob = np.random.default_rng(4).random((pieces.size, 2))
+    prob /= prob.sum(axis=0)
+    words = ["".join(choose.choice("thesandorig䷿é日") for _ in range(n)) for n in range(32) for _ in range(4)]
+    alone = np.vstack([pieces.scores([w], prob) for w in words])
+    find = pieces.find
+    monkeypatch.setattr(pieces, "find", lambda h: looked_up.append(h.size) or find(h))
+    assert (pieces.scores(words, prob) == alone).all()
+    assert 0 < sum(looked_up) < 3 * sum(len(w) + 1 for w in words)
+    monkeypatch.setattr(language_id, "CELLS", 100)
+    assert (pieces.scores(words, prob) == alone).all()
+
+
 def test_fingerprints(docs):
     pieces = lambda t: set(re.findall(r"[^.!?\n]{1,100}[.!?\n]*|[.!?\n]+", t))
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
