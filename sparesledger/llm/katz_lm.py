@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks
-from .chunks import packed, unpacked
+from .chunks import from_planes, packed, planes, unpacked
 from .common import LOWER_ASCII, U64, fmix64, stored
 
 K = 5  # counts up to this are discounted
@@ -89,7 +89,7 @@ def _count_words(rows):
         for at, n in total:
             count[at] += n
         for chunk, at in places:
-            yield chunk, bucket, packed(((U64(bucket) << U64(32)) + at.astype(U64)).astype("<u8")), packed(count[at].astype("<u8")), None
+            yield chunk, bucket, packed(planes(((U64(bucket) << U64(32)) + at.astype(U64)).astype("<u8"))), packed(planes(count[at].astype("<u8"))), None
         n = np.bincount(np.minimum(count, K + 2), minlength=K + 3)
         yield -1, bucket, packed(np.r_[n, count.sum(), (count > 0).sum()].astype("<i8")), None, None
 
@@ -141,12 +141,13 @@ class Level:
             mine = self.sent[self.bounds[k]:self.bounds[k + 1]]
             raw = unpacked(a)
             n = len(mine)
-            self.r[mine] = np.frombuffer(raw, np.uint8, 4 * n).reshape(4, n).T.copy().view("<u4").ravel()
+            self.r[mine] = from_planes(raw[:4 * n], "<u4")
             self.asked[mine] = np.frombuffer(raw, np.uint8, n, 4 * n) > 0
             if b is None:
                 continue
             back = mine[(self.r[mine] == 0) & (self.count[self.context[mine]] > 0)]
-            stats, which = unpacked(c, "<f8").reshape(-1, K + 1), unpacked(b, "<u4")
+            stats = np.ascontiguousarray(from_planes(unpacked(c), "<f8").reshape(K + 1, -1).T)
+            which = from_planes(unpacked(b), "<u4")
             if not len(back):
                 continue
             stats, context = stats[which].copy(), self.context[back]
@@ -162,8 +163,8 @@ class Chunk:
     def __init__(self, lengths, numbers, train, found: list, model: Unigrams, texts: int, buckets: int):
         own = [f for f in found if f[2] is None]
         self.rest = [f for f in found if f[2] is not None]
-        self.word = np.concatenate([unpacked(a, "<u8") for a, _, _ in own])
-        self.count = np.concatenate([unpacked(b, "<u8") for _, b, _ in own]).astype(np.int64)
+        self.word = np.concatenate([from_planes(unpacked(a), "<u8") for a, _, _ in own])
+        self.count = np.concatenate([from_planes(unpacked(b), "<u8") for _, b, _ in own]).astype(np.int64)
         self.lengths, self.w = lengths, numbers.astype(np.int64)
         self.train = np.frombuffer(train, dtype=np.uint8)
         self.doc = np.repeat(np.arange(len(lengths)), lengths)
@@ -228,7 +229,7 @@ def _deal(chunk, c: Chunk):
         arrays = [np.array([len(at), len(h), len(ids), len(places)], "<u4"), _steps(ih.astype("<u4")), index[len(h) * len(places):], times[at],
                   lower[at].astype("<u4"), asked[at].astype(np.uint8), level.count[h].astype("<u8"), shorter,
                   level.hot[h].astype(np.uint8), _steps(ids.astype("<u8")), *map(_steps, places)]
-        yield chunk, k, None, packed(b"".join(_shuffled(x) for x in arrays), 3), None, None
+        yield chunk, k, None, packed(b"".join(planes(x) for x in arrays), 3), None, None
 
 
 def _one(at: np.ndarray, n: int) -> np.ndarray:
@@ -243,11 +244,6 @@ def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
 
-def _shuffled(x: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, which compress better."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() if len(x) else b""
-
-
 def _read(blob: bytes) -> list[np.ndarray]:
     raw = unpacked(blob)
     out, at = [], 0
@@ -309,7 +305,7 @@ def _table(bucket: int, held: list, below: Callable):
         at += s
         r = count[mine]
         u, which = np.unique(ph[mine][(r == 0) & (ch[ph[mine]] > 0)], return_inverse=True)
-        yield chunk, bucket, packed(_shuffled(r.astype("<u4")) + wanted[mine].tobytes()), packed(which.astype("<u4")), packed(stats[u])
+        yield chunk, bucket, packed(planes(r.astype("<u4")) + wanted[mine].tobytes()), packed(planes(which.astype("<u4"))), packed(planes(stats[u].T))
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
@@ -323,7 +319,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     buckets = chunks.bucket_count(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     columns = [F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), (~F.coalesce(held_out, F.lit(False))).alias("train")]
-    rows = chunks.chunked(docs, columns, id_type, _tokenise, buckets, "sequences")
+    rows = chunks.chunked(docs, columns, id_type, _tokenise, buckets, "sequences", apart=True)
     words = stored(chunks.per_bucket(rows, _count_words, id_type), "unigrams", "none")
     sums = np.sum([np.zeros(K + 5, dtype=np.int64), *[unpacked(r["a"], "<i8") for r in words.filter("chunk = -1").select("a").collect()]], axis=0)
     model = Unigrams(sums[:K + 2], int(sums[K + 3]), int(sums[K + 4]))

@@ -271,6 +271,36 @@ def test_katz_query_backs_off_from_trigrams(spark, scratch):
         assert r[:4] == figures[i][:4] and r[4] == pytest.approx(figures[i][4])
 
 
+def test_katz_chunks_of_many_words_are_small_on_disk(spark):
+    """Numbers of four bytes and doubles were packed as they stand; results are the same in planes of bytes."""
+    import numpy as np
+
+    from sparesledger.llm import chunks
+
+    rnd = np.random.default_rng(5)
+    for x in (np.arange(7, dtype="<u8") << 33, np.zeros(0, "<u4"), rnd.random((3, 4)).T):
+        assert (chunks.from_planes(chunks.planes(x), x.dtype).reshape(x.shape) == x).all()
+    numbers = rnd.zipf(1.3, 150_000).clip(1, 70_000)
+    text = " ".join([*(f"w{i}" for i in range(70_000)), *(f"w{i}" for i in numbers)])
+    docs = spark.createDataFrame([(1, text), (2, "w1 w2 w3"), (3, None)], "doc_id long, text string").coalesce(1)
+
+    def sequences(apart):
+        rows = chunks.cut(docs, [F.col("doc_id"), F.col("text"), F.lit(True)], "bigint", katz_lm._tokenise, 3, apart=apart)
+        return [chunks.sequences(r.a, r.b) + (len(r.b),) for r in rows.filter("bucket < 0").collect()]
+
+    (sizes, plain, before), = sequences(False)
+    (lengths, found, after), = sequences(True)
+    assert lengths.tolist() == sizes.tolist() == [220_001, 4, 1] and (found == plain).all()
+    assert after < 0.9 * before
+
+    words = [b"w%d" % i for i in range(2000)]
+    held = (b"".join(words), np.array([len(w) for w in words], "<u4"), rnd.integers(0, 3, 2000).astype("<u4"))
+    rows = list(katz_lm._count_words((0, bucket, *map(chunks.packed, arrays)) for bucket, arrays in [(5, held)]))
+    ids = (np.uint64(5) << np.uint64(32)) + np.arange(2000, dtype=np.uint64)
+    assert (chunks.from_planes(chunks.unpacked(rows[0][2]), "<u8") == ids).all()
+    assert len(rows[0][2]) < 0.5 * len(chunks.packed(ids))
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
