@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparesledger.session import shuffles_removed
 from sparesledger.sources.conform import CORRUPT, FILE, PROBLEMS, conform, declared, judged
 from sparesledger.sources.schemas import SOURCE_TABLES
 
 SOURCE_SYSTEM = "EBS_R12"  # fixed value of the audit column
+ROWS_PER_FILE = 1_000_000  # of a compressed extract
 Types = Mapping[str, Mapping[str, str]]  # by extract: column -> type instead of the declared one
 
 
@@ -156,17 +158,23 @@ def land_bronze(
     return written
 
 
-def write_extracts(sources: Mapping[str, DataFrame], root: str, fmt: str = "csv", parallelism: int = 4) -> dict[str, str]:
+def write_extracts(sources: Mapping[str, DataFrame], root: str, fmt: str = "csv", parallelism: int = 4,
+                   compression: str | None = None) -> dict[str, str]:
     """Write source-shaped DataFrames as extract files (``{root}/{table}.{fmt}``), one folder each,
-    ``parallelism`` of them at a time."""
+    ``parallelism`` of them at a time. A file compressed with ``compression`` (such as ``gzip``) is read by
+    one task, so it gets ``ROWS_PER_FILE`` rows at most."""
 
     def write(t: str) -> str:
         path = f"{root}/{t}.{fmt}"
         w = sources[t].write.mode("overwrite")
         if fmt == "csv":
             w = w.option("header", "true").option("dateFormat", "yyyy-MM-dd")
+        if compression:
+            w = w.options(compression=compression, maxRecordsPerFile=ROWS_PER_FILE, **{"zlib.compress.level": "BEST_SPEED"})
         w.format(fmt).save(path)
         return path
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    if not sources:
+        return {}
+    with shuffles_removed(next(iter(sources.values())).sparkSession), ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return dict(zip(sources, pool.map(write, sources)))
